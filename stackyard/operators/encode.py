@@ -368,3 +368,33 @@ def named_missing(df: DataFrame, cols: list[str], label: str = "Missing") -> Dat
     """M6: a named category for missing values."""
     return df.select(*[F.coalesce(F.col(c), F.lit(label)).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
+
+
+def route_encode(df: DataFrame, cols: list[str], max_categories: int = 20,
+                 target: str = "target", side: str = "is_train") -> DataFrame:
+    """Per column, by distinct count over all rows (null counted):
+    fewer than ``max_categories`` → dummies with a ``nan`` column; numeric →
+    fill ``m = int(min) - 2`` plus ``<col>_na``, then ``(x - m)/(max - m)``;
+    text → top ``max_categories`` values kept, dummies, and a target weight.
+    """
+    from pyspark.sql import types as T
+    counts = distinct_counts(df, cols)
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    out = df
+    for c in cols:
+        if counts[c] < max_categories:
+            vals = bounded_values(df, c, max_categories)
+            out = replace_cols(out, c, dummies(c, vals, "_", null_col=True))
+        elif c in numeric:
+            st = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+            m = int(st["lo"]) - 2
+            x = F.coalesce(F.col(c).cast("double"), F.lit(float(m)))
+            scaled = F.try_divide(x - F.lit(m), F.lit(float(st["hi"]) - m))
+            out = replace_cols(out, c, [scaled.alias(c),
+                                        (x == F.lit(float(m))).cast("int").alias(f"{c}_na")])
+        else:
+            kept = top_k_or_null(out, c, max_categories)
+            vals = bounded_values(kept, c, max_categories)
+            kept = target_weight(kept, c, target, side)
+            out = replace_cols(kept, c, dummies(c, vals, "_", null_col=True))
+    return out
