@@ -26,6 +26,11 @@ FX4 = """fx4 AS (
          p_retailprice, p_brand, p_type
   FROM part)"""
 
+FX5 = """fx5 AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_discount, l_tax,
+         l_quantity, l_returnflag, l_linestatus, CAST(l_returnflag = 'R' AS INTEGER) AS target
+  FROM lineitem)"""
+
 FX6 = """fx6 AS (
   SELECT CAST(p_partkey AS BIGINT) AS id, split_part(p_name, ' ', 1) AS word FROM part)"""
 

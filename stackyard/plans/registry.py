@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_encode"]
+MODULES = ["q_encode", "q_profile"]
 
 
 def _mods():
