@@ -62,4 +62,4 @@ def mean_of_largest(cols: list[str], k: int) -> Column:
 def middle(cols: list[str]) -> Column:
     """Middle value of the row (median of an odd count)."""
     s = row_sorted(cols)
-    return F.element_at(s, (F.size(s) + 1) / 2)
+    return F.element_at(s, F.floor((F.size(s) + 1) / 2).cast("int"))

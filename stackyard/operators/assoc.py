@@ -130,12 +130,12 @@ def anova_f(df: DataFrame, cols: list[str], label: str) -> DataFrame:
     """L1: one-way ANOVA F per feature against a class label, from
     per-class sums (``n, Σx, Σx²``) in one grouped aggregate."""
     g = df.where(F.col(label).isNotNull()).groupBy(label).agg(
-        F.count(F.lit(1)).alias("__n"),
+        *[F.count(c).alias(f"n__{c}") for c in cols],
         *[F.sum(F.col(c).cast("double")).alias(f"s1__{c}") for c in cols],
         *[F.sum(F.pow(F.col(c).cast("double"), 2)).alias(f"s2__{c}") for c in cols])
-    parts = ", ".join(f"'{c}', `s1__{c}`, `s2__{c}`" for c in cols)
-    lg = g.selectExpr(label, "__n", f"stack({len(cols)}, {parts}) AS (name, s1, s2)")
-    per = lg.groupBy("name").agg(
+    parts = ", ".join(f"'{c}', `n__{c}`, `s1__{c}`, `s2__{c}`" for c in cols)
+    lg = g.selectExpr(label, f"stack({len(cols)}, {parts}) AS (name, __n, s1, s2)")
+    per = lg.where(F.col("__n") > 0).groupBy("name").agg(
         F.sum("__n").alias("n"), F.count(F.lit(1)).alias("k"),
         F.sum("s1").alias("t1"), F.sum("s2").alias("t2"),
         F.sum(F.pow("s1", 2) / F.col("__n")).alias("between_raw"))

@@ -23,7 +23,7 @@ FX4 = """fx4 AS (
   SELECT CAST(p_partkey AS BIGINT) AS id,
          CASE WHEN p_partkey % 10 < 7 THEN CAST(ceil(p_size * 8 / 50.0) AS INTEGER) END AS response,
          p_partkey % 10 < 7 AS is_train,
-         p_retailprice, p_brand, p_type
+         p_retailprice, p_brand, p_type, p_size
   FROM part)"""
 
 FX5 = """fx5 AS (

@@ -75,7 +75,7 @@ def ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col(k).cast("bigint").alias("id"),
         F.when(is_train(k), F.ceil(F.col("p_size") * 8 / 50.0).cast("int")).alias("response"),
         is_train(k).alias("is_train"),
-        F.col("p_retailprice"), F.col("p_brand"), F.col("p_type"),
+        F.col("p_retailprice"), F.col("p_brand"), F.col("p_type"), F.col("p_size"),
     )
 
 
