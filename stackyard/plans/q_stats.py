@@ -196,7 +196,7 @@ def a17_log_loss(spark, sf):
     return ME.log_loss(long, "target", "p", by=["model"]).select("model", r6("logloss"))
 
 
-KAPPA_FX = with_(FX4, """k AS (SELECT id, response AS y, p_size * 0.16 + ((id % 5) - 2) * 0.3 AS pred FROM fx4 WHERE is_train),
+KAPPA_FX = with_(FX4, """k AS (SELECT id, response AS y, CAST(p_size AS DOUBLE) * CAST(0.16 AS DOUBLE) + ((id % 5) - 2) * CAST(0.3 AS DOUBLE) AS pred FROM fx4 WHERE is_train),
 rng AS (SELECT min(y) AS lo, max(y) AS hi FROM k),
 r AS (SELECT y, CAST(least(greatest(round_even(pred, 0), lo), hi) AS INTEGER) AS a FROM k, rng)""")
 
@@ -248,7 +248,7 @@ def b2_strong_blend(spark, sf):
     return w.select("id", r6(BL.strong_blend(["m3", "m7", "weak"]), "strong"))
 
 
-OFFS_SQL = with_(FX4, """k AS (SELECT id, response AS y, p_size * 0.16 + ((id % 5) - 2) * 0.3 AS pred, is_train FROM fx4),
+OFFS_SQL = with_(FX4, """k AS (SELECT id, response AS y, CAST(p_size AS DOUBLE) * CAST(0.16 AS DOUBLE) + ((id % 5) - 2) * CAST(0.3 AS DOUBLE) AS pred, is_train FROM fx4),
 qq AS (SELECT quantile_cont(pred, [0.10, 0.21, 0.23, 0.25, 0.35, 0.54, 0.68]) AS v FROM k WHERE NOT is_train),
 off AS (SELECT cls, CAST(c AS DOUBLE) AS c, i FROM (VALUES (0, 1.5, 1), (1, 2.5, 2), (2, 3.5, 3), (3, 4.5, 4), (5, 5.5, 5), (6, 6.5, 6), (7, 7.5, 7)) t(cls, c, i))""")
 
