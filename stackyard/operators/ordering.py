@@ -1,48 +1,84 @@
 """Order-dependent building blocks that stay distributed.
 
 A window with an ``ORDER BY`` but no ``PARTITION BY`` runs in a single task.
-The helpers here range-partition on the ordering keys instead, number rows
-inside each range partition, and add per-partition offsets computed from a
-table with one row per (partition, group): its size is bounded by
-``shuffle partitions x groups`` and it is broadcast.
+The helpers here cut the ordering key into ranges, number or accumulate
+rows inside each range (a window partitioned by the range), and add
+per-range offsets from a table with one row per (range, group): its size is
+bounded by ``ranges x groups`` and it is broadcast.
+
+Range boundaries come from a fixed-seed sample, collected once (at most
+``64 x ranges`` keys) and then used as literals. The range of a row is
+therefore a pure function of its key: every re-evaluation (a second branch
+of the same plan, a retried task after a lost executor, the next fold
+iteration) assigns the same range, so counts and offsets always agree.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stackyard.session import shuffle_partitions
 
-_MID, _PID = "__mid", "__pid"
+_RID = "__rid"
+SAMPLE_PER_RANGE = 64
 
 
 def _order_exprs(order_cols):
     return [F.col(c) if isinstance(c, str) else c for c in order_cols]
 
 
+def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None) -> DataFrame:
+    """Add ``__rid``: the range of ``first`` (nulls → -1, sorted first)."""
+    spark = df.sparkSession
+    n_ranges = n_ranges or shuffle_partitions(spark)
+    t = df.withColumn("__k0", first)
+    total = t.count()
+    frac = min(1.0, SAMPLE_PER_RANGE * n_ranges / max(total, 1))
+    sample = sorted(r[0] for r in t.select("__k0").where(F.col("__k0").isNotNull())
+                    .sample(fraction=frac, seed=17).collect())
+    bounds = sorted({sample[(len(sample) * i) // n_ranges] for i in range(1, n_ranges)}) if sample else []
+    if not bounds:
+        return t.withColumn(_RID, F.when(F.col("__k0").isNull(), -1).otherwise(0)).drop("__k0")
+    dtype = t.schema["__k0"].dataType
+    if isinstance(dtype, T.NumericType) and not isinstance(dtype, T.DecimalType):
+        # binary search in the JVM; bucket i holds (b[i-1], b[i]]
+        fb = sorted({float(b) for b in bounds})
+        splits = [float("-inf")] + [x for x in fb] + [float("inf")]
+        t = t.withColumn("__k0d", F.col("__k0").cast("double"))
+        bz = Bucketizer(splits=splits, inputCol="__k0d", outputCol="__b", handleInvalid="keep")
+        t = bz.transform(t)
+        # Bucketizer puts x == split into the upper bucket; either way it is a
+        # monotone function of the key, which is all the numbering needs.
+        rid = F.when(F.col("__k0").isNull(), F.lit(-1)).otherwise(F.col("__b").cast("int"))
+        return t.withColumn(_RID, rid).drop("__k0", "__k0d", "__b")
+    rid = F.lit(0)
+    for i, b in enumerate(bounds):
+        rid = F.when(F.col("__k0") > F.lit(b), F.lit(i + 1)).otherwise(rid)
+    rid = F.when(F.col("__k0").isNull(), F.lit(-1)).otherwise(rid)
+    return t.withColumn(_RID, rid).drop("__k0")
+
+
 def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
               name: str = "row_idx") -> DataFrame:
     """0-based position of each row in ``order_cols`` order (within ``by``).
 
     ``order_cols`` must be a total order (end with a key). ``by`` must be a
-    low-cardinality grouping (classes, folds); it is not a hot-group risk
-    because groups are split across range partitions.
+    low-cardinality grouping (classes, folds): each class is split across
+    the key ranges, so a class holding most rows is still spread out.
     """
     by = list(by or [])
-    keys = [*(F.col(b) for b in by), *_order_exprs(order_cols)]
-    n = shuffle_partitions(df.sparkSession)
-    t = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-           .withColumn(_MID, F.monotonically_increasing_id())
-           .withColumn(_PID, F.shiftright(F.col(_MID), 33)))
-    counts = t.groupBy(_PID, *by).agg(F.count(F.lit(1)).alias("__n"),
-                                      F.min(_MID).alias("__start"))
-    w = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(_PID, *by, "__start",
-                         F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    out = t.join(F.broadcast(offs), [_PID, *by])
-    return out.select(*df.columns,
-                      (F.col(_MID) - F.col("__start") + F.col("__off")).alias(name))
+    keys = _order_exprs(order_cols)
+    t = _with_range_id(df, keys[0])
+    w = Window.partitionBy(_RID, *by).orderBy(*keys)
+    local = t.withColumn("__local", F.row_number().over(w) - 1)
+    counts = t.groupBy(_RID, *by).agg(F.count(F.lit(1)).alias("__n"))
+    wo = Window.partitionBy(*by).orderBy(_RID).rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(_RID, *by, F.coalesce(F.sum("__n").over(wo), F.lit(0)).alias("__off"))
+    out = local.join(F.broadcast(offs), [_RID, *by])
+    return out.select(*df.columns, (F.col("__local") + F.col("__off")).cast("long").alias(name))
 
 
 def cumulative_before(df: DataFrame, order_col: str, weight_col: str,
@@ -51,33 +87,32 @@ def cumulative_before(df: DataFrame, order_col: str, weight_col: str,
     ``order_col`` order (within ``by``). ``order_col`` must be unique within
     ``by`` (apply it to a distinct/aggregated table)."""
     by = list(by or [])
-    n = shuffle_partitions(df.sparkSession)
-    t = (df.repartitionByRange(n, *by, order_col)
-           .withColumn(_PID, F.spark_partition_id()))
-    wl = (Window.partitionBy(_PID, *by).orderBy(order_col)
+    t = _with_range_id(df, F.col(order_col))
+    wl = (Window.partitionBy(_RID, *by).orderBy(order_col)
           .rowsBetween(Window.unboundedPreceding, -1))
-    t = t.withColumn("__local", F.coalesce(F.sum(weight_col).over(wl), F.lit(0)))
-    tot = t.groupBy(_PID, *by).agg(F.sum(weight_col).alias("__tot"))
-    wo = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(_PID, *by, F.coalesce(F.sum("__tot").over(wo), F.lit(0)).alias("__off"))
-    out = t.join(F.broadcast(offs), [_PID, *by])
+    local = t.withColumn("__local", F.coalesce(F.sum(weight_col).over(wl), F.lit(0)))
+    tot = t.groupBy(_RID, *by).agg(F.sum(weight_col).alias("__tot"))
+    wo = Window.partitionBy(*by).orderBy(_RID).rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(_RID, *by, F.coalesce(F.sum("__tot").over(wo), F.lit(0)).alias("__off"))
+    out = local.join(F.broadcast(offs), [_RID, *by])
     return out.select(*df.columns, (F.col("__local") + F.col("__off")).alias(name))
 
 
 def with_previous(df: DataFrame, order_col: str, by: list[str] | None = None,
                   name: str = "prev") -> DataFrame:
     """Previous value of ``order_col`` in sorted order within ``by``
-    (``lag`` over an ordered window), computed per range partition with the
-    boundary value carried from the preceding partition, so one hot group
-    never lands in a single task."""
+    (``lag`` over an ordered window), computed per key range with the
+    boundary value carried from the preceding range, so one hot group never
+    lands in a single task."""
     by = list(by or [])
-    n = shuffle_partitions(df.sparkSession)
-    t = (df.repartitionByRange(n, *by, order_col)
-           .withColumn(_PID, F.spark_partition_id()))
-    w = Window.partitionBy(_PID, *by).orderBy(order_col)
-    t = t.withColumn("__lag", F.lag(order_col).over(w))
-    last = t.groupBy(_PID, *by).agg(F.max(order_col).alias("__last"))
-    wb = Window.partitionBy(*by).orderBy(_PID)
-    carry = last.select(_PID, *by, F.lag("__last").over(wb).alias("__carry"))
-    out = t.join(F.broadcast(carry), [_PID, *by])
+    t = _with_range_id(df, F.col(order_col))
+    w = Window.partitionBy(_RID, *by).orderBy(order_col)
+    local = t.withColumn("__lag", F.lag(order_col).over(w))
+    last = t.groupBy(_RID, *by).agg(F.max(order_col).alias("__last"))
+    wb = Window.partitionBy(*by).orderBy(_RID)
+    carry = last.select(_RID, *by, F.lag("__last").over(wb).alias("__carry"))
+    out = local.join(F.broadcast(carry), [_RID, *by])
     return out.select(*df.columns, F.coalesce(F.col("__lag"), F.col("__carry")).alias(name))
+
+
+__all__ = ["row_index", "cumulative_before", "with_previous"]
