@@ -21,6 +21,18 @@ from stackyard.operators.models import assemble, class_probabilities, estimator,
 from stackyard.session import cut_lineage
 
 
+FIT_THREADS = 4  # independent fits submitted as concurrent Spark jobs
+
+
+def fit_parallel(jobs, params: dict):
+    """Fit independent models concurrently (one Spark job stream each, like
+    ``CrossValidator(parallelism=...)``); results keep the job order."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=FIT_THREADS) as pool:
+        futs = [pool.submit(lambda j: estimator(j[0], j[1], **params).fit(j[2]), j) for j in jobs]
+        return [f.result() for f in futs]
+
+
 def _prepare(df: DataFrame, features: list[str]) -> DataFrame:
     return cut_lineage(assemble(df, features)).persist()
 
@@ -38,8 +50,11 @@ def oof_predict(train: DataFrame, test: DataFrame | None, features: list[str], l
         tr = _prepare(train, features)
         te = _prepare(test, features) if test is not None else None
     parts, test_parts = [], []
+    fitted = fit_parallel([(kind, label, tr.where(F.col(fold_col) != k)) for k in range(folds)]
+                          + ([(kind, label, tr)] if te is not None and test_mode != "mean" else []),
+                          params)
     for k in range(folds):
-        model = estimator(kind, label, **params).fit(tr.where(F.col(fold_col) != k))
+        model = fitted[k]
         parts.append(predict(model, tr.where(F.col(fold_col) == k), name, regression).select(key, name))
         if te is not None and test_mode == "mean":
             test_parts.append(predict(model, te, name, regression).select(key, name))
@@ -53,8 +68,7 @@ def oof_predict(train: DataFrame, test: DataFrame | None, features: list[str], l
                 long = long.unionByName(p)
             out = out.unionByName(long.groupBy(key).agg(F.avg(name).alias(name)))
         else:
-            model = estimator(kind, label, **params).fit(tr)
-            out = out.unionByName(predict(model, te, name, regression).select(key, name))
+            out = out.unionByName(predict(fitted[folds], te, name, regression).select(key, name))
     return out
 
 

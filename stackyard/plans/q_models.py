@@ -148,7 +148,7 @@ def t11_random_search(spark, sf):
 def k1_oof_bumps(spark, sf):
     d = ordinal_features(spark, sf)
     train = FO.stratified_kfold(d.where("is_train"), "response", 4)
-    return ST.oof_bumps(train, d.where("NOT is_train"), ORD_FEATS, "response", 8, "logistic", 4, max_iter=20)
+    return ST.oof_bumps(train, d.where("NOT is_train"), ORD_FEATS, "response", 8, "tree", 4, max_depth=4)
 
 
 @q("k2_oof_multiclass")
