@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from stackyard.operators.encode import distinct_counts
 from stackyard.operators.ordering import cumulative_before
-from stackyard.operators.joins import attach, measured
 
 PAIR_BATCH = 200
 
@@ -95,23 +94,39 @@ def average_rank(df: DataFrame, col: str, name: str) -> DataFrame:
     the rank table is joined back on the value."""
     vals = df.groupBy(F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     cum = cumulative_before(vals, "__v", "__c", name="__b")
-    table, n = measured(cum.select(F.col("__v").alias(col),
-                                   (F.col("__b") + (F.col("__c") + 1) / 2.0).alias(name)))
-    return attach(df, table, col, "inner", n)
+    table = cum.select(F.col("__v").alias(col), (F.col("__b") + (F.col("__c") + 1) / 2.0).alias(name))
+    # one row per distinct value: as large as the data for continuous
+    # columns, so no broadcast hint (AQE picks the strategy at runtime)
+    return df.join(table, col, "inner")
 
 
 def spearman(df: DataFrame, pairs: list[tuple[str, str]], key: str = "id") -> DataFrame:
     """Rank match = Pearson of average ranks over rows where both
-    columns are present (ranks recomputed on that subset, per pair)."""
-    out = None
-    for a, b in pairs:
-        sub = df.select(key, a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
-        ra = average_rank(sub, a, "__ra")
-        rb = average_rank(ra, b, "__rb")
-        part = rb.agg(F.corr("__ra", "__rb").alias("rho")).select(
-            F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), "rho")
-        out = part if out is None else out.unionByName(part)
-    return out
+    columns are present (ranks recomputed on that subset, per pair).
+
+    All pairs are ranked together: rows are unpivoted to
+    ``(pair, side, key, value)``, distinct values per (pair, side) get
+    cumulative counts in one range-partitioned pass, ranks are joined back
+    and pivoted to one row per (pair, key) before ``corr``."""
+    parts = []
+    for i, (a, b) in enumerate(pairs):
+        sub = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+        for side, c in ((0, a), (1, b)):
+            parts.append(sub.select(F.lit(i).alias("__pair"), F.lit(side).alias("__side"), F.col(key),
+                                    F.col(c).cast("double").alias("__v")))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    vals = long.groupBy("__pair", "__side", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    cum = cumulative_before(vals, "__v", "__c", by=["__pair", "__side"], name="__b")
+    ranks = cum.select("__pair", "__side", "__v", (F.col("__b") + (F.col("__c") + 1) / 2.0).alias("__rk"))
+    r = long.join(ranks, ["__pair", "__side", "__v"])
+    wide = r.groupBy("__pair", key).agg(F.max(F.when(F.col("__side") == 0, F.col("__rk"))).alias("ra"),
+                                        F.max(F.when(F.col("__side") == 1, F.col("__rk"))).alias("rb"))
+    res = wide.groupBy("__pair").agg(F.corr("ra", "rb").alias("rho"))
+    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
+                                            "__pair int, col_a string, col_b string")
+    return res.join(F.broadcast(names), "__pair").select("col_a", "col_b", "rho")
 
 
 def high_correlations(df: DataFrame, cols: list[str], threshold: float = 0.9) -> DataFrame:

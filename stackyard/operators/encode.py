@@ -243,10 +243,39 @@ def fit_target_stats(df: DataFrame, col: str, target: str = "target", side: str
 
 
 def target_stats_encode(df: DataFrame, col: str, target: str = "target", side: str = "is_train",
-                        min_support: int = 50) -> DataFrame:
-    """Orphans and missing become categories, then target statistics."""
-    prep = orphan_and_missing(df, col, side)
-    return fit_target_stats(prep, col, target, side, min_support).transform(prep)
+                        min_support: int = 50, orphan: str = "Orphans", missing: str = "Missing",
+                        key: str = "id") -> DataFrame:
+    """E15 in one scan: values seen on one side only become ``orphan``,
+    null becomes ``missing``, then train mean and sample std of the target
+    per resulting category, kept with at least ``min_support`` train rows.
+
+    One aggregate per raw value collects side flags and train sums
+    (``n, Σy, Σy²``, combined map-side, so a hot value is cheap); relabelling
+    and re-aggregation run on that per-value table, which is measured and
+    joined back (broadcast when small)."""
+    y = F.col(target).cast("double")
+    tr = F.col(side)
+    per = df.groupBy(col).agg(
+        F.max(tr.cast("int")).alias("__tr"), F.min(tr.cast("int")).alias("__te"),
+        F.count_if(tr).alias("__n"), F.sum(F.when(tr, y)).alias("__s1"),
+        F.sum(F.when(tr, y * y)).alias("__s2"))
+    label = (F.when(F.col(col).isNull(), F.lit(missing))
+              .when((F.col("__tr") == 1) & (F.col("__te") == 0), F.col(col).cast("string"))
+              .otherwise(F.lit(orphan)))
+    per = per.withColumn("__lab", label)
+    grp = per.groupBy("__lab").agg(F.sum("__n").alias("n"), F.sum("__s1").alias("s1"),
+                                   F.sum("__s2").alias("s2"))
+    mean = F.col("s1") / F.col("n")
+    var = F.try_divide(F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"), F.col("n") - 1)
+    grp = grp.where(F.col("n") >= min_support).select(
+        "__lab", mean.alias(f"{col}_avg"),
+        F.when(F.col("n") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"{col}_std"))
+    mapping = per.select(col, "__lab").join(grp, "__lab", "left").drop("__lab")
+    table, n = measured(mapping.withColumnRenamed(col, "__key"))
+    # null-safe equality: the null category joins like any other value
+    j = attach(df, table, F.col(col).eqNullSafe(F.col("__key")), "left", n)
+    keep = [c for c in df.columns if c != col]
+    return j.select(*keep, f"{col}_avg", f"{col}_std")
 
 
 def orphan_and_missing(df: DataFrame, col: str, side: str = "is_train",

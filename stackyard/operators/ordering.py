@@ -6,8 +6,9 @@ rows inside each range (a window partitioned by the range), and add
 per-range offsets from a table with one row per (range, group): its size is
 bounded by ``ranges x groups`` and it is broadcast.
 
-Range boundaries come from a fixed-seed sample, collected once (at most
-``64 x ranges`` keys) and then used as literals. The range of a row is
+Range boundaries are approximate quantiles of the first ordering key (one
+aggregate job; a fixed-seed sample of at most ``64 x ranges`` keys for
+non-numeric keys), collected once and then used as literals. The range of a row is
 therefore a pure function of its key: every re-evaluation (a second branch
 of the same plan, a retried task after a lost executor, the next fold
 iteration) assigns the same range, so counts and offsets always agree.
@@ -35,15 +36,21 @@ def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None) ->
     spark = df.sparkSession
     n_ranges = n_ranges or shuffle_partitions(spark)
     t = df.withColumn("__k0", first)
-    total = t.count()
-    frac = min(1.0, SAMPLE_PER_RANGE * n_ranges / max(total, 1))
-    sample = sorted(r[0] for r in t.select("__k0").where(F.col("__k0").isNotNull())
-                    .sample(fraction=frac, seed=17).collect())
-    bounds = sorted({sample[(len(sample) * i) // n_ranges] for i in range(1, n_ranges)}) if sample else []
+    dtype = t.schema["__k0"].dataType
+    if isinstance(dtype, T.NumericType):
+        # one aggregate job: approximate quantiles as split points
+        qs = [i / n_ranges for i in range(1, n_ranges)]
+        got = t.agg(F.percentile_approx(F.col("__k0").cast("double"), qs, 10000).alias("b")).first()["b"]
+        bounds = sorted(set(got or []))
+    else:
+        total = t.count()
+        frac = min(1.0, SAMPLE_PER_RANGE * n_ranges / max(total, 1))
+        sample = sorted(r[0] for r in t.select("__k0").where(F.col("__k0").isNotNull())
+                        .sample(fraction=frac, seed=17).collect())
+        bounds = sorted({sample[(len(sample) * i) // n_ranges] for i in range(1, n_ranges)}) if sample else []
     if not bounds:
         return t.withColumn(_RID, F.when(F.col("__k0").isNull(), -1).otherwise(0)).drop("__k0")
-    dtype = t.schema["__k0"].dataType
-    if isinstance(dtype, T.NumericType) and not isinstance(dtype, T.DecimalType):
+    if isinstance(dtype, T.NumericType):
         # binary search in the JVM; bucket i holds (b[i-1], b[i]]
         fb = sorted({float(b) for b in bounds})
         splits = [float("-inf")] + [x for x in fb] + [float("inf")]
