@@ -468,3 +468,29 @@ def s11_gather_predictions(spark, sf):
     long = fx.prediction_sets(spark, sf)
     wide = SK.pivot_predictions(long, ["m3", "m7", "m11", "m13", "m17"])
     return wide.select("id", *[r6(c) for c in ("m3", "m7", "m11", "m13", "m17")])
+
+
+@q("s7_feature_table", with_(FX1, """a AS (SELECT o_orderpriority v, row_number() OVER (ORDER BY min(id)) - 1 AS code
+  FROM fx1 WHERE o_orderpriority IS NOT NULL GROUP BY 1),
+b AS (SELECT c_mktsegment v, row_number() OVER (ORDER BY min(id)) - 1 AS code
+  FROM fx1 WHERE c_mktsegment IS NOT NULL GROUP BY 1)""") + """
+SELECT f.id, coalesce(f.target, -1) AS target,
+  CAST(f.o_totalprice IS NULL AS INTEGER) + CAST(f.c_acctbal IS NULL AS INTEGER) + CAST(f.o_orderpriority IS NULL AS INTEGER)
+    + CAST(f.c_mktsegment IS NULL AS INTEGER) + CAST(f.c_nationkey IS NULL AS INTEGER) AS "nNAN",
+  round(coalesce(pow(f.o_totalprice, 0.125), -9999), 6) AS o_totalprice,
+  CAST(coalesce(a.code, -1) AS BIGINT) AS o_orderpriority, CAST(coalesce(b.code, -1) AS BIGINT) AS c_mktsegment,
+  f.c_nationkey
+FROM fx1 f LEFT JOIN a ON f.o_orderpriority = a.v LEFT JOIN b ON f.c_mktsegment = b.v""")
+def s7_feature_table(spark, sf):
+    """The materialised feature table of the preprocessing stage (the frame
+    ``sinks.materialise`` writes): null count, codes, power, fill, drop."""
+    cols = ["o_totalprice", "c_acctbal", "o_orderpriority", "c_mktsegment", "c_nationkey"]
+    d = fx.claims(spark, sf)
+    d = d.select("*", E.null_count_row(cols).alias("nNAN"))
+    for c in ("o_orderpriority", "c_mktsegment"):
+        d = E.fit_first_seen(d, c, missing_code=-1).transform(d)
+    d = d.withColumn("o_totalprice", SF.power("o_totalprice"))
+    d = C.drop_columns(d, ["c_acctbal", "is_train"])
+    d = E.fill_constant(d, -9999, ["o_totalprice"]).fillna(-1, subset=["target"])
+    return d.select("id", "target", "nNAN", r6("o_totalprice"), F.col("o_orderpriority").cast("bigint"),
+                    F.col("c_mktsegment").cast("bigint"), "c_nationkey")

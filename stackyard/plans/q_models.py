@@ -294,3 +294,46 @@ def s6_cv_log_row(spark, sf):
                   F.avg("cv_loss").alias("cv_mean"), F.stddev_pop("cv_loss").alias("cv_std"),
                   F.avg("train_loss").alias("train_mean"), F.stddev_pop("train_loss").alias("train_std"),
                   F.lit(train.count()).alias("rows"))
+
+
+@q("x4_pipeline_protocol")
+def x4_pipeline_protocol(spark, sf):
+    """Estimator / Model protocol: a Spark ML Pipeline fit then transform."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    train, test = split_claims(spark, sf)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=FEATS, outputCol="features"),
+                            MO.estimator("tree", "label", max_depth=4)])
+    model = pipe.fit(train)
+    return MO.positive_probability(model.transform(test)).select("id", "pred")
+
+
+@q("x6_evaluator_cross_validator")
+def x6_evaluator_cross_validator(spark, sf):
+    """Scorer callback: a log-loss Evaluator inside CrossValidator with the
+    stratified fold column (foldCol) and parallel fits."""
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    train, _ = split_claims(spark, sf, folds=3)
+    est = MO.estimator("tree", "label")
+    grid = ParamGridBuilder().addGrid(est.maxDepth, [2, 4]).build()
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=MO.LogLossEvaluator("label"),
+                        foldCol="fold", parallelism=2)
+    m = cv.fit(MO.assemble(train, FEATS))
+    return spark.createDataFrame([(2, float(m.avgMetrics[0])), (4, float(m.avgMetrics[1]))],
+                                 "max_depth int, cv_logloss double")
+
+
+@q("x7_fold_feature_hook")
+def x7_fold_feature_hook(spark, sf):
+    """Per-fold feature hook: the logit feature is refit inside each fold
+    before the fold's model is fit and scored."""
+    train, _ = split_claims(spark, sf, folds=3)
+
+    def hook(fit_part, valid):
+        feat_fit = ST.logit_feature(fit_part, fit_part, DUM, "label")
+        feat_val = ST.logit_feature(fit_part, valid, DUM, "label")
+        fp = MO.assemble(fit_part.join(feat_fit, "id"), FEATS + ["logit_feat"])
+        vp = MO.assemble(valid.join(feat_val, "id"), FEATS + ["logit_feat"])
+        return fp, vp
+
+    return MO.cv_score(train, "tree", 3, "label", fold_features=hook, max_depth=4).drop("seconds")
