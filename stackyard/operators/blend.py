@@ -36,6 +36,36 @@ def strong_blend(cols: list[str], hi: float = 0.97, lo: float = 0.5, floor: floa
     return F.when(avg < floor, mn).otherwise(e2)
 
 
+def weak_blend_df(df: DataFrame, cols: list[str], name: str = "weak", top_k: int = 8, bottom_k: int = 2,
+                  hi: float = 0.95, lo: float = 0.5, floor: float = 0.15) -> DataFrame:
+    """B1 as staged projections: the sorted row and its mean are computed
+    once and referenced by the later steps (Catalyst does not collapse a
+    projection whose non-trivial result is used more than once, so the
+    rule never re-evaluates the sort)."""
+    s = df.select("*", RW.row_sorted(cols).alias("__s"), RW.row_mean(cols).alias("__avg"))
+    top = F.slice(F.reverse(F.col("__s")), 1, top_k)
+    bot = F.slice(F.col("__s"), 1, bottom_k)
+    mean = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y) / F.size(a)
+    s = s.select("*", F.when(F.col("__avg") > hi, mean(top)).otherwise(F.col("__avg")).alias("__e1"))
+    s = s.select("*", F.when(F.col("__e1") < lo, mean(bot)).otherwise(F.col("__e1")).alias("__e2"))
+    out = F.when(F.col("__avg") < floor, F.element_at(F.col("__s"), 1)).otherwise(F.col("__e2"))
+    return s.select(*df.columns, out.alias(name))
+
+
+def strong_blend_df(df: DataFrame, cols: list[str], name: str = "strong", hi: float = 0.97,
+                    lo: float = 0.5, floor: float = 0.15) -> DataFrame:
+    """B2 (three sets) as staged projections, see ``weak_blend_df``."""
+    s = df.select("*", RW.row_sorted(cols).alias("__s"), RW.row_mean(cols).alias("__avg"))
+    s = s.select("*", F.element_at("__s", 1).alias("__mn"), F.element_at("__s", 2).alias("__md"),
+                 F.element_at("__s", -1).alias("__mx"))
+    s = s.select("*", F.when(F.col("__avg") > hi, 0.4 * F.col("__md") + 0.6 * F.col("__mx"))
+                 .otherwise(F.col("__avg")).alias("__e1"))
+    s = s.select("*", F.when(F.col("__e1") < lo, 0.6 * F.col("__mn") + 0.4 * F.col("__md"))
+                 .otherwise(F.col("__e1")).alias("__e2"))
+    out = F.when(F.col("__avg") < floor, F.col("__mn")).otherwise(F.col("__e2"))
+    return s.select(*df.columns, out.alias(name))
+
+
 def side_by_side(df: DataFrame, cols: list[str]) -> DataFrame:
     """Avg, min, max and spread of the model columns."""
     return df.select("*", RW.row_mean(cols).alias("avg"), RW.row_min(cols).alias("min"),

@@ -84,7 +84,8 @@ class Codes:
 
     def transform(self, df: DataFrame, out: str | None = None) -> DataFrame:
         out = out or self.col
-        j = attach(df, self.table.withColumnRenamed("code", "__code"), self.col, "left", self.n)
+        rows = "__rows" if "__rows" in self.table.columns else None
+        j = attach(df, self.table.withColumnRenamed("code", "__code"), self.col, "left", self.n, rows)
         code = F.col("__code")
         if self.missing_code is not None:
             code = F.coalesce(code, F.lit(self.missing_code))
@@ -101,16 +102,16 @@ def fit_first_seen(df: DataFrame, col: str, order_col: str = "id", where: Column
     then numbered with a range-partitioned index (no single-task window)."""
     src = df if where is None else df.where(where)
     firsts = (src.where(F.col(col).isNotNull())
-                 .groupBy(col).agg(F.min(order_col).alias("__first")))
-    idx = row_index(firsts, ["__first"], name="__k")
-    table, n = measured(idx.select(col, (F.col("__k") * step + start).alias("code")))
+                 .groupBy(col).agg(F.min(order_col).alias("__first"), F.count(F.lit(1)).alias("__rows")))
+    idx = row_index(firsts, ["__first"], name="__k", cache_input=True)
+    table, n = measured(idx.select(col, (F.col("__k") * step + start).alias("code"), "__rows"))
     return Codes(col, table, n, missing_code)
 
 
 def fit_sorted_codes(df: DataFrame, col: str, missing_code: int | None = None) -> Codes:
     """Label encoding in sorted value order (0-based), fit on all rows."""
-    vals = df.where(F.col(col).isNotNull()).select(col).distinct()
-    idx = row_index(vals, [col], name="code")
+    vals = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__rows"))
+    idx = row_index(vals, [col], name="code", cache_input=True)
     table, n = measured(idx)
     return Codes(col, table, n, missing_code)
 
@@ -210,8 +211,9 @@ def frequency_bucket(df: DataFrame, col: str, side: str = "is_train", missing: s
                      unseen_count: int = 1) -> DataFrame:
     """Null → ``missing``; value → ``C<train count>``; unseen → C1."""
     filled = df.withColumn(col, F.coalesce(F.col(col), F.lit(missing)))
-    counts, n = measured(filled.where(F.col(side)).groupBy(col).agg(F.count(F.lit(1)).alias("__cnt")))
-    j = attach(filled, counts, col, "left", n)
+    counts, n = measured(filled.where(F.col(side)).groupBy(col).agg(F.count(F.lit(1)).alias("__cnt"))
+                         .withColumn("__rows", F.col("__cnt")))
+    j = attach(filled, counts, col, "left", n, "__rows")
     code = F.format_string("C%d", F.coalesce(F.col("__cnt"), F.lit(unseen_count)))
     return j.select(*[code.alias(c) if c == col else F.col(c) for c in df.columns])
 
@@ -256,6 +258,7 @@ def target_stats_encode(df: DataFrame, col: str, target: str = "target", side: s
     y = F.col(target).cast("double")
     tr = F.col(side)
     per = df.groupBy(col).agg(
+        F.count(F.lit(1)).alias("__rows"),
         F.max(tr.cast("int")).alias("__tr"), F.min(tr.cast("int")).alias("__te"),
         F.count_if(tr).alias("__n"), F.sum(F.when(tr, y)).alias("__s1"),
         F.sum(F.when(tr, y * y)).alias("__s2"))
@@ -270,12 +273,16 @@ def target_stats_encode(df: DataFrame, col: str, target: str = "target", side: s
     grp = grp.where(F.col("n") >= min_support).select(
         "__lab", mean.alias(f"{col}_avg"),
         F.when(F.col("n") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"{col}_std"))
-    mapping = per.select(col, "__lab").join(grp, "__lab", "left").drop("__lab")
-    table, n = measured(mapping.withColumnRenamed(col, "__key"))
-    # null-safe equality: the null category joins like any other value
-    j = attach(df, table, F.col(col).eqNullSafe(F.col("__key")), "left", n)
+    mapping = per.select(col, "__rows", "__lab").join(grp, "__lab", "left").drop("__lab")
+    table, n = measured(mapping)
+    # the null category has at most one row: its statistics become literals
+    nul = table.where(F.col(col).isNull()).select(f"{col}_avg", f"{col}_std").first()
+    na, ns = (nul[0], nul[1]) if nul is not None else (None, None)
+    j = attach(df, table.where(F.col(col).isNotNull()), col, "left", n, "__rows")
+    avg = F.when(F.col(col).isNull(), F.lit(na).cast("double")).otherwise(F.col(f"{col}_avg"))
+    std = F.when(F.col(col).isNull(), F.lit(ns).cast("double")).otherwise(F.col(f"{col}_std"))
     keep = [c for c in df.columns if c != col]
-    return j.select(*keep, f"{col}_avg", f"{col}_std")
+    return j.select(*keep, avg.alias(f"{col}_avg"), std.alias(f"{col}_std"))
 
 
 def orphan_and_missing(df: DataFrame, col: str, side: str = "is_train",
@@ -294,8 +301,8 @@ def target_weight(df: DataFrame, col: str, target: str = "target", side: str = "
            .agg(F.sum(target).alias("__s"), F.count(F.lit(1)).alias("__c")))
     w = (F.when(F.col("__s") > F.col("__c") - F.col("__s"), 0.5 + 0.5 * F.col("__s") / F.col("__c"))
           .otherwise(0.5 + 0.5 * (F.col("__s") - F.col("__c")) / F.col("__c")))
-    table, n = measured(g.select(col, w.alias("__w")))
-    j = attach(df, table, col, "left", n)
+    table, n = measured(g.select(col, w.alias("__w"), F.col("__c").alias("__rows")))
+    j = attach(df, table, col, "left", n, "__rows")
     return j.select(*df.columns, F.coalesce(F.col("__w"), F.lit(unseen)).alias(out or f"{col}weight"))
 
 

@@ -20,11 +20,30 @@ def broadcast_limit(spark) -> int:
 
 
 def attach(df: DataFrame, stats: DataFrame, on, how: str = "left",
-           n_rows: int | None = None) -> DataFrame:
-    """Join ``stats`` onto ``df``; broadcast only with a measured bound."""
-    if n_rows is not None and n_rows <= broadcast_limit(df.sparkSession):
-        stats = F.broadcast(stats)
-    return df.join(stats, on, how)
+           n_rows: int | None = None, rows_col: str | None = None) -> DataFrame:
+    """Join ``stats`` onto ``df``; broadcast only with a measured bound.
+
+    Beyond the bound, when ``stats`` carries ``rows_col`` (rows of ``df``
+    per key, known from the fit), hot keys are split off: keys holding at
+    least ``1/(4·partitions)`` of the rows — at most ``4·partitions`` of
+    them, a proven bound — are joined by broadcast, the remaining keys by a
+    shuffle join, so no hot key lands in one shuffle partition."""
+    spark = df.sparkSession
+    drop = [rows_col] if rows_col and rows_col in stats.columns else []
+    if n_rows is not None and n_rows <= broadcast_limit(spark):
+        return df.join(F.broadcast(stats.drop(*drop)), on, how)
+    if not drop or not isinstance(on, (str, list)):
+        return df.join(stats.drop(*drop), on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    total = stats.agg(F.sum(rows_col)).first()[0] or 0
+    cut = max(1, total // (4 * parts))
+    hot = stats.where(F.col(rows_col) >= cut).drop(rows_col)
+    cold = stats.where(F.col(rows_col) < cut).drop(rows_col)
+    hot_keys = F.broadcast(hot.select(*keys))
+    hot_rows = df.join(F.broadcast(hot), keys, "inner")
+    rest = df.join(hot_keys, keys, "left_anti").join(cold, keys, how)
+    return hot_rows.unionByName(rest)
 
 
 def measured(stats: DataFrame) -> tuple[DataFrame, int]:

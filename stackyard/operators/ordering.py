@@ -69,7 +69,7 @@ def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None) ->
 
 
 def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
-              name: str = "row_idx") -> DataFrame:
+              name: str = "row_idx", cache_input: bool = False) -> DataFrame:
     """0-based position of each row in ``order_cols`` order (within ``by``).
 
     ``order_cols`` must be a total order (end with a key). ``by`` must be a
@@ -78,6 +78,8 @@ def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
     """
     by = list(by or [])
     keys = _order_exprs(order_cols)
+    if cache_input:  # an aggregated input is read twice (split points, numbering)
+        df = df.persist()
     t = _with_range_id(df, keys[0])
     w = Window.partitionBy(_RID, *by).orderBy(*keys)
     local = t.withColumn("__local", F.row_number().over(w) - 1)
@@ -89,11 +91,14 @@ def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
 
 
 def cumulative_before(df: DataFrame, order_col: str, weight_col: str,
-                      by: list[str] | None = None, name: str = "cum_before") -> DataFrame:
+                      by: list[str] | None = None, name: str = "cum_before",
+                      cache_input: bool = True) -> DataFrame:
     """Sum of ``weight_col`` over rows strictly before each row in
     ``order_col`` order (within ``by``). ``order_col`` must be unique within
     ``by`` (apply it to a distinct/aggregated table)."""
     by = list(by or [])
+    if cache_input:  # the input is an aggregate (distinct values with counts)
+        df = df.persist()
     t = _with_range_id(df, F.col(order_col))
     wl = (Window.partitionBy(_RID, *by).orderBy(order_col)
           .rowsBetween(Window.unboundedPreceding, -1))
@@ -106,12 +111,14 @@ def cumulative_before(df: DataFrame, order_col: str, weight_col: str,
 
 
 def with_previous(df: DataFrame, order_col: str, by: list[str] | None = None,
-                  name: str = "prev") -> DataFrame:
+                  name: str = "prev", cache_input: bool = True) -> DataFrame:
     """Previous value of ``order_col`` in sorted order within ``by``
     (``lag`` over an ordered window), computed per key range with the
     boundary value carried from the preceding range, so one hot group never
     lands in a single task."""
     by = list(by or [])
+    if cache_input:  # the input is a distinct set
+        df = df.persist()
     t = _with_range_id(df, F.col(order_col))
     w = Window.partitionBy(_RID, *by).orderBy(order_col)
     local = t.withColumn("__lag", F.lag(order_col).over(w))

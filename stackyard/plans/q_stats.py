@@ -234,7 +234,7 @@ weak AS (SELECT id, CASE WHEN avg < 0.15 THEN s[1] ELSE e2 END AS weak FROM w2)"
 @q("b1_weak_blend", with_(FX8, _weak_sql()) + "SELECT id, round(weak, 6) AS weak FROM weak")
 def b1_weak_blend(spark, sf):
     d = fx.predictions(spark, sf)
-    return d.select("id", r6(BL.weak_blend(MODELS, top_k=4, bottom_k=2), "weak"))
+    return BL.weak_blend_df(d, MODELS, "weak", top_k=4, bottom_k=2).select("id", r6("weak"))
 
 
 @q("b2_strong_blend", with_(FX8, _weak_sql(), """s AS (SELECT f.id, list_sort([f.m3, f.m7, w.weak]) AS s,
@@ -244,8 +244,8 @@ s2 AS (SELECT id, avg, s, CASE WHEN e1 < 0.5 THEN 0.6 * s[1] + 0.4 * s[2] ELSE e
 SELECT id, round(CASE WHEN avg < 0.15 THEN s[1] ELSE e2 END, 6) AS strong FROM s2""")
 def b2_strong_blend(spark, sf):
     d = fx.predictions(spark, sf)
-    w = d.select("id", "m3", "m7", BL.weak_blend(MODELS, top_k=4, bottom_k=2).alias("weak"))
-    return w.select("id", r6(BL.strong_blend(["m3", "m7", "weak"]), "strong"))
+    w = BL.weak_blend_df(d, MODELS, "weak", top_k=4, bottom_k=2).select("id", "m3", "m7", "weak")
+    return BL.strong_blend_df(w, ["m3", "m7", "weak"], "strong").select("id", r6("strong"))
 
 
 OFFS_SQL = with_(FX4, """k AS (SELECT id, response AS y, CAST(p_size AS DOUBLE) * CAST(0.16 AS DOUBLE) + ((id % 5) - 2) * CAST(0.3 AS DOUBLE) AS pred, is_train FROM fx4),

@@ -141,3 +141,34 @@ def test_apply_offsets_class_beyond_list(spark):
     d = spark.createDataFrame([(0.4,), (3.2,), (8.0,)], "pred double")
     out = [r["label"] for r in BL.apply_offsets(d, [1.0] * 8, "pred").collect()]
     assert out == [1, 4, 8]
+
+
+def test_hot_key_split_join_matches_broadcast(spark):
+    """Above the broadcast bound, hot keys are joined by broadcast and the
+    rest by a shuffle join; the result must equal the plain join."""
+    from stackyard.operators.joins import attach
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 50}") for i in range(600)] + [(1000, None)]
+    d = spark.createDataFrame(rows, "id long, k string")
+    stats = d.groupBy("k").agg(F.count(F.lit(1)).alias("__rows"), F.avg("id").alias("m"))
+    stats = stats.where(F.col("k").isNotNull())
+    want = sorted(tuple(r) for r in d.join(stats.drop("__rows"), "k", "left").select("id", "m").collect())
+    old = spark.conf.get("stackyard.broadcast.maxRows", "2000000")
+    spark.conf.set("stackyard.broadcast.maxRows", "1")
+    try:
+        got_df = attach(d, stats, "k", "left", n_rows=51, rows_col="__rows")
+        got = sorted(tuple(r) for r in got_df.select("id", "m").collect())
+    finally:
+        spark.conf.set("stackyard.broadcast.maxRows", old)
+    assert got == want
+
+
+def test_target_stats_above_broadcast_bound(spark):
+    from stackyard.sources import fixtures as fx
+    d = fx.high_card(spark, "/root/testdata/sf0.001")
+    want = sorted(tuple(r) for r in E.target_stats_encode(d, "cust", min_support=2).collect())
+    spark.conf.set("stackyard.broadcast.maxRows", "1")
+    try:
+        got = sorted(tuple(r) for r in E.target_stats_encode(d, "cust", min_support=2).collect())
+    finally:
+        spark.conf.set("stackyard.broadcast.maxRows", "2000000")
+    assert got == want
