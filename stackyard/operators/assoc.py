@@ -58,8 +58,8 @@ def contingency_match(df: DataFrame, a: str, b: str) -> DataFrame:
     rows = ct.groupBy(a).agg(F.max("n").alias("mx"), F.sum("n").alias("sm"))
     cols = ct.groupBy(b).agg(F.max("n").alias("mx"), F.sum("n").alias("sm"))
     rm = rows.agg(F.exp(F.sum(F.log((F.col("mx") + 1) / (F.col("sm") + 1)))).alias("row_match"))
-    cm = cols.agg(F.exp(F.sum(F.log((F.col("mx") + 1) / (F.col("sm") + 1)))).alias("col_match"))
-    return rm.crossJoin(cm)
+    cm = cols.agg(F.exp(F.sum(F.log((F.col("mx") + 1) / (F.col("sm") + 1)))).alias("col_match")).first()[0]
+    return rm.select("row_match", F.lit(cm).cast("double").alias("col_match"))
 
 
 def onehot_match(df: DataFrame, a: str, b: str, threshold: float = 0.9) -> DataFrame:

@@ -8,6 +8,7 @@ count was checked against the encoder's limit.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -317,26 +318,26 @@ def bernoulli_nb_encode(df: DataFrame, col: str, target: str = "target", side: s
     Null is the string ``'nan'`` (the column is cast to string first)."""
     s = df.withColumn("__v", F.coalesce(F.col(col).cast("string"), F.lit("nan")))
     tr = s.where(F.col(side))
-    ny = tr.groupBy().agg(F.count(F.lit(1)).alias("n"),
-                          F.sum(F.col(target)).alias("n1"))
+    # class totals and the per-class constant are scalar aggregates
+    ny = tr.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(target)).alias("n1")).first()
+    n_all, n1 = float(ny["n"]), float(ny["n1"] or 0)
     nv = tr.groupBy("__v").agg(F.sum(F.col(target)).alias("c1"),
-                               F.sum(1 - F.col(target)).alias("c0"))
-    th = nv.crossJoin(F.broadcast(ny)).select(
-        "__v",
-        ((F.col("c0") + alpha) / (F.col("n") - F.col("n1") + 2 * alpha)).alias("t0"),
-        ((F.col("c1") + alpha) / (F.col("n1") + 2 * alpha)).alias("t1"),
-        (F.col("n") - F.col("n1")).alias("n0c"), F.col("n1").alias("n1c"), F.col("n").alias("nn"))
-    consts = th.groupBy().agg(
-        (F.log(F.first("n0c") / F.first("nn")) + F.sum(F.log(1 - F.col("t0")))).alias("k0"),
-        (F.log(F.first("n1c") / F.first("nn")) + F.sum(F.log(1 - F.col("t1")))).alias("k1"))
-    per_val = th.crossJoin(F.broadcast(consts)).select(
-        "__v",
-        (F.col("k0") + F.log(F.col("t0")) - F.log(1 - F.col("t0"))).alias("l0"),
-        (F.col("k1") + F.log(F.col("t1")) - F.log(1 - F.col("t1"))).alias("l1"))
+                               F.sum(1 - F.col(target)).alias("c0"),
+                               F.count(F.lit(1)).alias("__rows"))
+    th = nv.select("__v", "__rows",
+                   ((F.col("c0") + alpha) / (n_all - n1 + 2 * alpha)).alias("t0"),
+                   ((F.col("c1") + alpha) / (n1 + 2 * alpha)).alias("t1")).persist()
+    sums = th.agg(F.sum(F.log(1 - F.col("t0"))).alias("s0"), F.sum(F.log(1 - F.col("t1"))).alias("s1")).first()
+    k0 = math.log((n_all - n1) / n_all) + sums["s0"]
+    k1 = math.log(n1 / n_all) + sums["s1"]
+    per_val = th.select(
+        "__v", "__rows",
+        (F.lit(k0) + F.log(F.col("t0")) - F.log(1 - F.col("t0"))).alias("l0"),
+        (F.lit(k1) + F.log(F.col("t1")) - F.log(1 - F.col("t1"))).alias("l1"))
     table, n = measured(per_val)
-    j = attach(s, table, "__v", "left", n).crossJoin(F.broadcast(consts))
-    l0 = F.coalesce(F.col("l0"), F.col("k0"))
-    l1 = F.coalesce(F.col("l1"), F.col("k1"))
+    j = attach(s, table, "__v", "left", n, "__rows")
+    l0 = F.coalesce(F.col("l0"), F.lit(k0))
+    l1 = F.coalesce(F.col("l1"), F.lit(k1))
     p1 = 1.0 / (1.0 + F.exp(l0 - l1))
     return j.select(*[p1.alias(out or col) if c == col else F.col(c) for c in df.columns])
 

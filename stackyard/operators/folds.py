@@ -45,10 +45,9 @@ def hash_kfold(df: DataFrame, k: int, seed: int, key: str = "id", name: str = "f
 
 def positional_holdout(df: DataFrame, frac: float, order: str = "id", name: str = "is_fit") -> DataFrame:
     """The first ``floor(frac·n)`` rows in key order are the fit side."""
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
+    n = df.count()  # scalar, like a scalar subquery
     idx = row_index(df, [order], name="__pos")
-    j = idx.crossJoin(F.broadcast(n))
-    return j.select(*df.columns, (F.col("__pos") < F.floor(F.col("__n") * frac)).alias(name))
+    return idx.select(*df.columns, (F.col("__pos") < int(n * frac)).alias(name))
 
 
 def random_split(df: DataFrame, frac: float, seed: int, key: str = "id", name: str = "is_fit") -> DataFrame:

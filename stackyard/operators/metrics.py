@@ -8,7 +8,7 @@ cancels. So kappa is one pass of five sums, partially aggregated per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EPS = 1e-15
@@ -44,9 +44,9 @@ def kappa(df: DataFrame, y: str, pred: str, by: list[str] | None = None,
     label range first (range from the data)."""
     src = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull())
     if round_pred:
-        rng = src.agg(F.min(y).alias("__lo"), F.max(y).alias("__hi"))
-        src = src.crossJoin(F.broadcast(rng)).withColumn(
-            "__a", F.least(F.greatest(F.bround(F.col(pred), 0), F.col("__lo")), F.col("__hi")))
+        rng = src.agg(F.min(y).alias("lo"), F.max(y).alias("hi")).first()  # scalar aggregate
+        src = src.withColumn(
+            "__a", F.least(F.greatest(F.bround(F.col(pred), 0), F.lit(rng["lo"])), F.lit(rng["hi"])))
     else:
         src = src.withColumn("__a", F.col(pred).cast("double"))
     a, b = F.col("__a").cast("double"), F.col(y).cast("double")
@@ -62,6 +62,7 @@ def kappa(df: DataFrame, y: str, pred: str, by: list[str] | None = None,
 def balanced_weights(df: DataFrame, y: str, name: str = "weight") -> DataFrame:
     """``n / (k · n_y)`` per row (sklearn's 'balanced')."""
     counts = df.where(F.col(y).isNotNull()).groupBy(y).agg(F.count(F.lit(1)).alias("__ny"))
-    tot = counts.agg(F.sum("__ny").alias("__n"), F.count(F.lit(1)).alias("__k"))
-    w = counts.crossJoin(tot).select(y, (F.col("__n") / (F.col("__k") * F.col("__ny"))).alias(name))
+    everything = Window.partitionBy()  # over the per-class table (k rows)
+    w = counts.select(y, (F.sum("__ny").over(everything)
+                          / (F.count(F.lit(1)).over(everything) * F.col("__ny"))).alias(name))
     return df.join(F.broadcast(w), y, "left")  # one row per class

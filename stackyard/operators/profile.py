@@ -8,6 +8,8 @@ is de-duplicated map-side (distinct counts, value counts, modes).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,16 +84,17 @@ def describe_categorical(df: DataFrame, cols: list[str]) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """A10: equal-width bins between min and max (the last bin includes
     the maximum); ``(bin, lo, hi, n)`` for every bin, empty ones included."""
-    mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    b = F.least(F.floor(F.try_divide(F.col(col) - F.col("lo"), width)), F.lit(bins - 1))
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(b).cast("int")
-    counted = (df.where(F.col(col).isNotNull()).crossJoin(F.broadcast(mm))
+    mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()  # scalar aggregate
+    lo, hi = F.lit(mm["lo"]).cast("double"), F.lit(mm["hi"]).cast("double")
+    width = (hi - lo) / bins
+    b = F.least(F.floor(F.try_divide(F.col(col) - lo, width)), F.lit(bins - 1))
+    b = F.when(hi == lo, F.lit(0)).otherwise(b).cast("int")
+    counted = (df.where(F.col(col).isNotNull())
                  .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
-    grid = mm.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "hi")
-    return (grid.join(counted, "bin", "left")
-                .select("bin", (F.col("lo") + F.col("bin") * width).alias("lo"),
-                        (F.col("lo") + (F.col("bin") + 1) * width).alias("hi"),
+    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return (grid.join(F.broadcast(counted), "bin", "left")  # at most `bins` rows
+                .select("bin", (lo + F.col("bin") * width).alias("lo"),
+                        (lo + (F.col("bin") + 1) * width).alias("hi"),
                         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
@@ -103,16 +106,14 @@ def percentiles(df: DataFrame, col: str, qs: list[float]) -> DataFrame:
     vals = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(
         F.count(F.lit(1)).alias("cnt"))
     cum = cumulative_before(vals, "v", "cnt", name="before")
-    n = vals.agg(F.sum("cnt").alias("n"))
+    n = vals.agg(F.sum("cnt")).first()[0] or 0  # scalar aggregate
     spark = df.sparkSession
-    qdf = spark.createDataFrame([(float(q),) for q in qs], "q double")
-    ranks = qdf.crossJoin(n).select(
-        "q", (F.col("q") * (F.col("n") - 1)).alias("h"))
-    ranks = ranks.select("q", "h", F.floor("h").alias("i_lo"), F.ceil("h").alias("i_hi"))
-    pos = ranks.select("q", "h", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.col("i_lo").alias("i")),
-        F.struct(F.lit("hi").alias("side"), F.col("i_hi").alias("i")))).alias("p")).select(
-        "q", "h", "p.side", "p.i")
+    # the wanted order statistics: at most 2 per quantile, built on the driver
+    pos_rows = []
+    for q in qs:
+        h = float(q) * (n - 1)
+        pos_rows += [(float(q), h, "lo", math.floor(h)), (float(q), h, "hi", math.ceil(h))]
+    pos = spark.createDataFrame(pos_rows, "q double, h double, side string, i long")
     hit = cum.join(F.broadcast(pos), (F.col("i") >= F.col("before")) &
                    (F.col("i") < F.col("before") + F.col("cnt")))
     piv = hit.groupBy("q", "h").agg(
@@ -130,7 +131,7 @@ def class_balance(df: DataFrame, target: str = "target") -> DataFrame:
 
 
 def global_min_max(df: DataFrame, col: str) -> DataFrame:
-    """One-row min/max, joined back by a (one-row) cross join."""
+    """One-row min/max (used as scalars, like a scalar subquery)."""
     return df.agg(F.min(col).alias(f"{col}_min"), F.max(col).alias(f"{col}_max"))
 
 

@@ -144,8 +144,8 @@ def f10_slot_scale(spark, sf):
 SELECT id, round((m3 - lo) / (hi - lo), 6) AS m3 FROM fx8, mm""")
 def f11_stretch(spark, sf):
     d = fx.predictions(spark, sf)
-    mm = d.agg(F.min("m3").alias("lo"), F.max("m3").alias("hi"))
-    return d.crossJoin(F.broadcast(mm)).select("id", r6(SF.stretch("m3", "lo", "hi"), "m3"))
+    mm = d.agg(F.min("m3").alias("lo"), F.max("m3").alias("hi")).first()  # scalar aggregate
+    return d.select("id", r6(SF.stretch("m3", F.lit(mm["lo"]), F.lit(mm["hi"])), "m3"))
 
 
 @q("f12_clip", with_(FX8) + """
@@ -457,9 +457,9 @@ SELECT id, round(m3, 6) AS pred, 'm3' AS run_id, round(loss, 6) AS score FROM fx
 def s10_score_stamped(spark, sf):
     from stackyard.operators.metrics import log_loss
     p = fx.predictions(spark, sf)
-    loss = log_loss(p, "target", "m3")
-    out = p.where("target IS NULL").select("id", F.col("m3").alias("pred")).crossJoin(loss)
-    return out.select("id", r6("pred"), F.lit("m3").alias("run_id"), r6("logloss", "score"))
+    loss = log_loss(p, "target", "m3").first()[0]  # scalar aggregate
+    out = p.where("target IS NULL").select("id", F.col("m3").alias("pred"))
+    return out.select("id", r6("pred"), F.lit("m3").alias("run_id"), r6(F.lit(loss), "score"))
 
 
 @q("s11_gather_predictions", with_(FX8) + """

@@ -154,11 +154,9 @@ def a25_class_balance(spark, sf):
 SELECT id, round((o_totalprice - lo) / (hi - lo), 6) AS o_totalprice_scaled FROM fx1, mm""")
 def a26_global_min_max(spark, sf):
     d = fx.claims(spark, sf)
-    mm = PR.global_min_max(d, "o_totalprice")
-    j = d.crossJoin(F.broadcast(mm))  # one row
-    return j.select("id", r6(F.try_divide(F.col("o_totalprice") - F.col("o_totalprice_min"),
-                                          F.col("o_totalprice_max") - F.col("o_totalprice_min")),
-                             "o_totalprice_scaled"))
+    mm = PR.global_min_max(d, "o_totalprice").first()  # scalar aggregate
+    lo, hi = F.lit(mm["o_totalprice_min"]), F.lit(mm["o_totalprice_max"])
+    return d.select("id", r6(F.try_divide(F.col("o_totalprice") - lo, hi - lo), "o_totalprice_scaled"))
 
 
 PAIRS1 = [(a, b) for i, a in enumerate(ALL1) for b in ALL1[i + 1:]]
