@@ -151,17 +151,38 @@ def onehot_drop_last(df: DataFrame, col: str, max_values: int = 1000, sep: str =
 
 def to_onehot(df: DataFrame, cols: list[str], max_values: int = 500, sep: str = "__") -> DataFrame:
     """Columns with 2 < distinct (null counted) <= ``max_values`` become
-    dummies, with a ``nan`` column only when nulls occur; others pass."""
+    dummies, with a ``nan`` column only when nulls occur; others pass.
+    Two jobs for all columns: distinct counts, then the value lists of the
+    qualifying columns (bounded by ``max_values`` each)."""
     counts = distinct_counts(df, cols)
+    chosen = [c for c in cols if 2 < counts[c] <= max_values]
+    if not chosen:
+        return df
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"),
+                 F.col(c).isNull().alias("isnull")) for c in chosen])).alias("kv")).select("kv.*")
+    rows = long.distinct().collect()  # <= len(chosen) * max_values rows
+    types = dict(df.dtypes)
     out = df
-    for c in cols:
-        if 2 < counts[c] <= max_values:
-            vals = bounded_values(df, c, max_values)
-            has_null = df.where(F.col(c).isNull()).limit(1).count() > 0
-            out = replace_cols(out, c, dummies(c, vals, sep, null_col=has_null))
+    for c in chosen:
+        present = [r for r in rows if r["name"] == c]
+        vals = sorted({r["value"] for r in present if not r["isnull"]},
+                      key=(lambda v: float(v)) if types[c] not in ("string",) else (lambda v: v))
+        vals = [type_cast(v, types[c]) for v in vals]
+        has_null = any(r["isnull"] for r in present)
+        out = replace_cols(out, c, dummies(c, vals, sep, null_col=has_null))
     return out
 
 
+def type_cast(v: str, dtype: str):
+    """A value collected as text back to the column's Python type."""
+    if dtype in ("int", "bigint", "smallint", "tinyint"):
+        return int(v)
+    if dtype in ("double", "float"):
+        return float(v)
+    return v
+
+
 def onehot_if_same_max(df: DataFrame, col: str, side: str = "is_train", max_limit: int = 1000,
                        check_width: bool = True, sep: str = "_") -> DataFrame:
     """One-hot (last dummy dropped) when the train maximum equals the
@@ -417,16 +438,19 @@ def route_encode(df: DataFrame, cols: list[str], max_categories: int = 20,
     from pyspark.sql import types as T
     counts = distinct_counts(df, cols)
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    scaled_cols = [c for c in cols if counts[c] >= max_categories and c in numeric]
+    ranges = df.agg(*[F.min(c).alias(f"lo__{c}") for c in scaled_cols],
+                    *[F.max(c).alias(f"hi__{c}") for c in scaled_cols]).first() if scaled_cols else {}
     out = df
     for c in cols:
         if counts[c] < max_categories:
             vals = bounded_values(df, c, max_categories)
             out = replace_cols(out, c, dummies(c, vals, "_", null_col=True))
         elif c in numeric:
-            st = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
-            m = int(st["lo"]) - 2
+            lo, hi = ranges[f"lo__{c}"], ranges[f"hi__{c}"]
+            m = int(lo) - 2
             x = F.coalesce(F.col(c).cast("double"), F.lit(float(m)))
-            scaled = F.try_divide(x - F.lit(m), F.lit(float(st["hi"]) - m))
+            scaled = F.try_divide(x - F.lit(m), F.lit(float(hi) - m))
             out = replace_cols(out, c, [scaled.alias(c),
                                         (x == F.lit(float(m))).cast("int").alias(f"{c}_na")])
         else:

@@ -200,7 +200,8 @@ class LinearGroups:
         return np.linalg.lstsq(A, b[idx], rcond=None)[0]
 
     def fit(self, df: DataFrame, cols: list[str], label: str) -> "LinearGroups":
-        d = df.fillna(0.0, subset=cols)
+        # the projected numeric matrix is scanned once per greedy step: keep it
+        d = cut_lineage(df.select(label, *cols).fillna(0.0, subset=cols)).persist()
         m = len(cols)
         aggs = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"g{i}_{j}")
                 for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
@@ -245,6 +246,7 @@ class LinearGroups:
         self.groups = [[cols[i] for i in g] for g in groups]
         self.coefs = [self._solve(G, b, g) for g in groups]
         self.cols = cols
+        d.unpersist()
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
