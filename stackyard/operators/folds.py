@@ -26,10 +26,9 @@ def stratified_kfold(df: DataFrame, y: str, k: int, order: Column | str = "id",
     """Per class, contiguous blocks in ``order`` (no shuffle)."""
     o = F.col(order) if isinstance(order, str) else order
     t = df.withColumn("__o", o)
-    idx = row_index(t, ["__o", "id"] if "id" in df.columns else ["__o"], by=[y], name="__pos")
-    counts = df.groupBy(y).agg(F.count(F.lit(1)).alias("__n"))
-    j = idx.join(F.broadcast(counts), y)  # one row per class
-    return j.select(*df.columns, _tile(F.col("__pos"), F.col("__n"), k).alias(name))
+    idx = row_index(t, ["__o", "id"] if "id" in df.columns else ["__o"], by=[y], name="__pos",
+                    total_name="__n")
+    return idx.select(*df.columns, _tile(F.col("__pos"), F.col("__n"), k).alias(name))
 
 
 def shuffled_stratified_kfold(df: DataFrame, y: str, k: int, seed: int, key: str = "id",
@@ -45,9 +44,8 @@ def hash_kfold(df: DataFrame, k: int, seed: int, key: str = "id", name: str = "f
 
 def positional_holdout(df: DataFrame, frac: float, order: str = "id", name: str = "is_fit") -> DataFrame:
     """The first ``floor(frac·n)`` rows in key order are the fit side."""
-    n = df.count()  # scalar, like a scalar subquery
-    idx = row_index(df, [order], name="__pos")
-    return idx.select(*df.columns, (F.col("__pos") < int(n * frac)).alias(name))
+    idx = row_index(df, [order], name="__pos", total_name="__n")
+    return idx.select(*df.columns, (F.col("__pos") < F.floor(F.col("__n") * frac)).alias(name))
 
 
 def random_split(df: DataFrame, frac: float, seed: int, key: str = "id", name: str = "is_fit") -> DataFrame:
@@ -60,10 +58,8 @@ def stratified_split(df: DataFrame, y: str, frac: float, seed: int, key: str = "
                      name: str = "is_fit") -> DataFrame:
     """V2: per class, the first ``floor(frac·n_y)`` rows in hash order."""
     t = df.withColumn("__h", F.xxhash64(F.col(key), F.lit(seed)))
-    idx = row_index(t, ["__h", key], by=[y], name="__pos")
-    counts = df.groupBy(y).agg(F.count(F.lit(1)).alias("__n"))
-    j = idx.join(F.broadcast(counts), y)
-    return j.select(*df.columns, (F.col("__pos") < F.floor(F.col("__n") * frac)).alias(name))
+    idx = row_index(t, ["__h", key], by=[y], name="__pos", total_name="__n")
+    return idx.select(*df.columns, (F.col("__pos") < F.floor(F.col("__n") * frac)).alias(name))
 
 
 def ordinal_labels(y: str, n_class: int, prefix: str = "label_") -> list[Column]:

@@ -69,7 +69,8 @@ def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None) ->
 
 
 def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
-              name: str = "row_idx", cache_input: bool = False) -> DataFrame:
+              name: str = "row_idx", cache_input: bool = False,
+              total_name: str | None = None) -> DataFrame:
     """0-based position of each row in ``order_cols`` order (within ``by``).
 
     ``order_cols`` must be a total order (end with a key). ``by`` must be a
@@ -85,9 +86,11 @@ def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
     local = t.withColumn("__local", F.row_number().over(w) - 1)
     counts = t.groupBy(_RID, *by).agg(F.count(F.lit(1)).alias("__n"))
     wo = Window.partitionBy(*by).orderBy(_RID).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(_RID, *by, F.coalesce(F.sum("__n").over(wo), F.lit(0)).alias("__off"))
+    offs = counts.select(_RID, *by, F.coalesce(F.sum("__n").over(wo), F.lit(0)).alias("__off"),
+                         F.sum("__n").over(Window.partitionBy(*by)).alias("__tot"))
     out = local.join(F.broadcast(offs), [_RID, *by])
-    return out.select(*df.columns, (F.col("__local") + F.col("__off")).cast("long").alias(name))
+    extra = [F.col("__tot").alias(total_name)] if total_name else []
+    return out.select(*df.columns, (F.col("__local") + F.col("__off")).cast("long").alias(name), *extra)
 
 
 def cumulative_before(df: DataFrame, order_col: str, weight_col: str,
