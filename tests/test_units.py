@@ -172,3 +172,79 @@ def test_target_stats_above_broadcast_bound(spark):
     finally:
         spark.conf.set("stackyard.broadcast.maxRows", "2000000")
     assert got == want
+
+
+def _kappa_np(a, b):
+    import numpy as np
+    a, b = np.asarray(a, float), np.asarray(b, float)
+    n = len(a)
+    e = (n * ((a * a).sum() + (b * b).sum()) - 2 * a.sum() * b.sum()) / n
+    return 1.0 if e == 0 else 1 - ((a - b) ** 2).sum() / e
+
+
+def test_offset_tuning_matches_brute_force(spark):
+    """B5 against a plain numpy re-implementation of the same grid search."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    y = rng.integers(1, 9, 300)
+    pred = np.clip(y + rng.normal(0, 1.2, 300), 0.2, 8.9)
+    d = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, pred)], "y int, pred double")
+    start = [0.3, -0.2, 0.1, 0.0, 0.0, -0.1, 0.2, 0.0]
+    got = BL.tune_offsets(d, start, "y", "pred", span=0.5, steps=5)
+    cur = list(start)
+    cls = pred.astype(int)
+    for j in range(len(cur)):
+        best = None
+        for i in range(-5, 6):
+            cand = cur[j] + i * (0.5 / 5)
+            off = np.array([cur[c] if c < len(cur) else 0.0 for c in range(10)])
+            off[j] = cand
+            shifted = pred + np.where(cls < len(cur), off[np.minimum(cls, 9)], 0.0)
+            r = np.clip(np.round(shifted), y.min(), y.max())  # numpy rounds half to even
+            k = _kappa_np(r, y)
+            key = (-k, abs(cand - cur[j]), cand)
+            if best is None or key < best[0]:
+                best = (key, cand)
+        cur[j] = best[1]
+    assert got == pytest.approx(cur)
+
+
+def test_linear_groups_match_brute_force(spark):
+    """L4 greedy groups against numpy least squares on the raw matrix."""
+    import random
+
+    import numpy as np
+
+    from stackyard.operators.stack import LinearGroups
+    rng = np.random.default_rng(11)
+    n, m = 400, 6
+    X = rng.uniform(0, 1, (n, m))
+    y = (X[:, 0] * 0.6 + X[:, 3] * 0.3 + rng.normal(0, 0.1, n) > 0.45).astype(float)
+    cols = [f"x{i}" for i in range(m)]
+    d = spark.createDataFrame([(float(yy), *map(float, row)) for yy, row in zip(y, X)],
+                              "label double, " + ", ".join(f"{c} double" for c in cols))
+    g = LinearGroups(n=2, max_elts=3, seed=5).fit(d, cols, "label")
+
+    def ll(p):
+        p = np.clip(p, 1e-15, 1 - 1e-15)
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    order = list(range(m))
+    random.Random(5).shuffle(order)
+    groups = [[i] for i in order[:2]]
+    last = [1e15, 1e15]
+    for e in order[2:]:
+        scores = []
+        for gi, grp in enumerate(groups):
+            if len(grp) < 3:
+                idx = grp + [e]
+                w = np.linalg.lstsq(X[:, idx], y, rcond=None)[0]
+                scores.append(ll(X[:, idx] @ w))
+            else:
+                scores.append(last[gi])
+        gains = [a - b for a, b in zip(last, scores)]
+        best = int(np.argmax(gains))
+        if gains[best] > 0:
+            last[best] = scores[best]
+            groups[best].append(e)
+    assert g.groups == [[cols[i] for i in grp] for grp in groups]
