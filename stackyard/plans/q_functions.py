@@ -118,7 +118,7 @@ def w1_scale_unit(spark, sf):
 
 
 @q("f9_rescale_units", "WITH " + UNIT_SQL + """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate,
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
   round(CASE WHEN round_even(l_discount, 5) = 0 THEN 0.0 ELSE l_discount END * (1.0 / (SELECT unit FROM units WHERE name = 'l_discount')), 6) AS l_discount,
   round(CASE WHEN round_even(l_tax, 5) = 0 THEN 0.0 ELSE l_tax END * (1.0 / (SELECT unit FROM units WHERE name = 'l_tax')), 6) AS l_tax,
   round(CASE WHEN round_even(l_quantity, 5) = 0 THEN 0.0 ELSE l_quantity END * (1.0 / (SELECT unit FROM units WHERE name = 'l_quantity')), 6) AS l_quantity
@@ -126,7 +126,7 @@ FROM lineitem""")
 def f9_rescale_units(spark, sf):
     d = fx.scaled(spark, sf)
     cols = ["l_discount", "l_tax", "l_quantity"]
-    out = SC.rescale_by_units(d, SC.scale_units(d, cols))
+    out = SC.rescale_by_units(d, SC.scale_units(d, cols)).drop("l_shipdate")
     return out.select(*[r6(c) if c in cols else F.col(c) for c in out.columns])
 
 

@@ -93,7 +93,7 @@ def a7_column_profile(spark, sf):
 
 
 @q("a8_null_count", with_(FX1) + _union_sql(ALL1, """
-SELECT '{c}' AS name, count_if({c} IS NULL) AS n_null FROM fx1"""))
+SELECT '{c}' AS name, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM fx1"""))
 def a8_null_count(spark, sf):
     return PR.null_counts(fx.claims(spark, sf), ALL1)
 
@@ -163,14 +163,14 @@ PAIRS1 = [(a, b) for i, a in enumerate(ALL1) for b in ALL1[i + 1:]]
 
 
 @q("a28_null_pattern_pairs", with_(FX1) + " UNION ALL ".join(
-    f"SELECT '{a}' AS col_a, '{b}' AS col_b, count_if(({a} IS NULL) <> ({b} IS NULL)) AS n_diff FROM fx1"
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, CAST(count_if(({a} IS NULL) <> ({b} IS NULL)) AS BIGINT) AS n_diff FROM fx1"
     for a, b in PAIRS1))
 def a28_null_pattern_pairs(spark, sf):
     return PR.null_pattern_pairs(fx.claims(spark, sf), ALL1)
 
 
 @q("j5_column_pairs", with_(FX1) + " UNION ALL ".join(
-    f"SELECT '{a}' AS col_a, '{b}' AS col_b, count_if({a} IS NULL AND {b} IS NULL) AS n_both_null FROM fx1"
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, CAST(count_if({a} IS NULL AND {b} IS NULL) AS BIGINT) AS n_both_null FROM fx1"
     for a, b in PAIRS1))
 def j5_column_pairs(spark, sf):
     """All column pairs by unpivot + self-join on the row key."""
@@ -242,7 +242,7 @@ BANDS = [("g3", 0.12, 1.01), ("g2", 0.085, 0.12), ("g1", 0.065, 0.085), ("g4", -
 
 
 @q("p18_null_bands", with_(FX1) + _union_sql(ALL1, """
-SELECT '{c}' AS name, count_if({c} IS NULL) AS n_null,
+SELECT '{c}' AS name, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null,
   CASE WHEN count_if({c} IS NULL) / count(*) > 0.12 AND count_if({c} IS NULL) / count(*) < 1.01 THEN 'g3'
        WHEN count_if({c} IS NULL) / count(*) > 0.085 AND count_if({c} IS NULL) / count(*) < 0.12 THEN 'g2'
        WHEN count_if({c} IS NULL) / count(*) > 0.065 AND count_if({c} IS NULL) / count(*) < 0.085 THEN 'g1'

@@ -322,7 +322,7 @@ def k10_side_by_side(spark, sf):
 
 
 @q("a19_disagreement_counts", with_(FX8) + """
-SELECT CAST(i AS INTEGER) AS step, count_if(greatest(m3, m7, m11) - least(m3, m7, m11) > i / 10) AS n
+SELECT CAST(i AS INTEGER) AS step, CAST(count_if(greatest(m3, m7, m11) - least(m3, m7, m11) > i / 10) AS BIGINT) AS n
 FROM fx8, range(0, 10) t(i) GROUP BY i""")
 def a19_disagreement_counts(spark, sf):
     d = BL.side_by_side(fx.predictions(spark, sf).select("id", "m3", "m7", "m11"), ["m3", "m7", "m11"])
