@@ -125,3 +125,14 @@ def log1p(x) -> Column:
 def geometric_blend(cols: list[str], weights: list[float]) -> Column:
     """``Π p_i ** w_i``."""
     return reduce(lambda x, y: x * y, [F.pow(F.col(c), F.lit(w)) for c, w in zip(cols, weights)])
+
+
+# Knuth's multiplicative hashing constant and the 2^32 range.
+KNUTH_MULTIPLIER = 2654435761
+HASH_RANGE = 4294967296
+
+
+def seeded_shuffle_key(key, seed: int) -> Column:
+    """Reproducible shuffle order ``(key · 2654435761 + seed) mod 2^32``
+    (exact in 64-bit arithmetic for keys below 3.4e9)."""
+    return F.pmod(_c(key).cast("long") * KNUTH_MULTIPLIER + seed, F.lit(HASH_RANGE))

@@ -89,9 +89,12 @@ def slice_columns(df: DataFrame, start: int | None = None, stop: int | None = No
     return df.select(*df.columns[start:stop])
 
 
-def with_row_number(df: DataFrame, order_col: str = "id", name: str = "row") -> DataFrame:
-    """Explicit 0-based row number in key order (distributed)."""
-    return row_index(df, [order_col], name=name)
+def with_row_number(df: DataFrame, order_col: str = "id", name: str = "row",
+                    tie_col: str = "id") -> DataFrame:
+    """Explicit 0-based row number in ``order_col`` order, ties broken
+    by ``tie_col`` (distributed, no single-task window)."""
+    order = [order_col] if order_col == tie_col or tie_col not in df.columns else [order_col, tie_col]
+    return row_index(df, order, name=name)
 
 
 def union_train_test(train: DataFrame, test: DataFrame) -> DataFrame:

@@ -368,11 +368,15 @@ def o5_row_sort(spark, sf):
     return d.select("id", r6(F.element_at(s, 1), "lowest"), r6(F.element_at(s, 5), "highest"))
 
 
-@q("o6_shuffle_key")
+@q("o6_shuffle_key", with_(FX1) + """
+SELECT id, (id * 2654435761 + 2017) % 4294967296 AS shuffle_key,
+       row_number() OVER (ORDER BY (id * 2654435761 + 2017) % 4294967296, id) - 1 AS shuffled_pos FROM fx1""")
 def o6_shuffle_key(spark, sf):
-    """Seeded reproducible row shuffle: order by a keyed hash."""
+    """Seeded reproducible row shuffle: a multiplicative hash of the key
+    (same result in any engine), positions by the distributed row index."""
     d = fx.claims(spark, sf).select("id")
-    return d.withColumn("shuffle_key", F.xxhash64("id", F.lit(2017))).orderBy("shuffle_key")
+    d = d.withColumn("shuffle_key", SF.seeded_shuffle_key("id", 2017))
+    return C.with_row_number(d, "shuffle_key", "shuffled_pos").select("id", "shuffle_key", "shuffled_pos")
 
 
 # ------------------------------------------------------------ joins

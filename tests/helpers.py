@@ -15,7 +15,18 @@ def rows_of(df):
     return [tuple(norm(x) for x in r) for r in df.collect()]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT"}
+
+
+def same_types(spark_df, con, sql):
+    duck = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    bad = [(c, t, duck.get(c)) for c, t in spark_df.dtypes if SPARK_TO_DUCK.get(t, t) != duck.get(c)]
+    assert not bad, bad
+
+
 def same_rows(spark_df, con, sql):
+    same_types(spark_df, con, sql)
     rel = con.execute(sql)
     dcols = [d[0] for d in rel.description]
     drows = [tuple(norm(x) for x in r) for r in rel.fetchall()]
