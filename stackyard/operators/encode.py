@@ -296,10 +296,13 @@ def target_stats_encode(df: DataFrame, col: str, target: str = "target", side: s
         "__lab", mean.alias(f"{col}_avg"),
         F.when(F.col("n") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"{col}_std"))
     mapping = per.select(col, "__rows", "__lab").join(grp, "__lab", "left").drop("__lab")
-    table, n = measured(mapping)
-    # the null category has at most one row: its statistics become literals
-    nul = table.where(F.col(col).isNull()).select(f"{col}_avg", f"{col}_std").first()
-    na, ns = (nul[0], nul[1]) if nul is not None else (None, None)
+    table = mapping.persist()
+    # one job measures the table and reads the null category's statistics
+    # (at most one row), which become literals
+    m = table.agg(F.count(F.lit(1)).alias("n"),
+                  F.max(F.when(F.col(col).isNull(), F.col(f"{col}_avg"))).alias("na"),
+                  F.max(F.when(F.col(col).isNull(), F.col(f"{col}_std"))).alias("ns")).first()
+    n, na, ns = m["n"], m["na"], m["ns"]
     j = attach(df, table.where(F.col(col).isNotNull()), col, "left", n, "__rows")
     avg = F.when(F.col(col).isNull(), F.lit(na).cast("double")).otherwise(F.col(f"{col}_avg"))
     std = F.when(F.col(col).isNull(), F.lit(ns).cast("double")).otherwise(F.col(f"{col}_std"))

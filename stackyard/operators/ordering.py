@@ -31,13 +31,22 @@ def _order_exprs(order_cols):
     return [F.col(c) if isinstance(c, str) else c for c in order_cols]
 
 
-def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None) -> DataFrame:
+def range_bounds(col: Column, n_ranges: int) -> Column:
+    """Aggregate expression for the split points of ``n_ranges`` ranges of
+    a numeric key (can ride along in another aggregate job)."""
+    return F.percentile_approx(col.cast("double"), [i / n_ranges for i in range(1, n_ranges)], 10000)
+
+
+def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None,
+                   bounds: list | None = None) -> DataFrame:
     """Add ``__rid``: the range of ``first`` (nulls → -1, sorted first)."""
     spark = df.sparkSession
     n_ranges = n_ranges or shuffle_partitions(spark)
     t = df.withColumn("__k0", first)
     dtype = t.schema["__k0"].dataType
-    if isinstance(dtype, T.NumericType):
+    if bounds is not None:
+        bounds = sorted(set(bounds))
+    elif isinstance(dtype, T.NumericType):
         # one aggregate job: approximate quantiles as split points
         qs = [i / n_ranges for i in range(1, n_ranges)]
         got = t.agg(F.percentile_approx(F.col("__k0").cast("double"), qs, 10000).alias("b")).first()["b"]
@@ -95,14 +104,14 @@ def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
 
 def cumulative_before(df: DataFrame, order_col: str, weight_col: str,
                       by: list[str] | None = None, name: str = "cum_before",
-                      cache_input: bool = True) -> DataFrame:
+                      cache_input: bool = True, bounds: list | None = None) -> DataFrame:
     """Sum of ``weight_col`` over rows strictly before each row in
     ``order_col`` order (within ``by``). ``order_col`` must be unique within
     ``by`` (apply it to a distinct/aggregated table)."""
     by = list(by or [])
     if cache_input:  # the input is an aggregate (distinct values with counts)
         df = df.persist()
-    t = _with_range_id(df, F.col(order_col))
+    t = _with_range_id(df, F.col(order_col), bounds=bounds)
     wl = (Window.partitionBy(_RID, *by).orderBy(order_col)
           .rowsBetween(Window.unboundedPreceding, -1))
     local = t.withColumn("__local", F.coalesce(F.sum(weight_col).over(wl), F.lit(0)))

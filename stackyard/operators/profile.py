@@ -13,7 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stackyard.operators.ordering import cumulative_before
+from stackyard.operators.ordering import cumulative_before, range_bounds
+from stackyard.session import shuffle_partitions
 
 MAX_EXPRS = 240  # aggregate expressions per job, keeps codegen methods small
 
@@ -104,10 +105,12 @@ def percentiles(df: DataFrame, col: str, qs: list[float]) -> DataFrame:
     (range-partitioned), the two order statistics around each rank are
     located with a broadcast range join against the small list of ranks."""
     vals = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(
-        F.count(F.lit(1)).alias("cnt"))
-    cum = cumulative_before(vals, "v", "cnt", name="before")
-    n = vals.agg(F.sum("cnt")).first()[0] or 0  # scalar aggregate
+        F.count(F.lit(1)).alias("cnt")).persist()
     spark = df.sparkSession
+    # one job: the row count (scalar) and the split points of the value ranges
+    agg = vals.agg(F.sum("cnt").alias("n"), range_bounds(F.col("v"), shuffle_partitions(spark)).alias("b")).first()
+    n = agg["n"] or 0
+    cum = cumulative_before(vals, "v", "cnt", name="before", cache_input=False, bounds=list(agg["b"] or []))
     # the wanted order statistics: at most 2 per quantile, built on the driver
     pos_rows = []
     for q in qs:
