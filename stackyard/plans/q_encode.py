@@ -60,9 +60,11 @@ def e15_target_stats(spark, sf):
 SELECT id, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS BIGINT) AS p_brand,
        CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS BIGINT) AS p_type FROM fx4""")
 def e1_label_encode(spark, sf):
-    d = fx.ordinal(spark, sf).select("id", "p_brand", "p_type")
-    for c in ("p_brand", "p_type"):
-        d = E.fit_sorted_codes(d, c).transform(d)
+    base = fx.ordinal(spark, sf).select("id", "p_brand", "p_type")
+    fitted = [E.fit_sorted_codes(base, c) for c in ("p_brand", "p_type")]  # fit on the base frame
+    d = base
+    for f in fitted:
+        d = f.transform(d)
     return d
 
 
@@ -84,9 +86,11 @@ SELECT f.id, CAST(coalesce(a.code, -9999) AS BIGINT) AS o_orderpriority,
        CAST(coalesce(b.code, -9999) AS BIGINT) AS c_mktsegment
 FROM fx1 f LEFT JOIN a ON f.o_orderpriority = a.v LEFT JOIN b ON f.c_mktsegment = b.v""")
 def e3_factorize_union(spark, sf):
-    d = fx.claims(spark, sf).select("id", "o_orderpriority", "c_mktsegment")
-    for c in ("o_orderpriority", "c_mktsegment"):
-        d = E.fit_first_seen(d, c, missing_code=-9999).transform(d)
+    base = fx.claims(spark, sf).select("id", "o_orderpriority", "c_mktsegment")
+    fitted = [E.fit_first_seen(base, c, missing_code=-9999) for c in ("o_orderpriority", "c_mktsegment")]
+    d = base
+    for f in fitted:
+        d = f.transform(d)
     return d.select("id", *[F.col(c).cast("bigint") for c in ("o_orderpriority", "c_mktsegment")])
 
 

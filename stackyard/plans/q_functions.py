@@ -57,8 +57,9 @@ def f3_first_second_char(spark, sf):
     d = fx.letters(spark, sf).select("id", SF.char_at("word", 1).alias("word_char"),
                                      SF.char_at("word", 2).alias("word_num"))
     d = d.withColumn("word_char_code", F.col("word_char")).withColumn("word_num_code", F.col("word_num"))
-    for c in ("word_char_code", "word_num_code"):
-        d = E.fit_first_seen(d, c).transform(d)
+    fitted = [E.fit_first_seen(d, c) for c in ("word_char_code", "word_num_code")]
+    for f in fitted:
+        d = f.transform(d)
     return d.select("id", "word_char", "word_num", F.col("word_char_code").cast("bigint"),
                     F.col("word_num_code").cast("bigint"))
 
@@ -491,8 +492,9 @@ def s7_feature_table(spark, sf):
     cols = ["o_totalprice", "c_acctbal", "o_orderpriority", "c_mktsegment", "c_nationkey"]
     d = fx.claims(spark, sf)
     d = d.select("*", E.null_count_row(cols).alias("nNAN"))
-    for c in ("o_orderpriority", "c_mktsegment"):
-        d = E.fit_first_seen(d, c, missing_code=-1).transform(d)
+    fitted = [E.fit_first_seen(d, c, missing_code=-1) for c in ("o_orderpriority", "c_mktsegment")]
+    for f in fitted:
+        d = f.transform(d)
     d = d.withColumn("o_totalprice", SF.power("o_totalprice"))
     d = C.drop_columns(d, ["c_acctbal", "is_train"])
     d = E.fill_constant(d, -9999, ["o_totalprice"]).fillna(-1, subset=["target"])
