@@ -81,8 +81,12 @@ def gather_predictions(spark: SparkSession, path_glob: str, key: str = "ID",
     """Many ``(ID, PredictedProb)`` CSV files → long
     ``(id, model, pred)`` with the model named by its file, then one pivot
     on the key (rows align by id, not by position)."""
+    # model name: the folder of a Spark part file, else the file name stem
+    fname = F.input_file_name()
+    model = F.when(fname.rlike(r"/part-[^/]*$"), F.regexp_extract(fname, r"([^/]+)/part-[^/]*$", 1)) \
+             .otherwise(F.regexp_extract(fname, r"([^/]+?)(\.csv)?$", 1))
     raw = (spark.read.option("header", True).schema(f"{key} long, {pred} double").csv(path_glob)
-                .withColumn("model", F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.csv)?$", 1)))
+                .withColumn("model", model))
     long = raw.select(F.col(key).alias("id"), "model", F.col(pred).alias("pred"))
     return pivot_predictions(long, models)
 
