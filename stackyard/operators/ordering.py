@@ -16,6 +16,8 @@ iteration) assigns the same range, so counts and offsets always agree.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ from stackyard.session import shuffle_partitions
 
 _RID = "__rid"
 SAMPLE_PER_RANGE = 64
+MAX_TEXT_RANGES = 256
 
 
 def _order_exprs(order_cols):
@@ -52,6 +55,8 @@ def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None,
         got = t.agg(F.percentile_approx(F.col("__k0").cast("double"), qs, 10000).alias("b")).first()["b"]
         bounds = sorted(set(got or []))
     else:
+        # text keys order distinct category values: a few hundred ranges suffice
+        n_ranges = min(n_ranges, MAX_TEXT_RANGES)
         total = t.count()
         frac = min(1.0, SAMPLE_PER_RANGE * n_ranges / max(total, 1))
         sample = sorted(r[0] for r in t.select("__k0").where(F.col("__k0").isNotNull())
@@ -61,7 +66,7 @@ def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None,
         return t.withColumn(_RID, F.when(F.col("__k0").isNull(), -1).otherwise(0)).drop("__k0")
     if isinstance(dtype, T.NumericType):
         # binary search in the JVM; bucket i holds (b[i-1], b[i]]
-        fb = sorted({float(b) for b in bounds})
+        fb = sorted({float(b) for b in bounds if math.isfinite(float(b))})
         splits = [float("-inf")] + [x for x in fb] + [float("inf")]
         t = t.withColumn("__k0d", F.col("__k0").cast("double"))
         bz = Bucketizer(splits=splits, inputCol="__k0d", outputCol="__b", handleInvalid="keep")
@@ -70,13 +75,20 @@ def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None,
         # monotone function of the key, which is all the numbering needs.
         rid = F.when(F.col("__k0").isNull(), F.lit(-1)).otherwise(F.col("__b").cast("int"))
         return t.withColumn(_RID, rid).drop("__k0", "__k0d", "__b")
-    rid = F.lit(0)
-    for i, b in enumerate(bounds):
-        rid = F.when(F.col("__k0") > F.lit(b), F.lit(i + 1)).otherwise(rid)
-    rid = F.when(F.col("__k0").isNull(), F.lit(-1)).otherwise(rid)
+    rid = F.when(F.col("__k0").isNull(), F.lit(-1)).otherwise(_search(F.col("__k0"), bounds, 0))
     return t.withColumn(_RID, rid).drop("__k0")
 
 
+def _search(k: Column, bounds: list, base: int) -> Column:
+    """Number of ``bounds`` strictly below ``k`` as a balanced tree of
+    comparisons (log2 depth per row, linear expression size)."""
+    if not bounds:
+        return F.lit(base)
+    mid = len(bounds) // 2
+    return F.when(k > F.lit(bounds[mid]), _search(k, bounds[mid + 1:], base + mid + 1)) \
+            .otherwise(_search(k, bounds[:mid], base))
+
+
 def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
               name: str = "row_idx", cache_input: bool = False,
               total_name: str | None = None) -> DataFrame:
