@@ -447,13 +447,20 @@ def s5_template_fill(spark, sf):
 
 
 @q("s9_feature_map", with_(FX1) + """
-SELECT * FROM (VALUES (0, 'o_totalprice', 'q'), (1, 'c_acctbal', 'q'), (2, 'c_nationkey', 'q')) t(pos, name, kind)
-WHERE (SELECT count(*) FROM fx1) > 0""")
+SELECT * FROM (
+  SELECT 0 AS pos, 'o_totalprice' AS name, 'q' AS kind, count(o_totalprice) AS n_present FROM fx1
+  UNION ALL SELECT 1, 'c_acctbal', 'q', count(c_acctbal) FROM fx1
+  UNION ALL SELECT 2, 'c_nationkey', 'q', count(c_nationkey) FROM fx1)""")
 def s9_feature_map(spark, sf):
+    """Feature map lines (position, name, type flag) with the number of
+    rows where each feature is present."""
+    from stackyard.operators.profile import wide_agg
     d = fx.claims(spark, sf)
     feats = [c for c in C.columns_of_type(d, "numeric") if c not in ("id", "target")]
     fm = SK.feature_map(spark, feats)
-    return fm.select(F.col("pos").cast("int"), "name", "kind").where(F.lit(d.limit(1).count() > 0))
+    present = wide_agg(d, feats, {"n_present": lambda c: F.count(c)})
+    return (fm.join(F.broadcast(present), "name")  # one row per feature on both sides
+              .select(F.col("pos").cast("int"), "name", "kind", "n_present"))
 
 
 @q("s10_score_stamped", with_(FX8, """l AS (SELECT -avg(target * ln(greatest(least(m3, 1 - 1e-15), 1e-15))
