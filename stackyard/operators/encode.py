@@ -310,13 +310,6 @@ def target_stats_encode(df: DataFrame, col: str, target: str = "target", side: s
     return j.select(*keep, avg.alias(f"{col}_avg"), std.alias(f"{col}_std"))
 
 
-def orphan_and_missing(df: DataFrame, col: str, side: str = "is_train",
-                       orphan: str = "Orphans", missing: str = "Missing") -> DataFrame:
-    from stackyard.operators.joins import orphan_values
-    o = orphan_values(df, col, side, orphan)
-    return o.withColumn(col, F.coalesce(F.col(col), F.lit(missing)))
-
-
 def target_weight(df: DataFrame, col: str, target: str = "target", side: str = "is_train",
                   unseen: float = 0.5, out: str | None = None) -> DataFrame:
     """E16 (A3): per-category ``p = sum/count`` on train rows;
