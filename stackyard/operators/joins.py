@@ -32,7 +32,7 @@ def attach(df: DataFrame, stats: DataFrame, on, how: str = "left",
     drop = [rows_col] if rows_col and rows_col in stats.columns else []
     if n_rows is not None and n_rows <= broadcast_limit(spark):
         return df.join(F.broadcast(stats.drop(*drop)), on, how)
-    if not drop or not isinstance(on, (str, list)):
+    if not drop or not isinstance(on, (str, list)) or how not in ("left", "inner"):
         return df.join(stats.drop(*drop), on, how)
     keys = [on] if isinstance(on, str) else list(on)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
