@@ -108,15 +108,16 @@ def spearman(df: DataFrame, pairs: list[tuple[str, str]], key: str = "id") -> Da
     ``(pair, side, key, value)``, distinct values per (pair, side) get
     cumulative counts in one range-partitioned pass, ranks are joined back
     and pivoted to one row per (pair, key) before ``corr``."""
-    parts = []
+    # one scan: every row emits (pair, side, value) for the pairs where both
+    # columns are present; the long table is read twice (ranks, join back)
+    items = []
     for i, (a, b) in enumerate(pairs):
-        sub = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
         for side, c in ((0, a), (1, b)):
-            parts.append(sub.select(F.lit(i).alias("__pair"), F.lit(side).alias("__side"), F.col(key),
-                                    F.col(c).cast("double").alias("__v")))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+            items.append(F.struct(F.lit(i).alias("__pair"), F.lit(side).alias("__side"),
+                                  F.col(c).cast("double").alias("__v"), both.alias("__ok")))
+    long = (df.select(F.col(key), F.explode(F.array(*items)).alias("__it"))
+              .select(key, "__it.*").where("__ok").drop("__ok"))
     vals = long.groupBy("__pair", "__side", "__v").agg(F.count(F.lit(1)).alias("__c"))
     cum = cumulative_before(vals, "__v", "__c", by=["__pair", "__side"], name="__b")
     ranks = cum.select("__pair", "__side", "__v", (F.col("__b") + (F.col("__c") + 1) / 2.0).alias("__rk"))
