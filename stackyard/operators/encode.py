@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackyard.operators.joins import attach, measured
-from stackyard.operators.ordering import row_index
+from stackyard.operators.ordering import range_bounds, row_index
+from stackyard.session import shuffle_partitions
 
 
 # ---------------------------------------------------------------- helpers
@@ -103,18 +104,22 @@ def fit_first_seen(df: DataFrame, col: str, order_col: str = "id", where: Column
     then numbered with a range-partitioned index (no single-task window)."""
     src = df if where is None else df.where(where)
     firsts = (src.where(F.col(col).isNotNull())
-                 .groupBy(col).agg(F.min(order_col).alias("__first"), F.count(F.lit(1)).alias("__rows")))
-    idx = row_index(firsts, ["__first"], name="__k", cache_input=True)
-    table, n = measured(idx.select(col, (F.col("__k") * step + start).alias("code"), "__rows"))
-    return Codes(col, table, n, missing_code)
+                 .groupBy(col).agg(F.min(order_col).alias("__first"), F.count(F.lit(1)).alias("__rows"))
+                 .persist())
+    # one job sizes the value table and cuts its key into ranges
+    st = firsts.agg(F.count(F.lit(1)).alias("n"),
+                    range_bounds(F.col("__first"), shuffle_partitions(df.sparkSession)).alias("b")).first()
+    idx = row_index(firsts, ["__first"], name="__k", bounds=list(st["b"] or []))
+    table = idx.select(col, (F.col("__k") * step + start).alias("code"), "__rows").persist()
+    return Codes(col, table, st["n"], missing_code)
 
 
 def fit_sorted_codes(df: DataFrame, col: str, missing_code: int | None = None) -> Codes:
     """Label encoding in sorted value order (0-based), fit on all rows."""
-    vals = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__rows"))
-    idx = row_index(vals, [col], name="code", cache_input=True)
-    table, n = measured(idx)
-    return Codes(col, table, n, missing_code)
+    vals = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__rows")).persist()
+    n = vals.count()  # sizes the code table (and the range sample)
+    idx = row_index(vals, [col], name="code", n_rows=n)
+    return Codes(col, idx.persist(), n, missing_code)
 
 
 def strided_codes(df: DataFrame, col: str, fill: str = "-9999", order_col: str = "id",

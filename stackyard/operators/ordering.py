@@ -41,7 +41,7 @@ def range_bounds(col: Column, n_ranges: int) -> Column:
 
 
 def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None,
-                   bounds: list | None = None) -> DataFrame:
+                   bounds: list | None = None, total: int | None = None) -> DataFrame:
     """Add ``__rid``: the range of ``first`` (nulls → -1, sorted first)."""
     spark = df.sparkSession
     n_ranges = n_ranges or shuffle_partitions(spark)
@@ -57,7 +57,7 @@ def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None,
     else:
         # text keys order distinct category values: a few hundred ranges suffice
         n_ranges = min(n_ranges, MAX_TEXT_RANGES)
-        total = t.count()
+        total = t.count() if total is None else total
         frac = min(1.0, SAMPLE_PER_RANGE * n_ranges / max(total, 1))
         sample = sorted(r[0] for r in t.select("__k0").where(F.col("__k0").isNotNull())
                         .sample(fraction=frac, seed=17).collect())
@@ -91,7 +91,8 @@ def _search(k: Column, bounds: list, base: int) -> Column:
 
 def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
               name: str = "row_idx", cache_input: bool = False,
-              total_name: str | None = None) -> DataFrame:
+              total_name: str | None = None, bounds: list | None = None,
+              n_rows: int | None = None) -> DataFrame:
     """0-based position of each row in ``order_cols`` order (within ``by``).
 
     ``order_cols`` must be a total order (end with a key). ``by`` must be a
@@ -102,7 +103,7 @@ def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
     keys = _order_exprs(order_cols)
     if cache_input:  # an aggregated input is read twice (split points, numbering)
         df = df.persist()
-    t = _with_range_id(df, keys[0])
+    t = _with_range_id(df, keys[0], bounds=bounds, total=n_rows)
     w = Window.partitionBy(_RID, *by).orderBy(*keys)
     local = t.withColumn("__local", F.row_number().over(w) - 1)
     counts = t.groupBy(_RID, *by).agg(F.count(F.lit(1)).alias("__n"))
