@@ -349,15 +349,15 @@ def bernoulli_nb_encode(df: DataFrame, col: str, target: str = "target", side: s
     th = nv.select("__v", "__rows",
                    ((F.col("c0") + alpha) / (n_all - n1 + 2 * alpha)).alias("t0"),
                    ((F.col("c1") + alpha) / (n1 + 2 * alpha)).alias("t1")).persist()
-    sums = th.agg(F.sum(F.log(1 - F.col("t0"))).alias("s0"), F.sum(F.log(1 - F.col("t1"))).alias("s1")).first()
+    sums = th.agg(F.sum(F.log(1 - F.col("t0"))).alias("s0"), F.sum(F.log(1 - F.col("t1"))).alias("s1"),
+                  F.count(F.lit(1)).alias("n")).first()  # also sizes the per-value table
     k0 = math.log((n_all - n1) / n_all) + sums["s0"]
     k1 = math.log(n1 / n_all) + sums["s1"]
     per_val = th.select(
         "__v", "__rows",
         (F.lit(k0) + F.log(F.col("t0")) - F.log(1 - F.col("t0"))).alias("l0"),
         (F.lit(k1) + F.log(F.col("t1")) - F.log(1 - F.col("t1"))).alias("l1"))
-    table, n = measured(per_val)
-    j = attach(s, table, "__v", "left", n, "__rows")
+    j = attach(s, per_val, "__v", "left", sums["n"], "__rows")
     l0 = F.coalesce(F.col("l0"), F.lit(k0))
     l1 = F.coalesce(F.col("l1"), F.lit(k1))
     p1 = 1.0 / (1.0 + F.exp(l0 - l1))
