@@ -296,9 +296,9 @@ def s6_cv_log_row(spark, sf):
                   F.lit(train.count()).alias("rows"))
 
 
-@q("x4_pipeline_protocol")
-def x4_pipeline_protocol(spark, sf):
-    """Estimator / Model protocol: a Spark ML Pipeline fit then transform."""
+@q("x4_estimator_protocol")
+def x4_estimator_protocol(spark, sf):
+    """Estimator / Model protocol: staged Spark ML estimators fit, then transform."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     train, test = split_claims(spark, sf)
