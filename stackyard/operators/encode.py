@@ -271,17 +271,36 @@ def fit_target_stats(df: DataFrame, col: str, target: str = "target", side: str
     return TargetStats(col, table, n)
 
 
-def target_stats_encode(df: DataFrame, col: str, target: str = "target", side: str = "is_train",
-                        min_support: int = 50, orphan: str = "Orphans", missing: str = "Missing",
-                        key: str = "id") -> DataFrame:
-    """E15 in one scan: values seen on one side only become ``orphan``,
+@dataclass
+class TargetEncoding:
+    """Fitted E15 state: per raw value → category statistics (measured), and
+    the null category's statistics as scalars."""
+    col: str
+    table: DataFrame
+    n: int
+    null_avg: float | None
+    null_std: float | None
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        col = self.col
+        j = attach(df, self.table.where(F.col(col).isNotNull()), col, "left", self.n, "__rows")
+        avg = F.when(F.col(col).isNull(), F.lit(self.null_avg).cast("double")).otherwise(F.col(f"{col}_avg"))
+        std = F.when(F.col(col).isNull(), F.lit(self.null_std).cast("double")).otherwise(F.col(f"{col}_std"))
+        keep = [c for c in df.columns if c != col]
+        return j.select(*keep, avg.alias(f"{col}_avg"), std.alias(f"{col}_std"))
+
+
+def fit_target_encoding(df: DataFrame, col: str, target: str = "target", side: str = "is_train",
+                        min_support: int = 50, orphan: str = "Orphans",
+                        missing: str = "Missing") -> TargetEncoding:
+    """E15 fit in one scan: values seen on one side only become ``orphan``,
     null becomes ``missing``, then train mean and sample std of the target
     per resulting category, kept with at least ``min_support`` train rows.
 
     One aggregate per raw value collects side flags and train sums
     (``n, Σy, Σy²``, combined map-side, so a hot value is cheap); relabelling
-    and re-aggregation run on that per-value table, which is measured and
-    joined back (broadcast when small)."""
+    and re-aggregation run on that per-value table, which is measured (one
+    job that also reads the null category's statistics)."""
     y = F.col(target).cast("double")
     tr = F.col(side)
     per = df.groupBy(col).agg(
@@ -300,19 +319,18 @@ def target_stats_encode(df: DataFrame, col: str, target: str = "target", side: s
     grp = grp.where(F.col("n") >= min_support).select(
         "__lab", mean.alias(f"{col}_avg"),
         F.when(F.col("n") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"{col}_std"))
-    mapping = per.select(col, "__rows", "__lab").join(grp, "__lab", "left").drop("__lab")
-    table = mapping.persist()
-    # one job measures the table and reads the null category's statistics
-    # (at most one row), which become literals
+    table = per.select(col, "__rows", "__lab").join(grp, "__lab", "left").drop("__lab").persist()
     m = table.agg(F.count(F.lit(1)).alias("n"),
                   F.max(F.when(F.col(col).isNull(), F.col(f"{col}_avg"))).alias("na"),
                   F.max(F.when(F.col(col).isNull(), F.col(f"{col}_std"))).alias("ns")).first()
-    n, na, ns = m["n"], m["na"], m["ns"]
-    j = attach(df, table.where(F.col(col).isNotNull()), col, "left", n, "__rows")
-    avg = F.when(F.col(col).isNull(), F.lit(na).cast("double")).otherwise(F.col(f"{col}_avg"))
-    std = F.when(F.col(col).isNull(), F.lit(ns).cast("double")).otherwise(F.col(f"{col}_std"))
-    keep = [c for c in df.columns if c != col]
-    return j.select(*keep, avg.alias(f"{col}_avg"), std.alias(f"{col}_std"))
+    return TargetEncoding(col, table, m["n"], m["na"], m["ns"])
+
+
+def target_stats_encode(df: DataFrame, col: str, target: str = "target", side: str = "is_train",
+                        min_support: int = 50, orphan: str = "Orphans", missing: str = "Missing",
+                        key: str = "id") -> DataFrame:
+    """Fit on ``df`` and replace ``col`` by ``<col>_avg``, ``<col>_std``."""
+    return fit_target_encoding(df, col, target, side, min_support, orphan, missing).transform(df)
 
 
 def target_weight(df: DataFrame, col: str, target: str = "target", side: str = "is_train",

@@ -49,9 +49,11 @@ SELECT p.id, round(a.a, 6) AS o_orderpriority_avg, round(a.s, 6) AS o_orderprior
        round(b.a, 6) AS c_mktsegment_avg, round(b.s, 6) AS c_mktsegment_std
 FROM p LEFT JOIN a ON p.pr = a.pr LEFT JOIN b ON p.sg = b.sg""")
 def e15_target_stats(spark, sf):
-    d = fx.claims(spark, sf).select("id", "target", "is_train", "o_orderpriority", "c_mktsegment")
-    d = E.target_stats_encode(d, "o_orderpriority")
-    d = E.target_stats_encode(d, "c_mktsegment")
+    base = fx.claims(spark, sf).select("id", "target", "is_train", "o_orderpriority", "c_mktsegment")
+    fitted = [E.fit_target_encoding(base, c) for c in ("o_orderpriority", "c_mktsegment")]
+    d = base
+    for f in fitted:
+        d = f.transform(d)
     return d.select("id", *[r6(c) for c in ("o_orderpriority_avg", "o_orderpriority_std",
                                             "c_mktsegment_avg", "c_mktsegment_std")])
 
