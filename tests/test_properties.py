@@ -61,3 +61,18 @@ def test_row_index_invariant_to_partitioning(spark, n, parts):
     assert got == {i: i for i in range(n)}
     byg = row_index(d, ["id"], by=["g"], name="pos").collect()
     assert all(r["pos"] == r["id"] // 3 for r in byg)
+
+
+def test_folds_do_not_depend_on_shuffle_partitions(spark):
+    """Fold numbers are a function of the data only: re-running with another
+    number of ranges (as after a restart on a different cluster) agrees."""
+    d = spark.range(0, 500).withColumn("y", (F.col("id") % 3 == 0).cast("int"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        a = {r["id"]: r["fold"] for r in FO.stratified_kfold(d, "y", 4).collect()}
+        spark.conf.set("spark.sql.shuffle.partitions", "11")
+        b = {r["id"]: r["fold"] for r in FO.stratified_kfold(d, "y", 4).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert a == b
