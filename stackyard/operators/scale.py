@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackyard.operators.ordering import with_previous
-from stackyard.operators.profile import long_values
 
 
 def scale_units(df: DataFrame, cols: list[str], digits: int = 8, min_gap: float = 1e-6) -> DataFrame:
@@ -70,5 +69,4 @@ def unique_rows(df: DataFrame, cols: list[str], key: str = "id") -> DataFrame:
     return df.groupBy(*cols).agg(F.min(key).alias(key))
 
 
-__all__ = ["scale_units", "rescale_by_units", "standardise_fit", "standardise", "unique_rows",
-           "long_values"]
+__all__ = ["scale_units", "rescale_by_units", "standardise_fit", "standardise", "unique_rows"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stackyard.operators import encode as E
 from stackyard.operators.joins import orphan_values
 from stackyard.plans.common import r6
-from stackyard.plans.fixture_sql import FX1, FX2, FX4, FX6, FX7, FX9, with_
+from stackyard.plans.fixture_sql import FX1, FX2, FX4, FX6, FX7, with_
 from stackyard.sources import fixtures as fx
 
 QUERIES, SQL = {}, {}

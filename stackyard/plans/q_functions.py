@@ -13,7 +13,7 @@ from stackyard.operators import encode as E
 from stackyard.operators import scale as SC
 from stackyard.operators.joins import join_on_id
 from stackyard.plans.common import r6
-from stackyard.plans.fixture_sql import FX1, FX5, FX6, FX8, with_
+from stackyard.plans.fixture_sql import FX1, FX6, FX8, with_
 from stackyard.sources import fixtures as fx
 from stackyard.sources import sinks as SK
 from stackyard.sources.tables import load
