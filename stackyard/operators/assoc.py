@@ -167,3 +167,23 @@ def select_k_best(df: DataFrame, cols: list[str], label: str, k: int | str = "al
         return list(cols)
     top = anova_f(df, cols, label).orderBy(F.desc("f_score"), "name").limit(int(k)).collect()
     return [r["name"] for r in top]
+
+
+def onehot_target_corr(df: DataFrame, col: str, target: str, prefix_sep: str = "_") -> DataFrame:
+    """A15 (one-hot vs target, closed form): Pearson of each dummy
+    ``col = v`` with a numeric target without building the dummy columns,
+    from one grouped aggregate: with ``n`` rows where the target is present,
+    ``n_v`` rows of value v, ``S = Σy``, ``Q = Σy²`` and ``S_v = Σ_{v} y``,
+    ``r = (n·S_v - n_v·S) / sqrt(n_v (n - n_v) · (n·Q - S²))``.
+    Null values form their own dummy only if present (``nan``)."""
+    src = df.where(F.col(target).isNotNull()).select(
+        F.coalesce(F.col(col).cast("string"), F.lit("nan")).alias("__v"),
+        F.col(target).cast("double").alias("__y"))
+    tot = src.agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("s"),
+                  F.sum(F.col("__y") * F.col("__y")).alias("q")).first()  # scalars
+    n, s, q = float(tot["n"]), float(tot["s"] or 0.0), float(tot["q"] or 0.0)
+    g = src.groupBy("__v").agg(F.count(F.lit(1)).alias("nv"), F.sum("__y").alias("sv"))
+    num = F.lit(n) * F.col("sv") - F.col("nv") * F.lit(s)
+    den = F.sqrt(F.col("nv") * (F.lit(n) - F.col("nv")) * F.lit(n * q - s * s))
+    return g.select(F.concat(F.lit(col + prefix_sep), F.col("__v")).alias("name"),
+                    F.when(den > 0, num / den).alias("r"))

@@ -335,3 +335,15 @@ SELECT id AS "ID", round((m3 + m7 + m11) / 3, 6) AS "PredictedProb",
 def s12_disagreement_report(spark, sf):
     d = BL.side_by_side(fx.predictions(spark, sf).select("id", "m3", "m7", "m11"), ["m3", "m7", "m11"])
     return d.select(F.col("id").alias("ID"), r6("avg", "PredictedProb"), r6("diff"))
+
+
+@q("a15_onehot_target_corr", with_(FX1) + " UNION ALL ".join(
+    f"""SELECT 'o_orderpriority_{v}' AS name, round(corr(CAST(coalesce(o_orderpriority = '{v}', false) AS DOUBLE),
+       CAST(target AS DOUBLE)), 6) AS r FROM fx1 WHERE target IS NOT NULL""" for v in PRI)
+    + """ UNION ALL SELECT 'o_orderpriority_nan', round(corr(CAST(o_orderpriority IS NULL AS DOUBLE),
+       CAST(target AS DOUBLE)), 6) FROM fx1 WHERE target IS NOT NULL""")
+def a15_onehot_target_corr(spark, sf):
+    """Correlation of every dummy of a categorical with the target in one
+    grouped pass (no dummy columns are built)."""
+    r = AS.onehot_target_corr(fx.claims(spark, sf), "o_orderpriority", "target")
+    return r.select("name", r6("r"))
