@@ -187,3 +187,18 @@ def onehot_target_corr(df: DataFrame, col: str, target: str, prefix_sep: str = "
     den = F.sqrt(F.col("nv") * (F.lit(n) - F.col("nv")) * F.lit(n * q - s * s))
     return g.select(F.concat(F.lit(col + prefix_sep), F.col("__v")).alias("name"),
                     F.when(den > 0, num / den).alias("r"))
+
+
+def top_dummies_by_target_corr(df: DataFrame, cols: list[str], target: str, k: int = 200) -> list[tuple]:
+    """O2 on categoricals: the ``k`` dummies ``(column, value)`` most
+    correlated with the target (by |r|, ties by name), found from grouped
+    counts without building any dummy column; at most ``k`` rows reach the
+    driver."""
+    parts = None
+    for c in cols:
+        r = onehot_target_corr(df, c, target, "\u0001").select(
+            F.lit(c).alias("col"), F.split(F.col("name"), "\u0001").getItem(1).alias("value"), "r")
+        parts = r if parts is None else parts.unionByName(r)
+    top = (parts.where(F.col("r").isNotNull())
+                .orderBy(F.desc(F.abs("r")), F.asc("col"), F.asc("value")).limit(k).collect())
+    return [(t["col"], t["value"]) for t in top]

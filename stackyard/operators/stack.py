@@ -162,6 +162,23 @@ def logit_feature(train: DataFrame, apply: DataFrame, features: list[str], label
     return p.select(key, F.log(F.col("__p")).alias(name))
 
 
+def logit_feature_from_categoricals(train: DataFrame, apply: DataFrame, cats: list[str], label: str,
+                                    k: int = 200, C: float = 10.0, key: str = "id",
+                                    name: str = "logit_feat") -> DataFrame:
+    """E18 end to end: the ``k`` dummies most correlated with the label
+    (closed form, train rows), built only for those, then the logit feature."""
+    from stackyard.operators.assoc import top_dummies_by_target_corr
+    top = top_dummies_by_target_corr(train, cats, label, k)
+
+    def dummies_of(df):
+        cols = [F.coalesce((F.coalesce(F.col(c).cast("string"), F.lit("nan")) == F.lit(v)).cast("double"),
+                           F.lit(0.0)).alias(f"{c}__{v}") for c, v in top]
+        return df.select(key, label, *cols) if label in df.columns else df.select(key, *cols)
+
+    feats = [f"{c}__{v}" for c, v in top]
+    return logit_feature(dummies_of(train), dummies_of(apply), feats, label, C, key, name)
+
+
 def logit_feature_in_folds(train: DataFrame, features: list[str], label: str, folds: int,
                            fold_col: str = "fold", key: str = "id", C: float = 10.0) -> DataFrame:
     """The logit feature refit inside each fold (leak-free): each

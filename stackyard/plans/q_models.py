@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from stackyard.operators import folds as FO
 from stackyard.operators import models as MO
 from stackyard.operators import stack as ST
-from stackyard.operators.assoc import top_by_abs_corr
 from stackyard.operators.encode import dummies
 from stackyard.operators.metrics import log_loss
 from stackyard.sources import fixtures as fx
@@ -221,9 +220,11 @@ def k9_soft_vote(spark, sf):
 
 @q("e18_logit_feature")
 def e18_logit_feature(spark, sf):
-    d = claims_features(spark, sf)
-    top = [r["name"] for r in top_by_abs_corr(d.where("is_train"), DUM, "label", 200).collect()]
-    return ST.logit_feature(d.where("is_train"), d, top, "label", C=10.0)
+    d = fx.claims(spark, sf).select("id", F.col("target").cast("double").alias("label"), "is_train",
+                                    "o_orderpriority", "c_mktsegment", "c_nationkey")
+    return ST.logit_feature_from_categoricals(d.where("is_train"), d.drop("label"),
+                                              ["o_orderpriority", "c_mktsegment", "c_nationkey"], "label",
+                                              k=200, C=10.0)
 
 
 @q("e19_logit_feature_folds")
