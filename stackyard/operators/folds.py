@@ -1,6 +1,7 @@
 """Fold assignment, holdouts and splits.
 
-Deterministic splits hash the row key (``xxhash64(id, seed)``) instead of
+Deterministic splits hash the row key with a seeded multiplicative hash
+(``(id·2654435761 + seed) mod 2^32``, exact in any engine) instead of
 ``randomSplit``, whose result depends on partitioning. Contiguous folds use
 the range-partitioned row index, so no class lands in a single task.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stackyard.functions.scalar import HASH_RANGE, seeded_shuffle_key
 from stackyard.operators.ordering import row_index
 
 
@@ -34,7 +36,7 @@ def stratified_kfold(df: DataFrame, y: str, k: int, order: Column | str = "id",
 def shuffled_stratified_kfold(df: DataFrame, y: str, k: int, seed: int, key: str = "id",
                               name: str = "fold") -> DataFrame:
     """V3: W4 with rows ordered by a seeded hash of the key."""
-    return stratified_kfold(df, y, k, F.xxhash64(F.col(key), F.lit(seed)), name)
+    return stratified_kfold(df, y, k, seeded_shuffle_key(key, seed), name)
 
 
 def hash_kfold(df: DataFrame, k: int, seed: int, key: str = "id", name: str = "fold") -> DataFrame:
@@ -50,14 +52,14 @@ def positional_holdout(df: DataFrame, frac: float, order: str = "id", name: str
 
 def random_split(df: DataFrame, frac: float, seed: int, key: str = "id", name: str = "is_fit") -> DataFrame:
     """V1: reproducible ``frac`` / ``1-frac`` split by a seeded key hash."""
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000))
-    return df.withColumn(name, h < int(round(frac * 1_000_000)))
+    h = seeded_shuffle_key(key, seed)
+    return df.withColumn(name, h < int(round(frac * HASH_RANGE)))
 
 
 def stratified_split(df: DataFrame, y: str, frac: float, seed: int, key: str = "id",
                      name: str = "is_fit") -> DataFrame:
     """V2: per class, the first ``floor(frac·n_y)`` rows in hash order."""
-    t = df.withColumn("__h", F.xxhash64(F.col(key), F.lit(seed)))
+    t = df.withColumn("__h", seeded_shuffle_key(key, seed))
     idx = row_index(t, ["__h", key], by=[y], name="__pos", total_name="__n")
     return idx.select(*df.columns, (F.col("__pos") < F.floor(F.col("__n") * frac)).alias(name))
 

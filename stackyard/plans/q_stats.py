@@ -158,18 +158,23 @@ def w5_positional_holdout(spark, sf):
     return FO.positional_holdout(fx.claims(spark, sf).select("id"), 0.75)
 
 
-@q("v1_random_split")
+@q("v1_random_split", with_(FX1) + f"""
+SELECT id, (id * 2654435761 + 2017) % 4294967296 < {int(round(0.7 * 4294967296))} AS is_fit FROM fx1""")
 def v1_random_split(spark, sf):
     return FO.random_split(fx.claims(spark, sf).select("id"), 0.7, seed=2017)
 
 
-@q("v2_stratified_split")
+@q("v2_stratified_split", with_(FX1) + """
+SELECT id, target, row_number() OVER (PARTITION BY target ORDER BY (id * 2654435761 + 2017) % 4294967296, id) - 1
+       < floor(count(*) OVER (PARTITION BY target) * CAST(0.8 AS DOUBLE)) AS is_fit FROM fx1 WHERE is_train""")
 def v2_stratified_split(spark, sf):
     d = fx.claims(spark, sf).where("is_train").select("id", "target")
     return FO.stratified_split(d, "target", 0.8, seed=2017)
 
 
-@q("v3_shuffled_kfold")
+@q("v3_shuffled_kfold", with_(FX1) + """
+SELECT id, target, CAST(ntile(5) OVER (PARTITION BY target ORDER BY (id * 2654435761 + 2017) % 4294967296, id) - 1 AS INTEGER) AS fold
+FROM fx1 WHERE is_train""")
 def v3_shuffled_kfold(spark, sf):
     d = fx.claims(spark, sf).where("is_train").select("id", "target")
     return FO.shuffled_stratified_kfold(d, "target", 5, seed=2017)
