@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from .common import documents, shared_root
 from .idfiles import read_documents, write_ids
 from .packing import pack_documents
+from .quality import judge_documents
 from .sharding import shard_documents
+from .simhash import near_duplicates
 
 MAX_TOKENS = 2048
 
@@ -23,6 +25,17 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the groups within two bits."""
+    out = near_duplicates(documents(spark, sf_dir), shingle=3, radius=2, seed=42)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op3_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents judged by base rules and by distance to their language."""
+    return judge_documents(documents(spark, sf_dir))
+
+
 def op4_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 contiguous shards of nearly equal bytes."""
     return shard_documents(documents(spark, sf_dir), 16).select(
@@ -44,5 +57,5 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path, digest_only=True)
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_shards, op5_best_fit_packing, op6_token_files)}
+QUERIES = {f.__name__: f for f in (op1_simhash_vantage_points, op3_distribution_divergence, op4_byte_shards, op5_best_fit_packing, op6_token_files)}
 SQL: dict[str, str] = {}
