@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, shared_root
+from .decontaminate import mark_leaks
 from .idfiles import read_documents, write_ids
 from .packing import pack_documents
 from .quality import judge_documents
@@ -57,5 +58,15 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path, digest_only=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_vantage_points, op3_distribution_divergence, op4_byte_shards, op5_best_fit_packing, op6_token_files)}
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+
+
+def op8_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold a passage of the benchmark."""
+    return mark_leaks(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_vantage_points, op3_distribution_divergence, op4_byte_shards, op5_best_fit_packing, op6_token_files,
+                                op8_simhash_decontamination)}
 SQL: dict[str, str] = {}
