@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .common import documents, shared_root
 from .decontaminate import mark_leaks
 from .idfiles import read_documents, write_ids
+from .lines import line_report
 from .packing import pack_documents
 from .quality import judge_documents
 from .sharding import shard_documents
@@ -67,6 +68,11 @@ def op8_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_leaks(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
 
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that each document loses as near copies of earlier lines."""
+    return line_report(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash_vantage_points, op3_distribution_divergence, op4_byte_shards, op5_best_fit_packing, op6_token_files,
-                                op8_simhash_decontamination)}
+                                op8_simhash_decontamination, op9_fuzzy_lines)}
 SQL: dict[str, str] = {}

@@ -18,8 +18,11 @@ _WS = "\t-\r \x85\xa0  -     　"
 _BYTE_PIECES = re.compile(f"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]")
 _OTHER_WS = [c.encode() for c in "\t\x0b\x0c\r\x85\xa0     　"] + [b"\xe2\x80"]
 
+#: A stop or comma before white space that does not follow a letter or digit.
+_BAD_STOP = re.compile(rb"(?<![a-zA-Z0-9])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,][ \n]")
+
 #: Pieces that a worker remembers (two generations of this many).
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
 #: Characters of new pieces given to the tokenizer at once.
 _CALL_CHARS = 200_000
 
@@ -41,6 +44,7 @@ class PieceEncoder:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.keeps_space = bool(self._ids("\n"))
+        self.lower = self._ids("A") == self._ids("a")
         # a mark between pieces that the tokenizer never joins to them and that is one id of its own
         self.mark, self.apart = ("\n", "\n") if self.keeps_space else ("¶", " ¶ ")
         mark = self._ids(self.mark)
@@ -54,14 +58,20 @@ class PieceEncoder:
         """Keys of a text's pieces: ``word`` stands for the piece " word", ``\\nword``
         for a line break and the piece "word", ``\\rword`` for "word" at the text's
         start, ``\\tpiece`` for any piece as it is."""
+        # a stop or comma after a letter is a piece of its own for both patterns
+        stops = not _BAD_STOP.search(text)
         if not self.keeps_space:
-            return text.split()
+            if stops:
+                text = text.replace(b", ", b" , ").replace(b". ", b" . ").replace(b".\n", b" .\n")
+            return text.lower().split() if self.lower else text.split()
         if not text:
             return []
         if b"  " in text or b"\n\n" in text or b"\n " in text or b" \n" in text or text[:1] in (b" ", b"\n") \
                 or text[-1:] in (b" ", b"\n") or any(c in text for c in _OTHER_WS):
             return [b"\t" + p.encode() for p in _BYTE_PIECES.findall(text.decode())]
         # single spaces and single line breaks only: cut before each of them
+        if stops:
+            text = text.replace(b", ", b" \r, ").replace(b". ", b" \r. ").replace(b".\n", b" \r.\n")
         pieces = text.replace(b"\n", b" \n").split(b" ")
         if pieces[0]:
             pieces[0] = b"\r" + pieces[0]  # the text's first word has no space before it
