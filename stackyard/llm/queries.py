@@ -17,6 +17,7 @@ from .packing import pack_documents
 from .quality import judge_documents
 from .sharding import shard_documents
 from .simhash import near_duplicates
+from .suffix_model import score_documents
 
 MAX_TOKENS = 2048
 
@@ -59,6 +60,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path, digest_only=True)
 
 
+def op7_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a suffix tree and by word frequencies."""
+    return score_documents(documents(spark, sf_dir))
+
+
 def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
 
@@ -73,6 +79,6 @@ def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_vantage_points, op3_distribution_divergence, op4_byte_shards, op5_best_fit_packing, op6_token_files,
+QUERIES = {f.__name__: f for f in (op1_simhash_vantage_points, op3_distribution_divergence, op4_byte_shards, op5_best_fit_packing, op6_token_files, op7_suffix_tree_score,
                                 op8_simhash_decontamination, op9_fuzzy_lines)}
 SQL: dict[str, str] = {}
