@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from .common import documents, shared_root
 from .decontaminate import mark_leaks
+from .fm_index import remove_repeated_words
 from .idfiles import read_documents, write_ids
 from .lines import line_report
 from .packing import pack_documents
 from .quality import judge_documents
 from .sharding import shard_documents
 from .simhash import near_duplicates
+from .suffix_array import remove_repeats
 from .suffix_model import score_documents
 
 MAX_TOKENS = 2048
@@ -34,6 +36,11 @@ def op1_simhash_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 400-byte strings that occur elsewhere."""
+    return remove_repeats(documents(spark, sf_dir), 400)
+
+
 def op3_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents judged by base rules and by distance to their language."""
     return judge_documents(documents(spark, sf_dir))
@@ -79,6 +86,13 @@ def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_vantage_points, op3_distribution_divergence, op4_byte_shards, op5_best_fit_packing, op6_token_files, op7_suffix_tree_score,
-                                op8_simhash_decontamination, op9_fuzzy_lines)}
+def op10_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 20-word runs that occur earlier."""
+    return remove_repeated_words(documents(spark, sf_dir), 20)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash_vantage_points, op2_suffix_array_dedup, op3_distribution_divergence, op4_byte_shards,
+    op5_best_fit_packing, op6_token_files, op7_suffix_tree_score, op8_simhash_decontamination,
+    op9_fuzzy_lines, op10_fm_index_dedup)}
 SQL: dict[str, str] = {}
