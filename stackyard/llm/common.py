@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,11 +63,25 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return Saved(df, label).df
 
 
-def utf8(col: pa.Array) -> list[bytes]:
-    """The texts of an Arrow column as UTF-8 bytes, null as empty."""
-    if not pa.types.is_binary(col.type) and not pa.types.is_large_binary(col.type):
-        col = col.cast(pa.binary() if pa.types.is_string(col.type) else pa.large_binary())
-    return [b if b is not None else b"" for b in col.to_pylist()]
+#: Keys of at most this many rows (some 50 MB) are broadcast, more are joined by shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A saved table of keys, to be broadcast if its counted size allows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def row_hash(*cols: str):
+    """XXH64 of a text (null: empty) and of other columns of its row."""
+    return F.xxhash64(F.coalesce(F.col(f"`{cols[0]}`").cast("string"), F.lit("")), *[F.col(f"`{c}`") for c in cols[1:]])
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, *hashed: str) -> DataFrame:
+    """The rows of ``docs`` whose (id, row hash) is not in ``gone`` (doc_id, th)."""
+    gone = small(saved(gone.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct(), "gone"))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (row_hash(*hashed) == F.col("__th"))
+    return docs.join(gone, same, "left_anti")
 
 
 def text_column(df: DataFrame, text: str = "text"):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, stream_texts
+from .common import saved, small, stream_texts
 from .tokens import chunks
 from .words import Texts, window_hashes
 
@@ -220,3 +220,10 @@ def mark_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **opti
     return (ids.join(per, "doc_id", "left")
             .select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"),
                     F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), "similarity"))
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` whose id holds no passage of the benchmark, all columns."""
+    leaks = leak_matches(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("__id")).distinct()
+    gone = small(saved(leaks, "leaks"))
+    return docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")), "left_anti")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, stream_texts
+from .common import row_hash, saved, stream_texts, without
 from .tokens import chunks
 from .words import SPACE, Texts, window_hashes
 
@@ -141,7 +141,8 @@ def judge_documents(docs: DataFrame, char_distance: float = 0.32, word_distance:
                     min_chars: int = 200, min_words: int = 50, common_share: float = 0.005,
                     own_share: float = 0.001, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
-    """One row per input row: base counts, base verdict, distances, ``kept``.
+    """One row per input row: doc_id, ``th`` (hash of text and language), base
+    counts, base verdict, distances, ``kept``.
 
     ``char_js`` and ``word_js`` are null where the guards (``min_chars``
     characters in words, ``min_words`` words) find the text too short to
@@ -152,7 +153,7 @@ def judge_documents(docs: DataFrame, char_distance: float = 0.32, word_distance:
     cols = (id_col, text_col, lang_col)
     spark = docs.sparkSession
     d = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
-                    F.col(f"`{lang_col}`").cast("string").alias("lang"))
+                    F.col(f"`{lang_col}`").cast("string").alias("lang"), row_hash(text_col, lang_col).alias("th"))
     n_docs = d.count()
     # at most 1 / own_share languages
     own = {r[0] for r in d.groupBy("lang").count().where(F.col("lang").isNotNull() & (F.col("count") >= own_share * n_docs))
@@ -169,13 +170,13 @@ def judge_documents(docs: DataFrame, char_distance: float = 0.32, word_distance:
         ref = vocab.value
         for b in batches:
             out: dict[str, list] = defaultdict(list)
-            rows = list(zip(b.column("doc_id").to_pylist(), b.column("lang").to_pylist()))
+            rows = list(zip(*(b.column(c).to_pylist() for c in ("doc_id", "lang", "th"))))
             for own_rows, texts in chunks(rows, b.column("text").to_pylist()):
                 t = Texts(texts)
                 h = t.hashes()
                 base = base_counts(texts, t, h)
                 low = Texts(texts, lower=True).hashes().view(np.int64)
-                for i, (doc_id, lang) in enumerate(own_rows):
+                for i, (doc_id, lang, th) in enumerate(own_rows):
                     v = ref.get(lang, np.zeros(0, np.int64))
                     own = low[t.first[i]:t.first[i + 1]]
                     at = np.searchsorted(v, own)
@@ -186,6 +187,7 @@ def judge_documents(docs: DataFrame, char_distance: float = 0.32, word_distance:
                     k = np.flatnonzero(n)
                     out["doc_id"].append(doc_id)
                     out["lang"].append(lang)
+                    out["th"].append(th)
                     out["word_at"].append(k)
                     out["word_n"].append(n[k])
                 for c in names:
@@ -193,12 +195,12 @@ def judge_documents(docs: DataFrame, char_distance: float = 0.32, word_distance:
                 out["classes"].extend(base["classes"])
             ints = pa.list_(pa.int64())
             types = {"doc_id": pa.int64(), "lang": pa.string(), "word_at": ints, "word_n": ints, "classes": ints}
-            order = ["doc_id", "lang", *names, "classes", "word_at", "word_n"]
+            order = ["doc_id", "th", "lang", *names, "classes", "word_at", "word_n"]
             yield pa.RecordBatch.from_arrays([pa.array(out[c], types.get(c, pa.int64())) for c in order], names=order)
 
-    schema = ("doc_id long, lang string, " + ", ".join(f"{c} long" for c in names)
+    schema = ("doc_id long, th long, lang string, " + ", ".join(f"{c} long" for c in names)
               + ", classes array<long>, word_at array<long>, word_n array<long>")
-    f = saved(stream_texts(named, "doc_id", "text", features, schema, ["lang"]), "quality-features")
+    f = saved(stream_texts(named, "doc_id", "text", features, schema, ["lang", "th"]), "quality-features")
     f = f.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                      | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     good = f.where(~F.col("base_failed"))
@@ -235,12 +237,18 @@ def judge_documents(docs: DataFrame, char_distance: float = 0.32, word_distance:
                 own[at] = n
                 fold = lambda x: np.append(x[common], x[~common].sum())
                 word_js.append(js_distance(fold(own), fold(w_ref)))
-            keep = [b.column(c) for c in ["doc_id", *names, "base_failed"]]
+            keep = [b.column(c) for c in ["doc_id", "th", *names, "base_failed"]]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(char_js, pa.float64()), pa.array(word_js, pa.float64())],
-                                             names=["doc_id", *names, "base_failed", "char_js", "word_js"])
+                                             names=["doc_id", "th", *names, "base_failed", "char_js", "word_js"])
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    out = f.mapInArrow(distances, "doc_id long, " + ", ".join(f"{c} long" for c in names)
+    out = f.mapInArrow(distances, "doc_id long, th long, " + ", ".join(f"{c} long" for c in names)
                        + ", base_failed boolean, char_js double, word_js double")
     far = (F.coalesce(F.col("char_js"), F.lit(0.0)) > char_distance) | (F.coalesce(F.col("word_js"), F.lit(0.0)) > word_distance)
     return out.withColumn("kept", ~F.col("base_failed") & ~far)
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge_documents` keeps, all columns."""
+    judged = judge_documents(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, **options)
+    return without(docs, judged.where(~F.col("kept")), id_col, text_col, lang_col)

@@ -43,7 +43,7 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents judged by base rules and by distance to their language."""
-    return judge_documents(documents(spark, sf_dir))
+    return judge_documents(documents(spark, sf_dir)).drop("th")
 
 
 def op4_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, stream_texts
+from .common import row_hash, saved, stream_texts, without
 from .components import components
 from .tokens import chunks
 from .words import Texts
@@ -91,15 +91,18 @@ _ONE_SPACE = bytes(0x20 if i in (0x20, *range(0x09, 0x0E)) else i for i in range
 
 def fingerprint_table(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long. Null texts have no words."""
+    """(doc_id, th, fp): the text's hash, and the fingerprint as a signed long.
+    Null texts have no words."""
     def batch(batches):
         for b in batches:
             fps = [fingerprints(texts, shingle, seed)
                    for _, texts in chunks([None] * b.num_rows, b.column("text").to_pylist(), 1_000_000)]
             fp = np.concatenate([*fps, np.zeros(0, np.uint64)])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(fp.view(np.int64))],
+                                             names=["doc_id", "th", "fp"])
 
-    return stream_texts(docs, id_col, text_col, batch, "doc_id long, fp long")
+    own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), row_hash(text_col).alias("th"))
+    return stream_texts(own, "doc_id", "text", batch, "doc_id long, th long, fp long", ["th"])
 
 
 def _split(fp: np.ndarray, radius: int, rng: np.random.Generator) -> tuple[np.uint64, int]:
@@ -256,7 +259,7 @@ def near_links(distinct: DataFrame, radius: int, shard_size: int = SHARD_SIZE) -
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) of every row; component_id is the smallest
+    """(doc_id, th, fp, component_id) of every row; component_id is the smallest
     doc_id reachable over fingerprints at most ``radius`` bits apart.
 
     Texts without words (null, empty, white space) have fingerprint zero and
@@ -272,4 +275,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: in
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     grouped = parts.join(least, "root").select(F.col("node").alias("fp"), "component_id")
     ids = distinct.join(grouped, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(ids, "fp").select("doc_id", "th", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row
+    with the smallest (doc_id, text hash) stays, null ids last; all columns."""
+    rows = saved(near_duplicates(docs, shingle, radius, seed, id_col, text_col), "simhash-parts")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
+    least = rows.groupBy("component_id").agg(F.min(order).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    gone = (rows.alias("r").join(least.alias("l"), F.col("r.component_id").eqNullSafe(F.col("l.component_id")))
+            .where(~(F.col("r.doc_id").eqNullSafe(F.col("l.m.doc_id")) & (F.col("r.th") == F.col("l.m.th"))))
+            .select("r.doc_id", "r.th"))
+    kept = without(docs, gone, id_col, text_col)
+    if rows.groupBy("doc_id", "th").count().where("count > 1").isEmpty():
+        return kept
+    # rows that repeat an id and a text: one of them
+    return kept.withColumn("__th", row_hash(text_col)).dropDuplicates([id_col, "__th"]).drop("__th")
