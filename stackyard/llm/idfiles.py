@@ -42,6 +42,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
     ids = np.ascontiguousarray(ids, np.uint32)
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"an id needs more than {bits} bits")
+    if bits == 16:
+        return ids.astype(">u2").tobytes()
     if bits % 8 == 0:
         return ids.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 4 - bits // 8:].tobytes()
     out = []
@@ -53,6 +55,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack(payload: bytes, bits: int, first: int, n: int) -> np.ndarray:
     """ids ``first`` to ``first + n`` of a payload, reading only their bytes."""
+    if bits == 16:
+        return np.frombuffer(payload, ">u2", n, 2 * first).astype(np.uint32)
     a, b = first * bits, (first + n) * bits
     raw = np.frombuffer(payload, np.uint8, (b + 7) // 8 - a // 8, a // 8)
     if bits % 8 == 0:

@@ -16,10 +16,26 @@ _WS = "\t-\r \x85\xa0  -     　"
 #: Cuts a text where the byte-level pattern always cuts: a run of white space
 #: without its last character, a word with one space before it, a last character.
 _BYTE_PIECES = re.compile(f"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]")
-_OTHER_WS = [c.encode() for c in "\t\x0b\x0c\r\x85\xa0     　"] + [b"\xe2\x80"]
+_OTHER_WS = [c.encode() for c in "\x85\xa0     　"] + [b"\xe2\x80"]
 
-#: A stop or comma before white space that does not follow a letter or digit.
-_BAD_STOP = re.compile(rb"(?<![a-zA-Z0-9])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,][ \n]")
+
+
+def _class(b: int) -> str:
+    """Kinds of bytes: a letter or digit, a stop or comma, a space or line break,
+    t other white space, c and u first and second byte of a Latin letter, w first
+    byte that white space may have, ! any other."""
+    c = chr(b)
+    if b < 0x80:
+        return "a" if c.isalnum() else "." if c in ".," else " " if c in " \n" else "t" if c in "\t\x0b\x0c\r" else "!"
+    if b < 0xC0:
+        return "!" if b in (0x97, 0xB7) else "u"
+    return {0xC2: "w", 0xC3: "c", 0xE1: "w", 0xE2: "w", 0xE3: "w"}.get(b, "!")
+
+
+_CLASS = "".join(map(_class, range(256))).encode()
+
+#: One word of Latin letters: no pattern cuts it, normal form and (here) case leave it.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 
 #: Pieces that a worker remembers (two generations of this many).
 CACHE_PIECES = 500_000
@@ -49,6 +65,10 @@ class PieceEncoder:
         self.mark, self.apart = ("\n", "\n") if self.keeps_space else ("¶", " ¶ ")
         mark = self._ids(self.mark)
         self.mark_id = mark[0] if len(mark) == 1 else None
+        # the model's letters for bytes: printable ones stand for themselves, others follow from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = {b: chr(b) for b in plain} | {
+            b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
         self.newline = np.array(self._ids("\n"), "<u4").tobytes()
 
     def _ids(self, s: str) -> list[int]:
@@ -58,16 +78,17 @@ class PieceEncoder:
         """Keys of a text's pieces: ``word`` stands for the piece " word", ``\\nword``
         for a line break and the piece "word", ``\\rword`` for "word" at the text's
         start, ``\\tpiece`` for any piece as it is."""
+        kinds = text.translate(_CLASS).replace(b"cu", b"a")
         # a stop or comma after a letter is a piece of its own for both patterns
-        stops = not _BAD_STOP.search(text)
+        stops = kinds.count(b". ") == kinds.count(b"a. ")
         if not self.keeps_space:
             if stops:
                 text = text.replace(b", ", b" , ").replace(b". ", b" . ").replace(b".\n", b" .\n")
             return text.lower().split() if self.lower else text.split()
         if not text:
             return []
-        if b"  " in text or b"\n\n" in text or b"\n " in text or b" \n" in text or text[:1] in (b" ", b"\n") \
-                or text[-1:] in (b" ", b"\n") or any(c in text for c in _OTHER_WS):
+        if b"  " in kinds or b"t" in kinds or kinds[:1] == b" " or kinds[-1:] == b" " \
+                or b"w" in kinds and any(c in text for c in _OTHER_WS):
             return [b"\t" + p.encode() for p in _BYTE_PIECES.findall(text.decode())]
         # single spaces and single line breaks only: cut before each of them
         if stops:
@@ -81,9 +102,16 @@ class PieceEncoder:
         plain, size = [], 0
         for p in new:
             if not self.keeps_space:
-                t = p.decode()
+                t = word = p.decode()
+            elif p[:1] in (b"\r", b"\n", b"\t"):
+                t = word = p[1:].decode()
             else:
-                t = p[1:].decode() if p[:1] in (b"\r", b"\n", b"\t") else " " + p.decode()
+                word = p.decode()
+                t = " " + word
+            if _LETTERS.fullmatch(word) and (not self.lower or word == word.lower()):
+                letters = t.encode().decode("latin-1").translate(self.letters)  # one piece: straight to its merges
+                self._put(p, np.array([x.id for x in self.tok.model.tokenize(letters)], "<u4").tobytes())
+                continue
             if self.mark_id is None or self.mark in t or len(t) > 10_000 or not t.strip():
                 self._put(p, np.array(self._ids(t), "<u4").tobytes())
                 continue
