@@ -38,9 +38,10 @@ from .words import Texts
 DEPTH = 7
 P_MIN = 4e-6
 #: Contexts seen less often in training are no states, whatever their share.
-MIN_COUNT = 16
-#: Strength of the parent in a state's smoothed distribution.
-SMOOTHING = 4.0
+MIN_COUNT = 4
+#: Strength of the parent in a state's smoothed distribution, for each byte
+#: that has followed the state (Witten-Bell).
+SMOOTHING = 2.0
 #: A state's divergence, in nats over all its positions, per byte it predicts.
 DIVERGENCE = 2.0
 FREQUENT = 1 << 17
@@ -207,7 +208,7 @@ class SuffixTree:
         uniform = np.full(size, 1 / 257, np.float64)
         uniform[-1] = 1 / 257  # probability of each unseen byte
         p = np.empty((len(names), size), np.float32)
-        p[0] = (n[0] + smoothing * uniform) / (total[0] + smoothing)
+        p[0] = (n[0] + uniform) / (total[0] + 1)
         keep = np.zeros(len(names), bool)
         keep[0] = True
         for k in range(1, depth + 1):
@@ -220,7 +221,8 @@ class SuffixTree:
                 with np.errstate(divide="ignore", invalid="ignore"):
                     kl = np.where(own > 0, own * np.log(own / t / parent), 0).sum(axis=1)
                 keep[a] = (total[a] >= min_count) & (kl > divergence * (own > 0).sum(axis=1))
-                p[a] = np.where(keep[a][:, None], (own + smoothing * parent) / (total[a][:, None] + smoothing), parent)
+                weight = smoothing * (own > 0).sum(axis=1)[:, None]
+                p[a] = np.where(keep[a][:, None], (own + weight * parent) / np.maximum(total[a][:, None] + weight, 1), parent)
         # states: retained contexts and all their substrings (an automaton needs
         # the prefixes); a state that was not retained has its parent's distribution
         states = {b""}
@@ -301,7 +303,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, i
     totals = {r[0]: r[1] for r in counts.where(F.col("kind").isin(_POSITIONS, _TEXTS)).select("kind", "n").collect()}
     positions, n_texts = totals.get(_POSITIONS, 0), totals.get(_TEXTS, 0)
     # at most 2 / p_min contexts of each length
-    rows = counts.where((F.col("kind") > 0) & (F.col("n") >= p_min / 2 * positions)).select("kind", "key").toArrow()
+    rows = counts.where((F.col("kind") > 0) & (F.col("n") >= max(MIN_COUNT, p_min / 2 * positions))).select("kind", "key").toArrow()
     kind, key = rows.column("kind").to_numpy(), rows.column("key").to_numpy().view(np.uint64)
     contexts = {k: np.sort(key[kind == k]) for k in range(1, depth + 1)}
     tree = SuffixTree(contexts, next_pass(docs, depth, contexts), depth, **options)
@@ -338,7 +340,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, i
                 hit = word[at] == h if len(word) else np.zeros(len(h), bool)
                 known = np.bincount(t.text_of[hit], minlength=len(ids)) + (n_texts > 0)
                 part = np.bincount(t.text_of[hit], weights=np.log10(n[at[hit]] + 1.0), minlength=len(ids))
-                part += np.log10(n_texts + 1.0)
+                part = part + np.log10(n_texts + 1.0)
                 rest, of = h[~hit], t.text_of[~hit]
                 order = np.lexsort((rest, of))
                 rest, of = rest[order], of[order]
