@@ -127,12 +127,13 @@ def geometric_blend(cols: list[str], weights: list[float]) -> Column:
     return reduce(lambda x, y: x * y, [F.pow(F.col(c), F.lit(w)) for c, w in zip(cols, weights)])
 
 
-# Knuth's multiplicative hashing constant and the 2^32 range.
-KNUTH_MULTIPLIER = 2654435761
-HASH_RANGE = 4294967296
+# Fixed value: number of 15-digit hexadecimal numbers.
+HASH_RANGE = 16 ** 15
 
 
 def seeded_shuffle_key(key, seed: int) -> Column:
-    """Reproducible shuffle order ``(key · 2654435761 + seed) mod 2^32``
-    (exact in 64-bit arithmetic for keys below 3.4e9)."""
-    return F.pmod(_c(key).cast("long") * KNUTH_MULTIPLIER + seed, F.lit(HASH_RANGE))
+    """Reproducible shuffle order, the first 15 hexadecimal digits of
+    ``md5(seed:key)``. Seed and key are mixed before the digest, so each seed
+    gives an order of its own, for keys of any size or type."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), _c(key).cast("string")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")

@@ -7,7 +7,7 @@ pairwise-complete because ``corr`` skips rows where either side is null.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stackyard.operators.encode import distinct_counts
@@ -143,48 +143,42 @@ def top_by_abs_corr(df: DataFrame, cols: list[str], target: str, k: int = 200) -
 
 
 def anova_f(df: DataFrame, cols: list[str], label: str) -> DataFrame:
-    """L1: one-way ANOVA F per feature against a class label, from
-    per-class sums (``n, Σx, Σx²``) in one grouped aggregate."""
+    """L1: one-way ANOVA F per feature against a class label, from the
+    count, mean and variance of each class in one grouped aggregate. Class
+    means are taken relative to one of them, so a feature far from zero loses
+    no digits."""
     g = df.where(F.col(label).isNotNull()).groupBy(label).agg(
         *[F.count(c).alias(f"n__{c}") for c in cols],
-        *[F.sum(F.col(c).cast("double")).alias(f"s1__{c}") for c in cols],
-        *[F.sum(F.pow(F.col(c).cast("double"), 2)).alias(f"s2__{c}") for c in cols])
-    parts = ", ".join(f"'{c}', `n__{c}`, `s1__{c}`, `s2__{c}`" for c in cols)
-    lg = g.selectExpr(label, f"stack({len(cols)}, {parts}) AS (name, __n, s1, s2)")
-    per = lg.where(F.col("__n") > 0).groupBy("name").agg(
+        *[F.avg(F.col(c).cast("double")).alias(f"m__{c}") for c in cols],
+        *[F.var_pop(F.col(c).cast("double")).alias(f"v__{c}") for c in cols])
+    parts = ", ".join(f"'{c}', `n__{c}`, `m__{c}`, `v__{c}`" for c in cols)
+    lg = g.selectExpr(label, f"stack({len(cols)}, {parts}) AS (name, __n, m, v)").where(F.col("__n") > 0)
+    lg = lg.withColumn("d", F.col("m") - F.max("m").over(Window.partitionBy("name")))  # a row per class
+    per = lg.groupBy("name").agg(
         F.sum("__n").alias("n"), F.count(F.lit(1)).alias("k"),
-        F.sum("s1").alias("t1"), F.sum("s2").alias("t2"),
-        F.sum(F.pow("s1", 2) / F.col("__n")).alias("between_raw"))
-    ss_between = F.col("between_raw") - F.pow("t1", 2) / F.col("n")
-    ss_within = F.col("t2") - F.col("between_raw")
+        F.sum(F.col("__n") * F.col("d")).alias("t1"), F.sum(F.col("__n") * F.col("d") * F.col("d")).alias("t2"),
+        F.sum(F.col("__n") * F.col("v")).alias("within"))
+    ss_between = F.col("t2") - F.pow("t1", 2) / F.col("n")
+    ss_within = F.col("within")
     f = F.try_divide(ss_between / (F.col("k") - 1), ss_within / (F.col("n") - F.col("k")))
     return per.select("name", f.alias("f_score"))
 
 
-def select_k_best(df: DataFrame, cols: list[str], label: str, k: int | str = "all") -> list[str]:
-    """L1: names of the ``k`` best features by F (``'all'`` keeps all)."""
-    if k == "all":
-        return list(cols)
-    top = anova_f(df, cols, label).orderBy(F.desc("f_score"), "name").limit(int(k)).collect()
-    return [r["name"] for r in top]
-
-
 def onehot_target_corr(df: DataFrame, col: str, target: str, prefix_sep: str = "_") -> DataFrame:
     """A15 (one-hot vs target, closed form): Pearson of each dummy
     ``col = v`` with a numeric target without building the dummy columns,
     from one grouped aggregate: with ``n`` rows where the target is present,
-    ``n_v`` rows of value v, ``S = Σy``, ``Q = Σy²`` and ``S_v = Σ_{v} y``,
-    ``r = (n·S_v - n_v·S) / sqrt(n_v (n - n_v) · (n·Q - S²))``.
+    ``n_v`` rows of value v, target mean ``m`` and variance ``s²``, and mean
+    ``m_v`` over value v, ``r = n_v (m_v - m) / sqrt(n_v (n - n_v) · s²)``.
     Null values form their own dummy only if present (``nan``)."""
     src = df.where(F.col(target).isNotNull()).select(
         F.coalesce(F.col(col).cast("string"), F.lit("nan")).alias("__v"),
         F.col(target).cast("double").alias("__y"))
-    tot = src.agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("s"),
-                  F.sum(F.col("__y") * F.col("__y")).alias("q")).first()  # scalars
-    n, s, q = float(tot["n"]), float(tot["s"] or 0.0), float(tot["q"] or 0.0)
-    g = src.groupBy("__v").agg(F.count(F.lit(1)).alias("nv"), F.sum("__y").alias("sv"))
-    num = F.lit(n) * F.col("sv") - F.col("nv") * F.lit(s)
-    den = F.sqrt(F.col("nv") * (F.lit(n) - F.col("nv")) * F.lit(n * q - s * s))
+    tot = src.agg(F.count(F.lit(1)).alias("n"), F.avg("__y").alias("m"), F.var_pop("__y").alias("v")).first()  # scalars
+    n, m, v = float(tot["n"]), float(tot["m"] or 0.0), float(tot["v"] or 0.0)
+    g = src.groupBy("__v").agg(F.count(F.lit(1)).alias("nv"), F.avg("__y").alias("mv"))
+    num = F.col("nv") * (F.col("mv") - F.lit(m))
+    den = F.sqrt(F.col("nv") * (F.lit(n) - F.col("nv")) * F.lit(v))
     return g.select(F.concat(F.lit(col + prefix_sep), F.col("__v")).alias("name"),
                     F.when(den > 0, num / den).alias("r"))
 

@@ -8,11 +8,16 @@ count was checked against the encoder's limit.
 
 from __future__ import annotations
 
+import datetime
 import math
 from dataclasses import dataclass
+from decimal import Decimal
 
+from pyspark.ml import Model, Pipeline
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from stackyard.operators.joins import attach, measured
 from stackyard.operators.ordering import range_bounds, row_index
@@ -146,10 +151,11 @@ def onehot_all(df: DataFrame, col: str, max_values: int = 150, sep: str = "_",
 
 def onehot_drop_last(df: DataFrame, col: str, max_values: int = 1000, sep: str = "_") -> DataFrame:
     """Dummies of sorted values plus a null column, last one dropped
-    (the null column is last, so one column per non-null value remains)."""
+    (the null column is last, so one column per non-null value remains).
+    Above ``max_values`` values the dummies are the slots of one sparse vector."""
     vals = bounded_values(df, col, max_values)
     if vals is None:
-        return df
+        return apply_sparse_onehot(df, col, sparse_onehot(df, col))
     cols = dummies(col, vals, sep, null_col=True)[:-1]
     return replace_cols(df, col, cols)
 
@@ -171,9 +177,7 @@ def to_onehot(df: DataFrame, cols: list[str], max_values: int = 500, sep: str =
     out = df
     for c in chosen:
         present = [r for r in rows if r["name"] == c]
-        vals = sorted({r["value"] for r in present if not r["isnull"]},
-                      key=(lambda v: float(v)) if types[c] not in ("string",) else (lambda v: v))
-        vals = [type_cast(v, types[c]) for v in vals]
+        vals = sorted({type_cast(r["value"], types[c]) for r in present if not r["isnull"]})
         has_null = any(r["isnull"] for r in present)
         out = replace_cols(out, c, dummies(c, vals, sep, null_col=has_null))
     return out
@@ -185,9 +189,34 @@ def type_cast(v: str, dtype: str):
         return int(v)
     if dtype in ("double", "float"):
         return float(v)
+    if dtype == "boolean":
+        return v == "true"
+    if dtype == "date":
+        return datetime.date.fromisoformat(v)
+    if dtype.startswith("timestamp"):
+        return datetime.datetime.fromisoformat(v)
+    if dtype.startswith("decimal"):
+        return Decimal(v)
     return v
 
 
+def sparse_onehot(df: DataFrame, col: str, where: Column | None = None) -> Model:
+    """A fitted one-hot encoder into one sparse vector ``<col>_vec`` (a slot for
+    each value in text order; null and unseen values have none): the form
+    for columns with more values than a table should have columns."""
+    src = df if where is None else df.where(where)
+    text = SQLTransformer(statement=f"SELECT *, CAST(`{col}` AS STRING) AS __value FROM __THIS__")
+    code = StringIndexer(inputCol="__value", outputCol="__code", handleInvalid="keep", stringOrderType="alphabetAsc")
+    vector = OneHotEncoder(inputCol="__code", outputCol=f"{col}_vec", dropLast=True)
+    return Pipeline(stages=[text, code, vector]).fit(src.where(F.col(col).isNotNull()))
+
+
+def apply_sparse_onehot(df: DataFrame, col: str, model: Model) -> DataFrame:
+    """``col`` replaced, in its place, by the sparse vector of :func:`sparse_onehot`."""
+    out = model.transform(df)
+    return out.select(*[F.col(f"{col}_vec") if c == col else F.col(c) for c in df.columns])
+
+
 def onehot_if_same_max(df: DataFrame, col: str, side: str = "is_train", max_limit: int = 1000,
                        check_width: bool = True, sep: str = "_") -> DataFrame:
     """One-hot (last dummy dropped) when the train maximum equals the
@@ -206,17 +235,18 @@ def onehot_if_same_max(df: DataFrame, col: str, side: str = "is_train", max_limi
     return replace_cols(df, col, dummies(col, vals, sep)[:-1])
 
 
-def onehot_fit(df: DataFrame, col: str, max_values: int = 1000, where: Column | None = None) -> list:
-    """E10 fit: the train value list (bounded)."""
+def onehot_fit(df: DataFrame, col: str, max_values: int = 1000, where: Column | None = None) -> list | Model:
+    """E10 fit: the train value list, or above ``max_values`` values a fitted
+    sparse encoder; :func:`binarize` takes either."""
     vals = bounded_values(df, col, max_values, where)
-    if vals is None:
-        raise ValueError(f"{col}: more than {max_values} values")
-    return vals
+    return sparse_onehot(df, col, where) if vals is None else vals
 
 
-def binarize(df: DataFrame, col: str, values: list[str], sep: str = "_") -> DataFrame:
+def binarize(df: DataFrame, col: str, values: list[str] | Model, sep: str = "_") -> DataFrame:
     """E11/E10 transform: dummies against a fixed list, column cast to
     string first; values absent from the list give all zeros."""
+    if isinstance(values, Model):
+        return apply_sparse_onehot(df, col, values)
     s = df.withColumn(col, F.coalesce(F.col(col).cast("string"), F.lit("nan")))
     return replace_cols(s, col, dummies(col, [str(v) for v in values], sep))
 
@@ -227,8 +257,9 @@ def onehot_in_place(df: DataFrame, cols: list[str], max_values: int = 1000, sep:
     for c in cols:
         vals = bounded_values(df, c, max_values)
         if vals is None:
-            raise ValueError(f"{c}: more than {max_values} values")
-        out = replace_cols(out, c, dummies(c, vals, sep))
+            out = apply_sparse_onehot(out, c, sparse_onehot(df, c))
+        else:
+            out = replace_cols(out, c, dummies(c, vals, sep))
     return out
 
 
@@ -297,24 +328,27 @@ def fit_target_encoding(df: DataFrame, col: str, target: str = "target", side: s
     null becomes ``missing``, then train mean and sample std of the target
     per resulting category, kept with at least ``min_support`` train rows.
 
-    One aggregate per raw value collects side flags and train sums
-    (``n, Σy, Σy²``, combined map-side, so a hot value is cheap); relabelling
-    and re-aggregation run on that per-value table, which is measured (one
-    job that also reads the null category's statistics)."""
+    One aggregate per raw value collects side flags and the train count,
+    mean and variance (combined map-side, so a hot value is cheap);
+    relabelling and merging run on that per-value table, around the overall
+    mean, so a target far from zero loses no digits. The table is measured
+    (one job that also reads the null category's statistics)."""
     y = F.col(target).cast("double")
     tr = F.col(side)
     per = df.groupBy(col).agg(
         F.count(F.lit(1)).alias("__rows"),
         F.max(tr.cast("int")).alias("__tr"), F.min(tr.cast("int")).alias("__te"),
-        F.count_if(tr).alias("__n"), F.sum(F.when(tr, y)).alias("__s1"),
-        F.sum(F.when(tr, y * y)).alias("__s2"))
+        F.count(F.when(tr, y)).alias("__n"), F.avg(F.when(tr, y)).alias("__m"),
+        F.var_pop(F.when(tr, y)).alias("__v"))
     label = (F.when(F.col(col).isNull(), F.lit(missing))
               .when((F.col("__tr") == 1) & (F.col("__te") == 0), F.col(col).cast("string"))
               .otherwise(F.lit(orphan)))
-    per = per.withColumn("__lab", label)
-    grp = per.groupBy("__lab").agg(F.sum("__n").alias("n"), F.sum("__s1").alias("s1"),
-                                   F.sum("__s2").alias("s2"))
-    mean = F.col("s1") / F.col("n")
+    per = per.withColumn("__lab", label).persist()
+    mid = per.agg(F.sum(F.col("__n") * F.col("__m")) / F.sum("__n")).first()[0] or 0.0
+    off = F.col("__m") - F.lit(mid)
+    grp = per.groupBy("__lab").agg(F.sum("__n").alias("n"), F.sum(F.col("__n") * off).alias("s1"),
+                                   F.sum(F.col("__n") * (F.col("__v") + off * off)).alias("s2"))
+    mean = F.lit(mid) + F.col("s1") / F.col("n")
     var = F.try_divide(F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"), F.col("n") - 1)
     grp = grp.where(F.col("n") >= min_support).select(
         "__lab", mean.alias(f"{col}_avg"),
@@ -369,6 +403,9 @@ def bernoulli_nb_encode(df: DataFrame, col: str, target: str = "target", side: s
                    ((F.col("c1") + alpha) / (n1 + 2 * alpha)).alias("t1")).persist()
     sums = th.agg(F.sum(F.log(1 - F.col("t0"))).alias("s0"), F.sum(F.log(1 - F.col("t1"))).alias("s1"),
                   F.count(F.lit(1)).alias("n")).first()  # also sizes the per-value table
+    if not 0 < n1 < n_all:  # one class only (or no train row): its share is certain
+        p = float("nan") if not n_all else n1 / n_all
+        return s.select(*[F.lit(p).alias(out or col) if c == col else F.col(c) for c in df.columns])
     k0 = math.log((n_all - n1) / n_all) + sums["s0"]
     k1 = math.log(n1 / n_all) + sums["s1"]
     per_val = th.select(
@@ -410,14 +447,17 @@ def fill_mean(df: DataFrame, cols: list[str], where: Column | None = None) -> Da
 
 
 def column_modes(df: DataFrame, cols: list[str], where: Column | None = None) -> DataFrame:
-    """Most frequent non-null value per column, tie → smallest value.
-    Long form ``(name, value, n)`` aggregated map-side; one row per column."""
+    """Most frequent non-null value per column, tie → smallest value
+    (numbers by value, other types by text). Long form ``(name, value, n)``
+    aggregated map-side; one row per column."""
     src = df if where is None else df.where(where)
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
+    number = lambda c: F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
     long = src.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols
+        F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"), number(c).alias("num")) for c in cols
     ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull())
-    cnt = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-    key = F.struct((-F.col("n")).alias("a"), F.col("value").alias("b"))
+    cnt = long.groupBy("name", "value", "num").agg(F.count(F.lit(1)).alias("n"))
+    key = F.struct((-F.col("n")).alias("a"), F.col("num").alias("b"), F.col("value").alias("c"))
     return cnt.groupBy("name").agg(F.min_by("value", key).alias("value"),
                                    F.max("n").alias("n"))
 

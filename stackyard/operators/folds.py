@@ -1,8 +1,8 @@
 """Fold assignment, holdouts and splits.
 
-Deterministic splits hash the row key with a seeded multiplicative hash
-(``(id·2654435761 + seed) mod 2^32``, exact in any engine) instead of
-``randomSplit``, whose result depends on partitioning. Contiguous folds use
+Deterministic splits hash seed and row key together (15 hexadecimal digits of
+an MD5, the same in any engine) instead of ``randomSplit``, whose result
+depends on partitioning. Contiguous folds use
 the range-partitioned row index, so no class lands in a single task.
 """
 
@@ -39,11 +39,6 @@ def shuffled_stratified_kfold(df: DataFrame, y: str, k: int, seed: int, key: str
     return stratified_kfold(df, y, k, seeded_shuffle_key(key, seed), name)
 
 
-def hash_kfold(df: DataFrame, k: int, seed: int, key: str = "id", name: str = "fold") -> DataFrame:
-    """Scale form of a shuffled split: ``pmod(xxhash64(key, seed), k)``."""
-    return df.withColumn(name, F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
-
-
 def positional_holdout(df: DataFrame, frac: float, order: str = "id", name: str = "is_fit") -> DataFrame:
     """The first ``floor(frac·n)`` rows in key order are the fit side."""
     idx = row_index(df, [order], name="__pos", total_name="__n")

@@ -8,19 +8,77 @@ import itertools
 import random
 import time
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
+                                   RandomForestRegressor)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stackyard.operators.metrics import kappa, log_loss
+from stackyard.operators.metrics import log_loss
 
-MAX_TREE_DEPTH = 30  # Spark ML limit; deeper source settings are capped
+MAX_TREE_DEPTH = 30  # Spark ML limit; deeper settings are refused
+
+
+class ProbabilityModel(Model):
+    """Class shares of regression trees as a ``probability`` vector."""
+
+    def __init__(self, parts: list):
+        super().__init__()
+        self.parts = parts  # one regressor of the 0/1 label, or one for each class
+
+    @property
+    def featureImportances(self):
+        return self.parts[0].featureImportances
+
+    def _transform(self, dataset):
+        out, shares = dataset, []
+        for k, part in enumerate(self.parts):
+            name = f"__share{k}"
+            out = part.setPredictionCol(name).transform(out)
+            shares.append(F.col(name))
+        if len(shares) == 1:
+            p = F.array(1.0 - shares[0], shares[0])
+        else:
+            total = sum(shares[1:], shares[0])
+            p = F.array(*[F.when(total > 0, s / total).otherwise(1.0 / len(shares)) for s in shares])
+        return (out.withColumn("probability", array_to_vector(p))
+                .withColumn("prediction", (F.array_position(p, F.array_max(p)) - 1).cast("double"))
+                .drop(*[f"__share{k}" for k in range(len(shares))]))
+
+
+class _ClassShares:
+    """Fits on the 0/1 label (variance splits are the gini splits), so a leaf
+    predicts the share of its class. Spark ML's tree classifiers merge sibling
+    leaves with the same predicted class, which loses their shares. With
+    ``classes`` above 2 one tree or forest is fitted for each class."""
+
+    classes = 2
+
+    def _fit(self, dataset):
+        label = self.getLabelCol()
+        if self.classes <= 2:
+            return ProbabilityModel([super()._fit(dataset)])
+        parts = []
+        for k in range(self.classes):
+            own = dataset.withColumn("__class", (F.col(label) == k).cast("double"))
+            parts.append(self.copy({self.labelCol: "__class"}).fit_class(own))
+        return ProbabilityModel(parts)
+
+    def fit_class(self, dataset):
+        return super()._fit(dataset)
+
+
+class ShareTree(_ClassShares, DecisionTreeRegressor):
+    pass
+
+
+class ShareForest(_ClassShares, RandomForestRegressor):
+    pass
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features", fill: float | None = -999.0) -> DataFrame:
@@ -33,17 +91,31 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features", fill: float
 def estimator(kind: str, label: str = "label", features: str = "features", seed: int = 2017,
               weight: str | None = None, **kw) -> Estimator:
     """Named estimators. ``extra_trees`` is a forest without bootstrap
-    (Spark ML has no random split thresholds: documented approximation)."""
-    depth = min(int(kw.pop("max_depth", 5)), MAX_TREE_DEPTH)
+    (Spark ML has no random split thresholds: documented approximation).
+    ``criterion='entropy'`` needs Spark ML's classifiers, whose merged leaves
+    (see :class:`_ClassShares`) make its probabilities coarser."""
+    depth = int(kw.pop("max_depth", 5))
+    if depth > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth {depth}: Spark ML grows trees of at most {MAX_TREE_DEPTH} levels")
     common = dict(labelCol=label, featuresCol=features)
     if weight:
         common["weightCol"] = weight
+    if kind in ("tree", "forest", "extra_trees") and kw.get("criterion", "gini") != "entropy":
+        if kind == "tree":
+            out = ShareTree(maxDepth=depth, minInstancesPerNode=kw.get("min_leaf", 1), seed=seed, **common)
+        else:
+            out = ShareForest(numTrees=kw.get("trees", 20), maxDepth=depth,
+                              featureSubsetStrategy=kw.get("max_features", "sqrt"),
+                              minInstancesPerNode=kw.get("min_leaf", 1), bootstrap=(kind == "forest"),
+                              seed=seed, **common)
+        out.classes = kw.get("classes", 2)
+        return out
     if kind == "tree":
-        return DecisionTreeClassifier(impurity=kw.get("criterion", "entropy"), maxDepth=depth,
+        return DecisionTreeClassifier(impurity="entropy", maxDepth=depth,
                                       minInstancesPerNode=kw.get("min_leaf", 1), seed=seed, **common)
     if kind in ("forest", "extra_trees"):
         return RandomForestClassifier(numTrees=kw.get("trees", 20), maxDepth=depth,
-                                      impurity=kw.get("criterion", "gini"),
+                                      impurity="entropy",
                                       featureSubsetStrategy=kw.get("max_features", "sqrt"),
                                       minInstancesPerNode=kw.get("min_leaf", 1),
                                       bootstrap=(kind == "forest"), seed=seed, **common)
@@ -52,8 +124,9 @@ def estimator(kind: str, label: str = "label", features: str = "features", seed:
                              subsamplingRate=kw.get("subsample", 1.0), seed=seed, **common,
                              **({"validationIndicatorCol": kw["valid_col"]} if kw.get("valid_col") else {}))
     if kind == "logistic":
-        c, n = kw.get("C", 1.0), kw.get("n_rows", 1)
-        return LogisticRegression(regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
+        if "n_rows" not in kw:
+            raise ValueError("logistic: n_rows (rows of the fit) sets the penalty 1 / (C * n_rows)")
+        return LogisticRegression(regParam=1.0 / (kw.get("C", 1.0) * kw["n_rows"]), elasticNetParam=0.0, standardization=False,
                                   maxIter=kw.get("max_iter", 100), **common)
     if kind == "bernoulli_nb":
         return NaiveBayes(modelType="bernoulli", smoothing=kw.get("alpha", 1.0), **common)
@@ -81,10 +154,28 @@ def class_probabilities(df: DataFrame, n_class: int, prefix: str = "p_", prob: s
 
 
 def predict(model, df: DataFrame, out: str = "pred", regression: bool = False) -> DataFrame:
+    """One new column; models can be applied one after another to the same rows."""
     res = model.transform(df)
-    if regression:
-        return res.withColumnRenamed("prediction", out)
-    return positive_probability(res, out)
+    res = res.withColumnRenamed("prediction", out) if regression else positive_probability(res, out)
+    return res.drop("rawPrediction", "probability", "prediction")
+
+
+def mean_prediction(models: list, df: DataFrame, out: str = "pred", regression: bool = False) -> DataFrame:
+    """The mean of several models' predictions, row by row."""
+    names = [f"__{out}_{i}" for i in range(len(models))]
+    for m, n in zip(models, names):
+        df = predict(m, df, n, regression)
+    return df.withColumn(out, sum(F.col(n) for n in names) / len(names)).drop(*names)
+
+
+def fold_prediction(models: list, df: DataFrame, fold_col: str, out: str = "pred",
+                    regression: bool = False) -> DataFrame:
+    """Each row's prediction by the model of its fold (the one that did not see it)."""
+    names = [f"__{out}_{i}" for i in range(len(models))]
+    for m, n in zip(models, names):
+        df = predict(m, df, n, regression)
+    own = F.element_at(F.array(*names), F.col(fold_col).cast("int") + 1)
+    return df.withColumn(out, own).drop(*names)
 
 
 class LogLossEvaluator(Evaluator):
@@ -102,20 +193,6 @@ class LogLossEvaluator(Evaluator):
         return False
 
 
-class KappaEvaluator(Evaluator):
-    """Quadratic weighted kappa of a rounded regression output."""
-
-    def __init__(self, label: str = "label", pred: str = "prediction"):
-        super().__init__()
-        self.label, self.pred = label, pred
-
-    def _evaluate(self, dataset):
-        return kappa(dataset, self.label, self.pred).first()[0]
-
-    def isLargerBetter(self):
-        return True
-
-
 def cv_score(df: DataFrame, kind: str, folds: int, label: str = "label", fold_col: str = "fold",
              fold_features=None, **params) -> DataFrame:
     """Per-fold train and validation log loss of one model (rows

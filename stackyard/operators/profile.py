@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,8 +103,8 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 def percentiles(df: DataFrame, col: str, qs: list[float]) -> DataFrame:
     """Exact percentiles with linear interpolation, without gathering a
     column in one buffer: distinct values with counts get cumulative counts
-    (range-partitioned), the two order statistics around each rank are
-    located with a broadcast range join against the small list of ranks."""
+    (range-partitioned); the wanted ranks that fall into a value's run of
+    positions are found by binary search, then joined on their number."""
     vals = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(
         F.count(F.lit(1)).alias("cnt")).persist()
     spark = df.sparkSession
@@ -116,9 +117,17 @@ def percentiles(df: DataFrame, col: str, qs: list[float]) -> DataFrame:
     for q in qs:
         h = float(q) * (n - 1)
         pos_rows += [(float(q), h, "lo", math.floor(h)), (float(q), h, "hi", math.ceil(h))]
-    pos = spark.createDataFrame(pos_rows, "q double, h double, side string, i long")
-    hit = cum.join(F.broadcast(pos), (F.col("i") >= F.col("before")) &
-                   (F.col("i") < F.col("before") + F.col("cnt")))
+    wanted = sorted({r[3] for r in pos_rows})
+    number = {i: k for k, i in enumerate(wanted)}
+    pos = spark.createDataFrame([(*r[:3], number[r[3]]) for r in pos_rows], "q double, h double, side string, at int")
+    # wanted ranks below a position: the bucket of (position - 1/2) among them
+    splits = [float("-inf"), *map(float, wanted), float("inf")]
+    hit = cum.withColumn("__lo", F.col("before") - 0.5).withColumn("__hi", F.col("before") + F.col("cnt") - 0.5)
+    for c in ("__lo", "__hi"):
+        hit = Bucketizer(splits=splits, inputCol=c, outputCol=f"{c}_n").transform(hit)
+    hit = (hit.where(F.col("__lo_n") < F.col("__hi_n"))
+           .select("v", F.explode(F.sequence(F.col("__lo_n").cast("int"), F.col("__hi_n").cast("int") - 1)).alias("at"))
+           .join(F.broadcast(pos), "at"))  # at most two rows per quantile
     piv = hit.groupBy("q", "h").agg(
         F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("vlo"),
         F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("vhi"))

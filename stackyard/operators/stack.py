@@ -10,14 +10,19 @@ cluster names one, so a lost executor recomputes from there.
 
 from __future__ import annotations
 
+import operator
 import random
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stackyard.operators.models import assemble, class_probabilities, estimator, predict
+from stackyard.operators.models import (assemble, class_probabilities, estimator, fold_prediction,
+                                        mean_prediction, predict)
 from stackyard.session import cut_lineage
 
 
@@ -37,38 +42,34 @@ def _prepare(df: DataFrame, features: list[str]) -> DataFrame:
     return cut_lineage(assemble(df, features)).persist()
 
 
+def _with_rows(kind: str, params: dict, tr: DataFrame) -> dict:
+    """The penalty of a logistic regression depends on the rows of its fit."""
+    return {"n_rows": tr.count(), **params} if kind == "logistic" else params
+
+
+def _fold_jobs(tr: DataFrame, kind: str, label: str, folds: int, fold_col: str, refit: bool) -> list:
+    """Fits of one model: one without each fold, then one on all rows."""
+    jobs = [(kind, label, tr.where(F.col(fold_col) != k)) for k in range(folds)]
+    return jobs + [(kind, label, tr)] if refit else jobs
+
+
 def oof_predict(train: DataFrame, test: DataFrame | None, features: list[str], label: str, kind: str,
                 folds: int, fold_col: str = "fold", key: str = "id", name: str = "pred",
-                test_mode: str = "refit", regression: bool = False, prepared: bool = False,
-                **params) -> DataFrame:
+                test_mode: str = "refit", regression: bool = False, **params) -> DataFrame:
     """K1/K3/K4: out-of-fold predictions for train rows and test-side
     predictions, either by a refit on all train rows (``refit``) or as the
-    mean of the fold models (``mean``). Returns ``(id, name)``."""
-    if prepared:
-        tr, te = train, test
-    else:
-        tr = _prepare(train, features)
-        te = _prepare(test, features) if test is not None else None
-    parts, test_parts = [], []
-    fitted = fit_parallel([(kind, label, tr.where(F.col(fold_col) != k)) for k in range(folds)]
-                          + ([(kind, label, tr)] if te is not None and test_mode != "mean" else []),
-                          params)
-    for k in range(folds):
-        model = fitted[k]
-        parts.append(predict(model, tr.where(F.col(fold_col) == k), name, regression).select(key, name))
-        if te is not None and test_mode == "mean":
-            test_parts.append(predict(model, te, name, regression).select(key, name))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if te is not None:
-        if test_mode == "mean":
-            long = test_parts[0]
-            for p in test_parts[1:]:
-                long = long.unionByName(p)
-            out = out.unionByName(long.groupBy(key).agg(F.avg(name).alias(name)))
-        else:
-            out = out.unionByName(predict(fitted[folds], te, name, regression).select(key, name))
+    mean of the fold models (``mean``). Returns ``(id, name)``. The fitted
+    models are applied one after another to the same rows: no join, no shuffle."""
+    tr = _prepare(train, features)
+    params = _with_rows(kind, params, tr)
+    refit = test is not None and test_mode != "mean"
+    fitted = fit_parallel(_fold_jobs(tr, kind, label, folds, fold_col, refit), params)
+    out = fold_prediction(fitted[:folds], tr, fold_col, name, regression).select(key, name)
+    if test is not None:
+        te = assemble(test, features)
+        scored = (predict(fitted[folds], te, name, regression) if refit
+                  else mean_prediction(fitted, te, name, regression))
+        out = out.unionByName(scored.select(key, name))
     return out
 
 
@@ -76,18 +77,18 @@ def oof_bumps(train: DataFrame, test: DataFrame, features: list[str], y: str, n_
               folds: int, fold_col: str = "fold", key: str = "id", **params) -> DataFrame:
     """K1: one binary model per ordinal cut ``y <= k+1`` (k = 0..n_class-2),
     out of fold on train, refit on all train for test; wide
-    ``(id, bump_0..)``. The assembled train/test tables are prepared once
-    and shared by all cuts."""
+    ``(id, bump_0..)``. All cuts' models are applied to the same rows."""
     labs = [f"__lab{k}" for k in range(n_class - 1)]
     tr = _prepare(train.select("*", *[(F.col(y) <= k + 1).cast("double").alias(lab)
                                       for k, lab in enumerate(labs)]), features)
-    te = _prepare(test, features)
-    out = None
-    for k, lab in enumerate(labs):
-        p = oof_predict(tr, te, features, lab, kind, folds, fold_col, key, f"bump_{k}",
-                        prepared=True, **params)
-        out = p if out is None else out.join(p, key)
-    return out
+    te = assemble(test, features)
+    fitted = fit_parallel([j for lab in labs for j in _fold_jobs(tr, kind, lab, folds, fold_col, True)], params)
+    cols = [f"bump_{k}" for k in range(n_class - 1)]
+    for k, c in enumerate(cols):
+        own = fitted[k * (folds + 1):(k + 1) * (folds + 1)]
+        tr = fold_prediction(own[:folds], tr, fold_col, c)
+        te = predict(own[folds], te, c)
+    return tr.select(key, *cols).unionByName(te.select(key, *cols))
 
 
 def oof_multiclass(train: DataFrame, test: DataFrame, features: list[str], y: str, n_class: int,
@@ -96,33 +97,29 @@ def oof_multiclass(train: DataFrame, test: DataFrame, features: list[str], y: st
     shifted to 0..n-1 for Spark ML)."""
     lab = "__lab"
     tr = _prepare(train.withColumn(lab, (F.col(y) - 1).cast("double")), features)
-    te = _prepare(test, features)
+    fitted = fit_parallel(_fold_jobs(tr, kind, lab, folds, fold_col, True), {**params, "classes": n_class})
     cols = [f"p_{i + 1}" for i in range(n_class)]
-    parts = []
-    for k in range(folds):
-        model = estimator(kind, lab, **params).fit(tr.where(F.col(fold_col) != k))
-        res = class_probabilities(model.transform(tr.where(F.col(fold_col) == k)), n_class, "p_", offset=1)
-        parts.append(res.select(key, *cols))
-    model = estimator(kind, lab, **params).fit(tr)
-    parts.append(class_probabilities(model.transform(te), n_class, "p_", offset=1).select(key, *cols))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    names = [f"__fold{k}" for k in range(folds)]
+    for m, n in zip(fitted, names):
+        tr = (m.transform(tr).withColumn(n, vector_to_array(F.col("probability")))
+              .drop("rawPrediction", "probability", "prediction"))
+    tr = tr.withColumn("__p", F.element_at(F.array(*names), F.col(fold_col).cast("int") + 1))
+    out = tr.select(key, *[F.col("__p")[i].alias(c) for i, c in enumerate(cols)])
+    te = class_probabilities(fitted[folds].transform(assemble(test, features)), n_class, "p_", offset=1)
+    return out.unionByName(te.select(key, *cols))
 
 
 def holdout_stack(df: DataFrame, test: DataFrame, features: list[str], label: str, models: dict,
                   fit_col: str = "is_fit", key: str = "id") -> tuple[DataFrame, DataFrame]:
     """K5: level-1 models fit on the fit side; their predictions on the
-    other train rows and on test become new columns (joined on key)."""
+    other train rows and on test become new columns of those rows."""
     fit_part = _prepare(df.where(F.col(fit_col)), features)
-    rest = df.where(~F.col(fit_col))
-    rest_out, test_out = rest, test
+    rest, te = assemble(df.where(~F.col(fit_col)), features), assemble(test, features)
     for name, (kind, params) in models.items():
         m = estimator(kind, label, **params).fit(fit_part)
-        rest_out = rest_out.join(predict(m, assemble(rest, features), name).select(key, name), key)
-        test_out = test_out.join(predict(m, assemble(test, features), name).select(key, name), key)
-    return rest_out, test_out
+        rest, te = predict(m, rest, name), predict(m, te, name)
+    fit_part.unpersist()
+    return rest.drop("features"), te.drop("features")
 
 
 def meta_learner(train: DataFrame, test: DataFrame, cols: list[str], label: str, kind: str = "logistic",
@@ -130,26 +127,19 @@ def meta_learner(train: DataFrame, test: DataFrame, cols: list[str], label: str,
     """K6/K7/K8: a second-level model on prediction columns; with several
     seeds the test predictions are averaged (A24)."""
     tr = _prepare(train, cols)
-    te = _prepare(test, cols)
-    long = None
-    for s in seeds or [2017]:
-        m = estimator(kind, label, seed=s, **params).fit(tr)
-        p = predict(m, te, name).select(key, F.lit(s).alias("seed"), name)
-        long = p if long is None else long.unionByName(p)
-    return long.groupBy(key).agg(F.avg(name).alias(name))
+    params = _with_rows(kind, params, tr)
+    fitted = [estimator(kind, label, seed=s, **params).fit(tr) for s in seeds or [2017]]
+    tr.unpersist()
+    return mean_prediction(fitted, assemble(test, cols), name).select(key, name)
 
 
 def soft_vote(train: DataFrame, test: DataFrame, features: list[str], label: str, models: dict,
               key: str = "id", name: str = "pred") -> DataFrame:
     """K9: equal-weight mean of the classifiers' P(class 1)."""
-    tr, te = _prepare(train, features), _prepare(test, features)
-    cols = []
-    out = te.select(key)
-    for mname, (kind, params) in models.items():
-        m = estimator(kind, label, **params).fit(tr)
-        out = out.join(predict(m, te, mname).select(key, mname), key)
-        cols.append(mname)
-    return out.select(key, (sum(F.col(c) for c in cols) / len(cols)).alias(name))
+    tr = _prepare(train, features)
+    fitted = [estimator(kind, label, **params).fit(tr) for kind, params in models.values()]
+    tr.unpersist()
+    return mean_prediction(fitted, assemble(test, features), name).select(key, name)
 
 
 def logit_feature(train: DataFrame, apply: DataFrame, features: list[str], label: str, C: float = 10.0,
@@ -196,83 +186,85 @@ def _loss_expr(y: str, p: str):
     return -F.avg(F.col(y) * F.log(pc) + (1 - F.col(y)) * F.log(1 - pc))
 
 
+@dataclass
+class _Group:
+    """A linear feature group: its columns and the log loss of their
+    no-intercept least-squares prediction (None until a column has joined)."""
+    members: list[str]
+    loss: float | None = None
+
+
 class LinearGroups:
     """Greedy linear feature groups.
 
-    ``n`` seeded random start columns open ``n`` groups; every other column
-    joins the group whose no-intercept least-squares prediction lowers the
-    log loss most (groups limited to ``max_elts``). All solves use one
-    Gram-matrix pass (``X'X``, ``X'y``); each step scores its candidate
-    predictions in one aggregate. ``transform`` adds one column per group.
+    The columns are taken in a seeded random order. The first ``n`` open a
+    group each. Every later column is scored in one aggregate against all
+    groups with room (``max_elts`` members at most): the candidate table has a
+    row (group, loss of the prediction with the column). A group that no
+    column has joined takes the column with the least loss; otherwise the
+    column joins the group whose loss it lowers most, or none. All
+    least-squares solves use one Gram-matrix pass. ``transform`` adds one
+    column per group.
     """
 
     def __init__(self, n: int = 1, max_elts: int | None = None, seed: int | None = None):
         self.n, self.max_elts, self.seed = n, max_elts, seed
         self.groups: list[list[str]] = []
-        self.coefs: list[np.ndarray] = []
+        self.coefs: list[dict[str, float]] = []
+
+    def _gram(self, d: DataFrame, cols: list[str], label: str) -> dict:
+        """Sums of products of every two columns, and of each with the label."""
+        keys = [(a, b) for i, a in enumerate(cols) for b in [*cols[i:], label]]
+        sums = d.agg(*[F.sum(F.col(a).cast("double") * F.col(b).cast("double")) for a, b in keys]).first()
+        return dict(zip(keys, sums)) | {(b, a): v for (a, b), v in zip(keys, sums)}
+
+    @staticmethod
+    def _weights(gram: dict, members: list[str], label: str) -> dict[str, float]:
+        a = np.array([[gram[x, y] for y in members] for x in members])
+        w, *_ = np.linalg.lstsq(a, np.array([gram[x, label] for x in members]), rcond=None)
+        return dict(zip(members, map(float, w)))
 
     @staticmethod
-    def _solve(G, b, idx):
-        A = G[np.ix_(idx, idx)]
-        return np.linalg.lstsq(A, b[idx], rcond=None)[0]
+    def _prediction(weights: dict[str, float]):
+        return reduce(operator.add, [F.lit(w) * F.col(c) for c, w in weights.items()])
+
+    def _candidates(self, d: DataFrame, gram: dict, groups: list[_Group], column: str, label: str) -> list[tuple]:
+        """(group, loss with the column) for the groups with room."""
+        room = [g for g in groups if self.max_elts is None or len(g.members) < self.max_elts]
+        if not room:
+            return []
+        predicted = [self._prediction(self._weights(gram, [*g.members, column], label)) for g in room]
+        scored = d.select(label, *[p.alias(f"p{i}") for i, p in enumerate(predicted)])
+        return list(zip(room, scored.agg(*[_loss_expr(label, f"p{i}") for i in range(len(room))]).first()))
 
     def fit(self, df: DataFrame, cols: list[str], label: str) -> "LinearGroups":
-        # the projected numeric matrix is scanned once per greedy step: keep it
+        # the projected numeric matrix is scanned once per column: keep it
         d = cut_lineage(df.select(label, *cols).fillna(0.0, subset=cols)).persist()
-        m = len(cols)
-        aggs = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"g{i}_{j}")
-                for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
-        aggs += [F.sum(F.col(a).cast("double") * F.col(label).cast("double")).alias(f"b{i}")
-                 for i, a in enumerate(cols)]
-        row = d.agg(*aggs).first()
-        G = np.zeros((m, m))
-        for i in range(m):
-            for j in range(i, m):
-                G[i, j] = G[j, i] = row[f"g{i}_{j}"]
-        b = np.array([row[f"b{i}"] for i in range(m)])
-        order = list(range(m))
+        gram = self._gram(d, cols, label)
+        order = sorted(cols)
         random.Random(self.seed).shuffle(order)
-        max_elts = self.max_elts or m
-        groups = [[i] for i in order[:self.n]]
-        last = [1e15] * len(groups)
-        for e in order[self.n:]:
-            cand = [(g, g + [e]) for g in groups if len(g) < max_elts]
-            if not cand:
-                continue
-            exprs = []
-            for gi, (_, idx) in enumerate(cand):
-                w = self._solve(G, b, idx)
-                pred = sum(F.lit(float(w[t])) * F.col(cols[c]) for t, c in enumerate(idx))
-                exprs.append(pred.alias(f"c{gi}"))
-            scored = d.select(F.col(label), *exprs)
-            losses = scored.agg(*[_loss_expr(label, f"c{gi}").alias(f"l{gi}")
-                                  for gi in range(len(cand))]).first()
-            scores = []
-            ci = 0
-            for gi, g in enumerate(groups):
-                if len(g) < max_elts:
-                    scores.append(float(losses[f"l{ci}"]))
-                    ci += 1
-                else:
-                    scores.append(last[gi])
-            gains = [l - s for l, s in zip(last, scores)]
-            best = int(np.argmax(gains))
-            if gains[best] > 0:
-                last[best] = scores[best]
-                groups[best].append(e)
-        self.groups = [[cols[i] for i in g] for g in groups]
-        self.coefs = [self._solve(G, b, g) for g in groups]
+        groups = [_Group([c]) for c in order[:self.n]]
+        for column in order[self.n:]:
+            table = self._candidates(d, gram, groups, column, label)
+            fresh = [(loss, g) for g, loss in table if g.loss is None]
+            if fresh:
+                loss, group = min(fresh, key=lambda t: t[0])
+            else:
+                better = [(loss - g.loss, loss, g) for g, loss in table if loss < g.loss]
+                if not better:
+                    continue
+                _, loss, group = min(better, key=lambda t: t[0])
+            group.members.append(column)
+            group.loss = loss
+        self.groups = [g.members for g in groups]
+        self.coefs = [self._weights(gram, g.members, label) for g in groups]
         self.cols = cols
         d.unpersist()
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
         d = df.fillna(0.0, subset=self.cols)
-        out = []
-        for names, w in zip(self.groups, self.coefs):
-            pred = sum(F.lit(float(wt)) * F.col(c) for wt, c in zip(w, names))
-            out.append(pred.alias("_".join(sorted(names))))
-        return d.select("*", *out)
+        return d.select("*", *[self._prediction(w).alias("_".join(sorted(w))) for w in self.coefs])
 
 
 def chi2_select(df: DataFrame, cols: list[str], label: str, k: int) -> list[str]:

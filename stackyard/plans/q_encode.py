@@ -22,7 +22,7 @@ def q(name, sql=None):
     return deco
 
 
-# E15 on a high-cardinality key (FX2): orphans, missing, support >= 50.
+# E15 on a high-cardinality key (FX2): orphans, missing, support >= 8.
 @q("e15_target_stats_high_card", with_(FX2, """sides AS (
   SELECT cust, max(CAST(is_train AS INT)) AS tr, min(CAST(is_train AS INT)) AS te FROM fx2 GROUP BY cust),
 prep AS (
@@ -32,11 +32,11 @@ prep AS (
   FROM fx2 f LEFT JOIN sides s ON f.cust = s.cust),
 st AS (
   SELECT cust, avg(target) AS a, stddev_samp(target) AS s FROM prep WHERE is_train
-  GROUP BY cust HAVING count(*) >= 50)""") + """
+  GROUP BY cust HAVING count(*) >= 8)""") + """
 SELECT p.id, p.is_train, round(st.a, 6) AS cust_avg, round(st.s, 6) AS cust_std
 FROM prep p LEFT JOIN st ON p.cust = st.cust""")
 def e15_target_stats_high_card(spark, sf):
-    d = E.target_stats_encode(fx.high_card(spark, sf), "cust", min_support=50)
+    d = E.target_stats_encode(fx.high_card(spark, sf), "cust", min_support=8)
     return d.select("id", "is_train", r6("cust_avg"), r6("cust_std"))
 
 

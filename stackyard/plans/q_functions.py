@@ -119,7 +119,7 @@ def w1_scale_unit(spark, sf):
 
 
 @q("f9_rescale_units", "WITH " + UNIT_SQL + """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate,
   round(CASE WHEN round_even(l_discount, 5) = 0 THEN 0.0 ELSE l_discount END * (1.0 / (SELECT unit FROM units WHERE name = 'l_discount')), 6) AS l_discount,
   round(CASE WHEN round_even(l_tax, 5) = 0 THEN 0.0 ELSE l_tax END * (1.0 / (SELECT unit FROM units WHERE name = 'l_tax')), 6) AS l_tax,
   round(CASE WHEN round_even(l_quantity, 5) = 0 THEN 0.0 ELSE l_quantity END * (1.0 / (SELECT unit FROM units WHERE name = 'l_quantity')), 6) AS l_quantity
@@ -127,7 +127,7 @@ FROM lineitem""")
 def f9_rescale_units(spark, sf):
     d = fx.scaled(spark, sf)
     cols = ["l_discount", "l_tax", "l_quantity"]
-    out = SC.rescale_by_units(d, SC.scale_units(d, cols)).drop("l_shipdate")
+    out = SC.rescale_by_units(d, SC.scale_units(d, cols)).withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
     return out.select(*[r6(c) if c in cols else F.col(c) for c in out.columns])
 
 
@@ -223,9 +223,9 @@ def p2_keep_complement(spark, sf):
     return C.keep_complement(fx.claims(spark, sf), ["target", "is_train", "o_totalprice", "c_acctbal"])
 
 
-@q("p3_prefix_select", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@q("p3_prefix_select", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders")
 def p3_prefix_select(spark, sf):
-    o = load(spark, sf, "orders").drop("o_orderdate")
+    o = load(spark, sf, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
     return o.select(*C.columns_matching(o, prefix="o_"))
 
 
@@ -291,15 +291,15 @@ def p12_replace_code(spark, sf):
     return C.replace_value(d, -999999, 2, ["c_nationkey"])
 
 
-@q("p13_reconcile_schemas", with_(FX1) + "SELECT id, o_totalprice IS NULL AS price_missing, c_nationkey FROM fx1 WHERE NOT is_train")
+@q("p13_reconcile_schemas", with_(FX1) + "SELECT id, o_totalprice IS NULL AS price_missing, c_nationkey, is_train FROM fx1")
 def p13_reconcile_schemas(spark, sf):
     d = fx.claims(spark, sf)
     train = d.where("is_train").select("id", "target", F.col("o_totalprice").isNull().alias("price_missing"),
                                        "c_nationkey", "o_orderpriority")
     test = d.where("NOT is_train").select("id", F.col("o_totalprice").isNull().alias("price_missing"),
                                           "c_nationkey", "c_acctbal")
-    _, test2 = C.common_columns(train, test)
-    return test2
+    train2, test2 = C.common_columns(train, test)
+    return train2.withColumn("is_train", F.lit(True)).unionByName(test2.withColumn("is_train", F.lit(False)))
 
 
 @q("p19_row_number", with_(FX1) + "SELECT id, row_number() OVER (ORDER BY id) - 1 AS row FROM fx1")
@@ -370,10 +370,10 @@ def o5_row_sort(spark, sf):
 
 
 @q("o6_shuffle_key", with_(FX1) + """
-SELECT id, (id * 2654435761 + 2017) % 4294967296 AS shuffle_key,
-       row_number() OVER (ORDER BY (id * 2654435761 + 2017) % 4294967296, id) - 1 AS shuffled_pos FROM fx1""")
+SELECT id, CAST('0x' || substr(md5('2017:' || id), 1, 15) AS BIGINT) AS shuffle_key,
+       row_number() OVER (ORDER BY CAST('0x' || substr(md5('2017:' || id), 1, 15) AS BIGINT), id) - 1 AS shuffled_pos FROM fx1""")
 def o6_shuffle_key(spark, sf):
-    """Seeded reproducible row shuffle: a multiplicative hash of the key
+    """Seeded reproducible row shuffle: a digest of seed and key
     (same result in any engine), positions by the distributed row index."""
     d = fx.claims(spark, sf).select("id")
     d = d.withColumn("shuffle_key", SF.seeded_shuffle_key("id", 2017))
@@ -413,10 +413,11 @@ def j3_column_concat(spark, sf):
 
 # ------------------------------------------------------------ sources and sinks
 
-@q("s1_typed_scan", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@q("s1_typed_scan", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders")
 def s1_typed_scan(spark, sf):
-    return load(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                      "o_orderpriority"])
+    o = load(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                   "o_orderdate", "o_orderpriority"])
+    return o.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
 @q("s2_keyed_scan", "SELECT c_custkey AS id, c_nationkey, c_acctbal, c_mktsegment FROM customer")

@@ -1,8 +1,10 @@
 """Model, stacking and selection queries (T1-T11, K1-K9, E18, E19, L2-L4,
-B6, B7, F19, S6). Learned outputs depend on Spark ML internals and seeds,
-so these have no SQL twin (rows-only check); the tests check properties
-(OOF rows never scored by a model that saw them, ranges, seed
-determinism, loss below the constant prior)."""
+B6, B7, F19, S6). Learned outputs on all features depend on Spark ML internals
+and seeds, so these have no SQL twin (rows-only check); the tests check
+properties (OOF rows never scored by a model that saw them, ranges, seed
+determinism, loss below the constant prior). The ``*_group_shares`` queries
+run the same operators on the dummies of one categorical, where the fitted
+model is the mean of each category, and have exact twins."""
 
 from __future__ import annotations
 
@@ -14,14 +16,18 @@ from stackyard.operators import models as MO
 from stackyard.operators import stack as ST
 from stackyard.operators.encode import dummies
 from stackyard.operators.metrics import log_loss
+from stackyard.plans.common import r6
+from stackyard.plans.fixture_sql import FX1, with_
 from stackyard.sources import fixtures as fx
 
 QUERIES, SQL = {}, {}
 
 
-def q(name):
+def q(name, sql=None):
     def deco(fn):
         QUERIES[name] = fn
+        if sql:
+            SQL[name] = sql
         return fn
     return deco
 
@@ -186,7 +192,7 @@ def k5_holdout_stack(spark, sf):
 def _level1(spark, sf):
     train, test = split_claims(spark, sf)
     a = ST.oof_predict(train, test, FEATS, "label", "tree", 4, name="tree_oof", max_depth=5)
-    b = ST.oof_predict(train, test, FEATS, "label", "logistic", 4, name="logit_oof", n_rows=10000, max_iter=30)
+    b = ST.oof_predict(train, test, FEATS, "label", "logistic", 4, name="logit_oof", max_iter=30)
     lv = a.join(b, "id")
     return (train.select("id", "label").join(lv, "id"), test.select("id").join(lv, "id"))
 
@@ -194,7 +200,7 @@ def _level1(spark, sf):
 @q("k6_meta_logistic")
 def k6_meta_logistic(spark, sf):
     tr, te = _level1(spark, sf)
-    return ST.meta_learner(tr, te, ["tree_oof", "logit_oof"], "label", "logistic", n_rows=10000)
+    return ST.meta_learner(tr, te, ["tree_oof", "logit_oof"], "label", "logistic")
 
 
 @q("k7_meta_seeds")
@@ -252,30 +258,22 @@ def l4_linear_groups(spark, sf):
     d = claims_features(spark, sf)
     scaled = d.select("id", "label", "is_train", (F.col("o_totalprice") / 5e5).alias("price"),
                       (F.col("c_acctbal") / 1e4).alias("acct"), (F.col("c_nationkey") / 25).alias("nation"),
-                      *DUM[:4])
-    cols = ["price", "acct", "nation", *DUM[:4]]
-    g = ST.LinearGroups(n=2, max_elts=4, seed=7).fit(scaled.where("is_train"), cols, "label")
+                      *DUM)
+    cols = ["price", "acct", "nation", *DUM]
+    g = ST.LinearGroups(n=2, max_elts=8, seed=7).fit(scaled.where("is_train"), cols, "label")
     out = g.transform(scaled)
     new = [c for c in out.columns if c not in scaled.columns]
     return out.select("id", *new)
 
 
-@q("b6_score_gate")
-def b6_score_gate(spark, sf):
-    p = _fit_score(spark, sf, "tree", max_depth=5)
-    loss = log_loss(p, "label", "pred").first()[0]
-    return MO.gated(p.select("id", "pred"), loss, 0.70)
-
-
 @q("b7_platt_calibration")
 def b7_platt_calibration(spark, sf):
     h = _holdout(spark, sf)
     fit_part = MO.assemble(h.where("is_fit"), FEATS)
     m = MO.estimator("tree", "label", max_depth=6).fit(fit_part)
     scored = MO.predict(m, MO.assemble(h.where("NOT is_fit"), FEATS)).select("id", "label", "pred")
-    cal_fit = scored.where(F.col("id") % 2 == 0)
-    cal_apply = scored.where(F.col("id") % 2 == 1)
-    return MO.platt_calibrate(cal_fit, cal_apply, "label", "pred").select("id", "pred", "calibrated")
+    cal_fit = scored.where(F.col("id") % 2 == 0)  # fitted on one half, applied to all of the holdout
+    return MO.platt_calibrate(cal_fit, scored, "label", "pred").select("id", "pred", "calibrated")
 
 
 @q("f19_polynomial")
@@ -338,3 +336,115 @@ def x7_fold_feature_hook(spark, sf):
         return fp, vp
 
     return MO.cv_score(train, "tree", 3, "label", fold_features=hook, max_depth=4).drop("seconds")
+
+
+# ------------------------------------------------------------ models that are group means
+
+CAT = [f"o_orderpriority_{v}" for v in PRI]
+ALL_FEATURES = {"trees": 3, "max_depth": 6, "max_features": "all"}
+ROWS = """d AS (SELECT id, target, is_train, coalesce(o_orderpriority, 'nan') AS pr FROM fx1)"""
+HOLDOUT = """h AS (SELECT *, row_number() OVER (ORDER BY id) - 1 < floor(count(*) OVER () * 0.75) AS is_fit FROM d WHERE is_train),
+g AS (SELECT pr, avg(target) AS p FROM h WHERE is_fit GROUP BY pr)"""
+HOLDOUT_SQL = with_(FX1, ROWS, HOLDOUT) + "SELECT h.id, round(g.p, 6) AS pred FROM h JOIN g ON h.pr = g.pr WHERE NOT is_fit"
+FOLDS = """f AS (SELECT id, target, pr, ntile({k}) OVER (PARTITION BY target ORDER BY id) - 1 AS fold FROM d WHERE is_train),
+m AS (SELECT k.fold, f.pr, avg(f.target) AS p FROM f, (SELECT DISTINCT fold FROM f) k WHERE f.fold <> k.fold GROUP BY 1, 2)"""
+ALL_TRAIN = """g AS (SELECT pr, avg(target) AS p FROM d WHERE is_train GROUP BY pr)"""
+TEST_SQL = with_(FX1, ROWS, ALL_TRAIN) + "SELECT d.id, round(g.p, 6) AS pred FROM d JOIN g ON d.pr = g.pr WHERE NOT is_train"
+
+
+def _holdout_shares(spark, sf, kind, regression=False, **params):
+    h = MO.assemble(_holdout(spark, sf), CAT)
+    m = MO.estimator(kind, "label", **params).fit(h.where("is_fit"))
+    return MO.predict(m, h.where("NOT is_fit"), "pred", regression).select("id", r6("pred"))
+
+
+@q("t1_tree_group_shares", HOLDOUT_SQL)
+def t1_tree_group_shares(spark, sf):
+    return _holdout_shares(spark, sf, "tree", max_depth=6)
+
+
+@q("b6_score_gate", with_(FX1, ROWS, HOLDOUT, """s AS (SELECT h.id, h.target AS y, g.p FROM h JOIN g ON h.pr = g.pr WHERE NOT is_fit),
+l AS (SELECT avg(-(y * ln(p) + (1 - y) * ln(1 - p))) AS loss FROM s)""") + """
+SELECT lim AS "limit", s.id, round(s.p, 6) AS pred FROM s, l, (VALUES (0.70::DOUBLE), (0.50::DOUBLE)) t(lim) WHERE l.loss < lim""")
+def b6_score_gate(spark, sf):
+    """Both branches of the gate: the looser limit lets the scores out."""
+    h = MO.assemble(_holdout(spark, sf), CAT)
+    m = MO.estimator("tree", "label", max_depth=6).fit(h.where("is_fit"))
+    p = MO.predict(m, h.where("NOT is_fit")).select("id", "label", "pred").persist()
+    loss = log_loss(p, "label", "pred").first()[0]
+    out = [MO.gated(p.select(F.lit(x).alias("limit"), "id", r6("pred")), loss, x) for x in (0.70, 0.50)]
+    return out[0].unionByName(out[1])
+
+
+@q("t3_extra_trees_group_shares", HOLDOUT_SQL)
+def t3_extra_trees_group_shares(spark, sf):
+    return _holdout_shares(spark, sf, "extra_trees", **ALL_FEATURES)
+
+
+@q("t6_linear_group_means", HOLDOUT_SQL)
+def t6_linear_group_means(spark, sf):
+    return _holdout_shares(spark, sf, "linear", regression=True)
+
+
+@q("t9_cv_group_shares", with_(FX1, ROWS, FOLDS.format(k=4), """s AS (
+  SELECT m.fold, f.fold <> m.fold AS is_fit, f.target AS y, m.p FROM f JOIN m ON f.pr = m.pr)""") + """
+SELECT CAST(fold AS INTEGER) AS fold, round(avg(CASE WHEN is_fit THEN -(y * ln(p) + (1 - y) * ln(1 - p)) END), 6) AS train_loss,
+       round(avg(CASE WHEN NOT is_fit THEN -(y * ln(p) + (1 - y) * ln(1 - p)) END), 6) AS cv_loss FROM s GROUP BY fold""")
+def t9_cv_group_shares(spark, sf):
+    train, _ = split_claims(spark, sf)
+    cv = MO.cv_score(MO.assemble(train, CAT), "tree", 4, "label", max_depth=6)
+    return cv.select("fold", r6("train_loss"), r6("cv_loss"))
+
+
+@q("k4_oof_group_shares", with_(FX1, ROWS, FOLDS.format(k=4)) + """
+SELECT f.id, round(m.p, 6) AS pred FROM f JOIN m ON f.fold = m.fold AND f.pr = m.pr
+UNION ALL SELECT d.id, round(avg(m.p), 6) FROM d JOIN m ON d.pr = m.pr WHERE NOT is_train GROUP BY d.id""")
+def k4_oof_group_shares(spark, sf):
+    train, test = split_claims(spark, sf)
+    out = ST.oof_predict(train, test, CAT, "label", "tree", 4, test_mode="mean", max_depth=6)
+    return out.select("id", r6("pred"))
+
+
+@q("k3_oof_group_means", with_(FX1, ROWS, FOLDS.format(k=4), ALL_TRAIN) + """
+SELECT f.id, round(m.p, 6) AS regr FROM f JOIN m ON f.fold = m.fold AND f.pr = m.pr
+UNION ALL SELECT d.id, round(g.p, 6) FROM d JOIN g ON d.pr = g.pr WHERE NOT is_train""")
+def k3_oof_group_means(spark, sf):
+    train, test = split_claims(spark, sf)
+    out = ST.oof_predict(train, test, CAT, "label", "linear", 4, regression=True, name="regr")
+    return out.select("id", r6("regr"))
+
+
+@q("k5_holdout_group_shares", with_(FX1, ROWS, f"""h AS (
+  SELECT *, CAST('0x' || substr(md5('2017:' || id), 1, 15) AS BIGINT) < {int(round(0.3 * 16 ** 15))} AS is_fit FROM d),
+g AS (SELECT pr, avg(target) AS p FROM h WHERE is_train AND is_fit GROUP BY pr)""") + """
+SELECT h.id, round(g.p, 6) AS tree_l1, round(g.p, 6) AS forest_l1 FROM h JOIN g ON h.pr = g.pr WHERE NOT (is_train AND is_fit)""")
+def k5_holdout_group_shares(spark, sf):
+    d = claims_features(spark, sf)
+    train = FO.random_split(d.where("is_train"), 0.3, seed=2017)
+    rest, test = ST.holdout_stack(train, d.where("NOT is_train"), CAT, "label",
+                                  {"tree_l1": ("tree", {"max_depth": 6}), "forest_l1": ("extra_trees", ALL_FEATURES)})
+    cols = ["id", r6("tree_l1"), r6("forest_l1")]
+    return rest.select(*cols).unionByName(test.select(*cols))
+
+
+@q("k8_seeds_group_shares", TEST_SQL)
+def k8_seeds_group_shares(spark, sf):
+    train, test = split_claims(spark, sf)
+    out = ST.meta_learner(train, test, CAT, "label", "extra_trees", seeds=[11, 22, 33], **ALL_FEATURES)
+    return out.select("id", r6("pred"))
+
+
+@q("k9_vote_group_shares", TEST_SQL)
+def k9_vote_group_shares(spark, sf):
+    train, test = split_claims(spark, sf)
+    out = ST.soft_vote(train, test, CAT, "label", {"a": ("tree", {"max_depth": 6}), "b": ("extra_trees", ALL_FEATURES)})
+    return out.select("id", r6("pred"))
+
+
+@q("x4_protocol_group_shares", TEST_SQL)
+def x4_protocol_group_shares(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    train, test = split_claims(spark, sf)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=CAT, outputCol="features"), MO.estimator("tree", "label", max_depth=6)])
+    return MO.positive_probability(pipe.fit(train).transform(test)).select("id", r6("pred"))

@@ -136,7 +136,7 @@ def a12_contingency(spark, sf):
 
 @q("a20_mode", with_(FX1) + _union_sql(["o_orderpriority", "c_mktsegment", "c_nationkey"], """
 SELECT * FROM (SELECT '{c}' AS name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM fx1
-  WHERE is_train AND {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, CAST({c} AS VARCHAR) LIMIT 1)"""))
+  WHERE is_train AND {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, {c} LIMIT 1)"""))
 def a20_mode(spark, sf):
     d = fx.claims(spark, sf)
     return E.column_modes(d, ["o_orderpriority", "c_mktsegment", "c_nationkey"], F.col("is_train"))

@@ -124,10 +124,10 @@ FEAT_SQL = with_(FX1, """feat AS (SELECT id, target, is_train, o_totalprice, c_a
 
 @q("o2_top_abs_corr", FEAT_SQL + """SELECT name, round(r, 6) AS r FROM (""" + " UNION ALL ".join(
     f"""SELECT '{c}' AS name, corr(CAST("{c}" AS DOUBLE), CAST(target AS DOUBLE)) AS r FROM feat""" for c in FEATS)
-    + ") WHERE r IS NOT NULL ORDER BY abs(r) DESC, name LIMIT 10")
+    + ") WHERE r IS NOT NULL ORDER BY abs(r) DESC, name LIMIT 200")
 def o2_top_abs_corr(spark, sf):
-    # top-k report (the source keeps 200 of several hundred; 10 of 13 here)
-    return AS.top_by_abs_corr(_feature_frame(spark, sf), FEATS, "target", 10).select("name", r6("r"))
+    # top-k report
+    return AS.top_by_abs_corr(_feature_frame(spark, sf), FEATS, "target", 200).select("name", r6("r"))
 
 
 def _anova_sql(c):
@@ -159,13 +159,13 @@ def w5_positional_holdout(spark, sf):
 
 
 @q("v1_random_split", with_(FX1) + f"""
-SELECT id, (id * 2654435761 + 2017) % 4294967296 < {int(round(0.7 * 4294967296))} AS is_fit FROM fx1""")
+SELECT id, CAST('0x' || substr(md5('2017:' || id), 1, 15) AS BIGINT) < {int(round(0.7 * 16 ** 15))} AS is_fit FROM fx1""")
 def v1_random_split(spark, sf):
     return FO.random_split(fx.claims(spark, sf).select("id"), 0.7, seed=2017)
 
 
 @q("v2_stratified_split", with_(FX1) + """
-SELECT id, target, row_number() OVER (PARTITION BY target ORDER BY (id * 2654435761 + 2017) % 4294967296, id) - 1
+SELECT id, target, row_number() OVER (PARTITION BY target ORDER BY CAST('0x' || substr(md5('2017:' || id), 1, 15) AS BIGINT), id) - 1
        < floor(count(*) OVER (PARTITION BY target) * CAST(0.8 AS DOUBLE)) AS is_fit FROM fx1 WHERE is_train""")
 def v2_stratified_split(spark, sf):
     d = fx.claims(spark, sf).where("is_train").select("id", "target")
@@ -173,7 +173,7 @@ def v2_stratified_split(spark, sf):
 
 
 @q("v3_shuffled_kfold", with_(FX1) + """
-SELECT id, target, CAST(ntile(5) OVER (PARTITION BY target ORDER BY (id * 2654435761 + 2017) % 4294967296, id) - 1 AS INTEGER) AS fold
+SELECT id, target, CAST(ntile(5) OVER (PARTITION BY target ORDER BY CAST('0x' || substr(md5('2017:' || id), 1, 15) AS BIGINT), id) - 1 AS INTEGER) AS fold
 FROM fx1 WHERE is_train""")
 def v3_shuffled_kfold(spark, sf):
     d = fx.claims(spark, sf).where("is_train").select("id", "target")

@@ -248,3 +248,131 @@ def test_linear_groups_match_brute_force(spark):
             last[best] = scores[best]
             groups[best].append(e)
     assert g.groups == [[cols[i] for i in grp] for grp in groups]
+
+
+# ------------------------------------------------------------ findings of the first review
+
+def test_seeds_give_different_orders_and_large_keys_work(spark):
+    from stackyard.operators.folds import random_split, shuffled_stratified_kfold
+    d = spark.range(0, 20000)
+    a = random_split(d, 0.7, 1).withColumnRenamed("is_fit", "a")
+    both = random_split(a, 0.7, 2, name="b")
+    moved = both.where("a != b").count() / 20000
+    assert abs(moved - 2 * 0.7 * 0.3) < 0.02
+    y = d.withColumn("y", (F.col("id") % 2).cast("int"))
+    f1 = {r["id"]: r["fold"] for r in shuffled_stratified_kfold(y, "y", 4, 1).collect()}
+    f2 = {r["id"]: r["fold"] for r in shuffled_stratified_kfold(y, "y", 4, 77).collect()}
+    assert sum(f1[i] != f2[i] for i in f1) > 0.6 * 20000
+    big = spark.range(600_000_000_000, 600_000_001_000)
+    assert 600 < random_split(big, 0.7, 3).where("is_fit").count() < 800
+
+
+@pytest.mark.parametrize("kind", ["tree", "forest"])
+def test_tree_probabilities_are_leaf_shares(spark, kind):
+    from stackyard.operators import models as MO
+    rates = {0: 0.05, 1: 0.15, 2: 0.25, 3: 0.35}
+    rows = [(g, float(i < 400 * r)) for g, r in rates.items() for i in range(400)]
+    d = MO.assemble(spark.createDataFrame(rows, "g int, label double").withColumn("x", F.col("g").cast("double")), ["x"])
+    kw = {"trees": 1, "max_features": "all"} if kind == "forest" else {}
+    m = MO.estimator("extra_trees" if kind == "forest" else kind, "label", max_depth=4, **kw).fit(d)
+    got = {r["g"]: r["pred"] for r in MO.predict(m, d).select("g", "pred").distinct().collect()}
+    assert got == pytest.approx(rates, abs=1e-6)
+
+
+def test_class_shares_of_several_classes_sum_to_one(spark):
+    from pyspark.ml.functions import vector_to_array
+    from stackyard.operators import models as MO
+    d = MO.assemble(spark.createDataFrame([(float(i % 3), float(i % 3 if i % 5 else 0)) for i in range(300)],
+                                          "x double, label double"), ["x"])
+    m = MO.estimator("tree", "label", max_depth=3, classes=3).fit(d)
+    p = m.transform(d).select("x", vector_to_array("probability").alias("p")).distinct().collect()
+    assert {r["x"]: [round(v, 6) for v in r["p"]] for r in p} == {
+        0.0: [1, 0, 0], 1.0: [0.2, 0.8, 0], 2.0: [0.2, 0, 0.8]}
+
+
+def test_refused_settings(spark):
+    from stackyard.operators import models as MO
+    with pytest.raises(ValueError):
+        MO.estimator("tree", max_depth=35)
+    with pytest.raises(ValueError):
+        MO.estimator("logistic")
+
+
+def test_stacking_plans_have_no_join(spark):
+    from stackyard.operators import folds as FO
+    from stackyard.operators import stack as ST
+    rows = [(i, float(i % 7), float(i % 2), 1 + i % 3) for i in range(300)]
+    d = FO.stratified_kfold(spark.createDataFrame(rows, "id long, x double, label double, y int"), "label", 3)
+    test = spark.createDataFrame([(1000 + i, float(i % 7)) for i in range(50)], "id long, x double")
+    votes = {"a": ("tree", {}), "b": ("forest", {"trees": 3})}
+    for out in (ST.oof_predict(d, test, ["x"], "label", "tree", 3, test_mode="mean"),
+                ST.oof_bumps(d, test, ["x"], "y", 3, "tree", 3),
+                ST.soft_vote(d, test, ["x"], "label", votes),
+                ST.meta_learner(d, test, ["x"], "label", "forest", seeds=[1, 2], trees=3)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan.split("InMemoryRelation")[0]
+        assert out.select("id").distinct().count() == out.count()
+
+
+def test_wide_one_hot_becomes_a_sparse_vector(spark):
+    from stackyard.operators import encode as E
+    d = spark.range(0, 30).select("id", F.when(F.col("id") != 3, F.col("id").cast("string")).alias("c"))
+    for out in (E.onehot_drop_last(d, "c", max_values=10), E.onehot_in_place(d, ["c"], max_values=10),
+                E.binarize(d, "c", E.onehot_fit(d, "c", max_values=10))):
+        assert out.columns == ["id", "c_vec"]
+        v = {r["id"]: r["c_vec"] for r in out.collect()}
+        assert len(v[0]) == 29 and v[3].numNonzeros() == 0
+        assert len({int(x.indices[0]) for i, x in v.items() if i != 3}) == 29
+
+
+def test_typed_one_hot_values(spark):
+    import datetime
+    from stackyard.operators import encode as E
+    day = datetime.date(2020, 1, 5)
+    d = spark.createDataFrame([(1, True, day), (2, False, datetime.date(2019, 3, 1)), (3, None, None), (4, None, None)],
+                              "id int, b boolean, d date")
+    out = E.to_onehot(d, ["b", "d"])
+    assert len(out.columns) == 7
+    assert [c for c, v in out.where("id = 1").first().asDict().items() if v == 1 and c != "id"] == ["b__True", "d__2020-01-05"]
+
+
+def test_numeric_mode_ties_take_the_smaller_number(spark):
+    from stackyard.operators import encode as E
+    d = spark.createDataFrame([(9,), (9,), (10,), (10,), (None,)], "x int")
+    assert E.column_modes(d, ["x"]).first()["value"] == "9"
+
+
+def test_statistics_far_from_zero(spark):
+    from stackyard.operators import assoc as AS
+    from stackyard.operators import encode as E
+    rows = [(i, "a" if i % 2 else "b", float((i * 7) % 13 > 6), i % 4 < 3) for i in range(400)]
+    d = spark.createDataFrame(rows, "id long, c string, y double, is_train boolean")
+    far = d.withColumn("y", F.col("y") + 1e9)
+    near = {r["id"]: r for r in E.target_stats_encode(d, "c", "y").collect()}
+    for r in E.target_stats_encode(far, "c", "y").collect():
+        assert r["c_std"] == pytest.approx(near[r["id"]]["c_std"], rel=1e-6)
+        assert r["c_avg"] - 1e9 == pytest.approx(near[r["id"]]["c_avg"], abs=1e-6)
+    f0 = AS.anova_f(d.withColumn("x", F.col("id") % 10 + F.col("y")), ["x"], "y").first()["f_score"]
+    f1 = AS.anova_f(d.withColumn("x", F.col("id") % 10 + F.col("y") + 1e9), ["x"], "y").first()["f_score"]
+    assert f0 == pytest.approx(f1, rel=1e-5)
+    r0 = {r["name"]: r["r"] for r in AS.onehot_target_corr(d, "c", "y").collect()}
+    r1 = {r["name"]: r["r"] for r in AS.onehot_target_corr(far, "c", "y").collect()}
+    assert r0 == pytest.approx(r1, rel=1e-5)
+
+
+def test_naive_bayes_with_one_class(spark):
+    from stackyard.operators import encode as E
+    d = spark.createDataFrame([(1, "a", 1, True), (2, "b", 1, True), (3, "c", None, False)],
+                              "id int, c string, target int, is_train boolean")
+    assert {r["c"] for r in E.bernoulli_nb_encode(d, "c").collect()} == {1.0}
+
+
+def test_percentiles_have_no_nested_loop_join(spark):
+    from stackyard.operators.profile import percentiles
+    d = spark.range(0, 1001).select((F.col("id") % 101).cast("double").alias("x"))
+    out = percentiles(d, "x", [0.0, 0.1, 0.25, 0.5, 0.999, 1.0])
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    import numpy as np
+    x = np.arange(1001) % 101
+    assert {r["q"]: r["value"] for r in out.collect()} == pytest.approx(
+        {q: float(np.percentile(x, 100 * q)) for q in (0.0, 0.1, 0.25, 0.5, 0.999, 1.0)})
