@@ -8,11 +8,16 @@ splits partitions of a hot key (``spark.sql.adaptive.skewJoin``).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a statistics table that may be broadcast (a few tens of MB).
+# Rows of a statistics table that may be broadcast (a few tens of MB); text
+# counts as a row for each ROW_BYTES of it.
 BROADCAST_MAX_ROWS = 2_000_000
+ROW_BYTES = 64
 
 
 def broadcast_limit(spark) -> int:
@@ -32,9 +37,15 @@ def attach(df: DataFrame, stats: DataFrame, on, how: str = "left",
     drop = [rows_col] if rows_col and rows_col in stats.columns else []
     if n_rows is not None and n_rows <= broadcast_limit(spark):
         return df.join(F.broadcast(stats.drop(*drop)), on, how)
-    if not drop or not isinstance(on, (str, list)) or how not in ("left", "inner"):
+    if not isinstance(on, (str, list)) or how not in ("left", "inner"):
         return df.join(stats.drop(*drop), on, how)
     keys = [on] if isinstance(on, str) else list(on)
+    # rows without a key match nothing: they need no shuffle, however many they are
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    without, df = df.where(no_key), df.where(~no_key)
+    if not drop:
+        out = df.join(stats, on, how)
+        return _with_unmatched(out, without) if how == "left" else out
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     total = stats.agg(F.sum(rows_col)).first()[0] or 0
     cut = max(1, total // (4 * parts))
@@ -43,13 +54,23 @@ def attach(df: DataFrame, stats: DataFrame, on, how: str = "left",
     hot_keys = F.broadcast(hot.select(*keys))
     hot_rows = df.join(F.broadcast(hot), keys, "inner")
     rest = df.join(hot_keys, keys, "left_anti").join(cold, keys, how)
-    return hot_rows.unionByName(rest)
+    out = hot_rows.unionByName(rest)
+    return _with_unmatched(out, without) if how == "left" else out
+
+
+def _with_unmatched(joined: DataFrame, rows: DataFrame) -> DataFrame:
+    """The joined table and rows that matched nothing (null statistics)."""
+    return joined.unionByName(rows, allowMissingColumns=True)
 
 
 def measured(stats: DataFrame) -> tuple[DataFrame, int]:
-    """Persist a fitted statistics table and return it with its row count."""
+    """Persist a fitted statistics table and return it with its size in rows
+    (or in ``ROW_BYTES`` of text, if that is more)."""
     stats = stats.persist()
-    return stats, stats.count()
+    texts = [c for c, t in stats.dtypes if t == "string"]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0)).cast("long")
+    n, held = stats.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return stats, max(n, held // ROW_BYTES)
 
 
 def join_on_id(frames: list[DataFrame], key: str = "id", how: str = "inner") -> DataFrame:

@@ -26,6 +26,9 @@ from pyspark.sql import types as T
 from stackyard.session import shuffle_partitions
 
 _RID = "__rid"
+#: Ranges for each shuffle partition: ranges meet partitions by hash, and
+#: several small ones spread better than one.
+RANGES_PER_PARTITION = 4
 SAMPLE_PER_RANGE = 64
 MAX_TEXT_RANGES = 256
 
@@ -37,22 +40,32 @@ def _order_exprs(order_cols):
 def range_bounds(col: Column, n_ranges: int) -> Column:
     """Aggregate expression for the split points of ``n_ranges`` ranges of
     a numeric key (can ride along in another aggregate job)."""
-    return F.percentile_approx(col.cast("double"), [i / n_ranges for i in range(1, n_ranges)], 10000)
+    return F.percentile_approx(col.cast("double"), [i / n_ranges for i in range(1, n_ranges)], max(10000, 20 * n_ranges))
 
 
 def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None,
-                   bounds: list | None = None, total: int | None = None) -> DataFrame:
-    """Add ``__rid``: the range of ``first`` (nulls → -1, sorted first)."""
+                   bounds: list | None = None, total: int | None = None,
+                   second: Column | None = None) -> DataFrame:
+    """Add ``__rid``: the range of ``first`` (nulls → -1, sorted first).
+
+    With a numeric ``second`` ordering key, the rows of a value of ``first``
+    that fills whole ranges (and those without a value) are cut into ranges
+    of the second key, so a tied first key does not make one large range.
+    """
     spark = df.sparkSession
-    n_ranges = n_ranges or shuffle_partitions(spark)
+    n_ranges = n_ranges or RANGES_PER_PARTITION * shuffle_partitions(spark)
     t = df.withColumn("__k0", first)
     dtype = t.schema["__k0"].dataType
+    if second is not None and bounds is None and isinstance(dtype, T.NumericType):
+        t = t.withColumn("__k1", second)
+        if isinstance(t.schema["__k1"].dataType, T.NumericType):
+            return _with_two_keys(t, n_ranges)
+        t = t.drop("__k1")
     if bounds is not None:
         bounds = sorted(set(bounds))
     elif isinstance(dtype, T.NumericType):
         # one aggregate job: approximate quantiles as split points
-        qs = [i / n_ranges for i in range(1, n_ranges)]
-        got = t.agg(F.percentile_approx(F.col("__k0").cast("double"), qs, 10000).alias("b")).first()["b"]
+        got = t.agg(range_bounds(F.col("__k0"), n_ranges).alias("b")).first()["b"]
         bounds = sorted(set(got or []))
     else:
         # text keys order distinct category values: a few hundred ranges suffice
@@ -79,6 +92,30 @@ def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None,
     return t.withColumn(_RID, rid).drop("__k0")
 
 
+def _bucket(t: DataFrame, col: str, bounds: list, out: str) -> DataFrame:
+    """Number of ``bounds`` at or below a double column, by binary search."""
+    splits = [float("-inf"), *sorted({float(b) for b in bounds if math.isfinite(float(b))}), float("inf")]
+    return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(t)
+
+
+def _with_two_keys(t: DataFrame, n_ranges: int) -> DataFrame:
+    """Ranges of ``__k0``; a value that is several of its own quantiles holds
+    more than a range, and opens its bucket, so it is cut by ``__k1``."""
+    t = t.withColumn("__d0", F.col("__k0").cast("double")).withColumn("__d1", F.col("__k1").cast("double"))
+    got = t.agg(range_bounds(F.col("__d0"), n_ranges).alias("a"), range_bounds(F.col("__d1"), n_ranges).alias("b")).first()
+    first, second = list(got["a"] or []), list(got["b"] or [])
+    tied = sorted({v for i, v in enumerate(first[1:]) if v == first[i]})
+    t = _bucket(_bucket(t, "__d0", first, "__r0"), "__d1", second, "__r1")
+    cut = F.col("__k0").isNull()
+    if tied:
+        cut = cut | F.col("__d0").isin(*tied)
+    inner = F.when(F.col("__k1").isNull(), F.lit(0)).otherwise(F.col("__r1").cast("long") + 1)
+    outer = F.when(F.col("__k0").isNull(), F.lit(-1)).otherwise(F.col("__r0").cast("long"))
+    width = n_ranges + 3
+    rid = outer * width + F.when(cut, inner).otherwise(F.lit(width - 1))
+    return t.withColumn(_RID, rid).drop("__k0", "__k1", "__d0", "__d1", "__r0", "__r1")
+
+
 def _search(k: Column, bounds: list, base: int) -> Column:
     """Number of ``bounds`` strictly below ``k`` as a balanced tree of
     comparisons (log2 depth per row, linear expression size)."""
@@ -103,7 +140,7 @@ def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
     keys = _order_exprs(order_cols)
     if cache_input:  # an aggregated input is read twice (split points, numbering)
         df = df.persist()
-    t = _with_range_id(df, keys[0], bounds=bounds, total=n_rows)
+    t = _with_range_id(df, keys[0], bounds=bounds, total=n_rows, second=keys[1] if len(keys) > 1 else None)
     w = Window.partitionBy(_RID, *by).orderBy(*keys)
     local = t.withColumn("__local", F.row_number().over(w) - 1)
     counts = t.groupBy(_RID, *by).agg(F.count(F.lit(1)).alias("__n"))

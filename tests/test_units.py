@@ -376,3 +376,33 @@ def test_percentiles_have_no_nested_loop_join(spark):
     x = np.arange(1001) % 101
     assert {r["q"]: r["value"] for r in out.collect()} == pytest.approx(
         {q: float(np.percentile(x, 100 * q)) for q in (0.0, 0.1, 0.25, 0.5, 0.999, 1.0)})
+
+
+def test_tied_first_key_is_cut_by_the_second(spark):
+    from pyspark.sql import Window
+    from stackyard.operators import ordering as O
+    d = spark.range(0, 4000).select(
+        F.when(F.col("id") % 10 == 9, F.lit(None)).when(F.col("id") % 5 != 0, F.lit(7)).otherwise(F.col("id") % 50).alias("x"), "id")
+    t = O._with_range_id(d, F.col("x"), second=F.col("id"))
+    most = t.groupBy("__rid").count().agg(F.max("count")).first()[0]
+    assert most <= 4000 / 8
+    got = {r["id"]: r["row_idx"] for r in O.row_index(d, ["x", "id"]).collect()}
+    want = d.withColumn("w", F.row_number().over(Window.orderBy("x", "id")) - 1)
+    assert got == {r["id"]: r["w"] for r in want.collect()}
+
+
+def test_join_above_the_limit_keeps_all_rows(spark):
+    from stackyard.operators import joins as J
+    rows = [(i, None if i % 3 == 0 else "hot" if i % 3 == 1 else f"k{i % 40}" if i % 2 else f"unseen{i}") for i in range(600)]
+    d = spark.createDataFrame(rows, "id long, c string")
+    stats = d.where("c not like 'unseen%'").groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("__rows"))
+    spark.conf.set("stackyard.broadcast.maxRows", "1")
+    try:
+        for t, col in ((stats, "__rows"), (stats.drop("__rows"), None)):
+            got = {r["id"]: r["n"] for r in J.attach(d, t, "c", "left", 100, col).collect()}
+            want = {r["c"]: r["n"] for r in stats.collect()}
+            assert got == {i: want.get(c) for i, c in rows}
+    finally:
+        spark.conf.unset("stackyard.broadcast.maxRows")
+    long = spark.createDataFrame([("x" * 6400, 1), (None, 2)], "c string, n int")
+    assert J.measured(long)[1] == 100
