@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import merge_intervals, small_batches
-from .segments import distinct_segments, per_document, runs_of, segment_table, shared_segments, solve_shards, with_texts
+from .segments import distinct_segments, per_document, runs_of, shared_segments, solve_shards, with_texts
 from .words import Texts, window_hashes
 
 WORDS = 20
 #: Words of the grams whose smallest hash is a run's key.
-GRAM = 3
+GRAM = 6
 #: Words of one shard's text.
 SHARD_WORDS = 150_000
 
@@ -159,18 +159,19 @@ def _units(texts: list[bytes]):
 
 def earlier_ranges(docs: DataFrame, words: int = WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(doc_id, th, first, windows): the runs of windows that also start earlier."""
-    shared = shared_segments(segment_table(docs, _units, words, GRAM))
+    shared = shared_segments(docs, _units, words, GRAM)
     distinct = distinct_segments(shared)
 
     def cut(text, starts, counts):
-        h = Texts([text]).hashes()
-        return [h[s:s + n + words - 1].tobytes() for s, n in zip(starts, counts)]
+        own = text.split()
+        return [b" ".join(own[s:s + n + words - 1]) for s, n in zip(starts, counts)]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         least = np.iinfo(np.int64).min
         doc = np.array([least if pd.isna(x) else int(x) for x in pdf["doc_id"]], np.int64)
         place = np.stack((doc, pdf["th"].to_numpy(), pdf["start"].to_numpy()), axis=1)
-        flags = earlier_windows([np.frombuffer(x, np.uint64) for x in pdf["body"]], place, words)
+        t = Texts(pdf["body"].tolist())
+        flags = earlier_windows(np.split(t.hashes(), t.first[1:-1]), place, words)
         rows = []
         for key, content, n, f in zip(pdf["key"], pdf["content"], pdf["n"], flags):
             rows += [(key, content, n, a, k) for a, k in zip(*runs_of(f))]

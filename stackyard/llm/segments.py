@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,14 +96,19 @@ def find_segments(grams: np.ndarray, w: int, valid: np.ndarray) -> tuple[np.ndar
 
 
 SEGMENT_SCHEMA = "doc_id long, th long, start long, n int, key long, content long, places int"
+#: Bits of the map of shared keys: 16 MB whatever the corpus.
+MAP_BITS = 1 << 27
 
 
-def segment_table(docs: DataFrame, units: Callable, w: int, k: int) -> DataFrame:
-    """The segments of all texts, saved.
+def segment_table(docs: DataFrame, units: Callable, w: int, k: int, may_share: Broadcast | None = None) -> DataFrame:
+    """The segments of all texts.
 
-    ``units(texts)`` gives (values, first unit of each text and the end, gram
-    hashes) of texts laid out one after another; a window is ``w`` units.
+    ``units(texts)`` gives (values, first and last unit of each text, gram
+    hashes) of texts laid out one after another; a window is ``w`` units. With
+    ``may_share`` (a bit map of keys) only segments whose key may be in it.
     """
+    names = [c.split()[0] for c in SEGMENT_SCHEMA.split(", ")]
+
     def batch(batches):
         for b in batches:
             for ids, texts in chunks(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
@@ -114,22 +120,44 @@ def segment_table(docs: DataFrame, units: Callable, w: int, k: int) -> DataFrame
                 np.add.at(valid, first[own] + room[own], -1)
                 valid = np.cumsum(valid[:-1], dtype=np.int8) > 0
                 start, n, key, places = find_segments(grams, w - k + 1, valid)
+                if may_share is not None:
+                    keep = _in_map(may_share.value, key)
+                    start, n, key, places = start[keep], n[keep], key[keep], places[keep]
                 content = prefix_hash(values)(start, start + n + w - 1)
                 text = np.searchsorted(first, start, side="right") - 1
                 th = np.array([xxhash.xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()).take(pa.array(text)), pa.array(th[text]), pa.array(start - first[text]),
                      pa.array(n.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(content.view(np.int64)),
-                     pa.array(np.minimum(places, 2).astype(np.int32))],
-                    names=[c.split()[0] for c in SEGMENT_SCHEMA.split(", ")])
+                     pa.array(np.minimum(places, 2).astype(np.int32))], names=names)
+
+    return stream_texts(docs, "doc_id", "text", batch, SEGMENT_SCHEMA)
+
+
+def _in_map(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    at = (key.view(np.int64) & np.int64(MAP_BITS - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
 
-    return saved(stream_texts(docs, "doc_id", "text", batch, SEGMENT_SCHEMA), "segments")
+def _key_map(keys: DataFrame) -> Broadcast:
+    """The bit map of a table of keys, broadcast: its size is fixed, so on a
+    large corpus it only lets more keys through to the exact join."""
+    at = F.col("key").bitwiseAND(F.lit(MAP_BITS - 1)) + 1
+    rows = (keys.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())  # 4 kB each
+    bits = np.zeros(MAP_BITS // 8, np.uint8)
+    for r in rows:
+        own = np.frombuffer(r["bits"], np.uint8)
+        bits[(r["bucket"] - 1) * 4096:(r["bucket"] - 1) * 4096 + len(own)] = own
+    return keys.sparkSession.sparkContext.broadcast(bits)
 
 
-def shared_segments(segments: DataFrame) -> DataFrame:
-    """The segments whose key's gram is at two places or more, saved."""
-    keys = segments.groupBy("key").agg(F.sum("places").alias("c")).where("c > 1").select("key")
-    return saved(segments.join(keys, "key"), "segments-shared")
+def shared_segments(docs: DataFrame, units: Callable, w: int, k: int) -> DataFrame:
+    """The segments whose key's gram is at two places or more, saved. The texts
+    are read twice; the first time only the keys are counted."""
+    keys = saved(segment_table(docs, units, w, k).select("key", "places").groupBy("key")
+                 .agg(F.sum("places").alias("c")).where("c > 1").select("key"), "segment-keys")
+    return saved(segment_table(docs, units, w, k, _key_map(keys)).join(keys, "key"), "segments-shared")
 
 
 def distinct_segments(shared: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import merge_intervals, small_batches
-from .segments import (distinct_segments, per_document, prefix_hash, runs_of, segment_table, shared_segments,
+from .segments import (distinct_segments, per_document, prefix_hash, runs_of, shared_segments,
                        solve_shards, with_texts)
 from .words import _VALUES
 
@@ -221,7 +221,7 @@ def _units(texts: list[bytes]):
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, th, first, windows): the runs of windows that occur elsewhere too."""
-    shared = shared_segments(segment_table(docs, _units, length, GRAM))
+    shared = shared_segments(docs, _units, length, GRAM)
     distinct = distinct_segments(shared)
 
     def cut(text, starts, counts):
