@@ -226,10 +226,30 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def per_document(docs: DataFrame, ranges: DataFrame, func: Callable, schema: str) -> DataFrame:
     """``func`` over Arrow batches of (doc_id, text, at) with the documents'
-    window runs ``at`` (list of first window, windows; null for none)."""
-    per = ranges.groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "windows")).alias("at")).alias("r")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    own = docs.select("doc_id", document_hash(text).alias("th"), text.cast("binary").alias("text")).alias("d")
-    joined = own.join(per, F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.th") == F.col("r.th")), "left")
-    return joined.select("d.doc_id", "d.text", "r.at").mapInArrow(func, schema)
+    window runs ``at`` (list of first window, windows; null for none).
+
+    Only documents that may have runs (by a bit map of their text hashes) are
+    moved to them; the others are finished where they are read.
+    """
+    per = saved(ranges.groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "windows")).alias("at")), "segment-ranges")
+    touched = _key_map(per.select(F.col("th").alias("key")))
+    own = docs.select("doc_id", "text", document_hash(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("th"))
+    runs = pa.list_(pa.struct([("first", pa.int64()), ("windows", pa.int64())]))
 
+    def pick(b: pa.RecordBatch, inside: bool) -> pa.RecordBatch:
+        return b.filter(pa.array(_in_map(touched.value, b.column("th").to_numpy()) == inside))
+
+    def move(batches):
+        for b in batches:
+            yield pick(b, True).select(["doc_id", "th", "text"])
+
+    def finish(batches):
+        for b in batches:
+            b = pick(b, False)
+            yield from func([pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.nulls(b.num_rows, runs)],
+                                                        names=["doc_id", "text", "at"])])
+
+    d = stream_texts(own, "doc_id", "text", move, "doc_id long, th long, text binary", ["th"]).alias("d")
+    joined = d.join(per.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.th") == F.col("r.th")), "left")
+    return (joined.select("d.doc_id", "d.text", "r.at").mapInArrow(func, schema)
+            .union(stream_texts(own, "doc_id", "text", finish, schema, ["th"])))
