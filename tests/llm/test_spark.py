@@ -1,5 +1,6 @@
 """The operators on Spark: whole tables against plain versions, and edge cases."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -290,6 +291,32 @@ def test_lines_whole_table(spark, rows):
     assert wrong <= 0.01 * len(rows) + 1  # banding has a recall of 0.96 at the threshold itself
 
 
+def test_lines_at_the_least_similarity_are_found(spark):
+    """Random letters with as many isolated changes as a similarity of 0.8 allows."""
+    r = random.Random(8)
+
+    def grams(x):
+        return {x[i:i + 5] for i in range(len(x) - 4)}
+
+    docs, pairs = [], defaultdict(list)
+    for length in (49, 55, 95, 200, 800):
+        for _ in range(400):
+            a = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=length))
+            b = a
+            for at in r.sample(range(length), length):
+                c = b[:at] + ("a" if b[at] != "a" else "b") + b[at + 1:]
+                if len(grams(a) & grams(c)) < 0.8 * len(grams(a) | grams(c)):
+                    break
+                b = c
+            if a != b:
+                pairs[length].append(len(docs) + 1)
+                docs += [(len(docs), a), (len(docs) + 1, b)]
+    got = {x["doc_id"] for x in line_report(spark.createDataFrame(docs, "doc_id long, text string")).where("n_removed > 0").collect()}
+    assert got <= {d for own in pairs.values() for d in own}
+    assert all(len(own) >= 100 and len(got & set(own)) >= 0.99 * len(own) for own in pairs.values()), {
+        n: (len(got & set(own)), len(own)) for n, own in pairs.items()}
+
+
 def test_lines_use_no_python(spark):
     plan = line_report(documents(spark, SF))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
