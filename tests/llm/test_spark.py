@@ -317,6 +317,22 @@ def test_lines_at_the_least_similarity_are_found(spark):
         n: (len(got & set(own)), len(own)) for n, own in pairs.items()}
 
 
+def test_lines_of_a_template_with_many_groups(spark):
+    """Lines of one template fall into groups by their middle; most of a group
+    are like neither the first nor the last line of a band."""
+    r = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    head, tail = ("".join(r.choices(letters, k=60)) for _ in range(2))
+    docs = []
+    for _ in range(60):
+        middle = "".join(r.choices(letters, k=24))
+        docs += [(len(docs) + i, head + middle + tail + end) for i, end in enumerate(("", "x", "yz"))]
+    got = {x["doc_id"]: list(x["removed_lines"]) for x in line_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = plain.removed_lines(docs)
+    assert sum(map(len, want.values())) == 120
+    assert {d: v for d, v in got.items() if v} == want
+
+
 def test_lines_use_no_python(spark):
     plan = line_report(documents(spark, SF))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
