@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import merge_intervals, small_batches
-from .segments import distinct_segments, per_document, runs_of, shared_segments, solve_shards, with_texts
+from .segments import distinct_segments, per_document, runs_of, shared_segments, solve_hot, solve_shards, with_texts
 from .words import Texts, window_hashes
 
 WORDS = 20
@@ -160,7 +160,7 @@ def _units(texts: list[bytes]):
 def earlier_ranges(docs: DataFrame, words: int = WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(doc_id, th, first, windows): the runs of windows that also start earlier."""
     shared = shared_segments(docs, _units, words, GRAM)
-    distinct = distinct_segments(shared)
+    distinct = distinct_segments(shared, shard_words, words - 1)
 
     def cut(text, starts, counts):
         own = text.split()
@@ -177,7 +177,15 @@ def earlier_ranges(docs: DataFrame, words: int = WORDS, shard_words: int = SHARD
             rows += [(key, content, n, a, k) for a, k in zip(*runs_of(f))]
         return pd.DataFrame(rows, columns=["key", "content", "n", "first", "windows"])
 
-    found = solve_shards(with_texts(distinct.where("solve"), docs, cut, shard_words, words - 1), solve)
+    def later_windows(each: DataFrame) -> DataFrame:
+        at = F.struct("doc_id", "th", "start")
+        least = each.groupBy("h").agg(F.min(at).alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1").select("h", "least")
+        return each.join(least, "h").where(~at.eqNullSafe(F.col("least")))
+
+    found = solve_shards(with_texts(distinct.where("solve and not hot"), docs, cut, shard_words, words - 1), solve)
+    hot = distinct.where("hot")
+    if not hot.isEmpty():
+        found = found.union(solve_hot(with_texts(hot, docs, cut, shard_words, words - 1), _units, words, later_windows))
     own = ["key", "content", "n"]
     at = F.struct("doc_id", "th", "start")
     firsts = distinct.select(*own, F.struct("doc_id", "th", "start").alias("p"), "copies")

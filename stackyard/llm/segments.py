@@ -12,7 +12,10 @@ once anywhere. Equal windows meet without comparing all pairs of documents:
 * equal segments of a key are one, with a count, before anything is moved by
   key: a passage that many documents share costs one row for each task;
 * what is left, different segments that share a key, goes with its text to
-  the shard of the key, where the operator's own index finds equal windows.
+  the shard of the key, where the operator's own index finds equal windows;
+* a key whose different segments are larger than a shard is split by content:
+  its windows are keyed by a hash of their whole text, so that no task holds
+  all segments of a key, however many.
 
 A document is known by its id and the XXH64 of its text. Runs of more than
 ``MAX_RUN`` windows (periodic text) are cut, so a segment's size is bounded.
@@ -160,17 +163,21 @@ def shared_segments(docs: DataFrame, units: Callable, w: int, k: int) -> DataFra
     return saved(segment_table(docs, units, w, k, _key_map(keys)).join(keys, "key"), "segments-shared")
 
 
-def distinct_segments(shared: DataFrame) -> DataFrame:
-    """Equal segments as one, saved: key, content, n, copies, first place, solve.
+def distinct_segments(shared: DataFrame, per_shard: int, width: int) -> DataFrame:
+    """Equal segments as one, saved: key, content, n, copies, first place, solve, hot.
 
     ``solve``: the key has other segments, or its gram is twice in this one.
+    ``hot``: the key's different segments have more than ``per_shard`` units.
     """
     place = F.min(F.struct("doc_id", "th", "start")).alias("p")
     one = saved(shared.groupBy("key", "content", "n").agg(F.count(F.lit(1)).alias("copies"), F.max("places").alias("places"), place),
                 "segments-distinct")
-    keys = one.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("places").alias("m")).where("c > 1 or m > 1").select("key")
+    keys = (one.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("places").alias("m"), F.sum(F.col("n") + width).alias("units"))
+            .where("c > 1 or m > 1").select("key", (F.col("units") > per_shard).alias("hot")))
     some = one.join(keys.withColumn("solve", F.lit(True)), "key", "left")
-    return some.select("key", "content", "n", "copies", "p.doc_id", "p.th", "p.start", F.coalesce("solve", F.lit(False)).alias("solve"))
+    no = F.lit(False)
+    return some.select("key", "content", "n", "copies", "p.doc_id", "p.th", "p.start",
+                       F.coalesce("solve", no).alias("solve"), F.coalesce("hot", no).alias("hot"))
 
 
 def with_texts(places: DataFrame, docs: DataFrame, cut: Callable, per_shard: int, width: int) -> DataFrame:
@@ -224,6 +231,51 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2] - edge[::2]
 
 
+def solve_hot(rows: DataFrame, units: Callable, w: int, repeated: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """As :func:`solve_shards`, for segments (with texts) whose keys are larger than a shard.
+
+    Every window is a row with the hash ``h`` of its text; ``repeated`` gets
+    (h, key, content, n, copies, doc_id, th, start, at), ``start`` and ``at``
+    the window's place in its document and segment, and keeps the windows to
+    report. Equal windows are counted in each task before they are moved.
+    """
+    schema = "h long, key long, content long, n int, copies long, doc_id long, th long, start long, at int"
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def windows(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, 64):
+                own = b.slice(i, 64)
+                values, first, _, _ = units(own.column("body").to_pylist())
+                n = own.column("n").to_numpy().astype(np.int64)
+                of = np.repeat(np.arange(len(n)), n)
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                place = first[of] + at
+                cols = {c: own.column(c).take(pa.array(of)) for c in ("key", "content", "n", "copies", "doc_id", "th")}
+                cols["h"] = pa.array(prefix_hash(values)(place, place + w).view(np.int64))
+                cols["start"] = pa.array(own.column("start").to_numpy()[of] + at)
+                cols["at"] = pa.array(at.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([cols[c] for c in names], names=names)
+
+    def join_up(batches):
+        for b in batches:
+            out: list[list] = [[] for _ in range(5)]
+            for key, content, n, at in zip(*(b.column(c).to_pylist() for c in ("key", "content", "n", "at"))):
+                flags = np.zeros(n, bool)
+                flags[at] = True
+                for first, size in zip(*runs_of(flags)):
+                    for c, v in zip(out, (key, content, n, int(first), int(size))):
+                        c.append(v)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)],
+                                             names=[c.split()[0] for c in FOUND_SCHEMA.split(", ")])
+
+    each = saved(rows.select("key", "content", "n", "copies", "doc_id", "th", "start", "body").mapInArrow(windows, schema), "segments-windows")
+    # a segment has at most MAX_RUN windows
+    per = repeated(each).groupBy("key", "content", "n").agg(F.collect_list("at").alias("at"))
+    return saved(per.mapInArrow(join_up, FOUND_SCHEMA), "segments-found")
+
+
 def per_document(docs: DataFrame, ranges: DataFrame, func: Callable, schema: str) -> DataFrame:
     """``func`` over Arrow batches of (doc_id, text, at) with the documents'
     window runs ``at`` (list of first window, windows; null for none).

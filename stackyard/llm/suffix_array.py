@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import merge_intervals, small_batches
 from .segments import (distinct_segments, per_document, prefix_hash, runs_of, shared_segments,
-                       solve_shards, with_texts)
+                       solve_hot, solve_shards, with_texts)
 from .words import _VALUES
 
 LENGTH = 400
@@ -222,7 +222,7 @@ def _units(texts: list[bytes]):
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, th, first, windows): the runs of windows that occur elsewhere too."""
     shared = shared_segments(docs, _units, length, GRAM)
-    distinct = distinct_segments(shared)
+    distinct = distinct_segments(shared, shard_bytes, length - 1)
 
     def cut(text, starts, counts):
         return [text[s:s + n + length - 1] for s, n in zip(starts, counts)]
@@ -234,7 +234,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
             rows += [(key, content, n, a, k) for a, k in zip(*runs_of(f))]
         return pd.DataFrame(rows, columns=["key", "content", "n", "first", "windows"])
 
-    found = solve_shards(with_texts(distinct.where("solve"), docs, cut, shard_bytes, length - 1), solve)
+    def again(each: DataFrame) -> DataFrame:
+        twice = each.groupBy("h").agg(F.sum("copies").alias("c")).where("c > 1").select("h")
+        return each.join(twice, "h")
+
+    found = solve_shards(with_texts(distinct.where("solve and not hot"), docs, cut, shard_bytes, length - 1), solve)
+    hot = distinct.where("hot")
+    if not hot.isEmpty():
+        found = found.union(solve_hot(with_texts(hot, docs, cut, shard_bytes, length - 1), _units, length, again))
     # equal segments whose key has no other: every window occurs in each of them
     alone = (distinct.where("not solve and copies > 1").select("key", "content", "n", F.lit(0).alias("first"), F.col("n").alias("windows")))
     places = shared.select("doc_id", "th", "start", "key", "content", "n")

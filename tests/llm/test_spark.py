@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -114,6 +115,35 @@ def test_word_repeats_odd_rows(spark, odd, empty):
     assert remove_repeated_words(empty).count() == 0
 
 
+def test_a_key_larger_than_a_shard_is_split(spark, monkeypatch):
+    """A phrase in many surroundings is the key of many different segments."""
+    from stackyard.llm import fm_index, segments
+
+    held = []
+
+    def measured(rows, solver):
+        held.append(rows.groupBy("key").agg(F.sum(F.col("n") + 19).alias("units")).agg(F.max("units")).first()[0] or 0)
+        return segments.solve_shards(rows, solver)
+
+    monkeypatch.setattr(fm_index, "solve_shards", measured)
+    r = random.Random(10)
+    phrase = " ".join(f"common{i}" for i in range(12))
+    docs = []
+    for i in range(60):
+        around = [" ".join(f"w{r.randrange(10 ** 6)}" for _ in range(15)) for _ in range(2)]
+        docs.append((i if i else None, f"{around[0]} {phrase} {around[1]}"))
+        if i % 6 == 0:  # a part of the text once more, with other words behind it
+            docs.append((100 + i, f"{around[0]} {phrase} w{i} {phrase} {around[1]}"))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = remove_repeated_words(df, 20, shard_words=200).collect()
+    assert held and max(held) <= 200
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, remove_repeated_words(df, 20).collect()), key=str)
+    assert sum(x["n_removed"] for x in got) > 0
+    # bytes: the same results whether keys are split or not
+    one, split = ([tuple(x) for x in remove_repeats(df, 100, **o).collect()] for o in ({}, {"shard_bytes": 500}))
+    assert sorted(one, key=str) == sorted(split, key=str) and sum(x[2] for x in one) > 0
+
+
 def test_quality_whole_table(spark, rows):
     got = {r["doc_id"]: r for r in queries.op3_distribution_divergence(spark, SF).collect()}
     assert set(got) == {d for d, _ in rows}
