@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash windows (operator 8).
 
-For every benchmark item, the document windows of the item's word count are
-compared with it: SimHash fingerprints of both, a multi-index over blocks of
+For every benchmark item, the document windows of the item's word count (a
+document of fewer words is one window) are compared with it: SimHash fingerprints of both, a multi-index over blocks of
 the fingerprint for all items within a Hamming radius, then the weighted
 (multiset) Jaccard similarity of the word shingles, computed exactly.
 
@@ -86,15 +86,17 @@ class ItemIndex:
                 for v in near[f[b]]:
                     self.table.setdefault((b, int(v)), []).append(i)
 
-    def within(self, fp: np.uint64, n_words: int) -> list[int]:
-        """All items of ``n_words`` words whose fingerprint is within the radius."""
+    def within(self, fp: np.uint64, n_words: int, longer: bool = False) -> list[int]:
+        """All items of ``n_words`` words (with ``longer``, of more words but one
+        shingle length) whose fingerprint is within the radius."""
         got: set[int] = set()
         for b, v in enumerate(np.array([fp], np.uint64).view(np.uint8).tolist()):
             got.update(self.table.get((b, v), ()))
         if not got:
             return []
         at = np.fromiter(got, np.int64, len(got))
-        at = at[(self.words[at] == n_words) & (np.bitwise_count(self.fp[at] ^ fp) <= self.radius)]
+        own = (self.words[at] > n_words) & (n_words >= self.shingle) if longer else self.words[at] == n_words
+        at = at[own & (np.bitwise_count(self.fp[at] ^ fp) <= self.radius)]
         return np.sort(at).tolist()
 
     def weighted_similarity(self, shingles: np.ndarray, item: int) -> float:
@@ -152,6 +154,31 @@ class ItemIndex:
                         memo[key] = found
                     text = int(t.text_of[w])
                     out += [(text, w - int(t.first[text]), n_words, item, d, sim) for item, d, sim in memo[key]]
+        return out + self.whole_texts(t, h)
+
+    def whole_texts(self, t: Texts, h: np.ndarray) -> list[tuple[int, int, int, int, int, float]]:
+        """The matches of texts with items of more words than the text, which is
+        the one window. A text of ``n`` shingles is that similar only to items of
+        at most ``n / similarity`` shingles, and shares ``similarity * n`` at least."""
+        known = self.known.get(self.shingle)
+        if known is None:
+            return []
+        out = []
+        n_shingles = t.n_words - self.shingle + 1
+        for text in np.flatnonzero((n_shingles > 0) & (t.n_words < self.lengths[-1])).tolist():
+            n = int(n_shingles[text])
+            # the next length that an item has
+            more = self.lengths[np.searchsorted(self.lengths, t.n_words[text], side="right")] - self.shingle + 1
+            if n < self.similarity * more - 1e-9:
+                continue
+            row = window_hashes(h[t.first[text]:t.first[text + 1]], self.shingle)
+            if np.isin(row, known).sum() < self.similarity * n - 1e-9:
+                continue
+            fp = votes(row[None, :])[0]
+            for item in self.within(fp, n + self.shingle - 1, longer=True):
+                sim = self.weighted_similarity(row, item)
+                if sim >= self.similarity:
+                    out.append((text, 0, n + self.shingle - 1, item, int(np.bitwise_count(self.fp[item] ^ fp)), sim))
         return out
 
 

@@ -313,6 +313,15 @@ def test_leaks_odd_rows(spark, odd, empty, monkeypatch):
     assert leak_matches(empty, items).count() == 0 and leak_matches(odd, items.limit(0)).count() == 0
 
 
+def test_leaks_of_texts_shorter_than_the_item(spark):
+    words = [f"w{i}" for i in range(30)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:4]))], "item_id long, text string")
+    docs = [(1, " ".join(words[:28])), (2, " ".join(words[2:])), (3, " ".join(words[:20])), (4, " ".join(words[:3])), (5, " ".join(words[1:29]))]
+    got = leak_matches(spark.createDataFrame(docs, "doc_id long, text string"), items).where("item_id = 1").collect()
+    assert sorted((x["doc_id"], x["first_word"], x["n_words"], round(x["similarity"], 6)) for x in got) == [
+        (d, 0, 28, round(24 / 26, 6)) for d in (1, 2, 5)]
+
+
 def test_lines_whole_table(spark, rows):
     want = plain.removed_lines(rows)
     got = {r["doc_id"]: list(r["removed_lines"]) for r in queries.op9_fuzzy_lines(spark, SF).collect()}
