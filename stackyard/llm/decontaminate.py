@@ -239,13 +239,17 @@ def leak_matches(docs: DataFrame, items: DataFrame, shingle: int = 5, similarity
 
 
 def mark_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, contaminated, item_ids, similarity)."""
+    """One row per row of ``docs``: (doc_id, contaminated, item_ids, similarity).
+
+    Rows without an id are marked together, as rows of one id are: if one of
+    them holds an item, all do.
+    """
     leaks = saved(leak_matches(docs, items, id_col=id_col, **options), "leaks")
     per = leaks.groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"),
                                       F.max("similarity").alias("similarity"))
-    ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"))
-    return (ids.join(per, "doc_id", "left")
-            .select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"),
+    ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id")).alias("d")
+    return (ids.join(per.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")), "left")
+            .select("d.doc_id", F.col("item_ids").isNotNull().alias("contaminated"),
                     F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), "similarity"))
 
 

@@ -322,6 +322,13 @@ def test_leaks_of_texts_shorter_than_the_item(spark):
         (d, 0, 28, round(24 / 26, 6)) for d in (1, 2, 5)]
 
 
+def test_leaks_of_rows_without_an_id_are_marked(spark):
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(30)))], "item_id long, text string")
+    docs = spark.createDataFrame([(None, "see " + items.first()["text"]), (2, "nothing here")], "doc_id long, text string")
+    got = {x["doc_id"]: (x["contaminated"], list(x["item_ids"])) for x in mark_leaks(docs, items).collect()}
+    assert got == {None: (True, [1]), 2: (False, [])}
+
+
 def test_lines_whole_table(spark, rows):
     want = plain.removed_lines(rows)
     got = {r["doc_id"]: list(r["removed_lines"]) for r in queries.op9_fuzzy_lines(spark, SF).collect()}
