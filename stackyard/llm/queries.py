@@ -16,6 +16,7 @@ from .fm_index import remove_repeated_words
 from .idfiles import read_documents, write_ids
 from .lines import line_report
 from .packing import pack_documents
+from .pu_quality import score_quality
 from .quality import judge_documents
 from .sharding import shard_documents
 from .simhash import near_duplicates
@@ -104,6 +105,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(damaged(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")))
 
 
+def op13_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored for quality by positive-unlabelled learning."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return score_quality(documents(spark, sf_dir), labels)[0]
+
+
 def _vector_codes_sql(parts: int = 8, width: int = 8, entries: int = 16, rounds: int = 6) -> str:
     """The same codes by full search: a table of parts, and a pair of tables for each round."""
     nearest = """SELECT a.vec_id, a.p, a.s, min(list_sum(list_transform(list_zip(a.s, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 256 + b.e) AS best
@@ -133,6 +140,6 @@ FROM coded c JOIN kept k ON c.vec_id = k.vec_id JOIN labels_of l ON k.label IS N
 QUERIES = {f.__name__: f for f in (
     op1_simhash_vantage_points, op2_suffix_array_dedup, op3_distribution_divergence, op4_byte_shards,
     op5_best_fit_packing, op6_token_files, op7_suffix_tree_score, op8_simhash_decontamination,
-    op9_fuzzy_lines, op10_fm_index_dedup, op11_vector_codes, op12_conversation_repair)}
+    op9_fuzzy_lines, op10_fm_index_dedup, op11_vector_codes, op12_conversation_repair, op13_pu_quality)}
 #: Vectors of 64 components under distinct ids, as the table has them.
 SQL: dict[str, str] = {"op11_vector_codes": _vector_codes_sql()}
