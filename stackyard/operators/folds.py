@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackyard.functions.scalar import HASH_RANGE, seeded_shuffle_key
-from stackyard.operators.ordering import row_index
+from stackyard.operators.ordering import row_index, running
 
 
 def _tile(pos: Column, n: Column, k: int) -> Column:
@@ -62,3 +62,21 @@ def stratified_split(df: DataFrame, y: str, frac: float, seed: int, key: str = "
 def ordinal_labels(y: str, n_class: int, prefix: str = "label_") -> list[Column]:
     """V4: cumulative binary labels ``y <= k+1`` for ``k = 0..n_class-2``."""
     return [(F.col(y) <= k + 1).cast("int").alias(f"{prefix}{k}") for k in range(n_class - 1)]
+
+
+def ordinal_cut_folds(df: DataFrame, y: str, n_class: int, k: int, order: str = "id", name: str = "fold") -> DataFrame:
+    """K1: folds ``<name>0..`` for every cut ``y <= c+1`` of an ordinal label,
+    each stratified by the two sides of its cut (contiguous blocks in key
+    order). One pass counts the labels before each row; a cut's position is the
+    sum of those counts on the row's own side."""
+    labels = range(1, n_class + 1)
+    src = df.select("*", *[(F.col(y) == c).cast("long").alias(f"__is{c}") for c in labels])
+    totals = df.agg(*[F.count_if(F.col(y) == c) for c in labels]).first()
+    out = running(src, order, {f"__b{c}": f"__is{c}" for c in labels}, cache_input=False)
+    folds = []
+    for cut in range(1, n_class):
+        below, above = list(labels[:cut]), list(labels[cut:])
+        pos = F.when(F.col(y) <= cut, sum((F.col(f"__b{c}") for c in below), F.lit(0))).otherwise(sum((F.col(f"__b{c}") for c in above), F.lit(0)))
+        n = F.when(F.col(y) <= cut, F.lit(sum(totals[c - 1] for c in below))).otherwise(F.lit(sum(totals[c - 1] for c in above)))
+        folds.append(_tile(pos, n, k).alias(f"{name}{cut - 1}"))
+    return out.select(*df.columns, *folds)

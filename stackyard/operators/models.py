@@ -5,10 +5,14 @@ only loops over folds, labels, seeds or parameter points."""
 from __future__ import annotations
 
 import itertools
+import math
 import random
+import re
 import time
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import astuple, dataclass
 
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
@@ -19,8 +23,11 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stackyard.operators.boosting import BoostedTrees
+from stackyard.operators.extra_trees import ExtraTrees
 from stackyard.operators.metrics import log_loss
 
+BOOST_PARAMS = ("classes", "rounds", "rate", "min_leaf", "subsample", "valid_col", "patience")
 MAX_TREE_DEPTH = 30  # Spark ML limit; deeper settings are refused
 
 
@@ -90,8 +97,10 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features", fill: float
 
 def estimator(kind: str, label: str = "label", features: str = "features", seed: int = 2017,
               weight: str | None = None, **kw) -> Estimator:
-    """Named estimators. ``extra_trees`` is a forest without bootstrap
-    (Spark ML has no random split thresholds: documented approximation).
+    """Named estimators. ``extra_trees`` draws random thresholds for every tree
+    (:mod:`stackyard.operators.extra_trees`); ``boost``, ``softmax_boost`` and
+    ``boost_reg`` boost by Newton steps, with a validation column and patience
+    (:mod:`stackyard.operators.boosting`); ``gbt`` and ``gbt_reg`` are Spark ML's.
     ``criterion='entropy'`` needs Spark ML's classifiers, whose merged leaves
     (see :class:`_ClassShares`) make its probabilities coarser."""
     depth = int(kw.pop("max_depth", 5))
@@ -100,25 +109,33 @@ def estimator(kind: str, label: str = "label", features: str = "features", seed:
     common = dict(labelCol=label, featuresCol=features)
     if weight:
         common["weightCol"] = weight
-    if kind in ("tree", "forest", "extra_trees") and kw.get("criterion", "gini") != "entropy":
+    if kind in ("boost", "softmax_boost", "boost_reg"):
+        loss = {"boost": "logistic", "softmax_boost": "softmax", "boost_reg": "squared"}[kind]
+        return BoostedTrees(loss, label, features, max_depth=depth, seed=seed, weight=weight,
+                            **{k: kw[k] for k in BOOST_PARAMS if k in kw})
+    if kind in ("extra_trees", "extra_trees_reg"):
+        reg = kind == "extra_trees_reg"
+        return ExtraTrees(label, features, trees=kw.get("trees", 20), max_depth=depth, cuts=kw.get("cuts", 16),
+                          max_features=kw.get("max_features", "onethird" if reg else "sqrt"), min_leaf=kw.get("min_leaf", 1),
+                          classes=kw.get("classes", 2), regression=reg, seed=seed, weight=weight)
+    if kind in ("tree", "forest") and kw.get("criterion", "gini") != "entropy":
         if kind == "tree":
             out = ShareTree(maxDepth=depth, minInstancesPerNode=kw.get("min_leaf", 1), seed=seed, **common)
         else:
             out = ShareForest(numTrees=kw.get("trees", 20), maxDepth=depth,
                               featureSubsetStrategy=kw.get("max_features", "sqrt"),
-                              minInstancesPerNode=kw.get("min_leaf", 1), bootstrap=(kind == "forest"),
+                              minInstancesPerNode=kw.get("min_leaf", 1), bootstrap=kw.get("bootstrap", True),
                               seed=seed, **common)
         out.classes = kw.get("classes", 2)
         return out
     if kind == "tree":
         return DecisionTreeClassifier(impurity="entropy", maxDepth=depth,
                                       minInstancesPerNode=kw.get("min_leaf", 1), seed=seed, **common)
-    if kind in ("forest", "extra_trees"):
+    if kind == "forest":
         return RandomForestClassifier(numTrees=kw.get("trees", 20), maxDepth=depth,
                                       impurity="entropy",
                                       featureSubsetStrategy=kw.get("max_features", "sqrt"),
-                                      minInstancesPerNode=kw.get("min_leaf", 1),
-                                      bootstrap=(kind == "forest"), seed=seed, **common)
+                                      minInstancesPerNode=kw.get("min_leaf", 1), seed=seed, **common)
     if kind == "gbt":
         return GBTClassifier(maxIter=kw.get("rounds", 10), maxDepth=depth, stepSize=kw.get("rate", 0.1),
                              subsamplingRate=kw.get("subsample", 1.0), seed=seed, **common,
@@ -127,13 +144,14 @@ def estimator(kind: str, label: str = "label", features: str = "features", seed:
         if "n_rows" not in kw:
             raise ValueError("logistic: n_rows (rows of the fit) sets the penalty 1 / (C * n_rows)")
         return LogisticRegression(regParam=1.0 / (kw.get("C", 1.0) * kw["n_rows"]), elasticNetParam=0.0, standardization=False,
-                                  maxIter=kw.get("max_iter", 100), **common)
+                                  maxIter=kw.get("max_iter", 100), tol=kw.get("tol", 1e-6), **common)
     if kind == "bernoulli_nb":
         return NaiveBayes(modelType="bernoulli", smoothing=kw.get("alpha", 1.0), **common)
-    if kind in ("forest_reg", "extra_trees_reg"):
+    if kind == "forest_reg":
         return RandomForestRegressor(numTrees=kw.get("trees", 20), maxDepth=depth,
                                      featureSubsetStrategy=kw.get("max_features", "onethird"),
-                                     bootstrap=(kind == "forest_reg"), seed=seed, **common)
+                                     minInstancesPerNode=kw.get("min_leaf", 1), bootstrap=kw.get("bootstrap", True),
+                                     seed=seed, **common)
     if kind == "gbt_reg":
         return GBTRegressor(maxIter=kw.get("rounds", 10), maxDepth=depth, stepSize=kw.get("rate", 0.1),
                             seed=seed, **common)
@@ -193,63 +211,139 @@ class LogLossEvaluator(Evaluator):
         return False
 
 
+# ------------------------------------------------------------ cross-validation and sweeps
+
+SWEEP_THREADS = 4
+#: Names whose capitals label a model in the log.
+LOG_NAMES = {"tree": "DecisionTreeClassifier", "forest": "RandomForestClassifier", "extra_trees": "ExtraTreesClassifier",
+             "gbt": "GradientBoostedClassifier", "boost": "BoostedTreesClassifier", "logistic": "LogisticRegression",
+             "bernoulli_nb": "BernoulliNaiveBayes"}
+BOOSTED = ("boost", "gbt")
+#: The log row of one cross-validated point.
+LOG_SCHEMA = ("model string, rounds int, criterion string, depth int, weight int, features string, subsample double, "
+              "bootstrap boolean, rate double, best_round_mean double, best_round_max int, cv_loss double, cv_std double, "
+              "train_loss double, train_std double, seconds double, folds int, shape array<bigint>, options array<string>")
+
+
+@dataclass(frozen=True)
+class FoldResult:
+    fold: int
+    train_loss: float
+    cv_loss: float
+    best_round: int
+    seconds: float
+
+
+def _fold_result(df: DataFrame, kind: str, k: int, label: str, fold_col: str, stages: list, features: list[str] | None,
+                 params: dict) -> FoldResult:
+    """One fit without fold ``k``. Feature stages are fitted on the same rows
+    (X7), so they never see the fold's labels; a boosted model with patience
+    is measured on the fold and scores with its best rounds. Both losses come
+    from one aggregate."""
+    t0 = time.time()
+    out = F.col(fold_col) == k
+    rows = df
+    if stages:
+        last = [VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")] if features else []
+        rows = Pipeline(stages=[*stages, *last]).fit(df.where(~out)).transform(df)
+    elif features:
+        rows = assemble(df, features)
+    if params.get("patience"):
+        model = estimator(kind, label, valid_col="__out", **params).fit(rows.withColumn("__out", out))
+    else:
+        model = estimator(kind, label, **params).fit(rows.where(~out))
+    scored = predict(model, rows).withColumn("__out", out)
+    loss = {r["__out"]: r["logloss"] for r in log_loss(scored, label, "pred", by=["__out"]).collect()}
+    best = model.best_round if params.get("patience") else 0
+    return FoldResult(k, float(loss[False]), float(loss[True]), best, time.time() - t0)
+
+
+def _queue(df: DataFrame, jobs: list[tuple], label: str, fold_col: str, stages: list, features: list[str] | None) -> list[FoldResult]:
+    """All (model, parameters, fold) fits from one queue over one cached
+    table; results keep the jobs' order, whatever order they end in."""
+    base = df.persist()
+    try:
+        with ThreadPoolExecutor(max_workers=SWEEP_THREADS) as pool:
+            return list(pool.map(lambda j: _fold_result(base, j[0], j[2], label, fold_col, stages, features, j[1]), jobs))
+    finally:
+        base.unpersist()
+
+
 def cv_score(df: DataFrame, kind: str, folds: int, label: str = "label", fold_col: str = "fold",
-             fold_features=None, **params) -> DataFrame:
-    """Per-fold train and validation log loss of one model (rows
-    ``fold, train_loss, cv_loss, seconds``). ``fold_features`` is the
-    per-fold hook (X7): ``(fit_part, valid_part) -> (fit_part, valid_part)``
-    fitted inside the fold, so the hook never sees validation labels."""
-    spark = df.sparkSession
-    df = df.persist()
-    rows = []
-    for k in range(folds):
-        t0 = time.time()
-        fit_part, valid = df.where(F.col(fold_col) != k), df.where(F.col(fold_col) == k)
-        if fold_features is not None:
-            fit_part, valid = fold_features(fit_part, valid)
-        model = estimator(kind, label, **params).fit(fit_part)
-        tr = log_loss(predict(model, fit_part), label, "pred").first()[0]
-        cv = log_loss(predict(model, valid), label, "pred").first()[0]
-        rows.append((k, float(tr), float(cv), time.time() - t0))
-    return spark.createDataFrame(rows, "fold int, train_loss double, cv_loss double, seconds double")
-
-
-def grid_sweep(df: DataFrame, kinds: list[str], grid: dict, folds: int, label: str = "label",
-               fold_col: str = "fold") -> DataFrame:
-    """Every (model, parameter point) cross-validated; one log row each
-    (model, params, cv mean/std, train mean/std, seconds, folds)."""
-    spark = df.sparkSession
-    df = df.persist()
-    names = sorted(grid)
+             stages: list | None = None, features: list[str] | None = None, **params) -> DataFrame:
+    """Per-fold train and validation log loss of one model and its best
+    round (0 without ``patience``). ``stages`` are feature estimators (X7) that
+    are fitted inside each fold, in a pipeline that ends with an assembler of the
+    columns ``features`` (without them a stage makes the vector)."""
+    got = _queue(df, [(kind, params, k) for k in range(folds)], label, fold_col, stages or [], features)
+    return df.sparkSession.createDataFrame([astuple(r) for r in got], "fold int, train_loss double, cv_loss double, best_round int, seconds double")
+
+
+def grid_points(kinds: list[str], grid: dict[str, list], own: dict[str, dict] | None = None) -> list[tuple[str, dict]]:
+    """Every (model, parameters) of a grid, models within points; ``own`` has each model's fixed parameters."""
+    names = list(grid)
+    return [(kind, {**(own or {}).get(kind, {}), **dict(zip(names, point))})
+            for point in itertools.product(*[grid[n] for n in names]) for kind in kinds]
+
+
+def log_rows(points: list[tuple[str, dict]], results: list[list[FoldResult]], folds: int, shape: tuple[int, int],
+             options: list[str]) -> list[tuple]:
+    """The 19 fields of each point's log row. What a model does not have is null."""
     rows = []
-    for kind in kinds:
-        for point in itertools.product(*[grid[n] for n in names]):
-            params = dict(zip(names, point))
-            r = cv_score(df, kind, folds, label, fold_col, **params).agg(
-                F.avg("cv_loss").alias("cv_mean"), F.stddev_pop("cv_loss").alias("cv_std"),
-                F.avg("train_loss").alias("train_mean"), F.stddev_pop("train_loss").alias("train_std"),
-                F.sum("seconds").alias("seconds")).first()
-            rows.append((kind, {k: float(v) for k, v in params.items()}, r["cv_mean"], r["cv_std"],
-                         r["train_mean"], r["train_std"], r["seconds"], folds))
-    return spark.createDataFrame(rows, "model string, params map<string,double>, cv_mean double, cv_std double, "
-                                       "train_mean double, train_std double, seconds double, folds int")
+    for (kind, params), got in zip(points, results):
+        boosted, trees = kind in BOOSTED, kind in ("forest", "extra_trees")
+        cv, train, best = ([getattr(r, f) for r in got] for f in ("cv_loss", "train_loss", "best_round"))
+        mean = lambda v: sum(v) / len(v)
+        std = lambda v: math.sqrt(mean([(x - mean(v)) ** 2 for x in v]))
+        rows.append((
+            re.sub("[^A-Z]", "", LOG_NAMES.get(kind, kind.title())), params.get("rounds" if boosted else "trees"),
+            "logistic" if boosted else params.get("criterion", "gini") if kind in ("tree", "forest", "extra_trees") else None,
+            params.get("max_depth"), params.get("min_leaf"), str(params["max_features"]) if "max_features" in params else None,
+            float(params.get("subsample", 1.0)) if boosted else None, params.get("bootstrap", True) if kind == "forest" else False if trees else None,
+            float(params["rate"]) if boosted and "rate" in params else None, mean(best), max(best),
+            mean(cv), std(cv), mean(train), std(train), sum(r.seconds for r in got), folds, list(shape), options))
+    return rows
+
+
+def grid_sweep(df: DataFrame, points: list[tuple[str, dict]], folds: int, label: str = "label", fold_col: str = "fold",
+               features: list[str] | None = None, stages: list | None = None) -> DataFrame:
+    """Every (model, parameters) point cross-validated, a log row each
+    (``LOG_SCHEMA``), in the order of the points. All fits of the sweep share one
+    queue and one cached table."""
+    jobs = [(kind, params, k) for kind, params in points for k in range(folds)]
+    got = _queue(df, jobs, label, fold_col, stages or [], features)
+    results = [got[i * folds:(i + 1) * folds] for i in range(len(points))]
+    width = len(features) if features else len(df.columns)
+    options = [type(s).__name__ for s in stages or []]
+    return df.sparkSession.createDataFrame(log_rows(points, results, folds, (df.count(), width), options), LOG_SCHEMA)
+
+
+def random_points(bounds: dict[str, tuple], trials: int, seed: int) -> list[dict]:
+    """Seeded random points: integers between integer bounds, else floats."""
+    rnd = random.Random(seed)
+    draw = lambda lo, hi: rnd.randint(lo, hi) if isinstance(lo, int) and isinstance(hi, int) else rnd.uniform(lo, hi)
+    return [{k: draw(lo, hi) for k, (lo, hi) in bounds.items()} for _ in range(trials)]
 
 
 def random_search(df: DataFrame, kind: str, bounds: dict, trials: int, seed: int, label: str = "label",
                   holdout_col: str = "is_fit") -> DataFrame:
     """T11 (re-aimed from a Gaussian-process optimiser): seeded random
-    points inside integer ``bounds``; score = -log loss on the holdout."""
-    spark = df.sparkSession
-    rnd = random.Random(seed)
-    df = df.persist()
-    fit_part, valid = df.where(F.col(holdout_col)), df.where(~F.col(holdout_col))
-    rows = []
-    for _ in range(trials):
-        params = {k: rnd.randint(lo, hi) for k, (lo, hi) in bounds.items()}
-        model = estimator(kind, label, **params).fit(fit_part)
-        loss = log_loss(predict(model, valid), label, "pred").first()[0]
-        rows.append(({k: float(v) for k, v in params.items()}, -float(loss)))
-    return spark.createDataFrame(rows, "params map<string,double>, score double")
+    points inside ``bounds``; score = -log loss on the holdout. The trials share
+    one queue and one cached table."""
+    points = random_points(bounds, trials, seed)
+    base = df.persist()
+
+    def one(params: dict) -> tuple:
+        model = estimator(kind, label, **params).fit(base.where(F.col(holdout_col)))
+        loss = log_loss(predict(model, base.where(~F.col(holdout_col))), label, "pred").first()[0]
+        return {k: float(v) for k, v in params.items()}, -float(loss)
+
+    try:
+        with ThreadPoolExecutor(max_workers=SWEEP_THREADS) as pool:
+            rows = list(pool.map(one, points))
+    finally:
+        base.unpersist()
+    return df.sparkSession.createDataFrame(rows, "params map<string,double>, score double")
 
 
 def gated(scores: DataFrame, loss: float, limit: float) -> DataFrame:
@@ -261,7 +355,7 @@ def platt_calibrate(fit_scores: DataFrame, apply_scores: DataFrame, label: str =
                     score: str = "pred", out: str = "calibrated") -> DataFrame:
     """Logistic regression of the label on a held-out raw score."""
     a = VectorAssembler(inputCols=[score], outputCol="__s").transform(fit_scores)
-    lr = LogisticRegression(featuresCol="__s", labelCol=label, regParam=0.0).fit(a)
+    lr = LogisticRegression(featuresCol="__s", labelCol=label, regParam=0.0, tol=1e-12, maxIter=200).fit(a)
     b = VectorAssembler(inputCols=[score], outputCol="__s").transform(apply_scores)
     res = lr.transform(b)
     return positive_probability(res, out).drop("__s", "rawPrediction", "probability", "prediction")

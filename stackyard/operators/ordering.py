@@ -7,8 +7,8 @@ per-range offsets from a table with one row per (range, group): its size is
 bounded by ``ranges x groups`` and it is broadcast.
 
 Range boundaries are approximate quantiles of the first ordering key (one
-aggregate job; a fixed-seed sample of at most ``64 x ranges`` keys for
-non-numeric keys), collected once and then used as literals. The range of a row is
+aggregate job; text keys count as the numbers of the bytes behind the prefix
+that all keys share), collected once and then used as literals. The range of a row is
 therefore a pure function of its key: every re-evaluation (a second branch
 of the same plan, a retried task after a lost executor, the next fold
 iteration) assigns the same range, so counts and offsets always agree.
@@ -17,6 +17,8 @@ iteration) assigns the same range, so counts and offsets always agree.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -29,8 +31,8 @@ _RID = "__rid"
 #: Ranges for each shuffle partition: ranges meet partitions by hash, and
 #: several small ones spread better than one.
 RANGES_PER_PARTITION = 4
-SAMPLE_PER_RANGE = 64
-MAX_TEXT_RANGES = 256
+#: Bytes of a text key that make one number (exact in a double).
+PREFIX_BYTES = 6
 
 
 def _order_exprs(order_cols):
@@ -44,8 +46,7 @@ def range_bounds(col: Column, n_ranges: int) -> Column:
 
 
 def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None,
-                   bounds: list | None = None, total: int | None = None,
-                   second: Column | None = None) -> DataFrame:
+                   bounds: list | None = None, second: Column | None = None) -> DataFrame:
     """Add ``__rid``: the range of ``first`` (nulls → -1, sorted first).
 
     With a numeric ``second`` ordering key, the rows of a value of ``first``
@@ -63,33 +64,45 @@ def _with_range_id(df: DataFrame, first: Column, n_ranges: int | None = None,
         t = t.drop("__k1")
     if bounds is not None:
         bounds = sorted(set(bounds))
-    elif isinstance(dtype, T.NumericType):
+    elif isinstance(dtype, (T.StringType, T.BinaryType)):
+        return _with_text_key(t, n_ranges)
+    else:
+        if not isinstance(dtype, T.NumericType):  # dates and times by their number
+            t, dtype = t.withColumn("__k0", _as_number(F.col("__k0"), dtype)), T.DoubleType()
         # one aggregate job: approximate quantiles as split points
         got = t.agg(range_bounds(F.col("__k0"), n_ranges).alias("b")).first()["b"]
         bounds = sorted(set(got or []))
-    else:
-        # text keys order distinct category values: a few hundred ranges suffice
-        n_ranges = min(n_ranges, MAX_TEXT_RANGES)
-        total = t.count() if total is None else total
-        frac = min(1.0, SAMPLE_PER_RANGE * n_ranges / max(total, 1))
-        sample = sorted(r[0] for r in t.select("__k0").where(F.col("__k0").isNotNull())
-                        .sample(fraction=frac, seed=17).collect())
-        bounds = sorted({sample[(len(sample) * i) // n_ranges] for i in range(1, n_ranges)}) if sample else []
     if not bounds:
         return t.withColumn(_RID, F.when(F.col("__k0").isNull(), -1).otherwise(0)).drop("__k0")
-    if isinstance(dtype, T.NumericType):
-        # binary search in the JVM; bucket i holds (b[i-1], b[i]]
-        fb = sorted({float(b) for b in bounds if math.isfinite(float(b))})
-        splits = [float("-inf")] + [x for x in fb] + [float("inf")]
-        t = t.withColumn("__k0d", F.col("__k0").cast("double"))
-        bz = Bucketizer(splits=splits, inputCol="__k0d", outputCol="__b", handleInvalid="keep")
-        t = bz.transform(t)
-        # Bucketizer puts x == split into the upper bucket; either way it is a
-        # monotone function of the key, which is all the numbering needs.
-        rid = F.when(F.col("__k0").isNull(), F.lit(-1)).otherwise(F.col("__b").cast("int"))
-        return t.withColumn(_RID, rid).drop("__k0", "__k0d", "__b")
-    rid = F.when(F.col("__k0").isNull(), F.lit(-1)).otherwise(_search(F.col("__k0"), bounds, 0))
-    return t.withColumn(_RID, rid).drop("__k0")
+    # binary search in the JVM; Bucketizer puts x == split into the upper bucket; either
+    # way it is a monotone function of the key, which is all the numbering needs
+    t = _bucket(t.withColumn("__k0d", F.col("__k0").cast("double")), "__k0d", bounds, "__b")
+    rid = F.when(F.col("__k0").isNull(), F.lit(-1)).otherwise(F.col("__b").cast("int"))
+    return t.withColumn(_RID, rid).drop("__k0", "__k0d", "__b")
+
+
+def _as_number(k: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(k).cast("double")
+    return k.cast("double")
+
+
+def _with_text_key(t: DataFrame, n_ranges: int) -> DataFrame:
+    """Ranges of a text key: all keys start as the least and the greatest of
+    them do, so the bytes behind that prefix are the first number, the bytes
+    behind these the second one (shorter keys end in zero bytes)."""
+    least, most = t.agg(F.min("__k0"), F.max("__k0")).first()
+    if least is None:
+        return t.withColumn(_RID, F.lit(-1)).drop("__k0")
+    a, b = (x.encode() if isinstance(x, str) else bytes(x) for x in (least, most))
+    same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    def number(start: int) -> Column:
+        part = F.substring(F.col("__k0").cast("binary"), start + 1, PREFIX_BYTES)
+        return F.conv(F.rpad(F.hex(part), 2 * PREFIX_BYTES, "0"), 16, 10).cast("long")
+
+    t = t.withColumn("__k1", number(same + PREFIX_BYTES)).withColumn("__k0", number(same))
+    return _with_two_keys(t, n_ranges)
 
 
 def _bucket(t: DataFrame, col: str, bounds: list, out: str) -> DataFrame:
@@ -116,20 +129,9 @@ def _with_two_keys(t: DataFrame, n_ranges: int) -> DataFrame:
     return t.withColumn(_RID, rid).drop("__k0", "__k1", "__d0", "__d1", "__r0", "__r1")
 
 
-def _search(k: Column, bounds: list, base: int) -> Column:
-    """Number of ``bounds`` strictly below ``k`` as a balanced tree of
-    comparisons (log2 depth per row, linear expression size)."""
-    if not bounds:
-        return F.lit(base)
-    mid = len(bounds) // 2
-    return F.when(k > F.lit(bounds[mid]), _search(k, bounds[mid + 1:], base + mid + 1)) \
-            .otherwise(_search(k, bounds[:mid], base))
-
-
 def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
               name: str = "row_idx", cache_input: bool = False,
-              total_name: str | None = None, bounds: list | None = None,
-              n_rows: int | None = None) -> DataFrame:
+              total_name: str | None = None, bounds: list | None = None) -> DataFrame:
     """0-based position of each row in ``order_cols`` order (within ``by``).
 
     ``order_cols`` must be a total order (end with a key). ``by`` must be a
@@ -140,7 +142,7 @@ def row_index(df: DataFrame, order_cols: list, by: list[str] | None = None,
     keys = _order_exprs(order_cols)
     if cache_input:  # an aggregated input is read twice (split points, numbering)
         df = df.persist()
-    t = _with_range_id(df, keys[0], bounds=bounds, total=n_rows, second=keys[1] if len(keys) > 1 else None)
+    t = _with_range_id(df, keys[0], bounds=bounds, second=keys[1] if len(keys) > 1 else None)
     w = Window.partitionBy(_RID, *by).orderBy(*keys)
     local = t.withColumn("__local", F.row_number().over(w) - 1)
     counts = t.groupBy(_RID, *by).agg(F.count(F.lit(1)).alias("__n"))
@@ -172,6 +174,34 @@ def cumulative_before(df: DataFrame, order_col: str, weight_col: str,
     return out.select(*df.columns, (F.col("__local") + F.col("__off")).alias(name))
 
 
+def running(df: DataFrame, order_col: str, sums: dict[str, str], by: list[str] | None = None,
+            previous: str | None = None, cache_input: bool = True) -> DataFrame:
+    """Several running sums in one pass: for each ``name: column`` the sum of
+    the column over the rows strictly before each row in ``order_col`` order
+    (within ``by``), and with ``previous`` also the order value before it.
+    ``order_col`` must be unique within ``by``."""
+    by = list(by or [])
+    if cache_input:
+        df = df.persist()
+    t = _with_range_id(df, F.col(order_col))
+    ordered = Window.partitionBy(_RID, *by).orderBy(order_col)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    names = list(sums)
+    local = t.select("*", *[F.coalesce(F.sum(sums[n]).over(before), F.lit(0)).alias(f"__l_{n}") for n in names],
+                     F.lag(order_col).over(ordered).alias("__lag"))
+    tot = t.groupBy(_RID, *by).agg(*[F.sum(sums[n]).alias(f"__t_{n}") for n in names], F.max(order_col).alias("__last"))
+    ranges = Window.partitionBy(*by).orderBy(_RID)
+    earlier = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    keys = [_RID, *by]
+    offs = tot.select(*[F.col(c).alias(f"__by{i}") for i, c in enumerate(keys)],
+                      *[F.coalesce(F.sum(f"__t_{n}").over(earlier), F.lit(0)).alias(f"__o_{n}") for n in names],
+                      F.lag("__last").over(ranges).alias("__carry"))
+    on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__by{i}")) for i, c in enumerate(keys)])
+    out = local.join(F.broadcast(offs), on)  # a row for each range and group
+    last = [F.coalesce("__lag", "__carry").alias(previous)] if previous else []
+    return out.select(*df.columns, *[(F.col(f"__l_{n}") + F.col(f"__o_{n}")).alias(n) for n in names], *last)
+
+
 def with_previous(df: DataFrame, order_col: str, by: list[str] | None = None,
                   name: str = "prev", cache_input: bool = True) -> DataFrame:
     """Previous value of ``order_col`` in sorted order within ``by``
@@ -191,4 +221,4 @@ def with_previous(df: DataFrame, order_col: str, by: list[str] | None = None,
     return out.select(*df.columns, F.coalesce(F.col("__lag"), F.col("__carry")).alias(name))
 
 
-__all__ = ["row_index", "cumulative_before", "with_previous"]
+__all__ = ["row_index", "cumulative_before", "running", "with_previous"]

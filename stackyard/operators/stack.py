@@ -10,36 +10,47 @@ cluster names one, so a lost executor recomputes from there.
 
 from __future__ import annotations
 
+import math
 import operator
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+from pyspark.ml import Model
 from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stackyard.operators.models import (assemble, class_probabilities, estimator, fold_prediction,
-                                        mean_prediction, predict)
-from stackyard.session import cut_lineage
+from stackyard.operators.folds import ordinal_cut_folds, positional_holdout
+from stackyard.operators.models import assemble, estimator, fold_prediction, mean_prediction, predict
+from stackyard.operators.moments import sums_of_products
+from stackyard.session import checkpoint_dir, cut_lineage
 
 
 FIT_THREADS = 4  # independent fits submitted as concurrent Spark jobs
+LOSS_BATCH = 100  # losses of linear groups in one aggregate
 
 
 def fit_parallel(jobs, params: dict):
     """Fit independent models concurrently (one Spark job stream each, like
-    ``CrossValidator(parallelism=...)``); results keep the job order."""
-    from concurrent.futures import ThreadPoolExecutor
+    ``CrossValidator(parallelism=...)``); results keep the job order. A job is
+    (kind, label, rows) and, where it has some of its own, parameters."""
+    def one(job):
+        kind, label, rows, *own = job
+        return estimator(kind, label, **{**params, **(own[0] if own else {})}).fit(rows)
+
     with ThreadPoolExecutor(max_workers=FIT_THREADS) as pool:
-        futs = [pool.submit(lambda j: estimator(j[0], j[1], **params).fit(j[2]), j) for j in jobs]
-        return [f.result() for f in futs]
+        return list(pool.map(one, jobs))
 
 
 def _prepare(df: DataFrame, features: list[str]) -> DataFrame:
-    return cut_lineage(assemble(df, features)).persist()
+    """The assembled rows, from the shared checkpoint folder if there is one, else kept in memory."""
+    rows = assemble(df, features)
+    return cut_lineage(rows) if checkpoint_dir(df.sparkSession) else rows.persist()
 
 
 def _with_rows(kind: str, params: dict, tr: DataFrame) -> dict:
@@ -74,39 +85,102 @@ def oof_predict(train: DataFrame, test: DataFrame | None, features: list[str], l
 
 
 def oof_bumps(train: DataFrame, test: DataFrame, features: list[str], y: str, n_class: int, kind: str,
-              folds: int, fold_col: str = "fold", key: str = "id", **params) -> DataFrame:
+              folds: int, key: str = "id", **params) -> DataFrame:
     """K1: one binary model per ordinal cut ``y <= k+1`` (k = 0..n_class-2),
     out of fold on train, refit on all train for test; wide
-    ``(id, bump_0..)``. All cuts' models are applied to the same rows."""
+    ``(id, bump_0..)``. Every cut has folds of its own, stratified by its side
+    of the cut. All cuts' models are applied to the same rows."""
     labs = [f"__lab{k}" for k in range(n_class - 1)]
+    train = ordinal_cut_folds(train, y, n_class, folds, key, "__fold")
     tr = _prepare(train.select("*", *[(F.col(y) <= k + 1).cast("double").alias(lab)
                                       for k, lab in enumerate(labs)]), features)
     te = assemble(test, features)
-    fitted = fit_parallel([j for lab in labs for j in _fold_jobs(tr, kind, lab, folds, fold_col, True)], params)
+    fitted = fit_parallel([j for k, lab in enumerate(labs) for j in _fold_jobs(tr, kind, lab, folds, f"__fold{k}", True)], params)
     cols = [f"bump_{k}" for k in range(n_class - 1)]
     for k, c in enumerate(cols):
         own = fitted[k * (folds + 1):(k + 1) * (folds + 1)]
-        tr = fold_prediction(own[:folds], tr, fold_col, c)
+        tr = fold_prediction(own[:folds], tr, f"__fold{k}", c)
         te = predict(own[folds], te, c)
     return tr.select(key, *cols).unionByName(te.select(key, *cols))
 
 
+class Scaled(Model):
+    """A model of standardised features: mean and population deviation of its own fit rows."""
+
+    def __init__(self, mean: list[float], std: list[float], model, features: str = "features"):
+        super().__init__()
+        self.mean, self.std, self.model, self.features = mean, std, model, features
+
+    def scale(self, df: DataFrame) -> DataFrame:
+        lit = lambda v: F.array(*[F.lit(float(x)) for x in v])
+        z = F.transform(F.arrays_zip(vector_to_array(self.features).alias("x"), lit(self.mean).alias("m"), lit(self.std).alias("s")),
+                        lambda t: F.when(t["s"] > 0, (t["x"] - t["m"]) / t["s"]).otherwise(0.0))
+        return df.withColumn("__scaled", array_to_vector(z))
+
+    def _transform(self, dataset):
+        return self.model.transform(self.scale(dataset)).drop("__scaled")
+
+
+def fit_scaled(kind: str, label: str, rows: DataFrame, **params) -> Scaled:
+    """An estimator fitted on its rows' standardised features."""
+    got = rows.agg(Summarizer.mean(F.col("features")).alias("m"), Summarizer.variance(F.col("features")).alias("v"),
+                   F.count(F.lit(1)).alias("n")).first()
+    n = max(got["n"], 1)
+    std = [math.sqrt(max(v, 0.0) * (n - 1) / n) for v in got["v"].toArray()]
+    empty = Scaled(got["m"].toArray().tolist(), std, None)
+    return Scaled(empty.mean, std, estimator(kind, label, "__scaled", **params).fit(empty.scale(rows)))
+
+
 def oof_multiclass(train: DataFrame, test: DataFrame, features: list[str], y: str, n_class: int,
-                   kind: str, folds: int, fold_col: str = "fold", key: str = "id", **params) -> DataFrame:
-    """K2: out-of-fold class probabilities ``p_1..p_n`` (labels 1..n are
-    shifted to 0..n-1 for Spark ML)."""
+                   models: dict[str, tuple[str, dict]], folds: int, fold_col: str = "fold", key: str = "id",
+                   scale: bool = False) -> DataFrame:
+    """K2: out-of-fold class probabilities of several classifiers, columns
+    ``<name>_1..<name>_n`` in the order of ``models`` (name: (kind,
+    parameters)). Labels 1..n are shifted to 0..n-1 for Spark ML. With
+    ``scale`` every fit standardises the features by its own rows: a fold's
+    models by the other folds, the test side's by all train rows."""
     lab = "__lab"
     tr = _prepare(train.withColumn(lab, (F.col(y) - 1).cast("double")), features)
-    fitted = fit_parallel(_fold_jobs(tr, kind, lab, folds, fold_col, True), {**params, "classes": n_class})
-    cols = [f"p_{i + 1}" for i in range(n_class)]
-    names = [f"__fold{k}" for k in range(folds)]
-    for m, n in zip(fitted, names):
-        tr = (m.transform(tr).withColumn(n, vector_to_array(F.col("probability")))
-              .drop("rawPrediction", "probability", "prediction"))
-    tr = tr.withColumn("__p", F.element_at(F.array(*names), F.col(fold_col).cast("int") + 1))
-    out = tr.select(key, *[F.col("__p")[i].alias(c) for i, c in enumerate(cols)])
-    te = class_probabilities(fitted[folds].transform(assemble(test, features)), n_class, "p_", offset=1)
-    return out.unionByName(te.select(key, *cols))
+    te = assemble(test, features)
+    n_rows = {r[fold_col]: r["count"] for r in tr.groupBy(fold_col).count().collect()}
+    total = sum(n_rows.values())
+    jobs = []
+    for kind, params in models.values():
+        own = {**params, **({} if kind == "logistic" else {"classes": n_class})}
+        for k in [*range(folds), None]:
+            rows = tr if k is None else tr.where(F.col(fold_col) != k)
+            size = {"n_rows": total - n_rows.get(k, 0)} if kind == "logistic" else {}
+            jobs.append((kind, lab, rows, {**own, **size}))
+    if scale:
+        with ThreadPoolExecutor(max_workers=FIT_THREADS) as pool:
+            fitted = list(pool.map(lambda j: fit_scaled(j[0], j[1], j[2], **j[3]), jobs))
+    else:
+        fitted = fit_parallel(jobs, {})
+    drop = ["rawPrediction", "probability", "prediction"]
+    cols = []
+    for i, name in enumerate(models):
+        own = fitted[i * (folds + 1):(i + 1) * (folds + 1)]
+        parts = [f"__{name}_fold{k}" for k in range(folds)]
+        for m, n in zip(own, parts):
+            tr = m.transform(tr).withColumn(n, vector_to_array(F.col("probability"))).drop(*drop)
+        tr = tr.withColumn("__p", F.element_at(F.array(*parts), F.col(fold_col).cast("int") + 1))
+        te = own[folds].transform(te).withColumn("__p", vector_to_array(F.col("probability"))).drop(*drop)
+        new = {f"{name}_{c + 1}": F.col("__p")[c] for c in range(n_class)}
+        tr, te = tr.withColumns(new).drop(*parts, "__p"), te.withColumns(new).drop("__p")
+        cols += list(new)
+    return tr.select(key, *cols).unionByName(te.select(key, *cols))
+
+
+#: The share of the fit rows, in key order, that a boosted model is fitted on; the rest ends its rounds.
+BOOST_FIT_SHARE = 0.8
+
+
+def _with_validation(kind: str, params: dict, rows: DataFrame, key: str) -> tuple[dict, DataFrame]:
+    """A boosted model with patience gets the last rows in key order as its validation side."""
+    if kind not in ("boost", "softmax_boost", "boost_reg") or "patience" not in params:
+        return params, rows
+    split = positional_holdout(rows, BOOST_FIT_SHARE, key, "__fit")
+    return {**params, "valid_col": "__valid"}, split.withColumn("__valid", ~F.col("__fit")).drop("__fit")
 
 
 def holdout_stack(df: DataFrame, test: DataFrame, features: list[str], label: str, models: dict,
@@ -115,8 +189,11 @@ def holdout_stack(df: DataFrame, test: DataFrame, features: list[str], label: st
     other train rows and on test become new columns of those rows."""
     fit_part = _prepare(df.where(F.col(fit_col)), features)
     rest, te = assemble(df.where(~F.col(fit_col)), features), assemble(test, features)
-    for name, (kind, params) in models.items():
-        m = estimator(kind, label, **params).fit(fit_part)
+    jobs = []
+    for kind, params in models.values():
+        own, rows = _with_validation(kind, params, fit_part, key)
+        jobs.append((kind, label, rows, own))
+    for name, m in zip(models, fit_parallel(jobs, {})):
         rest, te = predict(m, rest, name), predict(m, te, name)
     fit_part.unpersist()
     return rest.drop("features"), te.drop("features")
@@ -127,8 +204,8 @@ def meta_learner(train: DataFrame, test: DataFrame, cols: list[str], label: str,
     """K6/K7/K8: a second-level model on prediction columns; with several
     seeds the test predictions are averaged (A24)."""
     tr = _prepare(train, cols)
-    params = _with_rows(kind, params, tr)
-    fitted = [estimator(kind, label, seed=s, **params).fit(tr) for s in seeds or [2017]]
+    params, rows = _with_validation(kind, _with_rows(kind, params, tr), tr, key)
+    fitted = fit_parallel([(kind, label, rows, {"seed": s}) for s in seeds or [2017]], params)
     tr.unpersist()
     return mean_prediction(fitted, assemble(test, cols), name).select(key, name)
 
@@ -137,7 +214,7 @@ def soft_vote(train: DataFrame, test: DataFrame, features: list[str], label: str
               key: str = "id", name: str = "pred") -> DataFrame:
     """K9: equal-weight mean of the classifiers' P(class 1)."""
     tr = _prepare(train, features)
-    fitted = [estimator(kind, label, **params).fit(tr) for kind, params in models.values()]
+    fitted = fit_parallel([(kind, label, tr, params) for kind, params in models.values()], {})
     tr.unpersist()
     return mean_prediction(fitted, assemble(test, features), name).select(key, name)
 
@@ -147,7 +224,7 @@ def logit_feature(train: DataFrame, apply: DataFrame, features: list[str], label
     """Logistic regression (C as in the source, no standardisation)
     on one-hot columns; the feature is ``ln P(y=1)``."""
     n = train.count()
-    m = estimator("logistic", label, C=C, n_rows=n, max_iter=300).fit(_prepare(train, features))
+    m = estimator("logistic", label, C=C, n_rows=n, max_iter=300, tol=1e-10).fit(_prepare(train, features))
     p = predict(m, assemble(apply, features), "__p")
     return p.select(key, F.log(F.col("__p")).alias(name))
 
@@ -170,15 +247,18 @@ def logit_feature_from_categoricals(train: DataFrame, apply: DataFrame, cats: li
 
 
 def logit_feature_in_folds(train: DataFrame, features: list[str], label: str, folds: int,
-                           fold_col: str = "fold", key: str = "id", C: float = 10.0) -> DataFrame:
+                           fold_col: str = "fold", key: str = "id", C: float = 10.0,
+                           name: str = "logit_feat") -> DataFrame:
     """The logit feature refit inside each fold (leak-free): each
-    fold's rows get the feature from a model fitted on the other folds."""
-    out = None
-    for k in range(folds):
-        part = logit_feature(train.where(F.col(fold_col) != k), train.where(F.col(fold_col) == k),
-                             features, label, C, key)
-        out = part if out is None else out.unionByName(part)
-    return out
+    fold's rows get the feature from a model fitted on the other folds. One
+    grouped count gives all fits their rows; the fits run side by side, and the
+    models are applied to the same rows one after another."""
+    tr = _prepare(train, features)
+    size = {r[fold_col]: r["count"] for r in tr.groupBy(fold_col).count().collect()}
+    total = sum(size.values())
+    jobs = [("logistic", label, tr.where(F.col(fold_col) != k), {"n_rows": max(total - size.get(k, 0), 1)}) for k in range(folds)]
+    fitted = fit_parallel(jobs, {"C": C, "max_iter": 300, "tol": 1e-10})
+    return fold_prediction(fitted, tr, fold_col, "__p").select(key, F.log("__p").alias(name))
 
 
 def _loss_expr(y: str, p: str):
@@ -198,9 +278,10 @@ class LinearGroups:
     """Greedy linear feature groups.
 
     The columns are taken in a seeded random order. The first ``n`` open a
-    group each. Every later column is scored in one aggregate against all
-    groups with room (``max_elts`` members at most): the candidate table has a
-    row (group, loss of the prediction with the column). A group that no
+    group each. Every later column is scored against all groups with room
+    (``max_elts`` members at most): the candidate table has a row (group, loss of
+    the prediction with the column). A scan scores the columns ahead as well;
+    their losses hold until their group changes. A group that no
     column has joined takes the column with the least loss; otherwise the
     column joins the group whose loss it lowers most, or none. All
     least-squares solves use one Gram-matrix pass. ``transform`` adds one
@@ -212,12 +293,6 @@ class LinearGroups:
         self.groups: list[list[str]] = []
         self.coefs: list[dict[str, float]] = []
 
-    def _gram(self, d: DataFrame, cols: list[str], label: str) -> dict:
-        """Sums of products of every two columns, and of each with the label."""
-        keys = [(a, b) for i, a in enumerate(cols) for b in [*cols[i:], label]]
-        sums = d.agg(*[F.sum(F.col(a).cast("double") * F.col(b).cast("double")) for a, b in keys]).first()
-        return dict(zip(keys, sums)) | {(b, a): v for (a, b), v in zip(keys, sums)}
-
     @staticmethod
     def _weights(gram: dict, members: list[str], label: str) -> dict[str, float]:
         a = np.array([[gram[x, y] for y in members] for x in members])
@@ -228,24 +303,29 @@ class LinearGroups:
     def _prediction(weights: dict[str, float]):
         return reduce(operator.add, [F.lit(w) * F.col(c) for c, w in weights.items()])
 
-    def _candidates(self, d: DataFrame, gram: dict, groups: list[_Group], column: str, label: str) -> list[tuple]:
-        """(group, loss with the column) for the groups with room."""
-        room = [g for g in groups if self.max_elts is None or len(g.members) < self.max_elts]
-        if not room:
-            return []
-        predicted = [self._prediction(self._weights(gram, [*g.members, column], label)) for g in room]
+    def _losses(self, d: DataFrame, gram: dict, wanted: list[tuple], label: str) -> list[float]:
+        """Log losses of the wanted (members, column) pairs, in one scan."""
+        predicted = [self._prediction(self._weights(gram, [*members, column], label)) for members, column in wanted]
         scored = d.select(label, *[p.alias(f"p{i}") for i, p in enumerate(predicted)])
-        return list(zip(room, scored.agg(*[_loss_expr(label, f"p{i}") for i in range(len(room))]).first()))
+        return list(scored.agg(*[_loss_expr(label, f"p{i}") for i in range(len(wanted))]).first())
 
     def fit(self, df: DataFrame, cols: list[str], label: str) -> "LinearGroups":
-        # the projected numeric matrix is scanned once per column: keep it
         d = cut_lineage(df.select(label, *cols).fillna(0.0, subset=cols)).persist()
-        gram = self._gram(d, cols, label)
+        gram = sums_of_products(d, [*cols, label])
         order = sorted(cols)
         random.Random(self.seed).shuffle(order)
         groups = [_Group([c]) for c in order[:self.n]]
-        for column in order[self.n:]:
-            table = self._candidates(d, gram, groups, column, label)
+        rest = order[self.n:]
+        known: dict[tuple, float] = {}  # (members, column): loss; stays until the group changes
+        for at, column in enumerate(rest):
+            room = [g for g in groups if self.max_elts is None or len(g.members) < self.max_elts]
+            if not room:
+                break
+            if any((tuple(g.members), column) not in known for g in room):
+                # one scan for this column and for as many later ones as fit into it
+                wanted = [(tuple(g.members), c) for c in rest[at:] for g in room if (tuple(g.members), c) not in known][:LOSS_BATCH]
+                known |= dict(zip(wanted, self._losses(d, gram, wanted, label)))
+            table = [(g, known[tuple(g.members), column]) for g in room]
             fresh = [(loss, g) for g, loss in table if g.loss is None]
             if fresh:
                 loss, group = min(fresh, key=lambda t: t[0])
