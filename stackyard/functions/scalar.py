@@ -98,10 +98,12 @@ def standardise(x, mean, std, digits: int | None = None) -> Column:
 
 
 def interactions(cols: list[str], a: str, b: str, c: str | None = None) -> list[Column]:
-    """``f*(a+b)`` per column and, with ``c``, ``f*a + f*b + f*c``."""
+    """``f*(a+b)`` per column and, with ``c``, also ``f*(a+c)``,
+    ``f*(c+b)`` and ``f*a + f*b + f*c``."""
+    pairs = [(a, b)] if c is None else [(a, b), (a, c), (c, b)]
     out = []
     for f in cols:
-        out.append((F.col(f) * (F.col(a) + F.col(b))).alias(f"{f}_x_{a}_{b}"))
+        out += [(F.col(f) * (F.col(x) + F.col(y))).alias(f"{f}_x_{x}_{y}") for x, y in pairs]
         if c is not None:
             out.append((F.col(f) * F.col(a) + F.col(f) * F.col(b) + F.col(f) * F.col(c))
                        .alias(f"{f}_x_{a}_{b}_{c}"))

@@ -2,16 +2,20 @@
 
 Prediction sets are columns of one table keyed by ``id`` (gathered with a
 pivot on the key, never by position). Row rules are array/``least``/
-``greatest`` expressions. Offset tuning (B5) replaces a scalar optimiser by
-a grid evaluated in one distributed aggregate per class.
+``greatest`` expressions. Offset tuning (B5) replaces a scalar optimiser by the
+exact optimum between sorted break points.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, fields
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stackyard.functions import rowwise as RW
+from stackyard.operators.ordering import running
 from stackyard.operators.profile import percentiles
 
 
@@ -118,56 +122,91 @@ def apply_offsets(df: DataFrame, offsets: list[float], pred: str = "pred", lo: i
                          .cast("int"))
 
 
+@dataclass
+class _Sums:
+    """The five kappa sums of some rows at their ratings."""
+    n: float = 0.0
+    o: float = 0.0
+    a1: float = 0.0
+    a2: float = 0.0
+    b1: float = 0.0
+    b2: float = 0.0
+
+    def plus(self, other: "_Sums") -> "_Sums":
+        return _Sums(*[getattr(self, f.name) + getattr(other, f.name) for f in fields(self)])
+
+    def kappa(self) -> float:
+        e = (self.n * (self.a2 + self.b2) - 2 * self.a1 * self.b1) / self.n if self.n else 0.0
+        return 1.0 if e == 0 else 1 - self.o / e
+
+
+def _kappa_sums(a, y, n) -> list:
+    """Aggregates of the kappa sums for ratings ``a`` and labels ``y``."""
+    s = lambda c: F.sum(c).cast("double")
+    return [s(n).alias("n"), s(n * (a - y) * (a - y)).alias("o"), s(n * a).alias("a1"), s(n * a * a).alias("a2"),
+            s(n * y).alias("b1"), s(n * y * y).alias("b2")]
+
+
 def tune_offsets(df: DataFrame, offsets: list[float], y: str = "y", pred: str = "pred",
-                 span: float = 1.0, steps: int = 40) -> list[float]:
-    """One class at a time (0..len-1), choose the offset on a grid
-    ``offset ± span`` maximising quadratic weighted kappa of the shifted,
-    rounded, clipped predictions; other classes keep their current offset.
-
-    Per class the rows are collapsed to ``(y, pred, n)`` for rows of that
-    class, crossed with the broadcast grid and reduced to five kappa sums
-    per candidate; the other rows contribute constant sums. The grid is
-    ``2·steps + 1`` candidates, so the work is linear in the rows."""
+                 span: float = 1.0) -> list[float]:
+    """One class at a time (0..len-1), the offset within ``offset +- span``
+    that maximises quadratic weighted kappa of the shifted, rounded, clipped
+    predictions; other classes keep their current offset.
+
+    A prediction's rating changes only where prediction + offset passes a half,
+    so kappa is constant between these break points. One pass over
+    ``(class, y, pred, n)`` makes each class's break points with what the sums
+    change there, running sums over the sorted points give the sums of every
+    interval, and the best interval is an ordered top row. Its middle is the
+    offset; ties go to the interval nearest the current offset, then to the
+    lower one. An offset moves only if kappa rises.
+    """
     rng = df.agg(F.min(y).alias("lo"), F.max(y).alias("hi")).first()
-    lo, hi = float(rng["lo"]), float(rng["hi"])
+    if rng["lo"] is None:
+        return list(offsets)
+    lo, hi = int(rng["lo"]), int(rng["hi"])
     cur = list(offsets)
-    base = df.select(F.col(y).cast("double").alias("y"), F.col(pred).cast("double").alias("p"))
-    hist = base.groupBy("y", "p").agg(F.count(F.lit(1)).alias("n")).withColumn("cls", F.col("p").cast("int"))
-    hist = hist.persist()
-
-    def rating(p, off):
-        return F.least(F.greatest(F.bround(p + off, 0), F.lit(lo)), F.lit(hi))
-
+    base = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull()).select(
+        F.col(y).cast("double").alias("y"), F.col(pred).cast("double").alias("p"))
+    hist = base.groupBy("y", "p").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    own = F.col("p").cast("int")
+    hist = hist.withColumn("cls", F.when(own.between(0, len(cur) - 1), own).otherwise(F.lit(-1)))
+    offset = F.lit(0.0)
+    for j, o in enumerate(cur):
+        offset = F.when(F.col("cls") == j, F.lit(float(o))).otherwise(offset)
+    rating = F.least(F.greatest(F.bround(F.col("p") + offset, 0), F.lit(float(lo))), F.lit(float(hi)))
+    # a half is passed where offset = m + 0.5 - p, for m = lo..hi-1
+    halves = F.transform(F.sequence(F.lit(lo), F.lit(hi - 1)), lambda m: F.struct(
+        m.cast("double").alias("m"), (m.cast("double") + 0.5 - F.col("p")).alias("at"))) if hi > lo else F.array().cast(
+        "array<struct<m:double,at:double>>")
+    low, high = offset - span, offset + span
+    hist = hist.select("cls", "y", "p", "n", rating.alias("a"), halves.alias("halves"), low.alias("low"), high.alias("high"))
+    hist = hist.withColumn("first", F.lit(float(lo)) + F.size(F.filter("halves", lambda h: h["at"] <= F.col("low")))).persist()
+    now = {r["cls"]: _Sums(*r[1:]) for r in hist.groupBy("cls").agg(*_kappa_sums(F.col("a"), F.col("y"), F.col("n"))).collect()}
+    start = {r["cls"]: _Sums(*r[1:]) for r in hist.groupBy("cls").agg(*_kappa_sums(F.col("first"), F.col("y"), F.col("n"))).collect()}
+    inside = F.filter("halves", lambda h: (h["at"] > F.col("low")) & (h["at"] < F.col("high")))
+    moved = hist.where(F.col("cls") >= 0).select("cls", "y", "n", F.explode(inside).alias("h"))
+    m, yy, n = F.col("h.m"), F.col("y"), F.col("n")
+    points = moved.groupBy("cls", F.col("h.at").alias("at")).agg(
+        F.sum(n * (2 * (m - yy) + 1)).alias("d_o"), F.sum(n).alias("d_a1"), F.sum(n * (2 * m + 1)).alias("d_a2"))
+    ends = df.sparkSession.createDataFrame([(j, float(o) + span, 0.0, 0.0, 0.0) for j, o in enumerate(cur)],
+                                           "cls int, at double, d_o double, d_a1 double, d_a2 double")
+    table = running(points.unionByName(ends), "at", {"o": "d_o", "a1": "d_a1", "a2": "d_a2"}, by=["cls"], previous="prev").persist()
     for j in range(len(cur)):
-        # sums over rows of other classes with the current offsets
-        off = F.lit(0.0)
-        for i, o in enumerate(cur):
-            off = F.when(F.col("cls") == i, F.lit(float(o))).otherwise(off)
-        a = rating(F.col("p"), off)
-        rest = hist.where(F.col("cls") != j).agg(
-            F.sum(F.col("n")).alias("n"), F.sum(F.col("n") * F.pow(a - F.col("y"), 2)).alias("o"),
-            F.sum(F.col("n") * a).alias("a1"), F.sum(F.col("n") * a * a).alias("a2"),
-            F.sum(F.col("n") * F.col("y")).alias("b1"),
-            F.sum(F.col("n") * F.col("y") * F.col("y")).alias("b2")).first()
-        # candidates are generated per row (explode of a fixed-size array)
-        grid = F.array(*[F.lit(cur[j] + i * (span / steps)) for i in range(-steps, steps + 1)])
-        ac = rating(F.col("p"), F.col("cand"))
-        cand = (hist.where(F.col("cls") == j).select("*", F.explode(grid).alias("cand"))
-                    .groupBy("cand").agg(
-                        F.sum(F.col("n")).alias("n"), F.sum(F.col("n") * F.pow(ac - F.col("y"), 2)).alias("o"),
-                        F.sum(F.col("n") * ac).alias("a1"), F.sum(F.col("n") * ac * ac).alias("a2"),
-                        F.sum(F.col("n") * F.col("y")).alias("b1"),
-                        F.sum(F.col("n") * F.col("y") * F.col("y")).alias("b2")))
-        r = {k: float(rest[k] or 0) for k in ("n", "o", "a1", "a2", "b1", "b2")}
-        n = F.col("n") + r["n"]
-        o = F.col("o") + r["o"]
-        a1, a2 = F.col("a1") + r["a1"], F.col("a2") + r["a2"]
-        b1, b2 = F.col("b1") + r["b1"], F.col("b2") + r["b2"]
-        e = (n * (a2 + b2) - 2 * a1 * b1) / n
-        kap = F.when(e == 0, F.lit(1.0)).otherwise(1 - o / e)
-        best = cand.select("cand", kap.alias("k")).orderBy(F.desc("k"), F.abs(F.col("cand") - cur[j]),
-                                                           "cand").first()
-        if best is not None:
-            cur[j] = float(best["cand"])
+        if j not in start:
+            continue
+        rest = reduce(_Sums.plus, [s for c, s in now.items() if c != j], _Sums())
+        at = start[j].plus(rest)
+        o, a1, a2 = F.col("o") + at.o, F.col("a1") + at.a1, F.col("a2") + at.a2
+        e = (F.lit(at.n) * (a2 + at.b2) - 2 * a1 * at.b1) / at.n
+        k = F.when(e == 0, F.lit(1.0)).otherwise(1 - o / e)
+        middle = (F.coalesce(F.col("prev"), F.lit(cur[j] - span)) + F.col("at")) / 2
+        best = (table.where(F.col("cls") == j).select(k.alias("k"), middle.alias("middle"), "o", "a1", "a2")
+                     .orderBy(F.desc("k"), F.abs(F.col("middle") - cur[j]), "middle").first())
+        if best["k"] > now[j].plus(rest).kappa():
+            cur[j] = float(best["middle"])
+            s = start[j]
+            now[j] = _Sums(s.n, s.o + best["o"], s.a1 + best["a1"], s.a2 + best["a2"], s.b1, s.b2)
     hist.unpersist()
+    table.unpersist()
     return cur

@@ -15,7 +15,7 @@ from decimal import Decimal
 
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -122,8 +122,8 @@ def fit_first_seen(df: DataFrame, col: str, order_col: str = "id", where: Column
 def fit_sorted_codes(df: DataFrame, col: str, missing_code: int | None = None) -> Codes:
     """Label encoding in sorted value order (0-based), fit on all rows."""
     vals = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__rows")).persist()
-    n = vals.count()  # sizes the code table (and the range sample)
-    idx = row_index(vals, [col], name="code", n_rows=n)
+    n = vals.count()  # sizes the code table
+    idx = row_index(vals, [col], name="code")
     return Codes(col, idx.persist(), n, missing_code)
 
 
@@ -242,20 +242,41 @@ def onehot_fit(df: DataFrame, col: str, max_values: int = 1000, where: Column |
     return sparse_onehot(df, col, where) if vals is None else vals
 
 
-def binarize(df: DataFrame, col: str, values: list[str] | Model, sep: str = "_") -> DataFrame:
+def binarize(df: DataFrame, col: str, values: list | Model, sep: str = "_") -> DataFrame:
     """E11/E10 transform: dummies against a fixed list, column cast to
-    string first; values absent from the list give all zeros."""
+    string first; values absent from the list give all zeros. Listed values
+    that are not text become text as the column's own values do."""
     if isinstance(values, Model):
         return apply_sparse_onehot(df, col, values)
-    s = df.withColumn(col, F.coalesce(F.col(col).cast("string"), F.lit("nan")))
-    return replace_cols(s, col, dummies(col, [str(v) for v in values], sep))
+    kind = dict(df.dtypes)[col]
+    text = F.coalesce(F.col(col).cast("string"), F.lit("nan"))
+    same = lambda v: F.lit(v) if isinstance(v, str) else F.lit(v).cast(kind).cast("string")
+    cols = [(text == same(v)).cast("int").alias(_dummy_name(col, v, sep)) for v in values]
+    return replace_cols(df, col, cols)
+
+
+def value_lists(df: DataFrame, cols: list[str], limit: int) -> dict[str, list | None]:
+    """Sorted non-null values of each column, None above ``limit`` of them; two
+    jobs for all columns: an estimate of the distinct counts, then the
+    values of the columns that may be within the limit."""
+    about = df.agg(*[F.approx_count_distinct(F.col(c).cast("string")).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    small = [c for c, n in zip(cols, about) if n <= 2 * limit]  # the estimate errs by some percent
+    out: dict[str, list | None] = dict.fromkeys(cols)
+    if not small:
+        return out
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in small])).alias("kv"))
+    rows = long.select("kv.*").where(F.col("value").isNotNull()).distinct().collect()
+    types = dict(df.dtypes)
+    for c in small:
+        vals = sorted(type_cast(r["value"], types[c]) for r in rows if r["name"] == c)
+        out[c] = vals if len(vals) <= limit else None
+    return out
 
 
 def onehot_in_place(df: DataFrame, cols: list[str], max_values: int = 1000, sep: str = "_") -> DataFrame:
     """Listed columns replaced by their dummies at the same position."""
     out = df
-    for c in cols:
-        vals = bounded_values(df, c, max_values)
+    for c, vals in value_lists(df, cols, max_values).items():
         if vals is None:
             out = apply_sparse_onehot(out, c, sparse_onehot(df, c))
         else:
@@ -283,7 +304,7 @@ class TargetStats:
     n: int
 
     def transform(self, df: DataFrame, drop: bool = True) -> DataFrame:
-        j = attach(df, self.table, self.col, "left", self.n)
+        j = attach(df, self.table, self.col, "left", self.n, "__rows")
         keep = [c for c in df.columns if not (drop and c == self.col)]
         return j.select(*keep, f"{self.col}_avg", f"{self.col}_std")
 
@@ -297,7 +318,7 @@ def fit_target_stats(df: DataFrame, col: str, target: str = "target", side: str
            .agg(F.count(F.lit(1)).alias("__n"),
                 F.avg(target).alias(f"{col}_avg"),
                 F.stddev_samp(target).alias(f"{col}_std"))
-           .where(F.col("__n") >= min_support).drop("__n"))
+           .where(F.col("__n") >= min_support).withColumnRenamed("__n", "__rows"))
     table, n = measured(g)
     return TargetStats(col, table, n)
 
@@ -419,6 +440,122 @@ def bernoulli_nb_encode(df: DataFrame, col: str, target: str = "target", side: s
     return j.select(*[p1.alias(out or col) if c == col else F.col(c) for c in df.columns])
 
 
+# ---------------------------------------------------------------- leave-fold-out statistics
+
+#: The fold of rows without one (the test side): nothing is left out for them.
+NO_FOLD = -1
+
+
+def _fold_keys(df: DataFrame, col: str, fold: str) -> DataFrame:
+    """Value and fold as keys without nulls."""
+    return df.select("*", F.col(col).isNull().alias("__none"), F.coalesce(F.col(col).cast("string"), F.lit("")).alias("__v"),
+                     F.coalesce(F.col(fold).cast("int"), F.lit(NO_FOLD)).alias("__f"))
+
+
+_KEYS = ["__none", "__v", "__f"]
+
+
+def _attach_fold_table(keyed: DataFrame, table: DataFrame) -> DataFrame:
+    """Joins a fitted (value, fold) table onto the keyed rows."""
+    table, n = measured(table)
+    return attach(keyed, table, _KEYS, "left", n, "__rows")
+
+
+def target_stats_by_fold(df: DataFrame, col: str, fold: str, target: str = "target", side: str = "is_train",
+                         min_support: int = 50, orphan: str = "Orphans", missing: str = "Missing") -> DataFrame:
+    """E15 without leaks: a train row gets its category's mean and sample
+    deviation over the train rows of the other folds, a test row over all of them;
+    ``min_support`` counts the rows used. Categories are those of E15 (values
+    of one side only are ``orphan``, null is ``missing``).
+
+    One grouped pass over (value, fold) serves all folds: what a fold leaves is
+    the total less its own partial sums.
+    """
+    keyed = _fold_keys(df, col, fold)
+    y = F.when(F.col(side), F.col(target).cast("double"))
+    per = keyed.groupBy(*_KEYS).agg(
+        F.count(F.lit(1)).alias("__rows"), F.max(F.col(side).cast("int")).alias("__tr"), F.min(F.col(side).cast("int")).alias("__te"),
+        F.count(y).alias("n"), F.avg(y).alias("m"), F.var_pop(y).alias("v")).persist()
+    mid = per.agg(F.sum(F.col("n") * F.col("m")) / F.sum("n")).first()[0] or 0.0
+    value = Window.partitionBy("__none", "__v")  # a row for each fold
+    both = (F.max("__tr").over(value) == 1) & (F.min("__te").over(value) == 0)
+    label = F.when(F.col("__none"), F.lit(missing)).when(both, F.col("__v")).otherwise(F.lit(orphan))
+    off = F.coalesce(F.col("m") - F.lit(mid), F.lit(0.0))
+    lab = per.select(*_KEYS, "__rows", "n", label.alias("__lab"), (F.col("n") * off).alias("s1"),
+                     (F.col("n") * (F.coalesce("v", F.lit(0.0)) + off * off)).alias("s2"))
+    grp = lab.groupBy("__lab", "__f").agg(*[F.sum(c).alias(c) for c in ("n", "s1", "s2")])
+    whole = Window.partitionBy("__lab")
+    own = lambda c: F.when(F.col("__f") == NO_FOLD, F.lit(0)).otherwise(F.col(c))
+    left = grp.select("__lab", "__f", *[(F.sum(c).over(whole) - own(c)).alias(c) for c in ("n", "s1", "s2")])
+    mean = F.lit(mid) + F.col("s1") / F.col("n")
+    var = F.try_divide(F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"), F.col("n") - 1)
+    stats = left.where(F.col("n") >= max(min_support, 1)).select(
+        "__lab", "__f", mean.alias(f"{col}_avg"), F.when(F.col("n") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"{col}_std"))
+    table = lab.select(*_KEYS, "__rows", "__lab").join(stats, ["__lab", "__f"], "left").drop("__lab")
+    out = _attach_fold_table(keyed, table)
+    return out.select(*[c for c in df.columns if c != col], f"{col}_avg", f"{col}_std")
+
+
+def target_weight_by_fold(df: DataFrame, col: str, fold: str, target: str = "target", side: str = "is_train",
+                          unseen: float = 0.5, out: str | None = None) -> DataFrame:
+    """E16 without leaks: the weight of the category over the train rows of the
+    other folds (test rows: of all); categories without such rows get ``unseen``."""
+    keyed = _fold_keys(df, col, fold)
+    y = F.when(F.col(side), F.col(target))
+    per = keyed.where(~F.col("__none")).groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("__rows"), F.coalesce(F.sum(y), F.lit(0)).alias("s"), F.count(y).alias("c"))
+    value = Window.partitionBy("__none", "__v")
+    own = lambda c: F.when(F.col("__f") == NO_FOLD, F.lit(0)).otherwise(F.col(c))
+    left = per.select(*_KEYS, "__rows", *[(F.sum(c).over(value) - own(c)).alias(c) for c in ("s", "c")])
+    s, c = F.col("s"), F.col("c")
+    w = F.when(c == 0, F.lit(None)).when(s > c - s, 0.5 + 0.5 * s / c).otherwise(0.5 + 0.5 * (s - c) / c)
+    j = _attach_fold_table(keyed, left.select(*_KEYS, "__rows", w.alias("__w")))
+    return j.select(*df.columns, F.coalesce(F.col("__w"), F.lit(unseen)).alias(out or f"{col}weight"))
+
+
+def bernoulli_nb_by_fold(df: DataFrame, col: str, fold: str, target: str = "target", side: str = "is_train",
+                         alpha: float = 1.0, out: str | None = None) -> DataFrame:
+    """E17 without leaks: each fold's rows are encoded by the naive Bayes of the
+    other folds' train rows (test rows: of all), in the closed form of
+    :func:`bernoulli_nb_encode`. The class totals of each fold are scalars; the
+    value table has a row for each (value, fold)."""
+    text = df.withColumn("__text", F.coalesce(F.col(col).cast("string"), F.lit("nan")))
+    keyed = _fold_keys(text, "__text", fold)
+    y = F.when(F.col(side), F.col(target))
+    sizes = keyed.groupBy("__f").agg(F.count(y).alias("n"), F.coalesce(F.sum(y), F.lit(0)).alias("n1")).collect()  # a row for each fold
+    n, n1 = sum(r["n"] for r in sizes), sum(r["n1"] for r in sizes)
+    left = {r["__f"]: (n - r["n"], n1 - r["n1"]) if r["__f"] != NO_FOLD else (n, n1) for r in sizes}
+    per = keyed.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("__rows"), F.coalesce(F.sum(y), F.lit(0)).alias("c1"), F.count(y).alias("c")).persist()
+    totals = per.groupBy("__none", "__v").agg(F.sum("c1").alias("t1"), F.sum("c").alias("t"),
+                                             F.map_from_entries(F.collect_list(F.struct("__f", F.struct("c1", "c", "__rows")))).alias("own"))
+    folds = F.explode(F.array(*[F.struct(F.lit(f).alias("__f"), F.lit(a).alias("n"), F.lit(b).alias("n1")) for f, (a, b) in left.items()]))
+    cells = totals.select("__none", "__v", "t1", "t", "own", folds.alias("f")).select("__none", "__v", "t1", "t", "own", "f.*")
+    mine = F.element_at("own", F.col("__f"))
+    out_of = lambda c: F.when(F.col("__f") == NO_FOLD, F.lit(0)).otherwise(F.coalesce(mine[c], F.lit(0)))
+    cells = cells.select(*_KEYS, "n", "n1", (F.col("t1") - out_of("c1")).alias("c1"), (F.col("t") - out_of("c")).alias("c"),
+                         F.coalesce(mine["__rows"], F.lit(0)).alias("__rows"))
+    t0 = (F.col("c") - F.col("c1") + alpha) / (F.col("n") - F.col("n1") + 2 * alpha)
+    t1 = (F.col("c1") + alpha) / (F.col("n1") + 2 * alpha)
+    cells = cells.select(*_KEYS, "__rows", "c", t0.alias("t0"), t1.alias("t1"))
+    seen = F.col("c") > 0
+    sums = {r["__f"]: (r["s0"] or 0.0, r["s1"] or 0.0) for r in cells.where(seen).groupBy("__f").agg(
+        F.sum(F.log(1 - F.col("t0"))).alias("s0"), F.sum(F.log(1 - F.col("t1"))).alias("s1")).collect()}
+    certain = {f: (b / a if a else float("nan")) for f, (a, b) in left.items() if not 0 < b < a}
+    k0 = {f: math.log((a - b) / a) + sums.get(f, (0, 0))[0] for f, (a, b) in left.items() if f not in certain}
+    k1 = {f: math.log(b / a) + sums.get(f, (0, 0))[1] for f, (a, b) in left.items() if f not in certain}
+
+    def of_fold(values: dict) -> Column:
+        expr = F.lit(None).cast("double")
+        for f, v in values.items():
+            expr = F.when(F.col("__f") == f, F.lit(float(v))).otherwise(expr)
+        return expr
+
+    odds = F.when(seen, F.log(F.col("t0")) - F.log(1 - F.col("t0")) - F.log(F.col("t1")) + F.log(1 - F.col("t1")))
+    j = _attach_fold_table(keyed, cells.where(F.col("__rows") > 0).select(*_KEYS, "__rows", odds.alias("__odds")))
+    p = 1.0 / (1.0 + F.exp(of_fold(k0) - of_fold(k1) + F.coalesce("__odds", F.lit(0.0))))
+    p = F.coalesce(of_fold(certain), p)
+    return j.select(*[p.alias(out or col) if c == col else F.col(c) for c in df.columns])
+
+
 # ---------------------------------------------------------------- top-k categories
 
 def top_k_or_null(df: DataFrame, col: str, k: int = 20) -> DataFrame:

@@ -87,11 +87,10 @@ def orphan_values(df: DataFrame, col: str, side: str = "is_train",
     ``orphan``; null stays null. Distinct values per side are small
     (semi/anti join on the distinct set), then joined back."""
     vals = df.groupBy(col).agg(F.max(F.col(side).cast("int")).alias("__tr"),
-                               F.min(F.col(side).cast("int")).alias("__te"))
-    both = vals.where((F.col("__tr") == 1) & (F.col("__te") == 0)).select(col,
-                                                                        F.lit(True).alias("__both"))
+                               F.min(F.col(side).cast("int")).alias("__te"), F.count(F.lit(1)).alias("__rows"))
+    both = vals.where((F.col("__tr") == 1) & (F.col("__te") == 0)).select(col, F.lit(True).alias("__both"), "__rows")
     both, n = measured(both)
-    out = attach(df, both, col, "left", n)
+    out = attach(df, both, col, "left", n, "__rows")
     return out.select(*[F.when(F.col(col).isNull(), F.lit(None))
                          .when(F.col("__both").isNull(), F.lit(orphan))
                          .otherwise(F.col(col)).alias(col) if c == col else F.col(c)

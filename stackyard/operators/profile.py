@@ -147,15 +147,6 @@ def global_min_max(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.min(col).alias(f"{col}_min"), F.max(col).alias(f"{col}_max"))
 
 
-def null_pattern_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """For every column pair a < b, rows where exactly one is null."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.count_if(F.col(a).isNull() != F.col(b).isNull()).alias(f"{a}|{b}")
-                   for a, b in pairs])
-    parts = ", ".join(f"'{a}', '{b}', `{a}|{b}`" for a, b in pairs)
-    return row.selectExpr(f"stack({len(pairs)}, {parts}) AS (col_a, col_b, n_diff)")
-
-
 # ------------------------------------------------------------ column filters
 
 def zero_variance_columns(df: DataFrame, cols: list[str]) -> list[str]:

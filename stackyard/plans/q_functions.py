@@ -15,8 +15,9 @@ from stackyard.operators.joins import join_on_id
 from stackyard.plans.common import r6
 from stackyard.plans.fixture_sql import FX1, FX6, FX8, with_
 from stackyard.sources import fixtures as fx
+from stackyard.session import shared_folder
 from stackyard.sources import sinks as SK
-from stackyard.sources.tables import load
+from stackyard.sources.tables import load, read_csv_table
 
 QUERIES, SQL = {}, {}
 
@@ -171,6 +172,7 @@ def f13_standardise(spark, sf):
 @q("f14_interactions", with_(FX1, """p AS (SELECT id, o_totalprice / 997.0 AS price_k, c_acctbal / 997.0 AS acct_k,
   CAST(c_nationkey AS DOUBLE) AS nation FROM fx1)""") + "SELECT id, " + ", ".join(
     f"round({f} * (price_k + acct_k), 6) AS {f}_x_price_k_acct_k, "
+    f"round({f} * (price_k + nation), 6) AS {f}_x_price_k_nation, round({f} * (nation + acct_k), 6) AS {f}_x_nation_acct_k, "
     f"round({f} * price_k + {f} * acct_k + {f} * nation, 6) AS {f}_x_price_k_acct_k_nation"
     for f in ("price_k", "acct_k", "nation")) + " FROM p")
 def f14_interactions(spark, sf):
@@ -413,17 +415,33 @@ def j3_column_concat(spark, sf):
 
 # ------------------------------------------------------------ sources and sinks
 
-@q("s1_typed_scan", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders")
-def s1_typed_scan(spark, sf):
-    o = load(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                   "o_orderdate", "o_orderpriority"])
-    return o.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+ORDERS_CSV = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string, o_note string"
 
 
-@q("s2_keyed_scan", "SELECT c_custkey AS id, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+@q("s1_typed_scan", """SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice,
+  strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, CASE WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS o_orderpriority, CAST(NULL AS VARCHAR) AS o_note FROM orders""")
+def s1_typed_scan(spark, sf):
+    """Orders as CSV files in the shared folder, read by an explicit schema: the
+    files' columns stand in another order, one is not in the schema, and one of
+    the schema is in no file."""
+    o = load(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    path = shared_folder(spark, "orders-csv")
+    (o.select("o_orderpriority", "o_orderdate", "o_totalprice", "o_orderstatus", "o_custkey", "o_orderkey", F.lit("x").alias("o_extra"))
+      .withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+      .withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 13 != 0, F.col("o_orderpriority")))
+      .write.option("header", True).csv(path))
+    return read_csv_table(spark, path, ORDERS_CSV).withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
+@q("s2_keyed_scan", """SELECT CAST(c_custkey AS BIGINT) AS id, CAST(c_nationkey AS INTEGER) AS c_nationkey,
+  CASE WHEN c_custkey % 11 <> 0 THEN c_acctbal END AS c_acctbal, c_mktsegment FROM customer""")
 def s2_keyed_scan(spark, sf):
-    c = load(spark, sf, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
-    return c.withColumnRenamed("c_custkey", "id")
+    """Customers as CSV files with the key in the middle, read back key first; NaN in a file is null."""
+    c = load(spark, sf, "customer", ["c_nationkey", "c_custkey", "c_acctbal", "c_mktsegment"]).withColumnRenamed("c_custkey", "id")
+    path = shared_folder(spark, "customer-csv")
+    bal = F.when(F.col("id") % 11 == 0, F.lit("NaN")).otherwise(F.col("c_acctbal").cast("string"))
+    c.withColumn("c_acctbal", bal).write.option("header", True).csv(path)
+    return read_csv_table(spark, path, "c_nationkey int, id long, c_acctbal double, c_mktsegment string", index_col="id")
 
 
 @q("s3_projected_scan", "SELECT o_orderkey AS id FROM orders")
@@ -478,9 +496,14 @@ def s10_score_stamped(spark, sf):
 @q("s11_gather_predictions", with_(FX8) + """
 SELECT id, round(m3, 6) AS m3, round(m7, 6) AS m7, round(m11, 6) AS m11, round(m13, 6) AS m13, round(m17, 6) AS m17 FROM fx8""")
 def s11_gather_predictions(spark, sf):
-    long = fx.prediction_sets(spark, sf)
-    wide = SK.pivot_predictions(long, ["m3", "m7", "m11", "m13", "m17"])
-    return wide.select("id", *[r6(c) for c in ("m3", "m7", "m11", "m13", "m17")])
+    """Five score files in the shared folder, one for each model, gathered by file name."""
+    wide = fx.predictions(spark, sf)
+    root = shared_folder(spark, "scores")
+    models = ["m3", "m7", "m11", "m13", "m17"]
+    for m in models:
+        SK.write_scores(wide, f"{root}/{m}", pred=m)
+    out = SK.gather_predictions(spark, f"{root}/*", models=models)
+    return out.select("id", *[r6(c) for c in models])
 
 
 @q("s7_feature_table", with_(FX1, """a AS (SELECT o_orderpriority v, row_number() OVER (ORDER BY min(id)) - 1 AS code

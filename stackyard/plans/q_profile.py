@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stackyard.operators import assoc as AS
 from stackyard.operators import encode as E
 from stackyard.operators import profile as PR
 from stackyard.plans.common import r6
@@ -166,17 +167,15 @@ PAIRS1 = [(a, b) for i, a in enumerate(ALL1) for b in ALL1[i + 1:]]
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, CAST(count_if(({a} IS NULL) <> ({b} IS NULL)) AS BIGINT) AS n_diff FROM fx1"
     for a, b in PAIRS1))
 def a28_null_pattern_pairs(spark, sf):
-    return PR.null_pattern_pairs(fx.claims(spark, sf), ALL1)
+    return AS.null_pattern_pairs(fx.claims(spark, sf), ALL1)
 
 
 @q("j5_column_pairs", with_(FX1) + " UNION ALL ".join(
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, CAST(count_if({a} IS NULL AND {b} IS NULL) AS BIGINT) AS n_both_null FROM fx1"
     for a, b in PAIRS1))
 def j5_column_pairs(spark, sf):
-    """All column pairs by unpivot + self-join on the row key."""
-    from stackyard.operators.assoc import column_pairs_long
-    d = fx.claims(spark, sf)
-    return column_pairs_long(d, ALL1)
+    """All column pairs with the rows where both are null."""
+    return AS.column_pairs_long(fx.claims(spark, sf), ALL1)
 
 
 # ------------------------------------------------------------ P14-P18, P20

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_encode", "q_profile", "q_functions", "q_stats", "q_models"]
+MODULES = ["q_encode", "q_profile", "q_functions", "q_stats", "q_models", "q_exact"]
 
 
 def _mods():

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +56,18 @@ def set_default_checkpoint_dir(spark: SparkSession, path: str) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name under the shared checkpoint folder, for files that one
+    job writes and another reads. A session on a local master that names none
+    (tests) gets a folder of its own."""
+    root = checkpoint_dir(spark)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = set_default_checkpoint_dir(spark, tempfile.mkdtemp(prefix="stackyard-shared-"))
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir``.
 

@@ -47,6 +47,15 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX1's rows with the order status as a label of three classes (0 F, 1 O, 2 P; null on the test side)."""
+    o = load(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_orderpriority"])
+    k = "o_orderkey"
+    return o.select(F.col(k).cast("bigint").alias("id"), is_train(k).alias("is_train"),
+                    F.when(is_train(k), F.instr(F.lit("FOP"), F.col("o_orderstatus")) - 1).cast("double").alias("label"),
+                    _null_when(k, 13, "o_orderpriority").alias("o_orderpriority"))
+
+
 def high_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX2: orders with the customer key as a high-cardinality category."""
     o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stackyard.sources.tables import read_csv_table
+
 
 def write_scores(df: DataFrame, path: str, key: str = "id", pred: str = "pred",
                  fmt: str = "csv", id_name: str = "ID", pred_name: str = "PredictedProb") -> None:
@@ -26,7 +28,7 @@ def fill_template(template: DataFrame, preds: DataFrame, key: str, col: str, pre
 
 
 def append_log(row: DataFrame, path: str) -> None:
-    """Append one experiment result row (Parquet, append mode)."""
+    """Append experiment result rows (``models.LOG_SCHEMA``; Parquet, append mode)."""
     row.coalesce(1).write.mode("append").parquet(path)
 
 
@@ -85,8 +87,7 @@ def gather_predictions(spark: SparkSession, path_glob: str, key: str = "ID",
     fname = F.input_file_name()
     model = F.when(fname.rlike(r"/part-[^/]*$"), F.regexp_extract(fname, r"([^/]+)/part-[^/]*$", 1)) \
              .otherwise(F.regexp_extract(fname, r"([^/]+?)(\.csv)?$", 1))
-    raw = (spark.read.option("header", True).schema(f"{key} long, {pred} double").csv(path_glob)
-                .withColumn("model", model))
+    raw = read_csv_table(spark, path_glob, f"{key} long, {pred} double").withColumn("model", model)
     long = raw.select(F.col(key).alias("id"), "model", F.col(pred).alias("pred"))
     return pivot_predictions(long, models)
 

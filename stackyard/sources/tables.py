@@ -32,14 +32,37 @@ def load(spark: SparkSession, sf_dir: str, name: str,
     return nan_to_null(df)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path, which may be a pattern, names any file (any file system)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str,
-                   index_col: str | None = None) -> DataFrame:
+                   index_col: str | None = None, missing: str = "error", extra: str = "ignore") -> DataFrame:
     """CSV with header and an explicit schema (no inference pass).
 
-    ``index_col`` names the key column that the source used as its index;
-    it stays an ordinary column here.
+    Columns are found by their header name, whatever their order: one that the
+    file lacks is null, one that the schema lacks is left out (``extra='error'``
+    refuses it); files whose header differs from the first one's are refused.
+    Text that does not fit a column's type is null. A path without
+    files is an error, or with ``missing='empty'`` an empty table.
+    ``index_col`` names the key column that the source used as its index; it
+    stays an ordinary column, the first one.
     """
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not _exists(spark, path):
+        if missing != "empty":
+            raise FileNotFoundError(path)
+        df = spark.createDataFrame([], wanted)
+    else:
+        raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+        unknown = [c for c in raw.columns if c not in wanted.names]
+        if unknown and extra == "error":
+            raise ValueError(f"columns that the schema lacks: {', '.join(unknown)}")
+        df = raw.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in raw.columns
+                           else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields])
     df = nan_to_null(df)
     if index_col:
         df = df.select(index_col, *[c for c in df.columns if c != index_col])

@@ -183,30 +183,37 @@ def _kappa_np(a, b):
 
 
 def test_offset_tuning_matches_brute_force(spark):
-    """B5 against a plain numpy re-implementation of the same grid search."""
+    """B5 against every interval between break points, rated one by one."""
     import numpy as np
     rng = np.random.default_rng(3)
     y = rng.integers(1, 9, 300)
-    pred = np.clip(y + rng.normal(0, 1.2, 300), 0.2, 8.9)
-    d = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, pred)], "y int, pred double")
+    pred = np.clip(y + rng.normal(0, 1.2, 300), 0.2, 9.9)
+    d = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, pred)] + [(None, 2.0), (3, None)], "y int, pred double")
     start = [0.3, -0.2, 0.1, 0.0, 0.0, -0.1, 0.2, 0.0]
-    got = BL.tune_offsets(d, start, "y", "pred", span=0.5, steps=5)
-    cur = list(start)
-    cls = pred.astype(int)
+    span = 0.5
+    got = BL.tune_offsets(d, start, "y", "pred", span=span)
+    cur, cls = list(start), pred.astype(int)
+
+    def kappa(offsets):
+        off = np.array([*offsets, 0.0, 0.0, 0.0])
+        return _kappa_np(np.clip(np.round(pred + off[np.minimum(cls, len(offsets))]), y.min(), y.max()), y)
+
     for j in range(len(cur)):
-        best = None
-        for i in range(-5, 6):
-            cand = cur[j] + i * (0.5 / 5)
-            off = np.array([cur[c] if c < len(cur) else 0.0 for c in range(10)])
-            off[j] = cand
-            shifted = pred + np.where(cls < len(cur), off[np.minimum(cls, 9)], 0.0)
-            r = np.clip(np.round(shifted), y.min(), y.max())  # numpy rounds half to even
-            k = _kappa_np(r, y)
-            key = (-k, abs(cand - cur[j]), cand)
-            if best is None or key < best[0]:
-                best = (key, cand)
-        cur[j] = best[1]
+        points = sorted({m + 0.5 - p for p in pred[cls == j] for m in range(y.min(), y.max()) if abs(m + 0.5 - p - cur[j]) < span})
+        edges = [cur[j] - span, *points, cur[j] + span]
+        tried = []
+        for a, b in zip(edges, edges[1:]):
+            cand = (a + b) / 2
+            tried.append((-kappa([*cur[:j], cand, *cur[j + 1:]]), abs(cand - cur[j]), cand))
+        best = min(tried)
+        if -best[0] > kappa(cur):
+            cur[j] = best[2]
     assert got == pytest.approx(cur)
+    assert kappa(got) >= kappa(start)
+
+
+def test_offset_tuning_of_an_empty_table(spark):
+    assert BL.tune_offsets(spark.createDataFrame([], "y int, pred double"), [0.1, 0.2]) == [0.1, 0.2]
 
 
 def test_linear_groups_match_brute_force(spark):
