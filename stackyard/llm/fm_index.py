@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import merge_intervals, small_batches
-from .segments import distinct_segments, per_document, runs_of, shared_segments, solve_hot, solve_shards, with_texts
-from .words import Texts, window_hashes
+from .common import merge_intervals, saved, small, small_batches
+from .segments import (distinct_segments, exact_hash, per_document, runs_of, shared_segments, solve_hot, solve_shards,
+                       with_texts)
+from .words import _VALUES, Texts, window_hashes
 
 WORDS = 20
 #: Words of the grams whose smallest hash is a run's key.
@@ -151,9 +152,14 @@ def earlier_windows(bodies: list[np.ndarray], place: np.ndarray, words: int) ->
     return np.split(flags, np.cumsum(runs)[:-1])
 
 
+def _word_hashes(t: Texts) -> np.ndarray:
+    """Hashes that stand for the words themselves."""
+    return exact_hash(_VALUES[t.data])(t.start, t.end) if len(t.start) else np.zeros(0, np.uint64)
+
+
 def _units(texts: list[bytes]):
     t = Texts(texts)
-    h = t.hashes()
+    h = _word_hashes(t)
     return h, t.first[:-1], t.first[1:], window_hashes(h, GRAM, 1)
 
 
@@ -171,7 +177,7 @@ def earlier_ranges(docs: DataFrame, words: int = WORDS, shard_words: int = SHARD
         doc = np.array([least if pd.isna(x) else int(x) for x in pdf["doc_id"]], np.int64)
         place = np.stack((doc, pdf["th"].to_numpy(), pdf["start"].to_numpy()), axis=1)
         t = Texts(pdf["body"].tolist())
-        flags = earlier_windows(np.split(t.hashes(), t.first[1:-1]), place, words)
+        flags = earlier_windows(np.split(_word_hashes(t), t.first[1:-1]), place, words)
         rows = []
         for key, content, n, f in zip(pdf["key"], pdf["content"], pdf["n"], flags):
             rows += [(key, content, n, a, k) for a, k in zip(*runs_of(f))]
@@ -179,8 +185,9 @@ def earlier_ranges(docs: DataFrame, words: int = WORDS, shard_words: int = SHARD
 
     def later_windows(each: DataFrame) -> DataFrame:
         at = F.struct("doc_id", "th", "start")
-        least = each.groupBy("h").agg(F.min(at).alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1").select("h", "least")
-        return each.join(least, "h").where(~at.eqNullSafe(F.col("least")))
+        least = saved(each.groupBy("key", "h").agg(F.min(at).alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1")
+                      .select("key", "h", "least"), "windows-first")
+        return each.join(small(least), ["key", "h"]).where(~at.eqNullSafe(F.col("least")))
 
     found = solve_shards(with_texts(distinct.where("solve and not hot"), docs, cut, shard_words, words - 1), solve)
     hot = distinct.where("hot")

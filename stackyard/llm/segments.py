@@ -55,6 +55,42 @@ def prefix_hash(values: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.nda
     return of
 
 
+#: Two primes below 2**31 and a base for each: products of two residues fit 64 bits.
+_PRIMES = ((2147483647, 1103515245), (2147483629, 362436069))
+_residues: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _residue_powers(p: int, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo p for i < n (at least), kept between calls."""
+    def grown(have: np.ndarray, b: int) -> np.ndarray:
+        while len(have) < n:
+            have = np.concatenate([have, have * np.uint64(pow(b, len(have), p)) % np.uint64(p)])
+        return have
+
+    up, down = _residues.get(p, (np.ones(1, np.uint64), np.ones(1, np.uint64)))
+    if len(up) < n:
+        _residues[p] = up, down = grown(up, base), grown(down, pow(base, -1, p))
+    return up, down
+
+
+def exact_hash(values: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Hashes of slices (start, end) for deciding equality: polynomials modulo
+    two primes. Modulo a power of two (as :func:`prefix_hash`) some regular
+    sequences have equal hashes whatever the base."""
+    parts = []
+    for (p, base), v in zip(_PRIMES, (values >> np.uint64(33), values & np.uint64(0x7FFFFFFF))):
+        up, down = _residue_powers(p, base, len(values) + 1)
+        c = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(v * up[:len(values)] % np.uint64(p), out=c[1:])
+        parts.append((np.uint64(p), c, down))
+
+    def of(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        a, b = ((c[end] - c[start]) % p * down[start] % p for p, c, down in parts)
+        return mix((a << np.uint64(32) | b) ^ mix((end - start).astype(np.uint64)))
+
+    return of
+
+
 def sliding_min(g: np.ndarray, w: int) -> np.ndarray:
     """Minimum of every ``w`` consecutive values."""
     m, size = g, 1
@@ -126,7 +162,8 @@ def segment_table(docs: DataFrame, units: Callable, w: int, k: int, may_share: B
                 if may_share is not None:
                     keep = _in_map(may_share.value, key)
                     start, n, key, places = start[keep], n[keep], key[keep], places[keep]
-                content = prefix_hash(values)(start, start + n + w - 1)
+                # the first reading only counts keys
+                content = np.zeros(len(start), np.uint64) if may_share is None else exact_hash(values)(start, start + n + w - 1)
                 text = np.searchsorted(first, start, side="right") - 1
                 th = np.array([xxhash.xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -234,7 +271,8 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def solve_hot(rows: DataFrame, units: Callable, w: int, repeated: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """As :func:`solve_shards`, for segments (with texts) whose keys are larger than a shard.
 
-    Every window is a row with the hash ``h`` of its text; ``repeated`` gets
+    Every window is a row with the hash ``h`` of its text (equal windows have
+    equal keys as well); ``repeated`` gets
     (h, key, content, n, copies, doc_id, th, start, at), ``start`` and ``at``
     the window's place in its document and segment, and keeps the windows to
     report. Equal windows are counted in each task before they are moved.
@@ -252,7 +290,7 @@ def solve_hot(rows: DataFrame, units: Callable, w: int, repeated: Callable[[Data
                 at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 place = first[of] + at
                 cols = {c: own.column(c).take(pa.array(of)) for c in ("key", "content", "n", "copies", "doc_id", "th")}
-                cols["h"] = pa.array(prefix_hash(values)(place, place + w).view(np.int64))
+                cols["h"] = pa.array(exact_hash(values)(place, place + w).view(np.int64))
                 cols["start"] = pa.array(own.column("start").to_numpy()[of] + at)
                 cols["at"] = pa.array(at.astype(np.int32))
                 yield pa.RecordBatch.from_arrays([cols[c] for c in names], names=names)

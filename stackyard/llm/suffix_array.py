@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import merge_intervals, small_batches
-from .segments import (distinct_segments, per_document, prefix_hash, runs_of, shared_segments,
+from .common import merge_intervals, saved, small, small_batches
+from .segments import (distinct_segments, exact_hash, per_document, prefix_hash, runs_of, shared_segments,
                        solve_hot, solve_shards, with_texts)
 from .words import _VALUES
 
@@ -38,7 +38,7 @@ LENGTH = 400
 #: Bytes of the grams whose smallest hash is a window's key.
 GRAM = 32
 #: Bytes of one shard's text.
-SHARD_BYTES = 3_000_000
+SHARD_BYTES = 1_500_000
 
 
 def _types(t: np.ndarray) -> np.ndarray:
@@ -146,7 +146,7 @@ def suffix_array(t: np.ndarray, size: int) -> np.ndarray:
     number[lms] = np.arange(len(lms))
     end = np.append(lms[1:] + 1, len(t))
     i = number[by_substring]
-    content = prefix_hash(_VALUES_ALL[t])(lms, end)
+    content = exact_hash(_VALUES_ALL[t])(lms, end)
     same = (content[i][1:] == content[i][:-1]) & ((end - lms)[i][1:] == (end - lms)[i][:-1])
     name = np.concatenate(([0], np.cumsum(~same)))
     names = np.empty(len(lms), np.int64)
@@ -235,8 +235,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
         return pd.DataFrame(rows, columns=["key", "content", "n", "first", "windows"])
 
     def again(each: DataFrame) -> DataFrame:
-        twice = each.groupBy("h").agg(F.sum("copies").alias("c")).where("c > 1").select("h")
-        return each.join(twice, "h")
+        twice = saved(each.groupBy("key", "h").agg(F.sum("copies").alias("c")).where("c > 1").select("key", "h"), "windows-twice")
+        return each.join(small(twice), ["key", "h"])
 
     found = solve_shards(with_texts(distinct.where("solve and not hot"), docs, cut, shard_bytes, length - 1), solve)
     hot = distinct.where("hot")
