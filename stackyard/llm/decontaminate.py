@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small, stream_texts
+from .common import row_hash, saved, small, stream_texts, without
 from .tokens import chunks
 from .words import Texts, window_hashes
 
@@ -201,16 +201,19 @@ def _blocks(items: DataFrame, id_col: str, text_col: str):
 def leak_matches(docs: DataFrame, items: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = RADIUS,
                  id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
                  item_text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, first_word, n_words, bits, similarity), the best window
-    of each (document row's id, item) pair.
+    """(doc_id, th, item_id, first_word, n_words, bits, similarity), the best
+    window of each (document, item) pair. A document is an id with the hash
+    ``th`` of its text: different texts under one id, or without an id, are judged
+    on their own.
 
     Items without words match nothing; items of fewer words than a shingle
     are one shingle and match only the same words. Null and empty texts match
     nothing; an empty table on either side gives an empty result; repeated
-    rows give one match per id and item.
+    rows give one match per document and item.
     """
     spark = docs.sparkSession
-    schema = "doc_id long, item_id long, first_word long, n_words long, bits int, similarity double"
+    docs = docs.withColumn("__th", row_hash(text_col))
+    schema = "doc_id long, th long, item_id long, first_word long, n_words long, bits int, similarity double"
     found = None
     for block in _blocks(items, item_id_col, item_text_col):
         index = ItemIndex([i for i, _ in block], [x for _, x in block], shingle, similarity, radius)
@@ -222,39 +225,43 @@ def leak_matches(docs: DataFrame, items: DataFrame, shingle: int = 5, similarity
             index = sent.value
             for b in batches:
                 rows = []
-                for ids, texts in chunks(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                    rows += [(ids[i], index.ids[item], w, n, d, sim) for i, w, n, item, d, sim in index.matches(texts)]
-                cols = list(zip(*rows)) or [()] * 6
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64())
+                known = list(zip(b.column("doc_id").to_pylist(), b.column("__th").to_pylist()))
+                for own, texts in chunks(known, b.column("text").to_pylist()):
+                    rows += [(*own[i], index.ids[item], w, n, d, sim) for i, w, n, item, d, sim in index.matches(texts)]
+                cols = list(zip(*rows)) or [()] * 7
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, types)],
-                                                 names=["doc_id", "item_id", "first_word", "n_words", "bits", "similarity"])
+                                                 names=["doc_id", "th", "item_id", "first_word", "n_words", "bits", "similarity"])
 
-        own = stream_texts(docs, id_col, text_col, batch, schema)
+        own = stream_texts(docs, id_col, text_col, batch, schema, ["__th"])
         found = own if found is None else found.union(own)
     if found is None:
         return spark.createDataFrame([], schema)
     best = F.min(F.struct((-F.col("similarity")).alias("_s"), "first_word", "n_words", "bits")).alias("w")
-    return (found.groupBy("doc_id", "item_id").agg(best)
-            .select("doc_id", "item_id", "w.first_word", "w.n_words", "w.bits", (-F.col("w._s")).alias("similarity")))
+    return (found.groupBy("doc_id", "th", "item_id").agg(best)
+            .select("doc_id", "th", "item_id", "w.first_word", "w.n_words", "w.bits", (-F.col("w._s")).alias("similarity")))
 
 
-def mark_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mark_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: (doc_id, contaminated, item_ids, similarity).
 
-    Rows without an id are marked together, as rows of one id are: if one of
-    them holds an item, all do.
+    Each row is judged by its own text, also where rows share an id or have
+    none; null and empty texts hold nothing; equal rows are marked alike; an empty
+    table gives no rows.
     """
-    leaks = saved(leak_matches(docs, items, id_col=id_col, **options), "leaks")
-    per = leaks.groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"),
-                                      F.max("similarity").alias("similarity"))
-    ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id")).alias("d")
-    return (ids.join(per.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")), "left")
+    leaks = saved(leak_matches(docs, items, id_col=id_col, text_col=text_col, **options), "leaks")
+    per = small(saved(leaks.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"),
+                                                        F.max("similarity").alias("similarity")), "leaks-of-documents"))
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), row_hash(text_col).alias("th")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.th") == F.col("p.th"))
+    return (own.join(per.alias("p"), same, "left")
             .select("d.doc_id", F.col("item_ids").isNotNull().alias("contaminated"),
                     F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"), "similarity"))
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id holds no passage of the benchmark, all columns."""
-    leaks = leak_matches(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("__id")).distinct()
-    gone = small(saved(leaks, "leaks"))
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")), "left_anti")
+def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose text holds no passage of the benchmark, all
+    columns. Rows that share an id (or have none) go or stay by their own texts;
+    null and empty texts stay; repeated rows are treated alike."""
+    leaks = leak_matches(docs, items, id_col=id_col, text_col=text_col, **options)
+    return without(docs, leaks, id_col, text_col)
