@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -59,6 +60,16 @@ class Saved:
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession, *tables: Saved) -> None:
+    """Drop tables, and have Spark delete the shuffle files of plans that nothing
+    refers to any more: it does so when their objects are collected, which on a
+    driver with little to do may be long after their disk is needed."""
+    for t in tables:
+        t.drop()
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     return Saved(df, label).df
 

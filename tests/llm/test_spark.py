@@ -307,8 +307,9 @@ def test_leaks_odd_rows(spark, odd, empty, monkeypatch):
         got = mark_leaks(odd, items.where("item_id is not null")).collect()
         assert len(got) >= len(ODD)
         assert {r["doc_id"]: list(r["item_ids"]) for r in got if r["contaminated"]} == want
+    kept = without_leaks(odd, items.where("item_id is not null"))
+    assert kept.columns == odd.columns and kept.count() > 0
     kept = without_leaks(odd, items)
-    assert kept.columns == odd.columns
     assert not {r["doc_id"] for r in kept.collect()} & {10, 11, 12, 13, -5}
     assert leak_matches(empty, items).count() == 0 and leak_matches(odd, items.limit(0)).count() == 0
 
@@ -329,6 +330,61 @@ def test_leaks_of_rows_without_an_id_are_marked(spark):
     assert got == {None: (True, [1]), 2: (False, [])}
 
 
+def test_leaks_are_those_of_a_row_s_own_text(spark):
+    """Rows that share an id, or have none, go or stay by their own texts."""
+    item = " ".join(f"w{i}" for i in range(30))
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, "see " + item), (None, "clean text without an id"), (3, item + " end"), (3, "clean text under the id"), (4, "clean")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, th string")
+    kept = without_leaks(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((r["text"] for r in kept.collect())) == ["clean", "clean text under the id", "clean text without an id"]
+    assert sorted(map(str, ((r["doc_id"], r["contaminated"]) for r in mark_leaks(docs, items).collect()))) == sorted(map(str, [
+        (None, True), (None, False), (3, True), (3, False), (4, False)]))
+
+
+def thue_morse(n, a, b):
+    word = [0]
+    while len(word) < n:
+        word += [1 - x for x in word]
+    return [a if x else b for x in word], [b if x else a for x in word]
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_regular_sequences_with_equal_polynomials_are_told_apart(spark, n):
+    """Thue-Morse words and their complements have equal polynomials modulo a
+    power of two, whatever the base: only the common start repeats."""
+    r = random.Random(n)
+    rows = []
+    for i in range(0, 8, 2):
+        start = "".join(r.choices("abcdefghijklmnop", k=100))
+        x, y = thue_morse(n, *r.sample("qrstuvwxyz", 2))
+        rows += [(i, start + "".join(x)), (i + 1, start + "".join(y))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for options in ({}, {"shard_bytes": 3000}):
+        assert sorted(map(tuple, remove_repeats(df, 400, **options).collect())) == sorted(plain.byte_repeats(rows))
+    words = []
+    for i in range(0, 6, 2):
+        start = " ".join(r.choices("abcdefghijklmnop", k=30))
+        x, y = thue_morse(n, *r.sample([f"word{k}" for k in range(9)], 2))
+        words += [(i, start + " " + " ".join(x)), (i + 1, start + " " + " ".join(y)), (i + 20, "z " * 30 + "".join(x)), (i + 21, "z " * 30 + "".join(y))]
+    df = spark.createDataFrame(words, "doc_id long, text string")
+    for options in ({}, {"shard_words": 500}):
+        assert sorted(map(tuple, remove_repeated_words(df, 20, **options).collect())) == sorted(plain.word_repeats(words))
+
+
+def test_long_lines_of_few_shingles_are_linked(spark):
+    """Lines that repeat a few shingles thousands of times."""
+    r = random.Random(12)
+    docs = [(0, "0123456789" * 3000), (1, "0123456789" * 3000 + "x"), (2, "abc " * 9000 + "abd"), (3, "abc " * 9000)]
+    for i in range(20):
+        unit = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=30 + 10 * i))
+        docs += [(10 + 2 * i, unit * 40), (11 + 2 * i, unit * 40 + "?")]
+    got = {x["doc_id"]: list(x["removed_lines"]) for x in line_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = plain.removed_lines(docs)
+    assert {d: v for d, v in got.items() if v} == want and len(want) >= 22
+
+
 def test_lines_whole_table(spark, rows):
     want = plain.removed_lines(rows)
     got = {r["doc_id"]: list(r["removed_lines"]) for r in queries.op9_fuzzy_lines(spark, SF).collect()}
