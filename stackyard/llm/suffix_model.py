@@ -1,24 +1,29 @@
 """Language-model scoring with a probabilistic suffix tree (operator 7).
 
 The model predicts a text byte by byte: its words in lower case, one space
-apart, then an end mark. A context of up to ``depth`` bytes becomes a state
-of the tree if it makes up at least ``p_min`` of the training positions and
-its next-byte distribution diverges from its parent's (the context without
-its oldest byte) by more than its size explains. A state's distribution is
-smoothed with its parent's, down to the uniform one, and every position is
-scored by the longest suffix of its past that is a state.
-
-Three passes over all texts, each spread over Spark's tasks:
-
-A  contexts that are frequent in a part of the corpus (a context with ``p_min``
-   of all positions has it in some part, so at least half of that is reported
-   by the parts that hold it), and the counts of all words;
-B  next-byte counts of the candidate contexts, over all training texts;
-C  scores. The tree, as an automaton over bytes, is broadcast: at most
-   2 * depth / p_min states whatever the corpus.
-
-The baseline's word counts are not broadcast as a whole: the most frequent
-words (at most ``FREQUENT``) are, other words are joined.
+apart, then an end mark. A context of up to ``depth`` bytes is a state of the
+tree if it occurs at least ``min_count`` times in training and its next-byte
+distribution diverges from its parent's (the context without its oldest byte)
+by more than its size explains. A state's distribution is smoothed with its
+parent's, down to the uniform one, and every position is scored by the longest
+suffix of its past that is a state.
+
+The tree is a partitioned table and never on the driver; all counts are
+absolute, so a larger corpus keeps more contexts, and no result depends on how
+rows are dealt to tasks:
+
+A  one pass over all texts. A unit (consecutive rows of a task, ``UNIT`` bytes)
+   gives its distinct grams (``depth`` bytes and the next one) with their
+   training counts (0: only in held-out texts), its words and its normal texts;
+B  level by level, the counts of (context, next byte) are joined with the
+   parent's probabilities; sums over a context (at most 256 rows) test its
+   divergence. A row holds the probability under the longest state, so the last
+   level holds that of every gram of the corpus, seen in training or not;
+C  a unit's distinct grams fetch their probabilities by a join, go back to the
+   unit, and its texts are scored behind them in a sorted stream.
+
+The baseline's most frequent words (at most ``FREQUENT``) are broadcast, other
+words are joined.
 """
 
 from __future__ import annotations
@@ -28,16 +33,15 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, stream_texts
+from .common import BATCH_ROWS, Saved, release, stream_texts
 from .tokens import chunks
 from .words import Texts
 
-DEPTH = 7
-P_MIN = 4e-6
-#: Contexts seen less often in training are no states, whatever their share.
+DEPTH = 6  # at most 6: a gram is a positive long
+#: Contexts seen less often in training are no states.
 MIN_COUNT = 4
 #: Strength of the parent in a state's smoothed distribution, for each byte
 #: that has followed the state (Witten-Bell).
@@ -45,9 +49,11 @@ SMOOTHING = 2.0
 #: A state's divergence, in nats over all its positions, per byte it predicts.
 DIVERGENCE = 2.0
 FREQUENT = 1 << 17
-#: Bytes counted together, and the longest run scored in one go.
-UNIT = 12_000_000
-RUN = 256
+#: Bytes of texts that share their grams' way to the model, and the distinct
+#: grams after which a unit ends before that; bytes counted or scored at once.
+UNIT = 16_000_000
+UNIT_GRAMS = 1_500_000
+BLOCK = 2_000_000
 END = 0x0A  # never inside a word
 
 
@@ -63,252 +69,160 @@ def in_training(doc_id: int | None) -> bool:
     return zlib.crc32(str(doc_id).encode() if doc_id is not None else b"") % 7 != 2
 
 
-def _laid_out(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Normal texts in one array, each after ``depth`` end marks; first position
-    to predict and number of them (bytes and the end) for each text."""
-    pad = bytes([END]) * depth
-    data = np.frombuffer(b"".join([x for t in texts for x in (pad, t, b"\n")]), np.uint8)
-    n = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    first = np.concatenate(([0], np.cumsum(n + depth)[:-1])) + depth if len(texts) else np.zeros(0, np.int64)
-    return data, first, n
-
-
-def _context_counts(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (newest .. oldest context byte, next byte) as sorted uint64, and counts."""
-    data, first, n = _laid_out(texts, depth)
-    if not len(first):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    at = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-    key = np.zeros(len(at), np.uint64)
+def _blocks(texts: list[bytes], depth: int):
+    """Pieces of at most BLOCK bytes, together some BLOCK bytes: their texts'
+    numbers and the pieces. A piece's first ``depth`` bytes are context only,
+    end marks before a text's start."""
+    of, pieces, held = [], [], 0
+    for i, t in enumerate(texts):
+        full = b"".join((bytes([END]) * depth, t, bytes([END])))
+        for a in range(0, len(full) - depth, BLOCK):
+            of.append(i)
+            pieces.append(full[a:a + BLOCK + depth])
+            held += len(pieces[-1])
+            if held >= BLOCK:
+                yield of, pieces
+                of, pieces, held = [], [], 0
+    if pieces:
+        yield of, pieces
+
+
+def _grams(pieces: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The gram of every predicted position (newest context byte highest, next
+    byte lowest), and the number of positions of each piece."""
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    start = np.cumsum(size) - size
+    own = np.ones(len(data), bool)
+    own[(start[:, None] + np.arange(depth)).ravel()] = False
+    key = data[depth:].astype(np.int64)
     for j in range(1, depth + 1):
-        key |= data[at - j].astype(np.uint64) << np.uint64(64 - 8 * j)
-    key |= data[at].astype(np.uint64)
-    key.sort()
-    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return key[new], np.diff(np.append(new, len(key)))
+        key |= data[depth - j:len(data) - j].astype(np.int64) << (8 * (depth + 1 - j))
+    return key[own[depth:]], size - depth
 
 
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key = np.concatenate([*keys, np.zeros(0, np.uint64)])
-    n = np.concatenate([*counts, np.zeros(0, np.int64)])
-    if not len(key):
-        return key, n
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts."""
+    key = np.concatenate([k for k, _ in parts])
+    n = np.concatenate([m for _, m in parts])
     order = np.argsort(key, kind="stable")
     key, n = key[order], n[order]
     new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     return key[new], np.add.reduceat(n, new)
 
 
-def _units(batches):
-    """Rows of the batches in units of about UNIT bytes: (ids, normal texts)."""
-    ids, texts, held = [], [], 0
-    for b in batches:
-        for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-            t = normal(t)
-            ids.append(i)
-            texts.append(t)
-            held += len(t)
-            if held >= UNIT:
-                yield ids, texts
-                ids, texts, held = [], [], 0
-    if ids:
-        yield ids, texts
+def _counted(of: list[int], pieces: list[bytes], train: list[bool], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of the pieces and how often training texts hold them."""
+    key, size = _grams(pieces, depth)
+    flag = np.repeat(np.array([train[i] for i in of], np.int64), size)
+    both, n = np.unique((key << 1) | flag, return_counts=True)
+    return _merge([(both >> 1, np.where(both & 1, n, 0))])
 
 
-def _rows(schema: str, *cols) -> pa.RecordBatch:
-    kinds = {"byte": pa.int8(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(),
-             "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
-    names, types = zip(*(c.split() for c in schema.split(", ")))
-    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(cols, types)], names=list(names))
+_GRAM, _TEXT, _WORD, _TEXTS = 0, 1, 2, 3
+_UNIT_SCHEMA = pa.schema([("unit", pa.int64()), ("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()),
+                          ("doc_id", pa.int64()), ("text", pa.binary())])
 
 
-_COUNT_SCHEMA = "kind int, key long, n long"
-_WORDS, _POSITIONS, _TEXTS = -1, -2, -3  # kinds; contexts have their length
+def _unit_rows(unit: int, kind: int, key, n=None, ids=None, texts=None) -> pa.RecordBatch:
+    m = len(key)
+    cols = [np.full(m, unit), np.full(m, kind, np.int32), key, n, ids, texts]
+    return pa.RecordBatch.from_arrays([pa.nulls(m, f.type) if c is None else pa.array(c, f.type)
+                                       for c, f in zip(cols, _UNIT_SCHEMA)], schema=_UNIT_SCHEMA)
 
 
-def count_pass(docs: DataFrame, depth: int, p_min: float) -> DataFrame:
-    """Pass A: (kind, key, n) of words, totals and candidate contexts."""
+def read_units(docs: DataFrame, depth: int) -> Saved:
+    """Pass A: (unit, kind, key, n, doc_id, text) of the grams of a unit, its
+    normal texts (key: a number for each row), training words and texts."""
     def batch(batches):
-        for ids, texts in _units(batches):
-            own = [t for i, t in zip(ids, texts) if in_training(i)]
-            if not own:
-                continue
-            word, n = np.unique(Texts(own).hashes(), return_counts=True)
-            yield _rows(_COUNT_SCHEMA, np.full(len(word), _WORDS), word.view(np.int64), n)
-            key, n = _context_counts(own, depth)
-            total = int(n.sum())
-            yield _rows(_COUNT_SCHEMA, [_POSITIONS, _TEXTS], [0, 0], [total, len(own)])
-            for k in range(1, depth + 1):
-                context = key >> np.uint64(64 - 8 * k)
-                new = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
-                c = np.add.reduceat(n, new)
-                much = c >= p_min / 2 * total
-                yield _rows(_COUNT_SCHEMA, np.full(much.sum(), k), context[new][much].view(np.int64), c[much])
-
-    rows = stream_texts(docs, "doc_id", "text", batch, _COUNT_SCHEMA)
-    return saved(rows.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
-
-
-def next_pass(docs: DataFrame, depth: int, contexts: dict[int, np.ndarray]) -> dict[str, np.ndarray]:
-    """Pass B: counts of the next bytes after the longest candidate context of
-    every training position: (context number, byte, n); number 0 is the root."""
-    sent = docs.sparkSession.sparkContext.broadcast(contexts)
-    schema = "context long, next int, n long"
-
-    def batch(batches):
-        for ids, texts in _units(batches):
-            key, n = _context_counts([t for i, t in zip(ids, texts) if in_training(i)], depth)
-            if not len(key):
-                continue
-            owner = np.zeros(len(key), np.int64)
-            base = 1
-            for k in range(1, depth + 1):
-                c = sent.value.get(k, np.zeros(0, np.uint64))
-                low = c << np.uint64(64 - 8 * k)
-                a = np.searchsorted(key, low)
-                e = np.searchsorted(key, low | np.uint64((1 << (64 - 8 * k)) - 1), side="right")
-                size = e - a
-                at = np.repeat(a - np.concatenate(([0], np.cumsum(size)[:-1])) if len(a) else a, size) + np.arange(size.sum())
-                owner[at] = np.repeat(np.arange(base, base + len(c)), size)
-                base += len(c)
-            k, m = _merge([(owner.astype(np.uint64) << np.uint64(8)) | (key & np.uint64(255))], [n])
-            yield _rows(schema, (k >> np.uint64(8)).astype(np.int64), (k & np.uint64(255)).astype(np.int32), m)
-
-    rows = stream_texts(docs, "doc_id", "text", batch, schema).groupBy("context", "next").agg(F.sum("n").alias("n"))
-    # at most candidates x bytes rows, whatever the corpus
-    t = rows.toArrow()
-    return {c: t.column(c).to_numpy() for c in ("context", "next", "n")}
-
-
-class SuffixTree:
-    """The model as an automaton: next state and log10 probability by (state, symbol)."""
-
-    def __init__(self, contexts: dict[int, np.ndarray], counts: dict[str, np.ndarray], depth: int,
-                 divergence: float = DIVERGENCE, smoothing: float = SMOOTHING, min_count: int = MIN_COUNT):
-        self.depth = depth
-        used = np.unique(np.append(counts["next"], END))
-        self.symbol = np.full(256, len(used), np.int64)  # one symbol for all bytes never seen
-        self.symbol[used] = np.arange(len(used))
-        size = len(used) + 1
-        # contexts as byte strings, oldest byte first; number 0 is the empty one
-        names = [b""]
-        for k in range(1, depth + 1):
-            raw = contexts.get(k, np.zeros(0, np.uint64)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - k:]
-            names += [bytes(r[::-1]) for r in raw]
-        n = np.zeros((len(names), size), np.float32)
-        np.add.at(n, (counts["context"], self.symbol[counts["next"]]), counts["n"].astype(np.float32))
-        number = {s: i for i, s in enumerate(names)}
-        # a candidate's suffixes are at least as frequent, so they are candidates too
-        up = np.array([0] + [number.get(s[1:], 0) for s in names[1:]], np.int64)
-        length = np.fromiter(map(len, names), np.int64, len(names))
-        for k in range(depth, 0, -1):  # positions of longer contexts are their suffixes' too
-            at = np.flatnonzero(length == k)
-            np.add.at(n, up[at], n[at])
-        total = n.sum(axis=1, dtype=np.float64)
-        uniform = np.full(size, 1 / 257, np.float64)
-        uniform[-1] = 1 / 257  # probability of each unseen byte
-        p = np.empty((len(names), size), np.float32)
-        p[0] = (n[0] + uniform) / (total[0] + 1)
-        keep = np.zeros(len(names), bool)
-        keep[0] = True
-        for k in range(1, depth + 1):
-            at = np.flatnonzero(length == k)
-            for i in range(0, len(at), 4096):
-                a = at[i:i + 4096]
-                parent = p[up[a]].astype(np.float64)
-                own = n[a].astype(np.float64)
-                t = np.maximum(total[a], 1)[:, None]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    kl = np.where(own > 0, own * np.log(own / t / parent), 0).sum(axis=1)
-                keep[a] = (total[a] >= min_count) & (kl > divergence * (own > 0).sum(axis=1))
-                weight = smoothing * (own > 0).sum(axis=1)[:, None]
-                p[a] = np.where(keep[a][:, None], (own + weight * parent) / np.maximum(total[a][:, None] + weight, 1), parent)
-        # states: retained contexts and all their substrings (an automaton needs
-        # the prefixes); a state that was not retained has its parent's distribution
-        states = {b""}
-        for i in np.flatnonzero(keep):
-            s = names[i]
-            for a in range(len(s)):
-                for e in range(len(s), a, -1):
-                    if s[a:e] in states:
-                        break
-                    states.add(s[a:e])
-        order = sorted(states, key=lambda s: (len(s), s))
-        place = {s: i for i, s in enumerate(order)}
-        self.n_states, self.size = len(order), size
-        self.next = np.zeros((len(order), size), np.int32)
-        logp = np.empty((len(order), size), np.float32)
-        for i, s in enumerate(order):
-            if s:
-                parent = place[s[1:]]
-                self.next[i] = self.next[parent]
-                own = number.get(s)
-                logp[i] = np.log10(p[own]) if own is not None and keep[own] else logp[parent]
-            else:
-                logp[0] = np.log10(p[0])
-            # extensions are set after all states of this length have their defaults
-            if i + 1 == len(order) or len(order[i + 1]) > len(s):
-                self._extend(order, place, len(s))
-        self.logp = logp
-
-    def _extend(self, order: list[bytes], place: dict[bytes, int], length: int) -> None:
-        for s in order:
-            if len(s) == length + 1:
-                self.next[place[s[:-1]], self.symbol[s[-1]]] = place[s]
-
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each normal text (its bytes, then the end)."""
-        data, first, n = _laid_out(texts, self.depth)
-        out = np.zeros(len(texts))
-        if not len(texts):
-            return out
-        symbol = self.symbol[data]
-        # runs of bounded length, each read from ``depth`` positions before it
-        runs = -(-n // RUN)
-        text = np.repeat(np.arange(len(texts)), runs)
-        part = np.arange(runs.sum()) - np.repeat(np.concatenate(([0], np.cumsum(runs)[:-1])), runs)
-        start = first[text] + part * RUN
-        length = np.minimum(n[text] - part * RUN, RUN)
-        order = np.argsort(-length, kind="stable")
-        start, length, text = start[order], length[order], text[order]
-        live = np.searchsorted(-length, -np.arange(RUN), side="left")  # runs longer than i
-        nxt, logp = self.next.ravel(), self.logp.ravel()
-        state = np.zeros(len(start), np.int64)
-        total = np.zeros(len(start))
-        for i in range(-self.depth, RUN):
-            m = len(start) if i < 0 else int(live[i])
-            if not m:
-                break
-            at = state[:m] * self.size
-            at += symbol[start[:m] + i]
-            if i >= 0:
-                total[:m] += logp[at]
-            state[:m] = nxt[at]
-        np.add.at(out, text, total)
-        return out
-
-
-def score_documents(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, id_col: str = "doc_id",
-                    text_col: str = "text", **options) -> DataFrame:
+        part = TaskContext.get().partitionId() << 40
+        unit, row, held, parts = part, part, 0, []
+        for b in batches:
+            for ids, texts in chunks(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), BLOCK):
+                texts = [normal(t) for t in texts]
+                train = [in_training(i) for i in ids]
+                yield _unit_rows(unit, _TEXT, np.arange(row, row + len(ids)), ids=ids, texts=texts)
+                row += len(ids)
+                own = [t for t, yes in zip(texts, train) if yes]
+                word, n = np.unique(Texts(own).hashes(), return_counts=True)
+                yield _unit_rows(unit, _WORD, word.view(np.int64), n)
+                yield _unit_rows(unit, _TEXTS, [0], [len(own)])
+                for of, pieces in _blocks(texts, depth):
+                    parts.append(_counted(of, pieces, train, depth))
+                    if sum(len(k) for k, _ in parts) > UNIT_GRAMS:
+                        parts = [_merge(parts)]
+                held += sum(map(len, texts)) + len(texts)
+                if held >= UNIT or (parts and len(parts[0][0]) > UNIT_GRAMS):
+                    yield _unit_rows(unit, _GRAM, *_merge(parts))
+                    unit, held, parts = unit + 1, 0, []
+        if parts:
+            yield _unit_rows(unit, _GRAM, *_merge(parts))
+
+    schema = "unit long, kind int, key long, n long, doc_id long, text binary"
+    return Saved(stream_texts(docs, "doc_id", "text", batch, schema), "lm-units")
+
+
+def suffix_tree(grams: DataFrame, depth: int, divergence: float = DIVERGENCE, smoothing: float = SMOOTHING,
+                min_count: int = MIN_COUNT) -> list[Saved]:
+    """Pass B: for each length 0 .. ``depth``, (context, next, p, state) of every
+    context of the grams (key, n). ``p`` is the next byte's probability under
+    the longest state that ends the context, ``state`` whether that is itself."""
+    total = grams.agg(F.sum("n")).first()[0] or 0
+    following = F.col("key").bitwiseAND(F.lit(255)).cast("int")
+    root = grams.groupBy(F.lit(0).cast("long").alias("context"), following.alias("next")).agg(F.sum("n").alias("n"))
+    levels = [Saved(root.select("context", "next", ((F.col("n") + 1 / 257) / (total + 1.0)).alias("p"), F.lit(True).alias("state")),
+                    "lm-level")]
+    # in the order of the next byte: a sum of doubles then has one result only
+    whole = Window.partitionBy("context").orderBy("next").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    for k in range(1, depth + 1):
+        counts = (grams.groupBy(F.shiftright("key", 8 * (depth + 1 - k)).alias("context"), following.alias("next"))
+                  .agg(F.sum("n").alias("n")).withColumn("parent", F.shiftright("context", 8)))
+        parent = levels[-1].df.select(F.col("context").alias("parent"), "next", F.col("p").alias("q"))
+        n = F.col("n")
+        rows = counts.join(parent, ["parent", "next"]).withColumns(
+            {"total": F.sum("n").over(whole), "types": F.sum((n > 0).cast("int")).over(whole)})
+        rows = rows.withColumn("gain", F.sum(F.when(n > 0, n * F.log(n / F.col("total") / F.col("q"))).otherwise(0.0)).over(whole))
+        weight = F.col("types") * smoothing
+        state = (F.col("total") >= min_count) & (F.col("gain") > F.col("types") * divergence)
+        p = F.when(state, (n + weight * F.col("q")) / (F.col("total") + weight)).otherwise(F.col("q"))
+        levels.append(Saved(rows.select("context", "next", p.alias("p"), state.alias("state")), "lm-level"))
+    return levels
+
+
+def _summed(key: np.ndarray, logp: np.ndarray, texts: list[bytes], depth: int) -> np.ndarray:
+    """log10 probability of each text by its unit's grams (ascending) and theirs."""
+    out = np.zeros(len(texts))
+    for of, pieces in _blocks(texts, depth):
+        gram, size = _grams(pieces, depth)
+        at = np.minimum(np.searchsorted(key, gram), len(key) - 1)
+        if not np.array_equal(key[at], gram):
+            raise ValueError("a unit's grams are incomplete")
+        np.add.at(out, of, np.add.reduceat(logp[at].astype(np.float64), np.cumsum(size) - size))
+    return out
+
+
+def score_documents(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text",
+                    **options) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Rows are held out by the crc32 of their id (:func:`in_training`). Null
     and empty texts are the end mark alone. Repeated rows count, and are
     scored, each. Without training rows the counts are zero and all
-    distributions uniform; an empty table gives an empty result.
+    distributions uniform; an empty table gives an empty result. ``options``
+    are those of :func:`suffix_tree`.
     """
+    if not 1 <= depth <= 6:
+        raise ValueError("depth must be 1 to 6")
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    counts = count_pass(docs, depth, p_min)
-    totals = {r[0]: r[1] for r in counts.where(F.col("kind").isin(_POSITIONS, _TEXTS)).select("kind", "n").collect()}
-    positions, n_texts = totals.get(_POSITIONS, 0), totals.get(_TEXTS, 0)
-    # at most 2 / p_min contexts of each length
-    rows = counts.where((F.col("kind") > 0) & (F.col("n") >= max(MIN_COUNT, p_min / 2 * positions))).select("kind", "key").toArrow()
-    kind, key = rows.column("kind").to_numpy(), rows.column("key").to_numpy().view(np.uint64)
-    contexts = {k: np.sort(key[kind == k]) for k in range(1, depth + 1)}
-    tree = SuffixTree(contexts, next_pass(docs, depth, contexts), depth, **options)
-
-    words = counts.where(F.col("kind") == _WORDS).select("key", "n")
+    units = read_units(docs, depth)
+    of_kind = lambda kind: units.df.where(F.col("kind") == kind)
+    grams = Saved(of_kind(_GRAM).groupBy("key").agg(F.sum("n").alias("n")), "lm-grams")
+    levels = suffix_tree(grams.df, depth, **options)
+    release(spark, grams, *levels[:-1])
+
+    words = Saved(of_kind(_WORD).groupBy("key").agg(F.sum("n").alias("n")), "lm-words").df
+    n_texts = of_kind(_TEXTS).agg(F.sum("n")).first()[0] or 0
     # words by the power of two of their count: at most 64 rows
     sizes = {r[0]: (r[1], r[2]) for r in words.groupBy(F.floor(F.log2("n")).cast("int").alias("e"))
              .agg(F.count(F.lit(1)), F.sum("n")).collect()}
@@ -323,40 +237,62 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, i
     common = words.where(F.col("n") >= (1 << least) if least < 63 else F.lit(False)).toArrow()
     order = np.argsort(common.column("key").to_numpy().view(np.uint64))
     frequent = (common.column("key").to_numpy().view(np.uint64)[order], common.column("n").to_numpy()[order])
-    sent = spark.sparkContext.broadcast((tree, frequent, n_texts))
+    sent = spark.sparkContext.broadcast((frequent, n_texts))
     schema = ("row long, doc_id long, held_out boolean, n_tokens long, known long, part double, score double, "
               "rare array<long>, times array<int>")
 
-    def batch(batches):
-        tree, (word, n), n_texts = sent.value
-        row = TaskContext.get().partitionId() << 40
+    def scored_rows(row, ids, texts, key, logp):
+        (word, n), n_texts = sent.value
+        score = _summed(key, logp, texts, depth)
+        t = Texts(texts)
+        h = t.hashes()
+        at = np.minimum(np.searchsorted(word, h), max(len(word) - 1, 0))
+        hit = word[at] == h if len(word) else np.zeros(len(h), bool)
+        known = np.bincount(t.text_of[hit], minlength=len(ids)) + (n_texts > 0)
+        part = np.bincount(t.text_of[hit], weights=np.log10(n[at[hit]] + 1.0), minlength=len(ids))
+        part = part + np.log10(n_texts + 1.0)
+        rest, of = h[~hit], t.text_of[~hit]
+        order = np.lexsort((rest, of))
+        rest, of = rest[order], of[order]
+        new = np.flatnonzero(np.concatenate(([True], (rest[1:] != rest[:-1]) | (of[1:] != of[:-1])))) if len(rest) else []
+        times = np.diff(np.append(new, len(rest))).astype(np.int32)
+        rest, of = rest[new].view(np.int64) if len(rest) else rest.view(np.int64), of[new] if len(of) else of
+        cut = np.searchsorted(of, np.arange(len(ids) + 1)).astype(np.int32)
+        arrays = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (rest, times)]
+        held_out = [not in_training(i) for i in ids]
+        names = [c.split()[0] for c in schema.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(ids, pa.int64()), pa.array(held_out),
+                                           pa.array(t.n_words + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(part),
+                                           pa.array(score), *arrays], names=names)
+
+    def score_units(batches):
+        unit, keys, logps = None, [], []
         for b in batches:
-            for ids, texts in chunks(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), 4_000_000):
-                texts = [normal(t) for t in texts]
-                score = tree.score(texts)
-                t = Texts(texts)
-                h = t.hashes()
-                at = np.minimum(np.searchsorted(word, h), max(len(word) - 1, 0))
-                hit = word[at] == h if len(word) else np.zeros(len(h), bool)
-                known = np.bincount(t.text_of[hit], minlength=len(ids)) + (n_texts > 0)
-                part = np.bincount(t.text_of[hit], weights=np.log10(n[at[hit]] + 1.0), minlength=len(ids))
-                part = part + np.log10(n_texts + 1.0)
-                rest, of = h[~hit], t.text_of[~hit]
-                order = np.lexsort((rest, of))
-                rest, of = rest[order], of[order]
-                new = np.flatnonzero(np.concatenate(([True], (rest[1:] != rest[:-1]) | (of[1:] != of[:-1])))) if len(rest) else []
-                times = np.diff(np.append(new, len(rest))).astype(np.int32)
-                rest, of = rest[new].view(np.int64) if len(rest) else rest.view(np.int64), of[new] if len(of) else of
-                cut = np.searchsorted(of, np.arange(len(ids) + 1)).astype(np.int32)
-                arrays = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (rest, times)]
-                held_out = [not in_training(i) for i in ids]
-                names = [c.split()[0] for c in schema.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(ids))), pa.array(ids, pa.int64()), pa.array(held_out),
-                                                  pa.array(t.n_words + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(part), pa.array(score),
-                                                  *arrays], names=names)
-                row += len(ids)
-
-    scored = saved(stream_texts(docs, "doc_id", "text", batch, schema), "lm-scores")
+            of, kind = b.column("unit").to_numpy(), b.column("kind").to_numpy()
+            cut = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (kind[1:] != kind[:-1]), [True])))
+            for a, e in zip(cut[:-1], cut[1:]):
+                if of[a] != unit:
+                    unit, keys, logps = of[a], [], []
+                s = b.slice(a, e - a)
+                if kind[a] == _GRAM:
+                    keys.append(s.column("key").to_numpy().copy())
+                    logps.append(s.column("logp").to_numpy().copy())
+                    continue
+                keys, logps = [np.concatenate(keys)], [np.concatenate(logps)]
+                rows, texts = s.column("key").to_pylist(), s.column("text").to_pylist()
+                at = 0
+                for ids, part in chunks(s.column("doc_id").to_pylist(), texts, BLOCK):
+                    yield scored_rows(rows[at:at + len(ids)], ids, part, keys[0], logps[0])
+                    at += len(ids)
+
+    last = levels[-1].df.select(F.shiftleft("context", 8).bitwiseOR(F.col("next").cast("long")).alias("key"), F.log10("p").cast("float").alias("logp"))
+    fetched = of_kind(_GRAM).select("unit", "kind", "key").join(last, "key")
+    rows = (fetched.select("unit", "kind", "key", "logp", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("text"))
+            .union(of_kind(_TEXT).select("unit", "kind", "key", F.lit(None).cast("float"), "doc_id", "text"))
+            .repartition("unit").sortWithinPartitions("unit", "kind", "key"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(4 * BATCH_ROWS))
+    scored = Saved(rows.mapInArrow(score_units, schema), "lm-scores").df
+    release(spark, units, levels[-1])
     rare = (scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
             .select("row", F.col("w.rare").alias("key"), F.col("w.times").alias("times")).join(words, "key")
             .groupBy("row").agg(F.sum("times").alias("known2"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("part2")))

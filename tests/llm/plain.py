@@ -151,3 +151,30 @@ def leaks(docs, items, k=5, similarity=0.8):
                     found[d].add(item)
                     break
     return {d: sorted(v) for d, v in found.items()}
+
+
+def suffix_scores(train, texts, depth, min_count, divergence, smoothing):
+    """log10 probability of normal texts under the longest suffix states."""
+    seen, total = Counter(), Counter()
+    for t in train:
+        past = b"\n" * depth + t + b"\n"
+        for i in range(depth, len(past)):
+            for k in range(depth + 1):
+                seen[(past[i - k:i], past[i])] += 1
+                total[past[i - k:i]] += 1
+
+    def p(s, b):
+        if not s:
+            return (seen[(s, b)] + 1 / 257) / (total[s] + 1)
+        own = {x: seen[(s, x)] for x in range(256) if seen[(s, x)]}
+        gain = sum(m * math.log(m / total[s] / p(s[1:], x)) for x, m in own.items())
+        if total[s] < min_count or gain <= divergence * len(own):
+            return p(s[1:], b)
+        weight = smoothing * len(own)
+        return (seen[(s, b)] + weight * p(s[1:], b)) / (total[s] + weight)
+
+    out = []
+    for t in texts:
+        past = b"\n" * depth + t + b"\n"
+        out.append(sum(math.log10(p(past[i - depth:i], past[i])) for i in range(depth, len(past))))
+    return out

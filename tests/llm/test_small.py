@@ -212,53 +212,17 @@ def test_js_distance():
     assert quality.js_distance(np.zeros(2), p[:2]) == 0
 
 
-def test_suffix_tree_is_the_longest_suffix_model():
-    rng = random.Random(7)
-    texts = [bytes(rng.choice(b"ab c") for _ in range(rng.randint(0, 60))) + b"abcab" for _ in range(200)]
-    texts = [suffix_model.normal(t) for t in texts]
-    depth = 4
-    key, n = suffix_model._context_counts(texts, depth)
-    # contexts of every length, and next bytes of the longest
-    contexts, counts = {}, Counter()
-    for k in range(1, depth + 1):
-        contexts[k] = np.unique(key >> np.uint64(64 - 8 * k))
-    base = 1 + sum(len(contexts[k]) for k in range(1, depth))
-    for x, m in zip(key.tolist(), n.tolist()):
-        counts[(base + int(np.searchsorted(contexts[depth], np.uint64(x >> (64 - 8 * depth)))), x & 255)] += m
-    table = {"context": np.array([c for c, _ in counts]), "next": np.array([b for _, b in counts]), "n": np.array(list(counts.values()))}
-    tree = suffix_model.SuffixTree(contexts, table, depth, divergence=0.5, min_count=3)
-
-    seen = Counter()
-    for t in texts:
-        past = b"\n" * depth + t + b"\n"
-        for i in range(depth, len(past)):
-            for k in range(depth + 1):
-                seen[(past[i - k:i], past[i])] += 1
-    total = Counter()
-    for (s, _), m in seen.items():
-        total[s] += m
-    symbols = sorted({b for _, b in seen})
-
-    def p(s, b):
-        if not s:
-            return (seen[(s, b)] + 1 / 257) / (total[s] + 1)
-        own = {x: seen[(s, x)] for x in symbols if seen[(s, x)]}
-        kl = sum(m * math.log(m / total[s] / p(s[1:], x)) for x, m in own.items())
-        if total[s] < 3 or kl <= 0.5 * len(own):
-            return p(s[1:], b)
-        weight = suffix_model.SMOOTHING * len(own)
-        return (seen[(s, b)] + weight * p(s[1:], b)) / (total[s] + weight)
-
-    new = [b"abc ab", b"", b"cab", b"zz a" * 300]
-    want = []
-    for t in new:
-        past = b"\n" * depth + t + b"\n"
-        want.append(sum(math.log10(p(past[i - depth:i] if (past[i - depth:i], past[i]) else b"", past[i]))
-                        for i in range(depth, len(past))))
-    assert tree.score(new[:3]) == pytest.approx(want[:3], rel=1e-4)
-    assert tree.score(new)[3] < 0
-    assert np.exp(tree.logp[:, :-1].astype(float) * math.log(10)).sum(axis=1) == pytest.approx(
-        np.ones(tree.n_states), abs=0.05)
+def test_grams_of_pieces(monkeypatch):
+    text = b"abc ab cab"
+    whole, size = suffix_model._grams([b"\n\n" + text + b"\n"], 2)
+    past = b"\n\n" + text + b"\n"
+    assert size.tolist() == [11]
+    assert whole.tolist() == [past[i - 1] << 16 | past[i - 2] << 8 | past[i] for i in range(2, len(past))]
+    monkeypatch.setattr(suffix_model, "BLOCK", 4)  # a text in pieces has the same grams
+    cut = [(of, suffix_model._grams(p, 2)) for of, p in suffix_model._blocks([text, b"", b"x"], 2)]
+    assert len(cut) > 3 and [i for of, _ in cut for i in of] == [0, 0, 0, 1, 2]
+    assert np.concatenate([g for _, (g, _) in cut]).tolist()[:11] == whole.tolist()
+    assert sum(int(n.sum()) for _, (_, n) in cut) == 11 + 1 + 2
 
 
 def test_fingerprints_by_definition():

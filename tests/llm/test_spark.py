@@ -280,6 +280,38 @@ def test_tree_beats_word_frequencies_on_held_out_text(spark):
     assert score / n > base / n + 0.2
 
 
+def test_scores_by_the_longest_state(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(i, "".join(rng.choice("abAB c") for _ in range(rng.randint(0, 60))) + "abcab") for i in range(120)]
+    rows += [(200, None), (201, ""), (None, "zz a" * 90), (3, rows[3][1]), (203, "\u00fc new")]
+    normal = [suffix_model.normal((t or "").encode()) for _, t in rows]
+    train = [t for (i, _), t in zip(rows, normal) if suffix_model.in_training(i)]
+    want = plain.suffix_scores(train, normal, 4, 3, 0.5, suffix_model.SMOOTHING)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    runs = []
+    for parts, unit, block in ((1, 16_000_000, 2_000_000), (16, 100, 30)):  # any layout gives the same scores
+        monkeypatch.setattr(suffix_model, "UNIT", unit)
+        monkeypatch.setattr(suffix_model, "BLOCK", block)
+        got = suffix_model.score_documents(df.repartition(parts), depth=4, min_count=3, divergence=0.5).collect()
+        runs.append(sorted((str(r["doc_id"]), round(r["score"], 6)) for r in got))
+    assert runs[0] == runs[1]
+    for (d, s), (e, w) in zip(runs[0], sorted((str(i), w) for (i, _), w in zip(rows, want))):
+        assert d == e and s == pytest.approx(w, rel=1e-5, abs=1e-5)
+
+
+def test_more_text_keeps_more_contexts(spark, rows):
+    def states(part):
+        df = spark.createDataFrame([(r[0], r[1]) for r in part], "doc_id long, text string")
+        units = suffix_model.read_units(df, 4)
+        grams = units.df.where("kind = 0").groupBy("key").agg({"n": "sum"}).toDF("key", "n")
+        levels = suffix_model.suffix_tree(grams, 4)
+        sums = levels[-1].df.groupBy("context").agg({"p": "sum"}).toDF("context", "p").where("p > 1.000001").count()
+        assert sums == 0
+        return sum(level.df.where("state").select("context").distinct().count() for level in levels)
+
+    assert states(rows) > 1.2 * states(rows[:len(rows) // 2])
+
+
 def test_scores_odd_rows(spark, odd, empty, monkeypatch):
     monkeypatch.setattr(suffix_model, "FREQUENT", 3)  # words beyond the broadcast ones are joined
     got = [tuple(r)[:6] for r in suffix_model.score_documents(odd).collect()]
