@@ -48,10 +48,10 @@ class Saved:
     """A table written as Parquet in the shared folder: it cuts the lineage,
     outlives a lost executor, and can be dropped when no plan needs it."""
 
-    def __init__(self, df: DataFrame, label: str):
+    def __init__(self, df: DataFrame, label: str, codec: str = "snappy"):
         self.spark = df.sparkSession
         self.path = f"{shared_root(self.spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        df.write.option("compression", codec).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:

@@ -20,7 +20,7 @@ B  level by level, the counts of (context, next byte) are joined with the
    divergence. A row holds the probability under the longest state, so the last
    level holds that of every gram of the corpus, seen in training or not;
 C  a unit's distinct grams fetch their probabilities by a join, go back to the
-   unit, and its texts are scored behind them in a sorted stream.
+   unit in packs, and its texts are scored behind them in a sorted stream.
 
 The baseline's most frequent words (at most ``FREQUENT``) are broadcast, other
 words are joined.
@@ -54,6 +54,8 @@ FREQUENT = 1 << 17
 UNIT = 16_000_000
 UNIT_GRAMS = 1_500_000
 BLOCK = 2_000_000
+#: Grams that a task packs together on their way back to their units.
+PACK = 1 << 20
 END = 0x0A  # never inside a word
 
 
@@ -107,8 +109,8 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     n = np.concatenate([m for _, m in parts])
     order = np.argsort(key, kind="stable")
     key, n = key[order], n[order]
-    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return key[new], np.add.reduceat(n, new)
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else []
+    return key[new], np.add.reduceat(n, new) if len(key) else n
 
 
 def _counted(of: list[int], pieces: list[bytes], train: list[bool], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +138,7 @@ def read_units(docs: DataFrame, depth: int) -> Saved:
     normal texts (key: a number for each row), training words and texts."""
     def batch(batches):
         part = TaskContext.get().partitionId() << 40
-        unit, row, held, parts = part, part, 0, []
+        unit, row, held, parts, words = part, part, 0, [], []
         for b in batches:
             for ids, texts in chunks(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), BLOCK):
                 texts = [normal(t) for t in texts]
@@ -144,8 +146,10 @@ def read_units(docs: DataFrame, depth: int) -> Saved:
                 yield _unit_rows(unit, _TEXT, np.arange(row, row + len(ids)), ids=ids, texts=texts)
                 row += len(ids)
                 own = [t for t, yes in zip(texts, train) if yes]
-                word, n = np.unique(Texts(own).hashes(), return_counts=True)
-                yield _unit_rows(unit, _WORD, word.view(np.int64), n)
+                word, n = np.unique(Texts(own).hashes().view(np.int64), return_counts=True)
+                words.append((word, n))
+                if sum(len(k) for k, _ in words) > UNIT_GRAMS:
+                    words = [_merge(words)]
                 yield _unit_rows(unit, _TEXTS, [0], [len(own)])
                 for of, pieces in _blocks(texts, depth):
                     parts.append(_counted(of, pieces, train, depth))
@@ -154,12 +158,14 @@ def read_units(docs: DataFrame, depth: int) -> Saved:
                 held += sum(map(len, texts)) + len(texts)
                 if held >= UNIT or (parts and len(parts[0][0]) > UNIT_GRAMS):
                     yield _unit_rows(unit, _GRAM, *_merge(parts))
-                    unit, held, parts = unit + 1, 0, []
+                    yield _unit_rows(unit, _WORD, *_merge(words))
+                    unit, held, parts, words = unit + 1, 0, [], []
         if parts:
             yield _unit_rows(unit, _GRAM, *_merge(parts))
+            yield _unit_rows(unit, _WORD, *_merge(words))
 
     schema = "unit long, kind int, key long, n long, doc_id long, text binary"
-    return Saved(stream_texts(docs, "doc_id", "text", batch, schema), "lm-units")
+    return Saved(stream_texts(docs, "doc_id", "text", batch, schema), "lm-units", "zstd")
 
 
 def suffix_tree(grams: DataFrame, depth: int, divergence: float = DIVERGENCE, smoothing: float = SMOOTHING,
@@ -167,28 +173,69 @@ def suffix_tree(grams: DataFrame, depth: int, divergence: float = DIVERGENCE, sm
     """Pass B: for each length 0 .. ``depth``, (context, next, p, state) of every
     context of the grams (key, n). ``p`` is the next byte's probability under
     the longest state that ends the context, ``state`` whether that is itself."""
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    following = F.col("key").bitwiseAND(F.lit(255)).cast("int")
-    root = grams.groupBy(F.lit(0).cast("long").alias("context"), following.alias("next")).agg(F.sum("n").alias("n"))
-    levels = [Saved(root.select("context", "next", ((F.col("n") + 1 / 257) / (total + 1.0)).alias("p"), F.lit(True).alias("state")),
-                    "lm-level")]
+    spark = grams.sparkSession
+    following = F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("next")
+    counts = {depth: grams.select(F.shiftright("key", 8).alias("context"), following, "n")}
+    tables = {}
+    for k in range(depth - 1, -1, -1):
+        shorter = (counts[k + 1].groupBy(F.shiftright("context", 8).alias("context"), "next").agg(F.sum("n").alias("n")))
+        tables[k] = Saved(shorter, "lm-counts")
+        counts[k] = tables[k].df
+    total = counts[0].agg(F.sum("n")).first()[0] or 0
+    p = (F.col("n") + 1 / 257) / (total + 1.0)
+    levels = [Saved(counts[0].select("context", "next", p.alias("p"), F.lit(True).alias("state")), "lm-level")]
     # in the order of the next byte: a sum of doubles then has one result only
     whole = Window.partitionBy("context").orderBy("next").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     for k in range(1, depth + 1):
-        counts = (grams.groupBy(F.shiftright("key", 8 * (depth + 1 - k)).alias("context"), following.alias("next"))
-                  .agg(F.sum("n").alias("n")).withColumn("parent", F.shiftright("context", 8)))
         parent = levels[-1].df.select(F.col("context").alias("parent"), "next", F.col("p").alias("q"))
         n = F.col("n")
-        rows = counts.join(parent, ["parent", "next"]).withColumns(
+        rows = counts[k].withColumn("parent", F.shiftright("context", 8)).join(parent, ["parent", "next"]).withColumns(
             {"total": F.sum("n").over(whole), "types": F.sum((n > 0).cast("int")).over(whole)})
         rows = rows.withColumn("gain", F.sum(F.when(n > 0, n * F.log(n / F.col("total") / F.col("q"))).otherwise(0.0)).over(whole))
         weight = F.col("types") * smoothing
         state = (F.col("total") >= min_count) & (F.col("gain") > F.col("types") * divergence)
         p = F.when(state, (n + weight * F.col("q")) / (F.col("total") + weight)).otherwise(F.col("q"))
         levels.append(Saved(rows.select("context", "next", p.alias("p"), state.alias("state")), "lm-level"))
+        release(spark, *[tables.pop(j) for j in list(tables) if j <= k])
     return levels
 
 
+def pack_grams(batches):
+    """Rows (unit, key, logp) as packs of one unit: differences of its ascending
+    keys, then their values, compressed; ``doc_id`` has their number."""
+    def packs(parts):
+        unit, key, logp = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((key, unit))
+        unit, key, logp = unit[order], key[order], logp[order]
+        cut = np.append(np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1]))), len(unit))
+        blobs = [pa.compress(np.diff(key[a:e], prepend=0).tobytes() + logp[a:e].tobytes(), codec="zstd", asbytes=True)
+                 for a, e in zip(cut[:-1], cut[1:])]
+        m = len(blobs)
+        return pa.RecordBatch.from_arrays([pa.array(unit[cut[:-1]]), pa.array(np.full(m, _GRAM, np.int32)), pa.array(np.zeros(m, np.int64)),
+                                           pa.array(np.diff(cut)), pa.array(blobs, pa.binary())],
+                                          names=["unit", "kind", "key", "doc_id", "text"])
+
+    parts, held = [], 0
+    for b in batches:
+        if b.num_rows:
+            parts.append([b.column(c).to_numpy().copy() for c in ("unit", "key", "logp")])
+            held += b.num_rows
+        if held >= PACK:
+            yield packs(parts)
+            parts, held = [], 0
+    if parts:
+        yield packs(parts)
+
+
+def _unpacked(n: list[int], blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of packs, ascending, and their values."""
+    raw = [pa.decompress(b, decompressed_size=12 * m, codec="zstd", asbytes=True) for m, b in zip(n, blobs)]
+    key = np.concatenate([np.cumsum(np.frombuffer(r, np.int64, m)) for m, r in zip(n, raw)])
+    logp = np.concatenate([np.frombuffer(r, np.float32, m, 8 * m) for m, r in zip(n, raw)])
+    order = np.argsort(key)
+    return key[order], logp[order]
+
+
 def _summed(key: np.ndarray, logp: np.ndarray, texts: list[bytes], depth: int) -> np.ndarray:
     """log10 probability of each text by its unit's grams (ascending) and theirs."""
     out = np.zeros(len(texts))
@@ -218,6 +265,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id",
     units = read_units(docs, depth)
     of_kind = lambda kind: units.df.where(F.col("kind") == kind)
     grams = Saved(of_kind(_GRAM).groupBy("key").agg(F.sum("n").alias("n")), "lm-grams")
+    release(spark)
     levels = suffix_tree(grams.df, depth, **options)
     release(spark, grams, *levels[:-1])
 
@@ -266,29 +314,30 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id",
                                            pa.array(score), *arrays], names=names)
 
     def score_units(batches):
-        unit, keys, logps = None, [], []
+        unit, sizes, blobs, model = None, [], [], None
         for b in batches:
             of, kind = b.column("unit").to_numpy(), b.column("kind").to_numpy()
             cut = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (kind[1:] != kind[:-1]), [True])))
             for a, e in zip(cut[:-1], cut[1:]):
                 if of[a] != unit:
-                    unit, keys, logps = of[a], [], []
-                s = b.slice(a, e - a)
+                    unit, sizes, blobs, model = of[a], [], [], None
+                rows = b.slice(a, e - a)
+                ids, texts = rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()
                 if kind[a] == _GRAM:
-                    keys.append(s.column("key").to_numpy().copy())
-                    logps.append(s.column("logp").to_numpy().copy())
+                    sizes += ids
+                    blobs += texts
                     continue
-                keys, logps = [np.concatenate(keys)], [np.concatenate(logps)]
-                rows, texts = s.column("key").to_pylist(), s.column("text").to_pylist()
-                at = 0
-                for ids, part in chunks(s.column("doc_id").to_pylist(), texts, BLOCK):
-                    yield scored_rows(rows[at:at + len(ids)], ids, part, keys[0], logps[0])
-                    at += len(ids)
+                if model is None:
+                    model, sizes, blobs = _unpacked(sizes, blobs), [], []
+                numbers, at = rows.column("key").to_pylist(), 0
+                for own, part in chunks(ids, texts, BLOCK):
+                    yield scored_rows(numbers[at:at + len(own)], own, part, *model)
+                    at += len(own)
 
     last = levels[-1].df.select(F.shiftleft("context", 8).bitwiseOR(F.col("next").cast("long")).alias("key"), F.log10("p").cast("float").alias("logp"))
-    fetched = of_kind(_GRAM).select("unit", "kind", "key").join(last, "key")
-    rows = (fetched.select("unit", "kind", "key", "logp", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("text"))
-            .union(of_kind(_TEXT).select("unit", "kind", "key", F.lit(None).cast("float"), "doc_id", "text"))
+    fetched = of_kind(_GRAM).select("unit", "key").join(last, "key")
+    packs = fetched.select("unit", "key", "logp").mapInArrow(pack_grams, "unit long, kind int, key long, doc_id long, text binary")
+    rows = (packs.union(of_kind(_TEXT).select("unit", "kind", "key", "doc_id", "text"))
             .repartition("unit").sortWithinPartitions("unit", "kind", "key"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(4 * BATCH_ROWS))
     scored = Saved(rows.mapInArrow(score_units, schema), "lm-scores").df
