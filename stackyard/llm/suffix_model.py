@@ -336,12 +336,14 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id",
 
     last = levels[-1].df.select(F.shiftleft("context", 8).bitwiseOR(F.col("next").cast("long")).alias("key"), F.log10("p").cast("float").alias("logp"))
     fetched = of_kind(_GRAM).select("unit", "key").join(last, "key")
-    packs = fetched.select("unit", "key", "logp").mapInArrow(pack_grams, "unit long, kind int, key long, doc_id long, text binary")
-    rows = (packs.union(of_kind(_TEXT).select("unit", "kind", "key", "doc_id", "text"))
+    packs = Saved(fetched.select("unit", "key", "logp").mapInArrow(pack_grams, "unit long, kind int, key long, doc_id long, text binary"),
+                  "lm-packs")
+    release(spark, levels[-1])  # and the join's shuffle, before the texts move
+    rows = (packs.df.union(of_kind(_TEXT).select("unit", "kind", "key", "doc_id", "text"))
             .repartition("unit").sortWithinPartitions("unit", "kind", "key"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(4 * BATCH_ROWS))
     scored = Saved(rows.mapInArrow(score_units, schema), "lm-scores").df
-    release(spark, units, levels[-1])
+    release(spark, units, packs)
     rare = (scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
             .select("row", F.col("w.rare").alias("key"), F.col("w.times").alias("times")).join(words, "key")
             .groupBy("row").agg(F.sum("times").alias("known2"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("part2")))
