@@ -7,12 +7,7 @@ character shingles) form components; of each component the first line in
 1. equal lines become one row, first in each task, then by key;
 2. signatures: a line's shingles are hashed in generated code, multiplied for
    each permutation (bits 20 to 51 of the product with an odd number), and a
-   grouped minimum gives the MinHash values. Of long lines it
-   takes the shingles whose hash is below a threshold that falls with the
-   length, about ``SAMPLE`` of them: which shingles of two like lines are
-   taken is the same for both, so MinHash keeps its meaning. A long line that
-   repeats few shingles may have few or none of them below the threshold; it gets a
-   second signature from all its shingles;
+   grouped minimum gives the MinHash values, over all shingles of the line;
 3. banding: lines with equal values in a band form a group. All members of a
    group, however many, are candidates with the group's first and last line;
 4. verification: candidates whose signatures agree in too few of ``SKETCH``
@@ -47,18 +42,13 @@ from .components import components
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Bands and values in a band: 1 - (1 - 0.8**5)**18 = 0.999 of the pairs at the
-#: least similarity share a band, a little less where shingles are sampled.
+#: least similarity share a band.
 BANDS = 18
 ROWS = 5
 #: Words of a sketch, seven values each, and the values that must agree: at the
-#: least similarity 22 of 28 do on average, fewer than 12 in one of 100,000 pairs
-#: (of sampled shingles: one of 2,000).
+#: least similarity 22 of 28 do on average, fewer than 12 in one of 100,000 pairs.
 SKETCH = 4
 AGREE = 12
-#: Shingles of a line that its signature takes, on average.
-SAMPLE = 64
-#: A signature of fewer different shingles (as a 64-bit map of them counts) is too thin.
-THIN = 24
 #: In groups of at most this many lines all unconnected lines' sketches are compared.
 FEW = 64
 
@@ -94,29 +84,22 @@ def _shingles(line: Column, size: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
 
 
-def _signed(lines: DataFrame, shingle: int, bands: int, rows: int, sample: int | None) -> DataFrame:
-    """(lid, n, seen, keys, sketch) of lines (lid, b: their UTF-16 bytes, n:
-    shingles with repeats). ``seen`` has a bit set for some of the hashes that were
-    taken; ``keys`` and ``sketch`` are null if none was. The grouped minima need no shuffle: the shingles
-    of a line lie together."""
-    each = (lines.select("lid", "n", "b", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("p"))
-            .select("lid", "n", "p", F.xxhash64(F.substring("b", 2 * F.col("p") - 1, F.lit(2 * shingle))).alias("h")))
-    if sample is not None:
-        taken = F.col("h").bitwiseAND(F.lit(65535)) * F.col("n") < sample * 65536
-        # the first place stays, without a hash, so that every line has a row
-        each = each.where(taken | (F.col("p") == 1)).withColumn("h", F.when(taken, F.col("h")))
+def _signed(lines: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """(lid, keys, sketch) of lines (lid, b: their UTF-16 bytes, n: shingles with
+    repeats), from all their shingles. The grouped minima need no shuffle: the
+    shingles of a line lie together."""
+    each = (lines.select("lid", "b", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("p"))
+            .select("lid", F.xxhash64(F.substring("b", 2 * F.col("p") - 1, F.lit(2 * shingle))).alias("h")))
     x = F.shiftrightunsigned("h", 32)
     mins = [F.min(F.shiftrightunsigned(x * F.lit(f).cast("long"), 20).bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"m{i}")
             for i, f in enumerate(_factors(bands * rows))]
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("h", 20).bitwiseAND(F.lit(63)).cast("int"))
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)]
-    made = each.groupBy("lid").agg(F.max("n").alias("n"), F.coalesce(F.bit_or(bit), F.lit(0).cast("long")).alias("seen"), *mins)
+    made = each.groupBy("lid").agg(*mins)
     # a byte of each value in a field of nine bits
     step = max(1, bands * rows // (7 * SKETCH))
     byte = lambda i: F.col(f"m{i * step % (bands * rows)}").bitwiseAND(F.lit(255))
     words = [reduce(lambda x, y: x.bitwiseOR(y), [byte(7 * w + j) * (1 << 9 * j) for j in range(7)]) for w in range(SKETCH)]
-    some = F.col("m0").isNotNull()
-    return made.select("lid", "n", "seen", F.when(some, F.array(*keys)).alias("keys"), F.when(some, F.array(*words)).alias("sketch"))
+    return made.select("lid", F.array(*keys).alias("keys"), F.array(*words).alias("sketch"))
 
 
 def _agreeing(x: Column, y: Column) -> Column:
@@ -127,43 +110,26 @@ def _agreeing(x: Column, y: Column) -> Column:
 
 
 def band_keys(lines: DataFrame, shingle: int, bands: int, rows: int) -> tuple[Saved, Saved]:
-    """(lid, keys) and (lid, sketch, whole) of each distinct line of at least
-    ``shingle`` characters. A thin line has the keys of both signatures, and its
-    sketch of all shingles as ``whole``."""
-    def measured(own: DataFrame) -> DataFrame:
-        units = (F.octet_length("b") / 2).cast("int")  # UTF-16 code units
-        return own.select("lid", F.encode("line", "UTF-16BE").alias("b")).withColumn("n", units - (shingle - 1)).where("n > 0")
-
+    """(lid, keys) and (lid, sketch) of each distinct line of at least ``shingle`` characters."""
     spark = lines.sparkSession
+    units = (F.octet_length("b") / 2).cast("int")  # UTF-16 code units
     distinct = lines.select(F.xxhash64("line").alias("lid"), "line").dropDuplicates(["lid"])
-    sampled = Saved(_signed(measured(distinct), shingle, bands, rows, SAMPLE), "line-signatures")
+    measured = distinct.select("lid", F.encode("line", "UTF-16BE").alias("b")).withColumn("n", units - (shingle - 1)).where("n > 0")
+    signed = Saved(_signed(measured, shingle, bands, rows), "line-signatures")
     release(spark)
-    # more shingles than a whole sample, but few different ones taken
-    texts = _texts_of(lines, sampled.df.where((F.col("n") > SAMPLE) & (F.bit_count("seen") < THIN)).select("lid"))
-    again = Saved(_signed(measured(texts.df.repartition("lid")), shingle, bands, rows, None), "line-signatures")
-    whole = small(again.df.select("lid", F.col("sketch").alias("whole"), F.col("keys").alias("more")))
-    both = sampled.df.select("lid", "sketch", "keys").join(whole, "lid", "left")
-    sketches = Saved(both.select("lid", "sketch", "whole"), "line-sketches")
-    no = F.array().cast("array<long>")
-    all_keys = F.when(F.col("more").isNull(), F.col("keys")).otherwise(F.array_union(F.coalesce("keys", no), F.col("more")))
-    keys = Saved(both.select("lid", all_keys.alias("keys")).where("keys is not null"), "line-keys")
-    release(spark, texts, sampled, again)
+    sketches = Saved(signed.df.select("lid", "sketch"), "line-sketches")
+    keys = Saved(signed.df.select("lid", "keys"), "line-keys")
+    release(spark, signed)
     return keys, sketches
 
 
-def _alike(a: str, b: str, a_whole: str, b_whole: str) -> Column:
-    """The more agreeing one of two lines' sketches of samples and of all shingles."""
-    col = F.col
-    return F.greatest(F.coalesce(_agreeing(col(a), col(b)), F.lit(0)), F.coalesce(_agreeing(col(a_whole), col(b_whole)), F.lit(0)))
-
-
 def _close(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """The pairs (a, b, ...) whose lines' sketches agree often enough."""
     def side(c: str) -> DataFrame:
-        return sketches.select(F.col("lid").alias(c), F.col("sketch").alias(f"{c}_s"), F.col("whole").alias(f"{c}_w"))
+        return sketches.select(F.col("lid").alias(c), F.col("sketch").alias(f"{c}_s"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.where(_alike("a_s", "b_s", "a_w", "b_w") >= AGREE).select(*pairs.columns)
+    return both.where(_agreeing(F.col("a_s"), F.col("b_s")) >= AGREE).select(*pairs.columns)
 
 
 def _texts_of(lines: DataFrame, lids: DataFrame) -> Saved:
@@ -205,10 +171,10 @@ def _unconnected(members: DataFrame, links: DataFrame, lines: DataFrame, sketche
     mixed = saved(own.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key"), "line-mixed")
     left = own.join(small(mixed), "key")
     # sketches come along, so that only pairs that may be alike leave the join
-    few = Saved(left.where(F.col("c") <= FEW).join(sketches, "lid").select("key", "lid", "root", "sketch", "whole"), "line-few")
+    few = Saved(left.where(F.col("c") <= FEW).join(sketches, "lid").select("key", "lid", "root", "sketch"), "line-few")
     x, y = few.df.alias("x"), few.df.alias("y")
     near = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.lid") < F.col("y.lid")) & (F.col("x.root") != F.col("y.root"))
-                   & (_alike("x.sketch", "y.sketch", "x.whole", "y.whole") >= AGREE))
+                   & (_agreeing(F.col("x.sketch"), F.col("y.sketch")) >= AGREE))
             .select(F.col("x.lid").alias("a"), F.col("y.lid").alias("b")))
     many = saved(left.where(F.col("c") > FEW).select("lid", "root").distinct(), "line-hot")
     return near.union(_close(_prefix_pairs(many, lines, shingle, similarity).distinct(), sketches)).distinct()

@@ -518,3 +518,23 @@ def test_pipeline_of_no_rows(spark, empty):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_line_signatures_take_all_shingles(spark):
+    """Of lines of any length, repetitive ones too: the first value of the sketch
+    is the least one over all shingles."""
+    from stackyard.llm import lines as L
+
+    r = random.Random(5)
+    texts = ["".join(r.choice("abcdefgh ijklmnop") for _ in range(n)) for n in (7, 60, 300, 900)] + ["ab cd " * 200]
+    df = spark.createDataFrame([(t,) for t in texts], "line string")
+    keys, sketches = L.band_keys(df, 5, 18, 5)
+    got = {row["lid"]: row["sketch"][0] & 255 for row in sketches.df.collect()}
+    assert keys.df.count() == len(texts) == len(got)
+    parts = [(t, t[i:i + 5].encode("utf-16-be")) for t in texts for i in range(len(t) - 4)]
+    hashed = spark.createDataFrame(parts, "line string, b binary").select(F.xxhash64("line").alias("lid"), F.xxhash64("b").alias("h"))
+    want: dict = {}
+    for row in hashed.collect():
+        value = (((row["h"] % 2 ** 64) >> 32) * L._factors(1)[0] >> 20) & 0xFFFFFFFF
+        want[row["lid"]] = min(value, want.get(row["lid"], value))
+    assert got == {k: v & 255 for k, v in want.items()}
