@@ -83,10 +83,12 @@ def gather_predictions(spark: SparkSession, path_glob: str, key: str = "ID",
     """Many ``(ID, PredictedProb)`` CSV files → long
     ``(id, model, pred)`` with the model named by its file, then one pivot
     on the key (rows align by id, not by position)."""
-    # model name: the folder of a Spark part file, else the file name stem
-    fname = F.input_file_name()
-    model = F.when(fname.rlike(r"/part-[^/]*$"), F.regexp_extract(fname, r"([^/]+)/part-[^/]*$", 1)) \
-             .otherwise(F.regexp_extract(fname, r"([^/]+?)(\.csv)?$", 1))
+    # model name: the folder of a Spark part file, else the file name stem (no regular
+    # expression for part files: the name is worked out for every row)
+    path = F.input_file_name()
+    base = F.substring_index(path, "/", -1)
+    model = (F.when(base.startswith("part-"), F.substring_index(F.substring_index(path, "/", -2), "/", 1))
+             .otherwise(F.regexp_extract(path, r"([^/]+?)(\.csv)?$", 1)))
     raw = read_csv_table(spark, path_glob, f"{key} long, {pred} double").withColumn("model", model)
     long = raw.select(F.col(key).alias("id"), "model", F.col(pred).alias("pred"))
     return pivot_predictions(long, models)
@@ -94,9 +96,12 @@ def gather_predictions(spark: SparkSession, path_glob: str, key: str = "ID",
 
 def pivot_predictions(long: DataFrame, models: list[str] | None = None) -> DataFrame:
     """Long ``(id, model, pred)`` → wide, one column per model. An explicit
-    model list avoids the extra job that discovers pivot values."""
+    model list avoids the extra job that discovers pivot values, and its columns
+    come from one grouping by the key (``pivot`` groups by key and model first)."""
     g = long.groupBy("id")
-    return (g.pivot("model", models) if models else g.pivot("model")).agg(F.first("pred"))
+    if not models:
+        return g.pivot("model").agg(F.first("pred"))
+    return g.agg(*[F.first(F.when(F.col("model") == m, F.col("pred")), ignorenulls=True).alias(m) for m in models])
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -60,3 +60,23 @@ def test_template_fill_keeps_unmatched_rows(spark):
     p = spark.createDataFrame([(2, 5.0)], "id long, pred double")
     got = {r["id"]: r["Response"] for r in SK.fill_template(t, p, "id", "Response").collect()}
     assert got == {1: 0.0, 2: 5.0, 3: 0.0}
+
+
+def test_gathered_models_are_one_grouping(spark):
+    long = spark.createDataFrame([(1, "m3", 0.5), (1, "m7", 0.25), (2, "m3", 0.125), (None, "m7", 1.0), (2, "m9", 9.0)],
+                                 "id long, model string, pred double")
+    wide = SK.pivot_predictions(long, ["m3", "m7"])
+    assert wide.columns == ["id", "m3", "m7"]
+    assert {tuple(r) for r in wide.collect()} == {(1, 0.5, 0.25), (2, 0.125, None), (None, None, 1.0)}
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+
+
+def test_gathered_file_names_need_no_pattern(spark, tmp_path):
+    p = spark.createDataFrame([(1, 0.5)], "id long, pred double")
+    SK.write_scores(p, str(tmp_path / "m3"))
+    (tmp_path / "flat").mkdir()
+    (tmp_path / "flat" / "m7.csv").write_text("ID,PredictedProb\n1,0.25\n")
+    for path, model in ((tmp_path / "*", "m3"), (tmp_path / "flat" / "*.csv", "m7")):
+        wide = SK.gather_predictions(spark, str(path), models=[model])
+        assert (1, 0.5 if model == "m3" else 0.25) in {tuple(r) for r in wide.collect()}
