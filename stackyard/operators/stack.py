@@ -47,10 +47,15 @@ def fit_parallel(jobs, params: dict):
         return list(pool.map(one, jobs))
 
 
+def kept(rows: DataFrame) -> DataFrame:
+    """Rows that several fits or scores read, worked out once: from the shared
+    checkpoint folder if there is one, else kept in memory."""
+    return cut_lineage(rows) if checkpoint_dir(rows.sparkSession) else rows.persist()
+
+
 def _prepare(df: DataFrame, features: list[str]) -> DataFrame:
-    """The assembled rows, from the shared checkpoint folder if there is one, else kept in memory."""
-    rows = assemble(df, features)
-    return cut_lineage(rows) if checkpoint_dir(df.sparkSession) else rows.persist()
+    """The assembled rows, kept."""
+    return kept(assemble(df, features))
 
 
 def _with_rows(kind: str, params: dict, tr: DataFrame) -> dict:
@@ -112,10 +117,10 @@ class Scaled(Model):
         self.mean, self.std, self.model, self.features = mean, std, model, features
 
     def scale(self, df: DataFrame) -> DataFrame:
-        lit = lambda v: F.array(*[F.lit(float(x)) for x in v])
-        z = F.transform(F.arrays_zip(vector_to_array(self.features).alias("x"), lit(self.mean).alias("m"), lit(self.std).alias("s")),
-                        lambda t: F.when(t["s"] > 0, (t["x"] - t["m"]) / t["s"]).otherwise(0.0))
-        return df.withColumn("__scaled", array_to_vector(z))
+        # element by element, not by a lambda, which would not be compiled
+        x = [(F.col("__x")[i] - float(m)) / float(s) if s > 0 or math.isnan(s) else F.lit(0.0)
+             for i, (m, s) in enumerate(zip(self.mean, self.std))]
+        return df.withColumn("__x", vector_to_array(self.features)).withColumn("__scaled", array_to_vector(F.array(*x))).drop("__x")
 
     def _transform(self, dataset):
         return self.model.transform(self.scale(dataset)).drop("__scaled")
@@ -128,7 +133,10 @@ def fit_scaled(kind: str, label: str, rows: DataFrame, **params) -> Scaled:
     n = max(got["n"], 1)
     std = [math.sqrt(max(v, 0.0) * (n - 1) / n) for v in got["v"].toArray()]
     empty = Scaled(got["m"].toArray().tolist(), std, None)
-    return Scaled(empty.mean, std, estimator(kind, label, "__scaled", **params).fit(empty.scale(rows)))
+    scaled = empty.scale(rows).select(label, "__scaled").persist()  # several classes are fitted on it
+    model = estimator(kind, label, "__scaled", **params).fit(scaled)
+    scaled.unpersist()
+    return Scaled(empty.mean, std, model)
 
 
 def oof_multiclass(train: DataFrame, test: DataFrame, features: list[str], y: str, n_class: int,

@@ -204,7 +204,9 @@ def x6_cross_validator_group_shares(spark, sf):
     est = MO.estimator("tree", "label")
     cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().addGrid(est.maxDepth, [6, 7]).build(),
                         evaluator=MO.LogLossEvaluator("label"), foldCol="fold", parallelism=2)
-    m = cv.fit(MO.assemble(train, cats(train)))
+    folds = MO.assemble(train, cats(train)).select("label", "fold", "features").persist()  # read by every fit and score
+    m = cv.fit(folds)
+    folds.unpersist()
     rows = [(d, float(x)) for d, x in zip((6, 7), m.avgMetrics)]
     return spark.createDataFrame(rows, "max_depth int, loss double").select("max_depth", r6("loss", "cv_logloss"))
 
