@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from stackyard.operators import boosting as BO
@@ -200,3 +201,57 @@ def test_scaled_models_are_fitted_on_their_own_rows(spark, noisy):
     mean, var = z.agg(F.avg(F.col("z")[0]), F.var_pop(F.col("z")[0])).first()
     assert mean == pytest.approx(0, abs=1e-9) and var == pytest.approx(1)
     assert m.transform(noisy).select("probability").count() == 1200
+
+
+def test_bins_count_the_cuts_below_a_value_without_lambdas(spark):
+    cuts = [[-1.0, 0.0, 0.0, 2.5], [], [5e-324, 1.0]]
+    values = [-2.0, -1.0, -0.0, 0.0, 1e-300, 1.0, 2.5, 3.0, float("inf"), float("-inf"), float("nan")]
+    df = spark.createDataFrame([([v, v, v],) for v in values], "v array<double>")
+    out = XT.binned(df, "v", cuts, "b")
+    below = lambda c, v: v != v or c < v
+    for r in out.collect():
+        assert r["b"].toArray().tolist() == [float(sum(below(c, v) for c in own)) for own, v in zip(cuts, r["v"])]
+    assert out.columns == ["v", "b"]
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_softmax_works_each_total_out_once(spark):
+    df = spark.createDataFrame([([1.0, -2.0, 0.5],), ([0.0, 0.0, 700.0],)], "s array<double>")
+    out = df.select("s", BO.Loss("softmax", 3).probabilities(F.col("s")).alias("p"))
+    for r in out.collect():
+        e = [math.exp(x - max(r["s"])) for x in r["s"]]
+        assert r["p"] == pytest.approx([x / sum(e) for x in e], abs=1e-15)
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scaled_models_scale_without_lambdas(spark):
+    df = spark.createDataFrame([(Vectors.dense([1.0, 7.0]),), (Vectors.dense([4.0, 7.0]),)], ["features"])
+    out = ST.Scaled([2.0, 7.0], [0.5, 0.0], None).scale(df)
+    assert sorted(r["__scaled"].toArray().tolist() for r in out.collect()) == [[-2.0, 0.0], [4.0, 0.0]]
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString() and out.columns == ["features", "__scaled"]
+
+
+def test_sweeps_keep_what_their_fits_read(spark, noisy):
+    seen = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(MO, "_fold_result", lambda df, *a: seen.append(df.columns) or MO.FoldResult(0, 1.0, 1.0, 0, 0.0))
+        MO.cv_score(noisy.withColumn("fold", F.col("id") % 2).withColumn("other", F.lit("x")), "tree", 2)
+    assert seen == [["label", "fold", "features"]] * 2
+
+
+def test_log_loss_reads_each_prediction_once(spark):
+    df = spark.createDataFrame([(1.0, 0.5, "a"), (None, 0.5, "a"), (0.0, None, "a"), (None, 0.25, "b"), (0.0, 0.75, "c")],
+                               "y double, p double, g string")
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def model(v):
+        calls.add(1)
+        return v
+
+    scored = df.withColumn("q", model("p"))
+    got = {r["g"]: r["logloss"] for r in log_loss(scored, "y", "q", by=["g"]).collect()}
+    assert got == pytest.approx({"a": math.log(2), "c": 2 * math.log(2)}) and calls.value == 5
+    assert log_loss(df.where("g = 'b'"), "y", "p").first()[0] is None
+    plan = log_loss(scored, "y", "q", by=["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("model(") == 1
