@@ -20,7 +20,9 @@ character shingles) form components; of each component the first line in
    larger groups meet by their rarest shingles: two lines as similar as asked
    share one among the first fifth of their shingles, the rarest first (prefix
    filter), so no like pair is left out, and shingles of a common template, which
-   come last, bring no lines together; their sketches are compared as well;
+   come last, bring no lines together; their sketches are compared as well. Both
+   joins also compare parity maps of the shingle sets, which bound the sets'
+   difference: no like pair is dropped, and hardly another one leaves the join;
 6. components by distributed union-find; first positions by grouped minima.
 
 A line is known by the 64-bit XXH64 of its text (two different lines among n
@@ -51,6 +53,10 @@ SKETCH = 4
 AGREE = 12
 #: In groups of at most this many lines all unconnected lines' sketches are compared.
 FEW = 64
+#: Words of a parity map of a line's shingles.
+MAP = 16
+#: Shingles before one in its line's order in which an earlier meeting is looked for.
+EARLIER = 16
 
 
 def _factors(n: int) -> list[int]:
@@ -140,6 +146,23 @@ def _texts_of(lines: DataFrame, lids: DataFrame) -> Saved:
     return out
 
 
+def _parity(texts: DataFrame, shingle: int) -> DataFrame:
+    """(lid, n, bits): the size of a line's set of shingles, and for each bit of a
+    map whether an odd number of them have it."""
+    each = texts.select("lid", F.explode(_shingles(F.col("line"), shingle)).alias("s")).select("lid", F.xxhash64("s").alias("h"))
+    at = each.withColumns({"w": F.shiftright("h", 6).bitwiseAND(F.lit(MAP - 1)), "bit": F.expr("shiftleft(1L, cast(h & 63 as int))")})
+    words = [F.bit_xor(F.when(F.col("w") == w, F.col("bit")).otherwise(F.lit(0).cast("long"))) for w in range(MAP)]
+    return at.groupBy("lid").agg(F.count(F.lit(1)).alias("n"), F.array(*words).alias("bits"))
+
+
+def _may_be_like(similarity: float) -> Column:
+    """Whether the maps of x and y allow the similarity: each shingle that only one
+    of the sets has changes one bit, and like sets differ in at most
+    (1 - s) / (1 + s) of the sum of their sizes."""
+    differ = [F.bit_count(F.col("x.bits")[w].bitwiseXOR(F.col("y.bits")[w])) for w in range(MAP)]
+    return sum(differ[1:], differ[0]) <= (1 - similarity) / (1 + similarity) * (F.col("x.n") + F.col("y.n")) + 1e-9
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("lid"))
 
@@ -169,46 +192,50 @@ def _unconnected(members: DataFrame, links: DataFrame, lines: DataFrame, sketche
     roots = saved(components(links), "line-parts").select(F.col("node").alias("lid"), "root")
     own = saved(members.select("key", "lid", "c").join(roots, "lid", "left").withColumn("root", F.coalesce("root", "lid")), "line-roots")
     mixed = saved(own.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key"), "line-mixed")
-    left = own.join(small(mixed), "key")
-    # sketches come along, so that only pairs that may be alike leave the join
-    few = Saved(left.where(F.col("c") <= FEW).join(sketches, "lid").select("key", "lid", "root", "sketch"), "line-few")
+    left = saved(own.join(small(mixed), "key"), "line-left")
+    texts = _texts_of(lines, left)
+    bits = saved(_parity(texts.df, shingle), "line-bits")
+    # sketches and maps come along, so that only pairs that may be alike leave the join
+    few = Saved(left.where(F.col("c") <= FEW).join(sketches, "lid").join(bits, "lid").select("key", "lid", "root", "sketch", "n", "bits"), "line-few")
     x, y = few.df.alias("x"), few.df.alias("y")
     near = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.lid") < F.col("y.lid")) & (F.col("x.root") != F.col("y.root"))
-                   & (_agreeing(F.col("x.sketch"), F.col("y.sketch")) >= AGREE))
+                   & (_agreeing(F.col("x.sketch"), F.col("y.sketch")) >= AGREE) & _may_be_like(similarity))
             .select(F.col("x.lid").alias("a"), F.col("y.lid").alias("b")))
     many = saved(left.where(F.col("c") > FEW).select("lid", "root").distinct(), "line-hot")
-    return near.union(_close(_prefix_pairs(many, lines, shingle, similarity).distinct(), sketches)).distinct()
+    return near.union(_close(_prefix_pairs(many, texts.df, bits, shingle, similarity).distinct(), sketches)).distinct()
 
 
-def _prefix_pairs(many: DataFrame, lines: DataFrame, shingle: int, similarity: float) -> DataFrame:
+def _prefix_pairs(many: DataFrame, texts: DataFrame, bits: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """(a, b), a < b: the pairs of lines with different roots that share one of
-    their rarest shingles, at places that allow the similarity."""
-    texts = _texts_of(lines, many)
-    each = saved(texts.df.join(many, "lid").select("lid", "root", F.explode(_shingles(F.col("line"), shingle)).alias("s"))
+    their rarest shingles, at places and with maps that allow the similarity."""
+    each = saved(texts.join(small(many), "lid").select("lid", "root", F.explode(_shingles(F.col("line"), shingle)).alias("s"))
                  .select("lid", "root", F.xxhash64("s").alias("s")), "line-shingles")
-    texts.drop()
     often = saved(each.groupBy("s").agg(F.count(F.lit(1)).alias("c")), "line-shingle-counts")
     # a window holds the shingles of one line
     of = Window.partitionBy("lid")
     ranked = (each.join(small(often), "s")
-              .select("lid", "root", "s", "c", F.count(F.lit(1)).over(of).alias("n"), F.row_number().over(of.orderBy("c", "s")).alias("p")))
+              .select("lid", "root", "s", "c", F.count(F.lit(1)).over(of).alias("n"), F.row_number().over(of.orderBy("c", "s")).alias("p"),
+                      F.collect_list("s").over(of.orderBy("c", "s").rowsBetween(-EARLIER, -1)).alias("earlier")))
     overlap = similarity / (1 + similarity)
     probe = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1
     index = F.col("n") - F.ceil(2 * overlap * F.col("n") - 1e-9) + 1
     ranked = saved(ranked.where((F.col("c") > 1) & (F.col("p") <= probe))
-                   .select("lid", "root", "s", "n", "p", (F.col("p") <= index).alias("indexed")), "line-prefixes")
+                   .select("lid", "root", "s", "n", "p", (F.col("p") <= index).alias("indexed"), "earlier"), "line-prefixes")
     # a shingle's most frequent root is only joined with its others
     per = ranked.groupBy("s", "root").agg(F.count(F.lit(1)).alias("k"))
     most = saved(per.groupBy("s").agg(F.max_by("root", F.struct("k", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
                  .where("roots > 1").select("s", "most"), "line-shingle-roots")
-    own = saved(ranked.join(small(most), "s").withColumn("other", F.col("root") != F.col("most")).drop("most"), "line-prefixes")
+    own = saved(ranked.join(small(most), "s").withColumn("other", F.col("root") != F.col("most")).drop("most")
+                .join(bits.select("lid", "bits"), "lid"), "line-prefixes")
 
     def meet(x: DataFrame, y: DataFrame) -> DataFrame:
         """Indexed lines of x with lines of y that are as long or longer."""
         x, y = x.where("indexed").alias("x"), y.alias("y")
         most_shared = 1 + F.least(F.col("x.n") - F.col("x.p"), F.col("y.n") - F.col("y.p"))
         fits = ((F.col("x.n") <= F.col("y.n")) & (F.col("x.n") >= similarity * F.col("y.n") - 1e-9)
-                & (most_shared >= overlap * (F.col("x.n") + F.col("y.n")) - 1e-9))
+                & (most_shared >= overlap * (F.col("x.n") + F.col("y.n")) - 1e-9) & _may_be_like(similarity)
+                # a pair that shares an earlier one has met there, where the places allow more
+                & ~F.arrays_overlap("x.earlier", "y.earlier"))
         return (x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.root") != F.col("y.root")) & fits)
                 .select(F.least("x.lid", "y.lid").alias("a"), F.greatest("x.lid", "y.lid").alias("b")))
 

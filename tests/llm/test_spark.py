@@ -538,3 +538,37 @@ def test_line_signatures_take_all_shingles(spark):
         value = (((row["h"] % 2 ** 64) >> 32) * L._factors(1)[0] >> 20) & 0xFFFFFFFF
         want[row["lid"]] = min(value, want.get(row["lid"], value))
     assert got == {k: v & 255 for k, v in want.items()}
+
+
+def test_pairs_that_the_maps_rule_out_do_not_leave_the_join(spark):
+    """Lines of a template that share rare shingles, most pairs less alike than
+    asked: all like pairs leave the join, each once, and few others."""
+    from stackyard.llm import lines as L
+
+    r = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(r.choices(letters, k=8)) for _ in range(40)]
+    texts = [" ".join(r.sample(words, 10)) for _ in range(150)]
+    texts += [t + "x" for t in texts[:40]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "lid long, line string")
+    many = df.select("lid", F.col("lid").alias("root"))
+    got = [tuple(x) for x in L._prefix_pairs(many, df, L._parity(df, 5), 5, 0.8).collect()]
+    grams = [{t[i:i + 5] for i in range(len(t) - 4)} for t in texts]
+    like = {(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))
+            if len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b])}
+    assert len(like) >= 40 and like <= set(got)
+    assert len(got) <= 2 * len(like)
+    bits = {x["lid"]: (x["n"], x["bits"]) for x in L._parity(df, 5).collect()}
+    assert all(bits[i][0] == len(g) for i, g in enumerate(grams))
+
+
+def test_only_documents_with_segments_move(spark):
+    """Documents that hold no place of a segment are not moved to the places."""
+    from stackyard.llm import segments as S
+
+    docs = spark.createDataFrame([(i if i else None, f"text {i} " * 9) for i in range(400)], "doc_id long, text string")
+    hashed = S._hashed(docs)
+    some = hashed.where("doc_id is null or doc_id % 100 = 0")
+    moved = S._texts_in(hashed, S._key_map(some.select(F.col("th").alias("key"))))
+    got = {(x["doc_id"], bytes(x["text"]).decode()) for x in moved.collect()}
+    assert got == {(i or None, f"text {i} " * 9) for i in (0, 100, 200, 300)}
