@@ -54,9 +54,9 @@ AGREE = 12
 #: In groups of at most this many lines all unconnected lines' sketches are compared.
 FEW = 64
 #: Words of a parity map of a line's shingles.
-MAP = 16
+MAP = 8
 #: Shingles before one in its line's order in which an earlier meeting is looked for.
-EARLIER = 16
+EARLIER = 4
 
 
 def _factors(n: int) -> list[int]:
