@@ -52,7 +52,11 @@ ROWS = 5
 SKETCH = 4
 AGREE = 12
 #: In groups of at most this many lines all unconnected lines' sketches are compared.
-FEW = 64
+#: That is a row for each line and group and some nanoseconds for a pair; the rarest
+#: shingles of larger groups are a row for a fifth of each line's characters.
+FEW = 16_384
+#: Bands whose groups are made at once: their members are on disk together.
+PASS = 6
 #: Words of a parity map of a line's shingles.
 MAP = 8
 #: Shingles before one in its line's order in which an earlier meeting is looked for.
@@ -167,42 +171,58 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("lid"))
 
 
-def _candidates(table: Saved) -> tuple[Saved, Saved]:
+def _candidates(table: Saved, bands: int) -> tuple[Saved, list[Saved]]:
     """(a, b, bands): lines with the first or last line of a group; and
-    (key, lid, c): the members of the groups of ``c`` > 2 lines. Both saved."""
-    members = table.df.select("lid", F.explode("keys").alias("key"))
-    groups = Saved(members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("lid").alias("first"), F.max("lid").alias("last"))
-                   .where("c > 1"), "line-groups")
-    release(table.spark)
-    own = Saved(members.join(small(groups.df.where("c > 2")), "key").select("key", "lid", "c", "first", "last"), "line-members")
-    release(table.spark, table)
-    rest = own.df.where("lid != first and lid != last")
-    pairs = (groups.df.select(F.col("first").alias("a"), F.col("last").alias("b"))
-             .union(rest.select(F.col("first").alias("a"), F.col("lid").alias("b")))
-             .union(rest.select(F.col("lid").alias("a"), F.col("last").alias("b"))))
+    (key, lid, c): the members of the groups of ``c`` > 2 lines, a table for each
+    ``PASS`` bands. All saved. A key goes through one shuffle: its line meets the
+    group's first and last there, and a line alone in its group stays behind."""
+    spark, tables = table.spark, []
+    of = Window.partitionBy("key")
+    for at in range(0, bands, PASS):
+        members = table.df.select("lid", F.explode(F.slice("keys", at + 1, PASS)).alias("key"))
+        grouped = members.select("key", "lid", F.count(F.lit(1)).over(of).alias("c"), F.min("lid").over(of).alias("first"),
+                                 F.max("lid").over(of).alias("last"))
+        tables.append(Saved(grouped.where("c > 2 or (c = 2 and lid = last)"), "line-members"))
+        release(spark)
+    table.drop()
+    own = reduce(DataFrame.union, [t.df for t in tables])
+    pairs = (own.where("lid != first").select(F.col("first").alias("a"), F.col("lid").alias("b"))
+             .union(own.where("lid != first and lid != last").select(F.col("lid").alias("a"), F.col("last").alias("b"))))
     out = Saved(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("bands")), "line-candidates")
-    release(own.spark, groups)
-    return out, own
-
-
-def _unconnected(members: DataFrame, links: DataFrame, lines: DataFrame, sketches: DataFrame, shingle: int,
-                 similarity: float) -> DataFrame:
-    """(a, b), a < b: the pairs of lines of a group that no links connect. Of
-    groups of more than ``FEW`` lines only those that can be similar enough."""
-    roots = saved(components(links), "line-parts").select(F.col("node").alias("lid"), "root")
-    own = saved(members.select("key", "lid", "c").join(roots, "lid", "left").withColumn("root", F.coalesce("root", "lid")), "line-roots")
-    mixed = saved(own.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key"), "line-mixed")
-    left = saved(own.join(small(mixed), "key"), "line-left")
-    texts = _texts_of(lines, left)
-    bits = saved(_parity(texts.df, shingle), "line-bits")
+    release(spark)
+    return out, tables
+
+
+def _unconnected(members: list[Saved], links: DataFrame, lines: DataFrame, sketches: Saved, shingle: int,
+                 similarity: float) -> Saved:
+    """(a, b), a < b: the pairs of lines of a group that no links connect and that
+    can be similar enough. Saved; the members and sketches are dropped."""
+    spark = sketches.spark
+    own = reduce(DataFrame.union, [t.df for t in members]).where("c > 2").select("key", "lid", "c")
+    parts = Saved(components(links), "line-parts")
+    roots = parts.df.select(F.col("node").alias("lid"), "root")
+    rooted = Saved(own.join(roots, "lid", "left").withColumn("root", F.coalesce("root", "lid")), "line-roots")
+    release(spark, parts, *members)
+    mixed = Saved(rooted.df.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key"), "line-mixed")
+    left = Saved(rooted.df.join(small(mixed.df), "key"), "line-left")
+    release(spark, rooted, mixed)
+    texts = _texts_of(lines, left.df)
+    bits = Saved(_parity(texts.df, shingle), "line-bits")
     # sketches and maps come along, so that only pairs that may be alike leave the join
-    few = Saved(left.where(F.col("c") <= FEW).join(sketches, "lid").join(bits, "lid").select("key", "lid", "root", "sketch", "n", "bits"), "line-few")
+    known = sketches.df.join(bits.df, "lid")
+    few = Saved(left.df.where(F.col("c") <= FEW).join(known, "lid").select("key", "lid", "root", "sketch", "n", "bits"), "line-few")
+    release(spark)
     x, y = few.df.alias("x"), few.df.alias("y")
     near = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.lid") < F.col("y.lid")) & (F.col("x.root") != F.col("y.root"))
                    & (_agreeing(F.col("x.sketch"), F.col("y.sketch")) >= AGREE) & _may_be_like(similarity))
             .select(F.col("x.lid").alias("a"), F.col("y.lid").alias("b")))
-    many = saved(left.where(F.col("c") > FEW).select("lid", "root").distinct(), "line-hot")
-    return near.union(_close(_prefix_pairs(many, texts.df, bits, shingle, similarity).distinct(), sketches)).distinct()
+    many = Saved(left.df.where(F.col("c") > FEW).select("lid", "root").distinct(), "line-hot")
+    if many.df.isEmpty():
+        found = Saved(near.distinct(), "line-found")
+    else:
+        found = Saved(near.union(_close(_prefix_pairs(many.df, texts.df, bits.df, shingle, similarity).distinct(), sketches.df)).distinct(), "line-found")
+    release(spark, left, texts, bits, few, many, sketches)
+    return found
 
 
 def _prefix_pairs(many: DataFrame, texts: DataFrame, bits: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -258,7 +278,7 @@ def line_links(lines: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
                rows: int = ROWS) -> DataFrame:
     """Links (a, b) between line ids that connect the near copies."""
     keys, sketches = band_keys(lines, shingle, bands, rows)
-    pairs, members = _candidates(keys)
+    pairs, members = _candidates(keys, bands)
     close = saved(_close(pairs.df, sketches.df), "line-close")
     release(lines.sparkSession, pairs)
     texts = _texts_of(lines, _ends(close))
@@ -272,9 +292,9 @@ def line_links(lines: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
         left = left.join(root, c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
     links = first.union(saved(_like(left.where("a_root != b_root"), texts.df, shingle, similarity), "line-links"))
     release(lines.sparkSession, texts)
-    found = _unconnected(members.df, links, lines, sketches.df, shingle, similarity)
-    rest = Saved(found.join(close, ["a", "b"], "left_anti"), "line-rest")
-    release(lines.sparkSession, members, sketches)
+    found = _unconnected(members, links, lines, sketches, shingle, similarity)
+    rest = Saved(found.df.join(close, ["a", "b"], "left_anti"), "line-rest")
+    release(lines.sparkSession, found)
     texts = _texts_of(lines, _ends(rest.df))
     out = links.union(saved(_like(rest.df, texts.df, shingle, similarity), "line-links"))
     release(lines.sparkSession, texts, rest)

@@ -572,3 +572,49 @@ def test_only_documents_with_segments_move(spark):
     moved = S._texts_in(hashed, S._key_map(some.select(F.col("th").alias("key"))))
     got = {(x["doc_id"], bytes(x["text"]).decode()) for x in moved.collect()}
     assert got == {(i or None, f"text {i} " * 9) for i in (0, 100, 200, 300)}
+
+
+def test_lines_of_large_groups_meet_without_their_shingles(spark, monkeypatch):
+    """Unconnected lines of groups of more than 64 lines: no row for each of their
+    shingles; and none of the tables of groups is on disk when the links are made."""
+    import os
+
+    from stackyard.llm import lines as L
+    from stackyard.llm.common import shared_root
+
+    def never(*_):
+        raise AssertionError("shingles of whole lines")
+
+    monkeypatch.setattr(L, "_prefix_pairs", never)
+    r = random.Random(11)
+    body = " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(12))
+    docs = [(i, f"{body} " + "".join(r.choice("klmnopqrstuvwxyz") for _ in range(40))) for i in range(150)]  # like none of the others
+    docs += [(150 + i, t + "k") for i, (_, t) in enumerate(docs[:75])]
+    root = shared_root(spark).removeprefix("file://").removeprefix("file:")
+    before = set(os.listdir(root))
+    got = {x["doc_id"]: list(x["removed_lines"]) for x in line_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = plain.removed_lines(docs)
+    assert set(want) == set(range(150, 225))
+    assert {d: v for d, v in got.items() if v} == want
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before}
+    assert not left & {"line-members", "line-roots", "line-left", "line-few", "line-bits", "line-texts", "line-keys", "line-sketches"}
+
+
+def test_line_groups_of_several_passes_are_the_groups_of_all_bands(spark):
+    from stackyard.llm import lines as L
+    from stackyard.llm.common import Saved
+
+    r = random.Random(12)
+    rows = [(i, [1000 * b + r.randrange(40) for b in range(18)]) for i in range(100)]
+    pairs, members = L._candidates(Saved(spark.createDataFrame(rows, "lid long, keys array<long>"), "test-keys"), 18)
+    groups, want = defaultdict(list), Counter()
+    for i, keys in rows:
+        for k in keys:
+            groups[k].append(i)
+    for own in groups.values():
+        if len(own) > 1:
+            want.update({(own[0], own[-1])} | {(own[0], i) for i in own[1:-1]} | {(i, own[-1]) for i in own[1:-1]})
+    assert {(x["a"], x["b"]): x["bands"] for x in pairs.df.collect()} == want
+    got = {(x["key"], x["lid"], x["c"]) for t in members for x in t.df.where("c > 2").collect()}
+    assert got == {(k, i, len(own)) for k, own in groups.items() if len(own) > 2 for i in own}
+    assert len(members) == 3
